@@ -124,9 +124,11 @@ def value_counts_running(df: DataFrame, keys: Sequence[str], value: str, descend
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, shares: Mapping[str, float]) -> DataFrame:
     """Linearly interpolated quantiles without holding a group's values in one task."""
+    if not keys:
+        return exact_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, shares).drop("_all")
     table = value_counts_running(df, keys, value)
     totals = table.groupBy(*keys).agg(F.sum("n").alias("_total"))
-    placed = table.join(totals, list(keys)) if keys else table.crossJoin(F.broadcast(totals))  # one row
+    placed = table.join(totals, list(keys))
 
     def at(position: Column) -> Column:
         return F.max(F.when((F.col("upto") - F.col("n") <= position) & (position < F.col("upto")), F.col(value)))
