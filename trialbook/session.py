@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, console_progress: bool = True) -> SparkSession:
     """A session for tests and the bench; a cluster supplies its own."""
     return (
         SparkSession.builder.master(f"local[{cores}]")
@@ -24,6 +24,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", str(console_progress).lower())
         .getOrCreate()
     )
 
