@@ -18,9 +18,10 @@ def evaluation_summary(fold_scores: DataFrame, ids: Sequence[str]) -> DataFrame:
     """Mean and population deviation over folds per repeat, then the mean of both over repeats."""
     per_repeat = fold_scores.groupBy(*ids, "repeat").agg(F.avg("value").alias("m"), F.stddev_pop("value").alias("s"))
     means = per_repeat.groupBy(*ids).agg(F.avg("m").alias("mean"), F.avg("s").alias("std"))
-    # format_number rounds the exact binary value, as printf does; format_string would not.
-    return means.selectExpr(
-        *ids, "concat(format_number(mean, '0.0000'), ' +- ', format_number(std, '0.0000')) AS summary")
+    # Rounding to 12 places first takes off what the order of summation left behind. format_number
+    # rounds the exact binary value, as printf does; format_string would not.
+    return means.selectExpr(*ids, "concat(format_number(round(mean, 12), '0.0000'), ' +- ', "
+                            "format_number(round(std, 12), '0.0000')) AS summary")
 
 
 def scopes(evaluations: DataFrame, ids: Sequence[str]) -> DataFrame:

@@ -21,7 +21,7 @@ def round_to(df, digits, *names):
 @query("agg_01_evaluation_summary", needs=["lines"], sql="""
 WITH f AS (SELECT run_id, function, task_id % 2 AS repeat, fold, round(avg(value), 6) AS value FROM lines GROUP BY 1, 2, 3, 4),
 p AS (SELECT run_id, function, repeat, avg(value) AS m, stddev_pop(value) AS s FROM f GROUP BY 1, 2, 3)
-SELECT run_id, function, printf('%.4f +- %.4f', avg(m), avg(s)) AS summary FROM p GROUP BY 1, 2""")
+SELECT run_id, function, printf('%.4f +- %.4f', round(avg(m), 12), round(avg(s), 12)) AS summary FROM p GROUP BY 1, 2""")
 def _(r):
     folds = r.lines().groupBy("run_id", "function", (F.col("task_id") % 2).alias("repeat"), "fold").agg(F.round(F.avg("value"), 6).alias("value"))
     return analysis.evaluation_summary(folds, ["run_id", "function"])
@@ -100,8 +100,8 @@ def _(r):
 
 
 @query("agg_12_landscape", sql="""
-SELECT CASE WHEN x < 0 THEN 0 WHEN x >= 1.75 THEN 13 ELSE CAST(floor(12 * x / 1.75) AS INT) + 1 END AS bx,
- CASE WHEN y < 2.5 THEN 0 WHEN y >= 5.1 THEN 13 ELSE CAST(floor(12 * (y - 2.5) / (5.1 - 2.5)) AS INT) + 1 END AS by,
+SELECT CASE WHEN x < 0 THEN 0 WHEN x >= 1.75 THEN 13 ELSE CAST(floor(12 * x / CAST(1.75 AS DOUBLE)) AS INT) + 1 END AS bx,
+ CASE WHEN y < 2.5 THEN 0 WHEN y >= 5.1 THEN 13 ELSE CAST(floor(12 * (y - 2.5) / (CAST(5.1 AS DOUBLE) - CAST(2.5 AS DOUBLE))) AS INT) + 1 END AS by,
  count(*) AS n, round(avg(l_discount), 9) AS mean
 FROM (SELECT log10(l_quantity) AS x, log10(l_extendedprice) AS y, l_discount FROM lineitem) GROUP BY 1, 2""")
 def _(r):
@@ -121,8 +121,8 @@ def _(r):
 
 @query("agg_14_importance", sql="""
 WITH b AS (SELECT p, CASE WHEN x < lo THEN 0 WHEN x >= hi THEN 9 ELSE CAST(floor(8 * (x - lo) / (hi - lo)) AS INT) + 1 END AS bin, y FROM (
- SELECT 'l_quantity' AS p, l_quantity AS x, 0.5 AS lo, 50.5 AS hi, l_extendedprice AS y FROM lineitem
- UNION ALL SELECT 'l_tax', l_tax, -0.005, 0.085, l_extendedprice FROM lineitem)),
+ SELECT 'l_quantity' AS p, l_quantity AS x, CAST(0.5 AS DOUBLE) AS lo, CAST(50.5 AS DOUBLE) AS hi, l_extendedprice AS y FROM lineitem
+ UNION ALL SELECT 'l_tax', l_tax, CAST(-0.005 AS DOUBLE), CAST(0.085 AS DOUBLE), l_extendedprice FROM lineitem)),
 g AS (SELECT p, bin, count(*) AS n, avg(y) AS m FROM b GROUP BY 1, 2), t AS (SELECT p, count(*) AS n, avg(y) AS m, var_pop(y) AS v FROM b GROUP BY 1)
 SELECT t.p AS parameter, t.n, round(sum(g.n * (g.m - t.m) * (g.m - t.m)) / t.n / t.v, 6) AS importance
 FROM g JOIN t ON g.p = t.p GROUP BY t.p, t.n, t.v""")
