@@ -1,0 +1,307 @@
+"""Split, run and score queries (SPL, SET-05, RUN, AGG-02/03/04/07)."""
+
+from pyspark.ml.classification import DecisionTreeClassifier, NaiveBayes
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import functions as F
+
+from trialbook.operators import lookups, models, scores, splits
+from trialbook.queries import query
+from trialbook.queries.analysis import round_to
+
+CLASSES = ["A", "N", "R"]
+DIGITS = [str(i) for i in range(10)]
+
+
+def predictions(r):
+    """A prediction table the size of lineitem: correct label for small quantities, else a guess."""
+    guess = F.element_at(F.array(*[F.lit(c) for c in CLASSES]), (F.col("l_partkey") % 3 + 1).cast("int"))
+    chosen = F.when(F.col("l_quantity") <= 25, F.col("l_returnflag")).otherwise(guess)
+    return r.table("lineitem").select(
+        (F.col("l_suppkey") % 2).alias("repeat"), F.col("l_linenumber").alias("fold"),
+        (F.round(F.col("l_tax") * 100).cast("long") % 3).alias("sample"), F.col("l_orderkey").alias("row_id"),
+        chosen.alias("prediction"), F.col("l_returnflag").alias("correct"),
+        F.when(chosen == "A", 1 - F.col("l_discount")).otherwise(F.col("l_discount")).alias("confidence.A"),
+        F.when(chosen == "N", 1 - F.col("l_discount")).otherwise(F.col("l_discount")).alias("confidence.N"),
+        F.when(chosen == "R", 1 - F.col("l_discount")).otherwise(F.col("l_discount")).alias("confidence.R"),
+        (F.col("l_quantity") * 1500).alias("estimate"), F.col("l_extendedprice").alias("truth"))
+
+
+P = """p AS (SELECT repeat, fold, sample, row_id, prediction, correct, l_discount, estimate, truth,
+ CASE WHEN prediction = 'A' THEN 1 - l_discount ELSE l_discount END AS c_a, CASE WHEN prediction = 'N' THEN 1 - l_discount ELSE l_discount END AS c_n,
+ CASE WHEN prediction = 'R' THEN 1 - l_discount ELSE l_discount END AS c_r FROM (
+ SELECT l_suppkey % 2 AS repeat, l_linenumber AS fold, CAST(round(l_tax * 100) AS BIGINT) % 3 AS sample, l_orderkey AS row_id,
+ CASE WHEN l_quantity <= 25 THEN l_returnflag ELSE ['A', 'N', 'R'][CAST(l_partkey % 3 + 1 AS INT)] END AS prediction, l_returnflag AS correct,
+ l_discount, l_quantity * 1500 AS estimate, l_extendedprice AS truth FROM lineitem))"""
+FOLDS = "(row_number() OVER (PARTITION BY r.repeat, label ORDER BY md5('{seed}-' || r.repeat || '-' || rowid), rowid) - 1) % {k}"
+POINT_FOLDS = f"SELECT r.repeat, rowid, CAST({FOLDS.format(seed=3, k=5)} AS INT) AS fold FROM points, (SELECT unnest(range({{n}})) AS repeat) r"
+
+
+@query("spl_03_cross_validation", needs=["points"], sql=POINT_FOLDS.format(n=3))
+def _(r):
+    return splits.cross_validation(r.points().select("rowid", "label"), 3, 5, seed=3, stratify="label")
+
+
+@query("spl_03_cross_validation_plain", sql="""
+SELECT 0 AS repeat, o_orderkey AS rowid, CAST((row_number() OVER (ORDER BY md5('5-0-' || o_orderkey), o_orderkey) - 1) % 10 AS INT) AS fold FROM orders""")
+def _(r):
+    return splits.cross_validation(r.table("orders").select(F.col("o_orderkey").alias("rowid")), 1, 10, seed=5)
+
+
+@query("spl_04_holdout", sql="""
+SELECT 0 AS repeat, rowid, 0 AS fold, CASE WHEN rk < round(0.33 * n) THEN 'TEST' ELSE 'TRAIN' END AS type FROM (
+SELECT o_orderkey AS rowid, row_number() OVER (PARTITION BY o_orderstatus ORDER BY md5('9-0-' || o_orderkey), o_orderkey) - 1 AS rk,
+ count(*) OVER (PARTITION BY o_orderstatus) AS n FROM orders)""")
+def _(r):
+    rows = r.table("orders").select(F.col("o_orderkey").alias("rowid"), F.col("o_orderstatus").alias("label"))
+    return splits.holdout(rows, 0.33, seed=9, stratify="label")
+
+
+@query("spl_05_learning_curve", sql="""
+WITH f AS (SELECT o_orderkey AS rowid, CAST((row_number() OVER (PARTITION BY o_orderstatus ORDER BY md5('1-0-' || o_orderkey), o_orderkey) - 1) % 3 AS INT) AS t FROM orders),
+tr AS (SELECT k.fold, rowid, row_number() OVER (PARTITION BY k.fold ORDER BY md5('1-train-' || rowid), rowid) - 1 AS rk FROM f JOIN (SELECT unnest([0, 1, 2]) AS fold) k ON k.fold <> f.t),
+s AS (SELECT * FROM (VALUES (0, 64), (1, 91), (2, 5000)) v(sample, size))
+SELECT 0 AS repeat, fold, sample, 'TRAIN' AS type, rowid FROM tr JOIN s ON rk < size
+UNION ALL SELECT 0, t, sample, 'TEST', rowid FROM f, s""")
+def _(r):
+    rows = r.table("orders").select(F.col("o_orderkey").alias("rowid"), F.col("o_orderstatus").alias("label"))
+    return splits.learning_curve(rows, 3, [64, 91, 5000], seed=1, stratify="label")
+
+
+def line_splits(r):
+    """A split table read off lineitem, overlaps and all."""
+    return r.table("lineitem").select(
+        (F.col("l_suppkey") % 2).alias("repeat"), F.col("l_linenumber").alias("fold"), F.lit(0).alias("sample"),
+        F.when(F.col("l_quantity") < 6, "TEST").otherwise("TRAIN").alias("type"), F.col("l_orderkey").alias("rowid"))
+
+
+S = "s AS (SELECT l_suppkey % 2 AS repeat, l_linenumber AS fold, 0 AS sample, CASE WHEN l_quantity < 6 THEN 'TEST' ELSE 'TRAIN' END AS type, l_orderkey AS rowid FROM lineitem)"
+
+
+@query("spl_01_cell", sql=f"WITH {S} SELECT type, rowid FROM s WHERE repeat = 1 AND fold = 3 AND sample = 0")
+def _(r):
+    return splits.cell(line_splits(r), repeat=1, fold=3)
+
+
+@query("spl_02_dimensions", sql=f"""
+WITH {S} SELECT count(*) AS repeats, CASE WHEN min(f) = max(f) THEN max(f) END AS folds, max(n) AS samples
+FROM (SELECT repeat, count(DISTINCT fold) AS f, count(DISTINCT sample) AS n FROM s GROUP BY 1)""")
+def _(r):
+    return splits.dimensions(line_splits(r))
+
+
+@query("spl_06_violations", sql=f"""
+WITH {S}, pr AS (SELECT repeat, fold, sample, rowid, count(*) FILTER (WHERE type = 'TEST') AS t, count(*) AS c FROM s GROUP BY 1, 2, 3, 4)
+SELECT 'overlap' AS "check", repeat, fold, sample, count(*) AS n FROM pr WHERE c > 1 GROUP BY 2, 3, 4
+UNION ALL SELECT 'not tested once', repeat, NULL, sample, count(*) FROM (SELECT repeat, sample, rowid FROM pr GROUP BY 1, 2, 3 HAVING sum(t) <> 1) GROUP BY 2, 4
+UNION ALL SELECT 'incomplete', repeat, fold, sample, 6000 - count(*) FROM pr GROUP BY 2, 3, 4 HAVING count(*) <> 6000""")
+def _(r):
+    return splits.violations(line_splits(r), 6000)
+
+
+@query("spl_06_generated_split_is_sound", sql="""
+SELECT 'incomplete' AS "check", i AS repeat, j AS fold, 0 AS sample, 1 AS n FROM (SELECT unnest(range(2)) AS i), (SELECT unnest(range(5)) AS j)""")
+def _(r):
+    made = splits.cross_validation(r.points().select("rowid", "label"), 2, 5, seed=3, stratify="label")
+    long = splits.long_form(made, 5).withColumn("sample", F.lit(0))
+    return splits.violations(long, r.points().count() + 1)
+
+
+@query("set_05_split_difference", sql=f"""
+WITH {S}, o AS (SELECT repeat, fold, sample, CASE WHEN rowid % 10 = 0 THEN 'TEST' ELSE type END AS type, rowid FROM s)
+SELECT *, 'left' AS side FROM (SELECT * FROM s EXCEPT ALL SELECT * FROM o) UNION ALL SELECT *, 'right' FROM (SELECT * FROM o EXCEPT ALL SELECT * FROM s)""")
+def _(r):
+    s = line_splits(r)
+    other = s.withColumn("type", F.when(F.col("rowid") % 10 == 0, "TEST").otherwise(F.col("type")))
+    return splits.difference(s, other)
+
+
+@query("agg_02_metric_by_fold", sql=f"""
+WITH {P} SELECT repeat, fold, round(avg((prediction = correct)::INT), 9) AS value FROM p
+WHERE (repeat, fold, sample) IN (SELECT (repeat, fold, max(sample)) FROM p GROUP BY repeat, fold) GROUP BY 1, 2""")
+def _(r):
+    return round_to(scores.metric_by_fold(predictions(r), [], scores.accuracy()), 9, "value")
+
+
+@query("agg_02_python_metric", sql=f"""
+WITH {P} SELECT repeat, fold, round(quantile_cont(abs(estimate - truth), 0.5), 4) AS value FROM p
+WHERE (repeat, fold, sample) IN (SELECT (repeat, fold, max(sample)) FROM p GROUP BY repeat, fold) GROUP BY 1, 2""")
+def _(r):
+    p = predictions(r).withColumn("prediction", F.col("estimate"))
+    return round_to(scores.python_metric_by_fold(p, [], "truth", lambda t, e: (e - t).abs().median()), 4, "value")
+
+
+@query("agg_02_domain_violations", sql=f"""
+WITH {P} SELECT 'prediction' AS "column", prediction AS label, count(*) AS n FROM p WHERE prediction NOT IN ('A', 'R') GROUP BY 2
+UNION ALL SELECT 'correct', correct, count(*) FROM p WHERE correct NOT IN ('A', 'R') GROUP BY 2""")
+def _(r):
+    return scores.domain_violations(predictions(r), ["A", "R"])
+
+
+@query("agg_03_regression_errors", sql=f"""
+WITH {P} SELECT repeat, fold, sample, round(avg(abs(estimate - truth)), 5) AS mae, round(sqrt(avg((estimate - truth) * (estimate - truth))), 5) AS rmse FROM p GROUP BY 1, 2, 3""")
+def _(r):
+    p = predictions(r).withColumn("prediction", F.col("estimate"))
+    both = p.groupBy("repeat", "fold", "sample").agg(scores.mean_absolute_error().alias("mae"), scores.root_mean_squared_error().alias("rmse"))
+    return round_to(both, 5, "mae", "rmse")
+
+
+_CLASS = f"""WITH {P}, l AS (SELECT repeat, fold, c AS label, count(*) FILTER (WHERE correct = c) AS actual, count(*) FILTER (WHERE prediction = c) AS predicted,
+ count(*) FILTER (WHERE prediction = c AND correct = c) AS hits FROM p, (SELECT unnest(['A', 'N', 'R']) AS c) GROUP BY 1, 2, 3),
+ k AS (SELECT *, coalesce(hits / nullif(predicted, 0), 0) AS pr, coalesce(hits / nullif(actual, 0), 0) AS re, coalesce(2 * hits / nullif(actual + predicted, 0), 0) AS f FROM l)"""
+
+
+@query("agg_03_classification_summary", sql=f"""{_CLASS}
+SELECT repeat, fold, round(sum(hits) / sum(actual), 9) AS accuracy,
+ round((sum(hits) / sum(actual) - sum(actual * predicted) / (sum(actual) * sum(actual))) / (1 - sum(actual * predicted) / (sum(actual) * sum(actual))), 9) AS kappa,
+ round(avg(pr), 9) AS macro_precision, round(avg(re), 9) AS macro_recall, round(avg(f), 9) AS macro_f1,
+ round(sum(actual * pr) / sum(actual), 9) AS weighted_precision, round(sum(actual * re) / sum(actual), 9) AS weighted_recall, round(sum(actual * f) / sum(actual), 9) AS weighted_f1
+FROM k GROUP BY 1, 2""")
+def _(r):
+    out = scores.classification_summary(scores.confusion(predictions(r), ["repeat", "fold"]), ["repeat", "fold"])
+    return round_to(out, 9, *[c for c in out.columns if c not in ("repeat", "fold")])
+
+
+@query("agg_03_weighted_auc", sql=f"""
+WITH {P}, s AS (SELECT repeat, fold, c AS label, correct = c AS own, CASE c WHEN 'A' THEN c_a WHEN 'N' THEN c_n ELSE c_r END AS score FROM p, (SELECT unnest(['A', 'N', 'R']) AS c)),
+k AS (SELECT *, rank() OVER w + (count(*) OVER (PARTITION BY repeat, fold, label, score) - 1) / 2 AS rk FROM s WINDOW w AS (PARTITION BY repeat, fold, label ORDER BY score)),
+a AS (SELECT repeat, fold, label, count(*) FILTER (WHERE own) AS np, (sum(rk) FILTER (WHERE own) - count(*) FILTER (WHERE own) * (count(*) FILTER (WHERE own) + 1) / 2)
+ / (count(*) FILTER (WHERE own) * count(*) FILTER (WHERE NOT own)) AS auc FROM k GROUP BY 1, 2, 3)
+SELECT repeat, fold, round(sum(auc * np) / sum(np), 9) AS auc FROM a GROUP BY 1, 2""")
+def _(r):
+    return round_to(scores.weighted_auc(predictions(r), ["repeat", "fold"], CLASSES), 9, "auc")
+
+
+@query("agg_04_class_scores", sql=f"""{_CLASS}
+SELECT repeat, fold, label, actual, predicted, hits, round(pr, 9) AS precision, round(re, 9) AS recall, round(f, 9) AS f1 FROM k""")
+def _(r):
+    return round_to(scores.class_scores(scores.confusion(predictions(r), ["repeat", "fold"]), ["repeat", "fold"]), 9, "precision", "recall", "f1")
+
+
+_CENTROID = f"""f AS ({POINT_FOLDS.format(n=2)}),
+x AS (SELECT repeat, fold, rowid, label, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i FROM points JOIN f USING (rowid)),
+cell AS (SELECT DISTINCT repeat, fold FROM f),
+c AS (SELECT cell.repeat, cell.fold, x.label, i, avg(v) AS m FROM cell JOIN x ON x.repeat = cell.repeat AND x.fold <> cell.fold GROUP BY 1, 2, 3, 4),
+d AS (SELECT x.repeat, x.fold, x.rowid, x.label, c.label AS guess, sum((v - m) * (v - m)) AS dist FROM x JOIN c ON c.repeat = x.repeat AND c.fold = x.fold AND c.i = x.i GROUP BY 1, 2, 3, 4, 5),
+pred AS (SELECT repeat, fold, 0 AS sample, rowid AS row_id, guess AS prediction, label AS correct FROM d
+ QUALIFY row_number() OVER (PARTITION BY repeat, fold, rowid ORDER BY dist, guess) = 1)"""
+
+
+def centroid_run(r):
+    points = r.points()
+    folds = splits.cross_validation(points.select("rowid", "label"), 2, 5, seed=3, stratify="label")
+    return models.nearest_centroid(points, folds, dims=64, classes=10, cells=10)
+
+
+@query("run_02_nearest_centroid", needs=["points"], sql=f"WITH {_CENTROID} SELECT * FROM pred")
+def _(r):
+    return centroid_run(r)
+
+
+@query("run_02_majority_class", needs=["points"], sql=f"""
+WITH f AS ({POINT_FOLDS.format(n=2)}), x AS (SELECT * FROM points JOIN f USING (rowid)), cell AS (SELECT DISTINCT repeat, fold FROM f),
+c AS (SELECT cell.repeat, cell.fold, x.label FROM cell JOIN x ON x.repeat = cell.repeat AND x.fold <> cell.fold GROUP BY 1, 2, 3
+ QUALIFY row_number() OVER (PARTITION BY cell.repeat, cell.fold ORDER BY count(*) DESC, x.label) = 1)
+SELECT x.repeat, x.fold, 0 AS sample, rowid AS row_id, c.label AS prediction, x.label AS correct FROM x JOIN c ON c.repeat = x.repeat AND c.fold = x.fold""")
+def _(r):
+    folds = splits.cross_validation(r.points().select("rowid", "label"), 2, 5, seed=3, stratify="label")
+    return models.majority_class(r.points(), folds, cells=10)
+
+
+@query("run_02_mean_regressor", needs=["line_rows"], sql="""
+WITH f AS (SELECT rowid, l_extendedprice AS y, CAST((row_number() OVER (ORDER BY md5('2-0-' || rowid), rowid) - 1) % 5 AS INT) AS fold FROM line_rows),
+t AS (SELECT sum(y) AS s, count(*) AS n FROM f), m AS (SELECT fold, sum(y) AS s, count(*) AS n FROM f GROUP BY 1)
+SELECT 0 AS repeat, f.fold, rowid AS row_id, round((t.s - m.s) / (t.n - m.n), 4) AS prediction, y AS truth FROM f JOIN m ON m.fold = f.fold, t""")
+def _(r):
+    rows = r.line_rows().select("rowid", F.col("l_extendedprice").alias("y"))
+    folds = splits.cross_validation(rows.select("rowid"), 1, 5, seed=2)
+    return round_to(models.mean_regressor(rows, folds, cells=5), 4, "prediction")
+
+
+@query("run_03_format_predictions", needs=["points"], sql=f"""
+WITH {_CENTROID} SELECT repeat, fold, sample, row_id, CAST(prediction AS VARCHAR) AS prediction, CAST(correct AS VARCHAR) AS correct,
+ {", ".join(f'CAST(prediction = {d} AS INT) AS "confidence.{d}"' for d in DIGITS)} FROM pred""")
+def _(r):
+    text = centroid_run(r).withColumns({"prediction": F.col("prediction").cast("string"), "correct": F.col("correct").cast("string")})
+    return scores.format_classification(models.one_hot(text, DIGITS), DIGITS)
+
+
+@query("run_04_local_measures", needs=["points"], sql=f"""
+WITH {_CENTROID} SELECT 'predictive_accuracy' AS measure, repeat, fold, round(avg((prediction = correct)::INT), 9) AS value FROM pred GROUP BY 2, 3""")
+def _(r):
+    return round_to(scores.local_measures(centroid_run(r), "classification")[1], 9, "value")
+
+
+@query("run_04_measures_per_sample", sql=f"""
+WITH {P} SELECT repeat, fold, sample, 'predictive_accuracy' AS measure, round(avg((prediction = correct)::INT), 9) AS value FROM p GROUP BY 1, 2, 3""")
+def _(r):
+    return round_to(scores.local_measures(predictions(r), "classification")[0], 9, "value")
+
+
+def placed_points(r, folds):
+    rows = r.points().select("rowid", F.col("label").cast("string").alias("label"),
+                             array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+    return models.place(rows, splits.cross_validation(rows.select("rowid", "label"), 1, folds, seed=3, stratify="label"))
+
+
+@query("run_01_decision_tree")
+def _(r):
+    return models.run_cells(DecisionTreeClassifier(maxDepth=3, seed=1), placed_points(r, 3), [(0, f) for f in range(3)], DIGITS).predictions
+
+
+@query("run_01_many_small_tasks", sql="""
+WITH x AS (SELECT l_partkey AS task_id, l_linenumber % 2 AS part, l_orderkey * 10 + l_linenumber AS row_id, l_quantity AS q, l_extendedprice AS y FROM lineitem),
+m AS (SELECT task_id, f.fold, regr_slope(y, q) AS a, regr_intercept(y, q) AS b, avg(y) AS m, count(*) AS n, count(DISTINCT q) AS d
+ FROM x JOIN (SELECT unnest([0, 1]) AS fold) f ON x.part <> f.fold GROUP BY 1, 2)
+SELECT x.task_id, x.part AS fold, x.row_id, round(CASE WHEN m.d > 1 THEN m.b + m.a * x.q ELSE m.m END, 3) AS prediction, x.y AS truth
+FROM x JOIN m ON m.task_id = x.task_id AND m.fold = x.part""")
+def _(r):
+    return round_to(line_fits(r), 3, "prediction")
+
+
+def line_fits(r):
+    """A least-squares line per part and fold; the fold of a row is its line number's parity."""
+    rows = r.table("lineitem").select(
+        F.col("l_partkey").alias("task_id"), (F.col("l_linenumber") % 2).alias("part"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("rowid"), F.col("l_quantity").alias("q"), F.col("l_extendedprice").alias("y"))
+    cells = rows.withColumn("fold", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn(
+        "type", F.when(F.col("part") == F.col("fold"), "TEST").otherwise("TRAIN"))
+
+    def fit_predict(train, test):
+        q, y = train["q"].to_numpy(), train["y"].to_numpy()
+        if len(y) == 0:
+            return test["q"] * float("nan")
+        spread = ((q - q.mean()) ** 2).sum()
+        slope = ((q - q.mean()) * (y - y.mean())).sum() / spread if spread > 0 else 0.0
+        return y.mean() + slope * (test["q"] - q.mean())
+
+    done, _ = models.run_small_cells(cells, ["task_id", "fold"], fit_predict, ["q"])
+    return done.filter(~F.isnan("prediction"))
+
+
+@query("run_05_timings")
+def _(r):
+    run = models.run_cells(DecisionTreeClassifier(maxDepth=1, seed=1), placed_points(r, 2), [(0, 0), (0, 1)], DIGITS)
+    return run.timing_rows()
+
+
+@query("run_07_search_trace")
+def _(r):
+    rows = r.document_points().select("rowid", F.col("label").cast("string").alias("label"), array_to_vector(F.array("x")).alias("features"))
+    placed = models.place(rows, splits.cross_validation(rows.select("rowid", "label"), 1, 2, seed=3, stratify="label"))
+    candidates = [({"max_depth": d}, DecisionTreeClassifier(maxDepth=d, seed=1)) for d in (1, 3)]
+    return models.search(candidates, placed, [(0, 0), (0, 1)], ["0", "1"], inner_folds=2)[0]
+
+
+@query("run_08_surrogate")
+def _(r):
+    evals = lookups.evaluations_setups(r.evaluations().filter("function = 'A'"), r.setup_parameters())
+    named = F.transform_keys("parameters", lambda k, _: F.substring_index(k, "_", -1))
+    frame = evals.select("run_id", "value", named["tax"].try_cast("double").alias("tax"), named["ship"].alias("ship"))
+    return models.surrogate(frame, ["tax"], ["ship"], "value")[1].select("run_id", "tax", "ship", "value", "prediction")
+
+
+@query("agg_07_landmarkers")
+def _(r):
+    learners = [("DecisionStump", DecisionTreeClassifier(maxDepth=1, seed=1)), ("REPTreeDepth2", DecisionTreeClassifier(maxDepth=2, seed=1)),
+                ("NaiveBayes", NaiveBayes(modelType="gaussian"))]
+    return models.landmarkers(learners, placed_points(r, 2), [(0, 0), (0, 1)], DIGITS)
