@@ -11,6 +11,7 @@ import time
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from typing import Any
 
 import pandas as pd
 from pyspark.ml.functions import vector_to_array
@@ -152,7 +153,7 @@ def run_small_cells(
     types = dict(cell_rows.dtypes)
     schema = ", ".join([*[f"`{k}` {types[k]}" for k in keys], f"row_id {types['rowid']}", "prediction double", "truth double"])
 
-    def work(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def work(key: tuple[Any, ...], frame: pd.DataFrame) -> pd.DataFrame:
         train, test = frame[frame["type"] == "TRAIN"], frame[frame["type"] == "TEST"]
         out = pd.DataFrame({k: [v] * len(test) for k, v in zip(keys, key)})
         out["row_id"] = test["rowid"].to_numpy()

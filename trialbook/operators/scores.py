@@ -7,6 +7,7 @@ prediction rows are never joined or collected by fold.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from typing import Any
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -60,7 +61,7 @@ def python_metric_by_fold(
     types = dict(predictions.dtypes)
     schema = ", ".join([*[f"`{k}` {types[k]}" for k in keys], "value double"])
 
-    def score(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def score(key: tuple[Any, ...], frame: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame([[*key, float(fn(frame[truth], frame["prediction"]))]], columns=[*keys, "value"])
 
     return kept.select(*keys, truth, "prediction").groupBy(*keys).applyInPandas(score, schema)

@@ -249,33 +249,44 @@ def _(r):
 
 
 @query("run_01_many_small_tasks", sql="""
-WITH x AS (SELECT l_partkey AS task_id, l_linenumber % 2 AS part, l_orderkey * 10 + l_linenumber AS row_id, l_quantity AS q, l_extendedprice AS y FROM lineitem),
-m AS (SELECT task_id, f.fold, regr_slope(y, q) AS a, regr_intercept(y, q) AS b, avg(y) AS m, count(*) AS n, count(DISTINCT q) AS d
+WITH x AS (SELECT l_partkey AS task_id, l_linenumber % 2 AS part, l_orderkey * 10 + l_linenumber AS row_id, CAST(l_quantity AS BIGINT) AS q, CAST(round(l_extendedprice * 100) AS BIGINT) AS y FROM lineitem),
+m AS (SELECT task_id, f.fold, count(*) AS n, CAST(sum(q) AS BIGINT) AS sq, CAST(sum(y) AS BIGINT) AS sy, CAST(sum(q * y) AS BIGINT) AS sqy, CAST(sum(q * q) AS BIGINT) AS sqq
  FROM x JOIN (SELECT unnest([0, 1]) AS fold) f ON x.part <> f.fold GROUP BY 1, 2)
-SELECT x.task_id, x.part AS fold, x.row_id, round(CASE WHEN m.d > 1 THEN m.b + m.a * x.q ELSE m.m END, 3) AS prediction, x.y AS truth
-FROM x JOIN m ON m.task_id = x.task_id AND m.fold = x.part""")
+SELECT x.task_id, x.part AS fold, x.row_id, CASE WHEN n * sqq > sq * sq THEN CAST(sy * sqq - sq * sqy + (n * sqy - sq * sy) * q AS DOUBLE) / (n * sqq - sq * sq) ELSE CAST(sy AS DOUBLE) / n END AS prediction,
+ CAST(x.y AS DOUBLE) AS truth FROM x JOIN m ON m.task_id = x.task_id AND m.fold = x.part""")
 def _(r):
-    return round_to(line_fits(r), 3, "prediction")
-
-
-def line_fits(r):
-    """A least-squares line per part and fold; the fold of a row is its line number's parity."""
+    """A least-squares line per part and fold, in whole cents; a row's fold is its line number's parity."""
     rows = r.table("lineitem").select(
         F.col("l_partkey").alias("task_id"), (F.col("l_linenumber") % 2).alias("part"),
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("rowid"), F.col("l_quantity").alias("q"), F.col("l_extendedprice").alias("y"))
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("rowid"), F.col("l_quantity").cast("long").alias("q"),
+        F.round(F.col("l_extendedprice") * 100).cast("long").alias("y"))
     cells = rows.withColumn("fold", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn(
         "type", F.when(F.col("part") == F.col("fold"), "TEST").otherwise("TRAIN"))
 
     def fit_predict(train, test):
-        q, y = train["q"].to_numpy(), train["y"].to_numpy()
-        if len(y) == 0:
+        q, y, n = train["q"], train["y"], len(train)
+        if not n:
             return test["q"] * float("nan")
-        spread = ((q - q.mean()) ** 2).sum()
-        slope = ((q - q.mean()) * (y - y.mean())).sum() / spread if spread > 0 else 0.0
-        return y.mean() + slope * (test["q"] - q.mean())
-
-    done, _ = models.run_small_cells(cells, ["task_id", "fold"], fit_predict, ["q"])
-    return done.filter(~F.isnan("prediction"))
+        sq, sy, sqy, sqq = int(q.sum()), int(y.sum()), int((q * y).sum()), int((q * q).sum())
+        spread = n * sqq - sq * sq
+        if not spread:
+            return test["q"] * 0.0 + sy / n
+        return (sy * sqq - sq * sqy + (n * sqy - sq * sy) * test["q"]).astype(float) / spread
+
+    keys = ["task_id", "fold"]
+    done, large = models.run_small_cells(cells, keys, fit_predict, ["q"], max_rows=100_000)
+    # The same line for cells too large for one frame, from sums.
+    whole = "decimal(38,0)"
+    q, y = F.col("q").cast(whole), F.col("y").cast(whole)
+    sums = large.filter("type = 'TRAIN'").groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("q").alias("sq"), F.sum("y").alias("sy"), F.sum(q * y).alias("sqy"), F.sum(q * q).alias("sqq"))
+    line = sums.select(*keys, *[F.col(c).cast("double").alias(c) for c in ("n", "sq", "sy", "sqy", "sqq")])
+    spread = F.expr("n * sqq - sq * sq")
+    rest = large.filter("type = 'TEST'").join(line, keys).select(
+        *keys, F.col("rowid").alias("row_id"),
+        F.when(spread > 0, F.expr("(sy * sqq - sq * sqy + (n * sqy - sq * sy) * q)") / spread).otherwise(F.expr("sy / n")).alias("prediction"),
+        F.col("y").cast("double").alias("truth"))
+    return done.filter(~F.isnan("prediction")).unionByName(rest)
 
 
 @query("run_05_timings")
