@@ -84,11 +84,11 @@ class Registry:
             F.when(F.col("s_acctbal") < 5000, "low").otherwise("high").alias("tag"))
 
     def flow_edges(self) -> DataFrame:
-        """Flow f has the sub-flow 3f+1 named 'left' and 3f+2 named 'right', where they exist."""
-        s = self.table("supplier").select(F.col("s_suppkey").alias("child"))
-        return s.filter("child > 0 and child % 3 in (1, 2)").select(
-            F.floor((F.col("child") - 1) / 3).cast("long").alias("parent"),
-            F.when(F.col("child") % 3 == 1, "left").otherwise("right").alias("identifier"), "child")
+        """Flows come in blocks of 40; flow p of a block has the sub-flows 3p+1 (left) and 3p+2 (right) there."""
+        s = self.table("supplier").select(F.col("s_suppkey").alias("child"), (F.col("s_suppkey") % 40).alias("c"))
+        return s.filter("c > 0 AND c % 3 IN (1, 2)").select(
+            (F.col("child") - F.col("c") + F.floor((F.col("c") - 1) / 3)).cast("long").alias("parent"),
+            F.when(F.col("c") % 3 == 1, "left").otherwise("right").alias("identifier"), "child")
 
     def flow_parameters(self) -> DataFrame:
         s = self.table("supplier")
@@ -218,9 +218,8 @@ CTE = {
     "flows": """SELECT s_suppkey AS flow_id, s_name AS name, 'v' || s_nationkey AS external_version,
         s_nationkey AS uploader FROM supplier""",
     "flow_tags": "SELECT s_suppkey AS flow_id, CASE WHEN s_acctbal < 5000 THEN 'low' ELSE 'high' END AS tag FROM supplier",
-    "flow_edges": """SELECT (s_suppkey - 1) // 3 AS parent,
-        CASE WHEN s_suppkey % 3 = 1 THEN 'left' ELSE 'right' END AS identifier, s_suppkey AS child
-        FROM supplier WHERE s_suppkey > 0 AND s_suppkey % 3 IN (1, 2)""",
+    "flow_edges": """SELECT s_suppkey - c + (c - 1) // 3 AS parent, CASE WHEN c % 3 = 1 THEN 'left' ELSE 'right' END AS identifier,
+        s_suppkey AS child FROM (SELECT s_suppkey, s_suppkey % 40 AS c FROM supplier) WHERE c > 0 AND c % 3 IN (1, 2)""",
     "flow_parameters": """SELECT s_suppkey AS flow_id, 'tax' AS name, '0' AS default_value, 'integer' AS data_type FROM supplier
         UNION ALL SELECT s_suppkey, 'ship', 'F', 'string' FROM supplier
         UNION ALL SELECT s_suppkey, 'seed', CAST(s_nationkey AS VARCHAR), 'integer' FROM supplier""",

@@ -199,8 +199,8 @@ def _(r):
     path = new_path(r.spark, "flows")
     seed = F.array(F.struct(F.lit("seed").alias("name"), F.lit("integer").alias("data_type"), (F.col("flow_id") % 7).cast("string").alias("default_value")))
     nodes = r.flows().select("flow_id", "name", "external_version", seed.alias("parameter"))
-    documents.write_flows(nodes, r.flow_edges(), path, 12)
-    back = documents.flow_nodes(r.spark, path, 12)
+    documents.write_flows(nodes, r.flow_edges(), path, 5)
+    back = documents.flow_nodes(r.spark, path, 5)
     return back.select("root_id", F.array_join("path", ".").alias("path"), "flow_id", "name", "external_version",
                        F.col("parameters")[0]["default_value"].cast("int").alias("seed"))
 

@@ -16,6 +16,9 @@ CORRUPT = "_corrupt"
 # Task types that can be instantiated.
 RUNNABLE_TASK_TYPES = (1, 2, 3, 5)
 
+# Entries that one document gathers, about; what has more is written as several documents.
+DOCUMENT_ENTRIES = 100_000
+
 NAMED_TEXT = "array<struct<_name string, _VALUE string>>"
 
 
@@ -151,7 +154,7 @@ def runs(documents: DataFrame) -> DataFrame:
         text("setup_string").alias("setup_string"), F.coalesce(text("error_message"), F.lit("")).alias("error_message"),
         text(F.col("input_data.dataset.did")).cast("long").alias("did"), settings.alias("parameters"),
         text(predictions["file_id"]).cast("long").alias("predictions_file_id"), text(predictions["url"]).alias("predictions_url"),
-        text("run_details").alias("run_details"), F.col("tag").alias("tags"))
+        text("run_details").alias("run_details"), F.col("tag").alias("tags")).dropDuplicates(["run_id"])
 
 
 def run_evaluations(documents: DataFrame) -> DataFrame:
@@ -253,11 +256,15 @@ def studies(spark: SparkSession, path: str, entity: str | None = None, **how) ->
         text("name").alias("name"), text("description").alias("description"), text("status").alias("status"),
         text("creation_date").try_cast("timestamp").alias("creation_date"), _id("creator").alias("creator"),
         F.transform("tag", lambda t: text(t["name"])).alias("tags"))
-    every = F.concat(*[F.coalesce(F.transform(F.col(STUDY_ELEMENTS[k])[inner], lambda v, k=k: F.struct(
-        F.lit(k).alias("entity_type"), text(v).cast("long").alias("entity_id"))),
-        F.array().cast("array<struct<entity_type string, entity_id bigint>>")) for k, inner in STUDY_LISTS])
+    def ids_of(kind: str, inner: str) -> Column:
+        found = F.transform(F.col(STUDY_ELEMENTS[kind])[inner], lambda v: F.struct(
+            F.lit(kind).alias("entity_type"), text(v).cast("long").alias("entity_id")))
+        return F.coalesce(found, F.array().cast("array<struct<entity_type:string,entity_id:bigint>>"))
+
+    every = F.concat(*[ids_of(k, inner) for k, inner in STUDY_LISTS])
     members = raw.select(_id("id").alias("study_id"), F.explode(every).alias("m")).select("study_id", "m.*")
-    return table, members
+    # A study with very many members is written as several documents of the same id.
+    return table.dropDuplicates(["study_id"]), members
 
 
 # Fields of the listing documents; ids are numbers, the rest is text.
@@ -317,7 +324,7 @@ def write(df: DataFrame, path: str, tag: str, root: str, *, prefix: str = PREFIX
     full = f"{prefix}:" if prefix else ""
     declared = f' xmlns:{prefix}="{namespace}"' if prefix and namespace else ""
     renamed = df.select(F.struct(*df.columns).cast(_prefixed(df.schema, full)).alias("r")).select("r.*")
-    (renamed.write.format("xml").option("rowTag", f"{full}{tag}").option("rootTag", f"{full}{root}{declared}")
+    (renamed.write.format("xml").option("validateName", "false").option("rowTag", f"{full}{tag}").option("rootTag", f"{full}{root}{declared}")
      .option("declaration", "version=\"1.0\" encoding=\"UTF-8\"").save(path))
 
 
@@ -368,12 +375,21 @@ def write_tasks(table: DataFrame, path: str, **how) -> None:
     write(out, path, "task", "tasks", **how)
 
 
+def _gather(rows: DataFrame, key: str, entry: Column, name: str) -> DataFrame:
+    """Entries per key as arrays of about ``DOCUMENT_ENTRIES`` at most; a larger key has several rows."""
+    sizes = rows.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / DOCUMENT_ENTRIES).alias("_parts"))
+    large = sizes.filter("_parts > 1")
+    cut = rows.select(key, entry.alias("_e")).join(large, key, "left").withColumn(
+        "_part", F.pmod(F.xxhash64("_e"), F.coalesce("_parts", F.lit(1))))
+    return cut.groupBy(key, "_part").agg(F.array_sort(F.collect_list("_e")).alias(name)).drop("_part")
+
+
 def write_runs(run_table: DataFrame, evaluations: DataFrame, path: str, **how) -> None:
-    """Runs with their evaluations; repeat, fold and sample are attributes. A document is one run,
-    so its evaluations are gathered: as many as it has cells and metrics."""
-    gathered = evaluations.groupBy("run_id").agg(F.array_sort(F.collect_list(F.struct(
+    """Runs with their evaluations; repeat, fold and sample are attributes. A run with very many
+    evaluations becomes several documents of the same id."""
+    gathered = _gather(evaluations, "run_id", F.struct(
         F.col("repeat").alias("_repeat"), F.col("fold").alias("_fold"), F.col("sample").alias("_sample"),
-        F.col("function").alias("name"), "value", "array_data"))).alias("evaluation"))
+        F.col("function").alias("name"), "value", "array_data"), "evaluation")
     optional = [c for c in ("uploader", "uploader_name", "task_type", "flow_name", "setup_string", "error_message", "run_details") if c in run_table.columns]
     out = run_table.join(gathered, "run_id", "left").select(
         "run_id", *optional, "task_id", "flow_id", "setup_id", F.struct("evaluation").alias("output_data"))
@@ -381,10 +397,9 @@ def write_runs(run_table: DataFrame, evaluations: DataFrame, path: str, **how) -
 
 
 def write_traces(table: DataFrame, path: str, **how) -> None:
-    """Traces of runs, a document per run; parameters as JSON text."""
+    """Traces of runs with parameters as JSON text; a long trace becomes several documents."""
     each = F.struct("repeat", "fold", "iteration", F.to_json("parameters").alias("setup_string"), "evaluation", F.col("selected").cast("string").alias("selected"))
-    out = table.groupBy("run_id").agg(F.array_sort(F.collect_list(each)).alias("trace_iteration"))
-    write(out, path, "trace", "traces", **how)
+    write(_gather(table, "run_id", each, "trace_iteration"), path, "trace", "traces", **how)
 
 
 def write_setups(parameters: DataFrame, path: str, **how) -> None:
@@ -394,13 +409,16 @@ def write_setups(parameters: DataFrame, path: str, **how) -> None:
 
 
 def write_studies(table: DataFrame, members: DataFrame, path: str, **how) -> None:
-    """Studies with their member ids per kind. A document is one study, so its ids are gathered."""
-    lists = members.groupBy("study_id").agg(*[
-        F.array_sort(F.collect_list(F.when(F.col("entity_type") == kind, F.col("entity_id")))).alias(kind) for kind, _ in STUDY_LISTS])
+    """Studies with their member ids per kind; one with very many members becomes several documents."""
+    lists = _gather(members, "study_id", F.struct("entity_type", "entity_id"), "_members")
     fields = [c for c in ("alias", "main_entity_type", "name", "description", "status", "creation_date", "creator") if c in table.columns]
+
+    def ids(kind: str) -> Column:
+        return F.transform(F.filter("_members", lambda m: m["entity_type"] == kind), lambda m: m["entity_id"])
+
     out = table.join(lists, "study_id", "left").select(
         F.col("study_id").alias("id"), *fields,
-        *[F.when(F.size(kind) > 0, F.struct(F.col(kind).alias(inner))).alias(STUDY_ELEMENTS[kind]) for kind, inner in STUDY_LISTS])
+        *[F.when(F.size(ids(kind)) > 0, F.struct(ids(kind).alias(inner))).alias(STUDY_ELEMENTS[kind]) for kind, inner in STUDY_LISTS])
     write(out, path, "study", "studies", **how)
 
 
