@@ -81,9 +81,26 @@ def running(
     )
 
 
-def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], name: str) -> DataFrame:
-    """Position (from 1) of each row within its group."""
-    return running(df, keys, order, {name: ("count", F.lit(1))})
+def row_numbers(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], name: str, slices: int | None = None
+) -> DataFrame:
+    """Position (from 1) of each row within its group; without keys, within the whole frame.
+
+    For the whole frame the sorted slices are written with each row's offset, so only the slice
+    sizes are left to add and no second shuffle is needed.
+    """
+    if keys:
+        return running(df, keys, order, {name: ("count", F.lit(1))}, slices)
+    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col(o) if isinstance(o, str) else o for o in order]
+    sliced = df.repartitionByRange(slices, *order).sortWithinPartitions(*order)
+    written = stage(sliced.withColumns({"_slice": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}), "sorted")
+    sizes = written.groupBy("_slice").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    # One row per slice.
+    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_slice", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"))
+    return written.join(F.broadcast(starts), "_slice").select(
+        *[F.col(c) for c in df.columns], (F.col("_at") + F.col("_shift")).alias(name))
 
 
 def hash_positions(

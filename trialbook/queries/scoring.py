@@ -1,5 +1,6 @@
 """Split, run and score queries (SPL, SET-05, RUN, AGG-02/03/04/07)."""
 
+import numpy as np
 from pyspark.ml.classification import DecisionTreeClassifier, NaiveBayes
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
@@ -264,14 +265,14 @@ def _(r):
         "type", F.when(F.col("part") == F.col("fold"), "TEST").otherwise("TRAIN"))
 
     def fit_predict(train, test):
-        q, y, n = train["q"], train["y"], len(train)
+        q, y, n = train["q"], train["y"], len(train["y"])
         if not n:
-            return test["q"] * float("nan")
-        sq, sy, sqy, sqq = int(q.sum()), int(y.sum()), int((q * y).sum()), int((q * q).sum())
+            return np.full(len(test["q"]), np.nan)
+        sq, sy, sqy, sqq = q.sum(), y.sum(), (q * y).sum(), (q * q).sum()
         spread = n * sqq - sq * sq
         if not spread:
-            return test["q"] * 0.0 + sy / n
-        return (sy * sqq - sq * sqy + (n * sqy - sq * sy) * test["q"]).astype(float) / spread
+            return np.full(len(test["q"]), sy / n)
+        return (sy * sqq - sq * sqy + (n * sqy - sq * sy) * test["q"]) / spread
 
     keys = ["task_id", "fold"]
     done, large = models.run_small_cells(cells, keys, fit_predict, ["q"], max_rows=100_000)

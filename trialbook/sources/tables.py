@@ -72,9 +72,16 @@ def _hash_paths(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         found = []
         for path in frame["path"]:
-            source, name = fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file://") else path)
+            scheme, _, rest = path.partition(":")
+            if scheme == "file":
+                source, name = fs.LocalFileSystem(), "/" + rest.lstrip("/")
+            else:
+                # Only the authority is a URI; the path is literal and may hold percent signs.
+                host, _, below = rest.lstrip("/").partition("/")
+                source, base = fs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{host}/")
+                name = f"{base.rstrip('/')}/{below}"
             digest = hashlib.md5()
-            with source.open_input_stream(name) as stream:
+            with source.open_input_stream(name, compression=None) as stream:
                 while piece := stream.read(1 << 20):
                     digest.update(piece)
             found.append(digest.hexdigest())
