@@ -111,7 +111,9 @@ def numbered_lines(spark: SparkSession, path: str, skip: int = 0) -> DataFrame:
     starts = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(within), F.lit(0))).join(files, "_file")
     starts = starts.select("_file", "_block", (F.col("_base") + F.col("_before") - F.col("_first")).alias("_shift"))
     rowid = F.col("_at") + F.col("_shift") - skip
-    return lines.join(starts, ["_file", "_block"]).select(rowid.alias("rowid"), "value").filter(F.col("rowid") >= 0)
+    # Later filters may run before this one, so header lines also lose their text.
+    body = lines.join(starts, ["_file", "_block"]).select(rowid.alias("rowid"), F.when(rowid >= 0, F.col("value")).alias("value"))
+    return body.filter(F.col("rowid") >= 0)
 
 
 # A quoted text and a cell. Possessive quantifiers keep the matcher iterative on long texts.
@@ -158,7 +160,7 @@ def _typed_rows(
 ) -> DataFrame:
     n = len(attributes)
     cells = lines.withColumn("_c", _cells(F.col("value")))
-    checked = F.when(F.size("_c") == n, F.col("_c")).otherwise(
+    checked = F.when(F.col("value").isNull() | (F.size("_c") == n), F.col("_c")).otherwise(
         F.raise_error(F.concat(F.lit(f"expected {n} cells, got: "), F.col("value"))))
     ready = cells.select("rowid", checked.alias("_c"))
     place = [F.col("rowid").alias(position)] if position else []
