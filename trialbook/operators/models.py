@@ -36,7 +36,7 @@ def _train_totals(per_fold: DataFrame, by: Sequence[str], columns: Sequence[str]
 
 def majority_class(rows: DataFrame, test_folds: DataFrame, cells: int) -> DataFrame:
     """Predict the most frequent training class; the lowest label wins a tie."""
-    placed = rows.select("rowid", "label").join(test_folds, "rowid")
+    placed = place(rows.select("rowid", "label"), test_folds)
     per_fold = placed.groupBy(*CELL, "label").agg(F.count(F.lit(1)).alias("n"))
     train = _train_totals(per_fold, ["label"], ["n"])
     most = train.groupBy(*CELL).agg(F.max("n").alias("n"))
@@ -51,7 +51,7 @@ def nearest_centroid(rows: DataFrame, test_folds: DataFrame, dims: int, classes:
     ``rows`` is (rowid, label, embedding). The model of a cell is one row of class means, and a
     test row meets exactly that one row.
     """
-    placed = rows.select("rowid", "label", "embedding").join(test_folds, "rowid")
+    placed = place(rows.select("rowid", "label", "embedding"), test_folds)
     names = [f"s{i}" for i in range(dims)]
     per_fold = placed.groupBy(*CELL, "label").agg(
         F.count(F.lit(1)).alias("n"),
@@ -72,7 +72,7 @@ def nearest_centroid(rows: DataFrame, test_folds: DataFrame, dims: int, classes:
 
 def mean_regressor(rows: DataFrame, test_folds: DataFrame, cells: int) -> DataFrame:
     """Predict the training mean of ``y``."""
-    placed = rows.select("rowid", "y").join(test_folds, "rowid")
+    placed = place(rows.select("rowid", "y"), test_folds)
     per_fold = placed.groupBy(*CELL).agg(F.sum("y").alias("s"), F.count("y").alias("n"))
     train = _train_totals(per_fold, [], ["s", "n"])
     model = train.select(*CELL, F.try_divide("s", "n").alias("prediction"))
@@ -99,42 +99,59 @@ class Run:
 
 
 def place(rows: DataFrame, test_folds: DataFrame) -> DataFrame:
-    """Rows with their test fold per repeat, written once because every cell reads them again."""
+    """Rows with their test fold per repeat, written once: fitting and predicting both read them."""
     return stage(rows.join(test_folds, "rowid"), "placed")
 
 
-def run_cells(estimator, placed: DataFrame, cells: Iterable[tuple[int, int]], labels: Sequence[str] | None = None) -> Run:
-    """Fit and predict each (repeat, fold); ``placed`` has features, repeat, fold and label or y.
+def place_cells(rows: DataFrame, cells: DataFrame) -> DataFrame:
+    """Rows per (repeat, fold, sample, type), for splits whose TRAIN part is not the complement."""
+    return stage(rows.join(cells.select("repeat", "fold", "sample", "type", "rowid"), "rowid"), "placed")
 
-    A classifier gets the position of the label in ``labels`` as its numeric label. Predictions
-    of a cell are written before the next begins, so the timing of a phase covers its work.
+
+def _cell_rows(placed: DataFrame, repeat: int, fold: int, sample: int) -> tuple[DataFrame, DataFrame]:
+    one = placed.filter(F.col("repeat") == repeat)
+    if "type" not in placed.columns:
+        return one.filter(F.col("fold") != fold), one.filter(F.col("fold") == fold)
+    one = one.filter((F.col("fold") == fold) & (F.col("sample") == sample))
+    return one.filter("type = 'TRAIN'"), one.filter("type = 'TEST'")
+
+
+def run_cells(estimator, placed: DataFrame, cells: Iterable[tuple[int, ...]], labels: Sequence[str] | None = None) -> Run:
+    """Fit and predict each (repeat, fold) or (repeat, fold, sample) with any ``pyspark.ml`` estimator.
+
+    ``placed`` comes from ``place`` or ``place_cells`` and has ``features``. With ``labels`` it is a
+    classification of ``label``, whose position in ``labels`` is what the estimator sees; without,
+    a regression of ``y``, or a clustering where there is none. Predictions of a cell are written
+    before the next begins, so the timing of a phase covers its work.
     """
     parts, timings = [], []
-    for repeat, fold in cells:
-        one = placed.filter(F.col("repeat") == repeat)
-        train, test = one.filter(F.col("fold") != fold), one.filter(F.col("fold") == fold)
+    domain = F.array(*[F.lit(v) for v in labels]) if labels is not None else None
+    target = "_y" if labels is not None else "y"
+    learner = estimator.copy({estimator.labelCol: target}) if estimator.hasParam("labelCol") else estimator
+    for repeat, fold, *rest in cells:
+        sample = rest[0] if rest else 0
+        train, test = _cell_rows(placed, repeat, fold, sample)
         if labels is not None:
-            domain = F.array(*[F.lit(v) for v in labels])
             train = train.withColumn("_y", (F.array_position(domain, F.col("label").cast("string")) - 1).cast("double"))
-            estimator = estimator.copy({estimator.labelCol: "_y"}) if estimator.hasParam("labelCol") else estimator
         begin = time.perf_counter()
-        model = estimator.fit(train)
+        model = learner.fit(train)
         fitted = time.perf_counter()
         scored = model.transform(test)
+        place_of = ["repeat", "fold", F.lit(sample).alias("sample"), F.col("rowid").alias("row_id")]
         if labels is not None:
-            domain = F.array(*[F.lit(v) for v in labels])
             chance = vector_to_array("probability")
             out = scored.select(
-                "repeat", "fold", F.lit(0).alias("sample"), F.col("rowid").alias("row_id"),
-                F.get(domain, F.col("prediction").cast("int")).alias("prediction"), F.col("label").cast("string").alias("correct"),
+                *place_of, F.get(domain, F.col("prediction").cast("int")).alias("prediction"), F.col("label").cast("string").alias("correct"),
                 *[F.coalesce(F.get(chance, F.lit(i)), F.lit(0.0)).alias(f"confidence.{v}") for i, v in enumerate(labels)])
+        elif "y" in placed.columns:
+            out = scored.select(*place_of, "prediction", F.col("y").alias("truth"))
         else:
-            out = scored.select("repeat", "fold", F.lit(0).alias("sample"), F.col("rowid").alias("row_id"), "prediction", F.col("y").alias("truth"))
+            out = scored.select(*place_of, F.col("prediction").alias("cluster"))
         parts.append(stage(out, "predictions"))
         done = time.perf_counter()
-        timings += [(repeat, fold, 0, "wall_clock_time_millis_training", 1000 * (fitted - begin)),
-                    (repeat, fold, 0, "wall_clock_time_millis_testing", 1000 * (done - fitted)),
-                    (repeat, fold, 0, "wall_clock_time_millis", 1000 * (done - begin))]
+        timings += [(repeat, fold, sample, "wall_clock_time_millis_training", 1000 * (fitted - begin)),
+                    (repeat, fold, sample, "wall_clock_time_millis_testing", 1000 * (done - fitted)),
+                    (repeat, fold, sample, "wall_clock_time_millis", 1000 * (done - begin))]
     return Run(reduce(DataFrame.unionByName, parts), timings)
 
 

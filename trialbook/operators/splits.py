@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trialbook.plans.scan import hash_positions
+from trialbook.plans.scan import hash_counts, hash_positions
 
 
 def _ranked(rows: DataFrame, repeats: int, seed: int, stratify: str | None) -> tuple[DataFrame, list[str]]:
@@ -56,12 +56,19 @@ def learning_curve(rows: DataFrame, folds: int, sizes: Sequence[int], seed: int
     sample is its size; the rank is exact within the fold.
     """
     test = cross_validation(rows, 1, folds, seed, stratify)
-    train = long_form(test, folds).filter("type = 'TRAIN'").select("repeat", "fold", "rowid")
     digest = F.md5(F.concat_ws("-", F.lit(str(seed)), F.lit("train"), F.col("rowid").cast("string")))
-    ranked = hash_positions(train.withColumn("_digest", digest), ["repeat", "fold"], "_digest", "rowid", "_rank")
+    # A row's place among the TRAIN rows of a fold is its place among all rows less the fold's own
+    # TEST rows before it. Counting the earlier rows of each fold once does for all folds.
+    counted = hash_counts(test.withColumn("_digest", digest), ["repeat"], "_digest", "rowid",
+                          {f"_n{f}": F.col("fold") == f for f in range(folds)})
+    earlier = sum((F.col(f"_n{f}") for f in range(folds)), F.lit(0))
+    ranks = F.array(*[F.struct(F.lit(f).alias("fold"), (earlier - F.col(f"_n{f}")).alias("rank")) for f in range(folds)])
     samples = F.array(*[F.struct(F.lit(i).alias("sample"), F.lit(int(n)).alias("size")) for i, n in enumerate(sizes)])
+    # Only the places that some prefix reaches leave the row.
+    reached = F.filter(ranks, lambda r: (r["fold"] != F.col("fold")) & (r["rank"] < max(sizes)))
     growing = (
-        ranked.withColumn("s", F.explode(F.filter(samples, lambda e: F.col("_rank") < e["size"])))
+        counted.select("repeat", "rowid", F.explode(reached).alias("r"))
+        .select("repeat", "rowid", "r.fold", "r.rank", F.explode(samples).alias("s")).filter("rank < s.size")
         .select("repeat", "fold", "s.sample", F.lit("TRAIN").alias("type"), "rowid")
     )
     tested = test.withColumn("sample", F.explode(F.array(*[F.lit(i) for i in range(len(sizes))])))

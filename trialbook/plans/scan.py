@@ -103,33 +103,34 @@ def row_numbers(
         *[F.col(c) for c in df.columns], (F.col("_at") + F.col("_shift")).alias(name))
 
 
-def hash_positions(
-    df: DataFrame, keys: Sequence[str], digest: str, tie: str, name: str, digits: int = 4
+def hash_counts(
+    df: DataFrame, keys: Sequence[str], digest: str, tie: str, flags: Mapping[str, Column], digits: int = 4
 ) -> DataFrame:
-    """0-based position within a group in the order of a hexadecimal digest.
+    """For each flag, how many flagged rows of the group come earlier in the order of a digest.
 
-    Leading digits of a digest cut every group, however large, into even buckets; the counts per
-    bucket give each bucket its starting position. The join and the window share one shuffle.
+    Leading digits of a hexadecimal digest cut every group, however large, into even buckets; the
+    counts per bucket give each bucket its start. Aggregation, join and window all go by the
+    same (group, bucket) columns, so the rows are shuffled once.
     """
-    cut = df.withColumn("_bucket", F.substring(digest, 1, digits))
-    before = (
-        Window.partitionBy(*keys).orderBy("_bucket")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    starts = (
-        cut.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-        .select(*[F.col(k).alias(f"_s_{k}") for k in keys], F.col("_bucket").alias("_s_bucket"),
-                F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    )
-    on = F.col("_bucket") == F.col("_s_bucket")
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col(f"_s_{k}"))
-    within = Window.partitionBy(*keys, "_bucket").orderBy(digest, tie)
-    return (
-        cut.join(starts, on)
-        .withColumn(name, F.col("_start") + F.row_number().over(within) - 1)
-        .select(*df.columns, name)
-    )
+    # NULL is a group of its own, and plain equality lets the join and the window share a shuffle.
+    groups = {f"_g{i}": F.coalesce(F.concat(F.lit("="), F.col(k).cast("string")), F.lit("")) for i, k in enumerate(keys)}
+    cut = df.withColumns({**groups, **{f"_f{i}": c.cast("long") for i, c in enumerate(flags.values())},
+                          "_bucket": F.substring(digest, 1, digits)})
+    by = [*groups, "_bucket"]
+    before = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sums = cut.groupBy(*by).agg(*[F.sum(f"_f{i}").alias(f"_n{i}") for i in range(len(flags))])
+    starts = sums.select(*by, *[F.coalesce(F.sum(f"_n{i}").over(before), F.lit(0)).alias(f"_s{i}") for i in range(len(flags))])
+    within = Window.partitionBy(*by).orderBy(digest, tie).rowsBetween(Window.unboundedPreceding, -1)
+    return cut.join(starts, by).select(
+        *df.columns,
+        *[(F.col(f"_s{i}") + F.coalesce(F.sum(f"_f{i}").over(within), F.lit(0))).alias(name) for i, name in enumerate(flags)])
+
+
+def hash_positions(
+    df: DataFrame, keys: Sequence[str], digest: str, tie: str, name: str, digits: int = 4
+) -> DataFrame:
+    """0-based position within a group in the order of a hexadecimal digest."""
+    return hash_counts(df, keys, digest, tie, {name: F.lit(1)}, digits)
 
 
 def value_counts_running(df: DataFrame, keys: Sequence[str], value: str, descending: bool = False) -> DataFrame:

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from trialbook.plans.bindings import Registry, with_entities
+from trialbook.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,7 +22,11 @@ def query(name: str, sql: str | None = None, needs: list[str] | None = None):
     def register(fn: Callable[[Registry], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = lambda spark, folder: fn(Registry(spark, folder))
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            tune(spark)
+            return fn(Registry(spark, folder))
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = with_entities(needs or [], sql)
         return fn

@@ -2,7 +2,9 @@
 
 import numpy as np
 from pyspark.ml.classification import DecisionTreeClassifier, NaiveBayes
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from trialbook.operators import lookups, models, scores, splits
@@ -249,6 +251,34 @@ def _(r):
     return models.run_cells(DecisionTreeClassifier(maxDepth=3, seed=1), placed_points(r, 3), [(0, f) for f in range(3)], DIGITS).predictions
 
 
+@query("run_01_linear_regression", sql="""
+WITH x AS (SELECT o_orderkey AS row_id, o_totalprice AS y, month(o_orderdate) AS m, CAST((row_number() OVER (ORDER BY md5('4-0-' || o_orderkey), o_orderkey) - 1) % 3 AS INT) AS fold FROM orders),
+l AS (SELECT k.fold, regr_intercept(y, m) AS a, regr_slope(y, m) AS b FROM x JOIN (SELECT unnest([0, 1, 2]) AS fold) k ON k.fold <> x.fold GROUP BY 1)
+SELECT 0 AS repeat, x.fold, row_id, round(l.a + l.b * m, 3) AS prediction, y AS truth FROM x JOIN l ON l.fold = x.fold""")
+def _(r):
+    rows = r.table("orders").select(F.col("o_orderkey").alias("rowid"), F.col("o_totalprice").alias("y"),
+                                    array_to_vector(F.array(F.month("o_orderdate").cast("double"))).alias("features"))
+    placed = models.place(rows, splits.cross_validation(rows.select("rowid"), 1, 3, seed=4))
+    run = models.run_cells(LinearRegression(solver="normal"), placed, [(0, f) for f in range(3)])
+    return round_to(scores.format_regression(run.predictions), 3, "prediction")
+
+
+@query("run_01_clustering")
+def _(r):
+    rows = r.points().select("rowid", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+    placed = models.place(rows, splits.cross_validation(rows.select("rowid"), 1, 2, seed=4))
+    return scores.format_clustering(models.run_cells(KMeans(k=3, seed=1, maxIter=5), placed, [(0, 0), (0, 1)]).predictions)
+
+
+@query("run_01_learning_curve")
+def _(r):
+    rows = r.document_points().select("rowid", F.col("label").cast("string").alias("label"), array_to_vector(F.array("x")).alias("features"))
+    curve = splits.learning_curve(rows.select("rowid", "label"), 2, [50, 100], seed=1, stratify="label")
+    placed = models.place_cells(rows, curve)
+    cells = [(0, f, s) for f in range(2) for s in range(2)]
+    return models.run_cells(DecisionTreeClassifier(maxDepth=2, seed=1), placed, cells, ["0", "1"]).predictions
+
+
 @query("run_01_many_small_tasks", sql="""
 WITH x AS (SELECT l_partkey AS task_id, l_linenumber % 2 AS part, l_orderkey * 10 + l_linenumber AS row_id, CAST(l_quantity AS BIGINT) AS q, CAST(round(l_extendedprice * 100) AS BIGINT) AS y FROM lineitem),
 m AS (SELECT task_id, f.fold, count(*) AS n, CAST(sum(q) AS BIGINT) AS sq, CAST(sum(y) AS BIGINT) AS sy, CAST(sum(q * y) AS BIGINT) AS sqy, CAST(sum(q * q) AS BIGINT) AS sqq

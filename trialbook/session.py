@@ -18,8 +18,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, console_p
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # Split a hot join key even when that costs one more shuffle downstream.
-        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "12g")
@@ -29,6 +27,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, console_p
     )
 
 
+def tune(spark: SparkSession) -> None:
+    """Let AQE split a hot join key even when that costs one more shuffle, unless the cluster decided."""
+    key = "spark.sql.adaptive.forceOptimizeSkewedJoin"
+    if spark.sparkContext.getConf().get(key) is None:
+        spark.conf.set(key, "true")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
@@ -49,6 +54,17 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+_STAGED: dict[str, list[str]] = {}
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete the tables ``stage`` wrote for this application, once no frame reads them any more."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    for path in _STAGED.pop(spark.sparkContext.applicationId, []):
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write a frame once and go on from the written table.
 
@@ -56,5 +72,6 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     re-read rather than a recomputation of the lineage.
     """
     path = new_path(df.sparkSession, label)
+    _STAGED.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
