@@ -23,7 +23,7 @@ def skewed(spark):
     return rows, spark.createDataFrame(rows, "k string, o int, id long, v double").repartition(5).persist()
 
 
-@pytest.mark.parametrize("slices", [1, 4, 13])
+@pytest.mark.parametrize("slices", [None, 1, 4, 13])
 def test_running_equals_brute_force(skewed, slices):
     rows, df = skewed
     out = running(df, ["k"], ["o", "id"], {"n": ("count", F.lit(1)), "s": ("sum", "v"), "lo": ("min", "v"), "hi": ("max", "v")}, slices)
@@ -48,9 +48,10 @@ def test_running_descending(skewed):
         assert out[i] == seen[k]
 
 
-def test_row_numbers_of_the_whole_frame(skewed):
+@pytest.mark.parametrize("slices", [None, 7])
+def test_row_numbers_of_the_whole_frame(skewed, slices):
     rows, df = skewed
-    got = {r["id"]: r["n"] for r in row_numbers(df, [], [F.col("o").desc(), "id"], "n", 7).collect()}
+    got = {r["id"]: r["n"] for r in row_numbers(df, [], [F.col("o").desc(), "id"], "n", slices).collect()}
     for n, row in enumerate(sorted(rows, key=lambda r: (-r[1], r[2])), 1):
         assert got[row[2]] == n
 

@@ -52,12 +52,14 @@ def nearest_centroid(rows: DataFrame, test_folds: DataFrame, dims: int, classes:
     test row meets exactly that one row.
     """
     placed = place(rows.select("rowid", "label", "embedding"), test_folds)
-    names = [f"s{i}" for i in range(dims)]
-    per_fold = placed.groupBy(*CELL, "label").agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.sum(F.col("embedding")[i].cast("double")).alias(s) for i, s in enumerate(names)])
-    train = _train_totals(per_fold, ["label"], ["n", *names]).filter("n > 0")
-    means = train.select(*CELL, "label", F.array(*[F.col(s) / F.col("n") for s in names]).alias("mean"))
+    # Position 0 counts the rows, the others sum the dimensions. After this aggregate there are only
+    # cells x classes x dimensions numbers left, and those go on as rows.
+    sums = placed.groupBy(*CELL, "label").agg(F.array(
+        F.count(F.lit(1)).cast("double"), *[F.sum(F.expr(f"double(embedding[{i}])")) for i in range(dims)]).alias("s"))
+    long = sums.select(*CELL, "label", F.posexplode("s").alias("i", "v"))
+    train = _train_totals(long, ["label", "i"], ["v"]).groupBy(*CELL, "label").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("i", "v"))), lambda e: e["v"]).alias("s")).filter(F.col("s")[0] > 0)
+    means = train.select(*CELL, "label", F.transform(F.slice("s", 2, dims), lambda v: v / F.col("s")[0]).alias("mean"))
     model = means.groupBy(*CELL).agg(F.collect_list(F.struct("label", "mean")).alias("model"))
 
     def distance(mean: Column) -> Column:
@@ -277,7 +279,7 @@ def surrogate(frame: DataFrame, numeric: Sequence[str], nominal: Sequence[str],
     from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
     from pyspark.ml.regression import RandomForestRegressor
 
-    filled = frame.fillna(-1.0, list(numeric)).fillna("-1", list(nominal))
+    filled = stage(frame.fillna(-1.0, list(numeric)).fillna("-1", list(nominal)), "surrogate")
     encoded = [f"{c}_vec" for c in nominal]
     stages = [
         StringIndexer(inputCols=list(nominal), outputCols=[f"{c}_idx" for c in nominal], handleInvalid="keep"),

@@ -25,6 +25,12 @@ def _merge(kind: str, carried: Column, local: Column) -> Column:
     return F.when(carried.isNull(), local).when(local.isNull(), carried).otherwise(carried + local)
 
 
+def _by_range(df: DataFrame, order: Sequence[Column], slices: int | None) -> DataFrame:
+    """Ordered slices. Their number is left to Spark (at most its shuffle partitions, and AQE joins
+    neighbours that are small) unless it is given."""
+    return df.repartitionByRange(slices, *order) if slices else df.repartitionByRange(*order)
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
@@ -37,14 +43,12 @@ def running(
     ``order`` must end in something unique within a group, so that equal sort values neither
     pile up in one slice nor make the result depend on the layout.
     """
-    spark = df.sparkSession
-    slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     inputs = {f"_in_{name}": (kind, F.col(c) if isinstance(c, str) else c)
               for name, (kind, c) in measures.items()}
     order = [F.col(o) if isinstance(o, str) else o for o in order]
 
     sliced = df.select("*", *[c.alias(name) for name, (_, c) in inputs.items()])
-    sliced = sliced.repartitionByRange(slices, *[F.col(k) for k in keys], *order)
+    sliced = _by_range(sliced, [*[F.col(k) for k in keys], *order], slices)
     sliced = stage(sliced.withColumn("_slice", F.spark_partition_id()), "slices")
 
     def folded(name: str) -> Column:
@@ -91,9 +95,8 @@ def row_numbers(
     """
     if keys:
         return running(df, keys, order, {name: ("count", F.lit(1))}, slices)
-    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(o) if isinstance(o, str) else o for o in order]
-    sliced = df.repartitionByRange(slices, *order).sortWithinPartitions(*order)
+    sliced = _by_range(df, order, slices).sortWithinPartitions(*order)
     written = stage(sliced.withColumns({"_slice": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}), "sorted")
     sizes = written.groupBy("_slice").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
     # One row per slice.
