@@ -33,11 +33,11 @@ def test_qualities(spark, tmp_path):
 
 
 def test_description(spark, tmp_path):
-    path = put(tmp_path, "d.xml", f"""<oml:data_set_description {NS}><oml:id>-1</oml:id><oml:name>dexter</oml:name><oml:version>1</oml:version>
+    path = put(tmp_path, "d.xml", f"""<oml:data_set_description {NS}><oml:id>-1</oml:id><oml:name>words</oml:name><oml:version>1</oml:version>
 <oml:upload_date></oml:upload_date><oml:md5_checksum></oml:md5_checksum><oml:ignore_attribute>p</oml:ignore_attribute><oml:ignore_attribute>q</oml:ignore_attribute>
 </oml:data_set_description>""")
     r = documents.descriptions(spark, path).first()
-    assert (r["did"], r["name"], r["version"], r["upload_date"], r["md5_checksum"], r["ignore_attribute"]) == (-1, "dexter", 1, None, None, ["p", "q"])
+    assert (r["did"], r["name"], r["version"], r["upload_date"], r["md5_checksum"], r["ignore_attribute"]) == (-1, "words", 1, None, None, ["p", "q"])
 
 
 TASK = """<oml:task {ns}><oml:task_id>{tid}</oml:task_id><oml:task_type_id>{ttid}</oml:task_type_id><oml:task_type>T</oml:task_type>

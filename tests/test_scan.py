@@ -67,8 +67,8 @@ def test_hash_positions(skewed):
 
 def test_quantiles_match_numpy(skewed):
     rows, df = skewed
-    got = {r["k"]: (r["a"], r["b"]) for r in exact_quantiles(df.filter("k IS NOT NULL"), ["k"], "v", {"a": 0.25, "b": 0.9}).collect()}
-    for key in ("hot", "a", "b", "c"):
+    got = {r["k"]: (r["a"], r["b"]) for r in exact_quantiles(df, ["k"], "v", {"a": 0.25, "b": 0.9}).collect()}
+    for key in ("hot", "a", "b", "c", None):
         values = [r[3] for r in rows if r[0] == key and r[3] is not None]
         assert np.allclose(got[key], np.quantile(values, [0.25, 0.9]))
 

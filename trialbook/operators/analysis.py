@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trialbook.functions.params import as_number
-from trialbook.plans.scan import exact_quantiles, value_counts_running
+from trialbook.plans.scan import exact_quantiles, join_groups, value_counts_running
 
 # A wide frame with more parameter columns than this is refused; the long form has no such limit.
 MAX_WIDE_COLUMNS = 5_000
@@ -69,7 +69,7 @@ def cdf(evaluations: DataFrame, keys: Sequence[str], value: str = "value") -> Da
     """Share of values up to each distinct value."""
     table = value_counts_running(evaluations, keys, value)
     totals = table.groupBy(*keys).agg(F.sum("n").alias("_total"))
-    return table.join(totals, list(keys)).select(*keys, value, "n", (F.col("upto") / F.col("_total")).alias("share"))
+    return join_groups(table, totals, keys).select(*keys, value, "n", (F.col("upto") / F.col("_total")).alias("share"))
 
 
 def binned_cdf(evaluations: DataFrame, keys: Sequence[str], low: float, high: float, bins: int) -> DataFrame:

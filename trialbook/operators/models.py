@@ -37,7 +37,7 @@ def _train_totals(per_fold: DataFrame, by: Sequence[str], columns: Sequence[str]
 def majority_class(rows: DataFrame, test_folds: DataFrame, cells: int) -> DataFrame:
     """Predict the most frequent training class; the lowest label wins a tie."""
     placed = place(rows.select("rowid", "label"), test_folds)
-    per_fold = placed.groupBy(*CELL, "label").agg(F.count(F.lit(1)).alias("n"))
+    per_fold = placed.filter("label IS NOT NULL").groupBy(*CELL, "label").agg(F.count(F.lit(1)).alias("n"))
     train = _train_totals(per_fold, ["label"], ["n"])
     most = train.groupBy(*CELL).agg(F.max("n").alias("n"))
     chosen = train.join(most, [*CELL, "n"]).groupBy(*CELL).agg(F.min("label").alias("prediction"))
@@ -54,7 +54,7 @@ def nearest_centroid(rows: DataFrame, test_folds: DataFrame, dims: int, classes:
     placed = place(rows.select("rowid", "label", "embedding"), test_folds)
     # Position 0 counts the rows, the others sum the dimensions. After this aggregate there are only
     # cells x classes x dimensions numbers left, and those go on as rows.
-    sums = placed.groupBy(*CELL, "label").agg(F.array(
+    sums = placed.filter("label IS NOT NULL").groupBy(*CELL, "label").agg(F.array(
         F.count(F.lit(1)).cast("double"), *[F.sum(F.expr(f"double(embedding[{i}])")) for i in range(dims)]).alias("s"))
     long = sums.select(*CELL, "label", F.posexplode("s").alias("i", "v"))
     train = _train_totals(long, ["label", "i"], ["v"]).groupBy(*CELL, "label").agg(

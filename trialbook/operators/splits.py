@@ -85,12 +85,14 @@ def long_form(test_folds: DataFrame, folds: int) -> DataFrame:
 
 def cell(splits: DataFrame, repeat: int = 0, fold: int = 0, sample: int = 0) -> DataFrame:
     """(type, rowid) of one cell; an unknown index is an error that names it."""
-    out = splits
-    for name, wanted in (("repeat", repeat), ("fold", fold), ("sample", sample)):
-        out = out.filter(F.col(name) == wanted)
-        if out.isEmpty():
-            raise ValueError(f"{name.capitalize()} {wanted} not known")
-    return out.select("type", "rowid")
+    in_repeat = F.col("repeat") == repeat
+    in_fold = in_repeat & (F.col("fold") == fold)
+    in_cell = in_fold & (F.col("sample") == sample)
+    known = splits.filter(in_repeat).agg(F.count(F.lit(1)).alias("r"), F.count_if(in_fold).alias("f"), F.count_if(in_cell).alias("s")).first()
+    for name, wanted, n in (("Repeat", repeat, known["r"]), ("Fold", fold, known["f"]), ("Sample", sample, known["s"])):
+        if not n:
+            raise ValueError(f"{name} {wanted} not known")
+    return splits.filter(in_cell).select("type", "rowid")
 
 
 def dimensions(splits: DataFrame) -> DataFrame:

@@ -143,25 +143,51 @@ def value_counts_running(df: DataFrame, keys: Sequence[str], value: str, descend
     return running(counts, keys, [by], {"upto": ("sum", "n")})
 
 
+def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on group keys where NULL is a group like any other."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return left.join(renamed, on).drop(*[f"_r_{k}" for k in keys])
+
+
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, shares: Mapping[str, float]) -> DataFrame:
-    """Linearly interpolated quantiles without holding a group's values in one task."""
+    """Linearly interpolated quantiles without holding a group's values in one task.
+
+    Distinct values are counted and cut into ordered slices. The counts per slice tell where each
+    quantile lies, and only the slices that hold one are ranked.
+    """
     if not keys:
         return exact_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, shares).drop("_all")
-    table = value_counts_running(df, keys, value)
-    totals = table.groupBy(*keys).agg(F.sum("n").alias("_total"))
-    placed = table.join(totals, list(keys))
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
+    sliced = _by_range(counts, [*[F.col(k) for k in keys], F.col(value)], None)
+    sliced = stage(sliced.withColumn("_slice", F.spark_partition_id()), "values")
+
+    # One row per group and slice it touches.
+    group = Window.partitionBy(*keys)
+    sizes = sliced.groupBy(*keys, "_slice").agg(F.sum("n").alias("_n"))
+    before = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(*keys, "_slice", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+                         F.sum("_n").over(group).alias("_total"))
+    spots = {name: (F.col("_total") - 1) * F.lit(float(share)) for name, share in shares.items()}
+
+    def within(position: Column, start: Column, count: Column) -> Column:
+        return (start <= position) & (position < start + count)
+
+    holds = F.lit(False)
+    for spot in spots.values():
+        for position in (F.floor(spot), F.ceil(spot)):
+            holds = holds | within(position, F.col("_before"), F.col("_n"))
+    rows = join_groups(sliced, sizes.filter(holds).drop("_n"), [*keys, "_slice"])
+    ordered = Window.partitionBy("_slice", *keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = rows.withColumn("_from", F.col("_before") + F.coalesce(F.sum("n").over(ordered), F.lit(0)))
 
     def at(position: Column) -> Column:
-        return F.max(F.when((F.col("upto") - F.col("n") <= position) & (position < F.col("upto")), F.col(value)))
-
-    parts = []
-    for name, share in shares.items():
-        spot = (F.col("_total") - 1) * F.lit(float(share))
-        parts += [at(F.floor(spot)).alias(f"_lo_{name}"), at(F.ceil(spot)).alias(f"_hi_{name}")]
-    wide = placed.groupBy(*keys).agg(F.first("_total").alias("_total"), *parts)
-    return wide.select(
-        *keys,
-        *[(F.col(f"_lo_{name}") + (F.col(f"_hi_{name}") - F.col(f"_lo_{name}"))
-           * ((F.col("_total") - 1) * F.lit(float(share)) - F.floor((F.col("_total") - 1) * F.lit(float(share))))
-           ).alias(name) for name, share in shares.items()],
-    )
+        return F.max(F.when(within(position, F.col("_from"), F.col("n")), F.col(value)))
+
+    wide = ranked.groupBy(*keys).agg(F.first("_total").alias("_total"), *[
+        c for name, spot in spots.items() for c in (at(F.floor(spot)).alias(f"_lo_{name}"), at(F.ceil(spot)).alias(f"_hi_{name}"))])
+    return wide.select(*keys, *[
+        (F.col(f"_lo_{name}") + (F.col(f"_hi_{name}") - F.col(f"_lo_{name}")) * (spot - F.floor(spot))).alias(name)
+        for name, spot in spots.items()])
