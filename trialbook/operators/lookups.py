@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trialbook.functions.params import canonical_key, empty_map
@@ -19,10 +19,14 @@ def setup_maps(parameters: DataFrame) -> DataFrame:
     return parameters.groupBy("setup_id").agg(F.map_from_entries(entries).alias("parameters"))
 
 
-def evaluations_setups(evaluations: DataFrame, parameters: DataFrame) -> DataFrame:
-    """Every evaluation with its setup's parameters; an unknown setup has an empty map."""
+def evaluations_setups(evaluations: DataFrame, parameters: DataFrame, order: Sequence[str | Column] = ()) -> DataFrame:
+    """Every evaluation with its setup's parameters; an unknown setup has an empty map.
+
+    A join does not keep the order of its input, so a wanted order is given.
+    """
     out = evaluations.join(setup_maps(parameters), "setup_id", "left")
-    return out.withColumn("parameters", F.coalesce("parameters", empty_map()))
+    out = out.withColumn("parameters", F.coalesce("parameters", empty_map()))
+    return out.orderBy(*order) if order else out
 
 
 def parameters_to_columns(evaluations_with_map: DataFrame, flow_parameters: DataFrame, flow_id: int, prefix: str = "") -> DataFrame:

@@ -188,12 +188,6 @@ class Registry:
         base = self.table("lineitem")
         return row_numbers(base, [], base.columns, "rowid").withColumn("rowid", F.col("rowid") - 1)
 
-    def features(self) -> DataFrame:
-        return self.spark.createDataFrame(
-            [(1, *row) for row in LINE_FEATURES],
-            "did long, index int, name string, data_type string, nominal_values array<string>, "
-            "is_target boolean, is_ignore boolean, is_row_identifier boolean")
-
 
 QUALITY_NAMES = ["NumberOfInstances", "NumberOfClasses", "NumberOfFeatures", "NumberOfMissingValues"]
 

@@ -8,7 +8,7 @@ from trialbook.plans.bindings import LINE_FEATURES
 from trialbook.queries import query
 
 
-def line_features(discount_missing=False):
+def line_features():
     return [ds.Feature(i, n, t, tuple(v) if v else None, a, b, c) for i, n, t, v, a, b, c in LINE_FEATURES]
 
 

@@ -17,7 +17,8 @@ FROM (SELECT * FROM evaluations WHERE function = 'A' ORDER BY value DESC, run_id
 LEFT JOIN setups s ON e.setup_id = s.setup_id LEFT JOIN flows f ON s.flow_id = f.flow_id""")
 def _(r):
     best = listing.top(r.evaluations().filter("function = 'A'"), "value", "desc", ["run_id", "task_id", "setup_id"], 10)
-    return lookups.evaluations_setups(best, r.setup_parameters()).withColumn("parameters", map_text("parameters"))
+    order = [F.col("value").desc(), "run_id", "task_id", "setup_id"]
+    return lookups.evaluations_setups(best, r.setup_parameters(), order).withColumn("parameters", map_text("parameters"))
 
 
 @query("jn_01_evaluations_setups", needs=["evaluations", "setups", "flows"], sql="""
