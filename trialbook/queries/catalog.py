@@ -76,11 +76,13 @@ def _(r):
 
 
 @query("lst_06_list_evaluations", needs=["evaluations", "runs"], sql="""
-SELECT e.*, NULL AS values FROM evaluations e WHERE e.function = 'A' AND e.flow_id BETWEEN 0 AND 9
-  AND e.run_id IN (SELECT run_id FROM runs WHERE uploader % 2 = 0)""")
+SELECT e.*, NULL AS values FROM evaluations e WHERE e.function = 'A'
+  AND e.flow_id IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 5000)
+  AND e.run_id IN (SELECT run_id FROM runs WHERE uploader IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING'))""")
 def _(r):
-    even = r.runs().filter("uploader % 2 = 0")
-    out = listing.list_evaluations(r.fold_evaluations(), "A", flows=list(range(10)), runs=even.select("run_id"))
+    flows = r.table("supplier").filter("s_acctbal > 5000").select("s_suppkey")
+    builders = r.table("customer").filter("c_mktsegment = 'BUILDING'").select("c_custkey")
+    out = listing.list_evaluations(r.fold_evaluations(), "A", flows=flows, uploaders=builders, run_table=r.runs())
     return out.withColumn("values", F.lit(None).cast("string"))
 
 
@@ -162,11 +164,12 @@ def _(r):
 @query("lst_12_adhoc_predicates", needs=["tasks", "q_wide", "lines"], sql="""
 SELECT t.*, q."NumberOfInstances" FROM tasks t JOIN q_wide q USING (did)
 WHERE q."NumberOfInstances" > 20 AND q."NumberOfInstances" < 36 AND q."NumberOfClasses" = 3
-  AND t.task_id IN (SELECT task_id FROM lines WHERE flow_id % 10 = 3)""")
+  AND t.task_id IN (SELECT task_id FROM lines WHERE flow_id IN (SELECT s_suppkey FROM supplier WHERE s_nationkey = 3))""")
 def _(r):
     q = listing.quality_columns(r.qualities(), ["NumberOfInstances", "NumberOfClasses"])
     picked = r.tasks().join(q, "did").filter("NumberOfInstances > 20 AND NumberOfInstances < 36 AND NumberOfClasses = 3")
-    suite = r.lines().filter("flow_id % 10 = 3").select("task_id")
+    third = r.table("supplier").filter("s_nationkey = 3").select("s_suppkey")
+    suite = listing.matches(r.lines(), "flow_id", third).select("task_id")
     return listing.matches(picked, "task_id", suite).drop("NumberOfClasses")
 
 

@@ -19,10 +19,10 @@ LOG = f"""log AS (SELECT CASE WHEN user_id % 11 = 0 THEN 'study' ELSE 'run' END
 
 
 @query("chg_01_apply_tags", sql=f"""
-WITH {LOG}, e AS (SELECT kind, id, tag, op, seq FROM log WHERE kind = 'run' AND op IN ('add', 'remove') UNION ALL SELECT 'run', o_orderkey, 't1', 'add', -1 FROM orders WHERE o_orderkey % 2 = 0)
+WITH {LOG}, e AS (SELECT kind, id, tag, op, seq FROM log WHERE kind = 'run' AND op IN ('add', 'remove') UNION ALL SELECT 'run', o_orderkey, 't1', 'add', -1 FROM orders WHERE o_orderstatus = 'F')
 SELECT kind, id, tag FROM (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY kind, id, tag ORDER BY seq DESC) = 1) WHERE op = 'add'""")
 def _(r):
-    current = r.table("orders").filter("o_orderkey % 2 = 0").select(F.lit("run").alias("kind"), F.col("o_orderkey").alias("id"), F.lit("t1").alias("tag"))
+    current = r.table("orders").filter("o_orderstatus = 'F'").select(F.lit("run").alias("kind"), F.col("o_orderkey").alias("id"), F.lit("t1").alias("tag"))
     return changes.apply_tags(current, tag_log(r))[0]
 
 
@@ -61,13 +61,13 @@ def edited(r):
         (F.col("user_id") * 20).alias("did"), (F.col("event_id") % 10).alias("user"), F.col("event_id").alias("seq"),
         F.when(F.col("event_type") != "view", F.col("event_type")).alias("description"),
         F.when(F.col("event_type").isin("purchase", "click"), F.concat(F.lit("y"), F.col("event_id").cast("string"))).alias("default_target_attribute"))
-    return changes.edit_datasets(datasets, edits, r.tasks().filter("did % 40 = 0"))
+    return changes.edit_datasets(datasets, edits, r.tasks().filter("procedure_id = 1"))
 
 
 EDITS = """e AS (SELECT user_id * 20 AS did, event_id % 10 AS "user", event_id AS seq, nullif(event_type, 'view') AS description,
  CASE WHEN event_type IN ('purchase', 'click') THEN 'y' || event_id END AS default_target_attribute FROM events),
 j AS (SELECT e.*, CASE WHEN d.did IS NULL THEN 'unknown id' WHEN default_target_attribute IS NOT NULL AND e."user" <> d.uploader THEN 'not the owner'
- WHEN default_target_attribute IS NOT NULL AND e.did IN (SELECT did FROM tasks WHERE did % 40 = 0) THEN 'used by tasks' END AS reason FROM e LEFT JOIN datasets d ON d.did = e.did)"""
+ WHEN default_target_attribute IS NOT NULL AND e.did IN (SELECT did FROM tasks WHERE procedure_id = 1) THEN 'used by tasks' END AS reason FROM e LEFT JOIN datasets d ON d.did = e.did)"""
 
 
 @query("chg_03_edit_datasets", needs=["datasets", "tasks"], sql=f"""

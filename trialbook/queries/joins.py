@@ -23,11 +23,12 @@ def _(r):
 
 @query("jn_01_evaluations_setups", needs=["evaluations", "setups", "flows"], sql="""
 SELECT e.*, coalesce(f.name || '_ship=' || s.ship || ';' || f.name || '_tax=' || s.tax, '') AS parameters
-FROM evaluations e LEFT JOIN setups s ON e.setup_id = s.setup_id AND s.setup_id % 2 = 0
+FROM evaluations e LEFT JOIN setups s ON e.setup_id = s.setup_id AND s.flow_id IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0)
 LEFT JOIN flows f ON s.flow_id = f.flow_id WHERE e.function = 'R'""")
 def _(r):
-    even = r.setup_parameters().filter("setup_id % 2 = 0")
-    out = lookups.evaluations_setups(r.evaluations().filter("function = 'R'"), even)
+    solvent = r.table("supplier").filter("s_acctbal > 0").select(F.col("s_suppkey").alias("flow_id"))
+    stored = r.setup_parameters().join(solvent, "flow_id", "left_semi")
+    out = lookups.evaluations_setups(r.evaluations().filter("function = 'R'"), stored)
     return out.withColumn("parameters", map_text("parameters"))
 
 
@@ -48,10 +49,11 @@ def _(r):
     return lookups.with_usernames(evals, r.users())[0]
 
 
-@query("jn_03_unknown_uploaders", needs=["runs", "users"], sql="""
-SELECT DISTINCT uploader FROM runs WHERE uploader NOT IN (SELECT uploader FROM users WHERE uploader % 5 <> 0)""")
+@query("jn_03_unknown_uploaders", needs=["runs"], sql="""
+SELECT DISTINCT uploader FROM runs WHERE uploader NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)""")
 def _(r):
-    return lookups.with_usernames(r.runs(), r.users().filter("uploader % 5 <> 0"))[1]
+    solvent = r.table("customer").filter("c_acctbal > 0").select(F.col("c_custkey").alias("uploader"), F.col("c_name").alias("username"))
+    return lookups.with_usernames(r.runs(), solvent)[1]
 
 
 @query("jn_04_tasks_procedures", needs=["tasks", "procedures"], sql="""
