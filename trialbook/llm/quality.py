@@ -1,6 +1,7 @@
 """Quality rules, lines first.
 
-Every line is judged alone: how it ends and how much of it is decoration (punctuation), whether it
+Every line is judged alone: whether a word of it ends in a sentence mark and how much of it is
+decoration (punctuation), whether it
 is a row of links or cells (navigation), whether it is a stock phrase or a repetition of an earlier
 line (boilerplate). Lines that fail are removed, and a document is rejected when it loses more than
 ``most_lost`` of its word characters, or when the whole text fails the base rules.
@@ -20,7 +21,7 @@ from trialbook.llm.text import WORD, let, table, whole, words
 # Symbols of the contract, and the patterns of a line that fails. They are read
 # alike by Java's and RE2's expressions.
 SYMBOLS = r"[#*$%&|<>]"
-ENDS = r"""[.!?…:;"'”’»)\]][\x20\x09-\x0D]*$"""
+MARK = r"""[.,!?…:;"'”’»)\]]([\x20\x09-\x0D]|$)"""
 DECORATED = r"[^\x20\x09-\x0D]*[!?#*$%&|<>@~^=_+]{2,}[^\x20\x09-\x0D]*"
 SEPARATORS = r"[|›»•·→]"
 BOILERPLATE = (
@@ -54,7 +55,7 @@ def line_passes(line: Column) -> Column:
     n = F.size(words(line))
     decorated = F.size(F.regexp_extract_all(line, F.lit(DECORATED), F.lit(0)))
     separators = F.length(line) - F.length(F.regexp_replace(line, SEPARATORS, ""))
-    punctuation = line.rlike(ENDS) & (decorated * 2 <= n)
+    punctuation = line.rlike(MARK) & (decorated * 2 <= n)
     navigation = (separators >= 3) & (separators * 6 >= n)
     boilerplate = (n <= SHORT_LINE) & line.rlike(BOILERPLATE)
     return punctuation & ~navigation & ~boilerplate
@@ -112,7 +113,7 @@ lines AS (SELECT doc_id, x FROM (SELECT doc_id, unnest(string_split(t, chr(10)))
 firsts AS (SELECT doc_id, x, count(*) AS n FROM lines GROUP BY doc_id, x),
 judged AS (SELECT doc_id, n, len(regexp_replace(x, '[\\x20\\x09-\\x0D]+', '', 'g')) AS chars, len(regexp_extract_all(x, {word})) AS nw,
   len(regexp_extract_all(x, {q(DECORATED)})) AS deco, len(x) - len(regexp_replace(x, {q(SEPARATORS)}, '', 'g')) AS seps,
-  regexp_matches(x, {q(ENDS)}) AS ends, regexp_matches(x, {q(BOILERPLATE)}) AS boiler FROM firsts),
+  regexp_matches(x, {q(MARK)}) AS ends, regexp_matches(x, {q(BOILERPLATE)}) AS boiler FROM firsts),
 by_doc AS (SELECT doc_id, sum(n) - count(*) AS n_dup_lines,
   coalesce(sum(chars) FILTER (ends AND deco * 2 <= nw AND NOT (seps >= 3 AND seps * 6 >= nw) AND NOT (nw <= {SHORT_LINE} AND boiler)), 0) AS passed FROM judged GROUP BY doc_id),
 base AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(array_to_string(w, '')) AS BIGINT) AS word_chars,
