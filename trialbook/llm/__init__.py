@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-_MODULES = ["quality", "exact_dedup"]
+_MODULES = ["quality", "exact_dedup", "packing", "mixing"]
 
 
 def query(name: str, sql: str | None = None):
