@@ -21,12 +21,13 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trialbook.llm import query
+from trialbook.llm.tasks import remote
 from trialbook.llm.text import table, whole
 from trialbook.session import stage
 
@@ -86,6 +87,24 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def cut(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: int | None, with_ids: bool) -> Iterator[pa.RecordBatch]:
+    """Pieces of batches of (id, text)."""
+    encode = encoder(path)
+    end = np.array([] if end_id is None else [end_id], dtype="<u4")
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), *[pa.list_(pa.int64())] * with_ids]
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids]
+    for batch in batches:
+        rows: list[tuple] = []
+        for one, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            ids = np.concatenate([encode(t.as_py()), end])
+            first = len(ids) % capacity or min(len(ids), capacity)
+            for k, start in enumerate([0, *range(first, len(ids), capacity)] if len(ids) else []):
+                part = ids[start : first if k == 0 else start + capacity]
+                rows.append((one, k, start, len(part), zlib.crc32(part.tobytes()), *[part.astype("int64")] * with_ids))
+        columns = list(zip(*rows, strict=True)) if rows else [()] * len(types)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+
+
 def pieces(
     docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", capacity: int = 1024, end_id: int | None = 2, with_ids: bool = False,
 ) -> DataFrame:
@@ -93,26 +112,8 @@ def pieces(
 
     A document of more than ``capacity`` ids is cut; all its pieces but the first are full.
     """
-    end = np.array([] if end_id is None else [end_id], dtype="<u4")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path)
-        for batch in batches:
-            rows: list[tuple] = []
-            for one, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.concatenate([encode(t.as_py()), end])
-                first = len(ids) % capacity or min(len(ids), capacity)
-                starts = [0, *range(first, len(ids), capacity)] if len(ids) else []
-                for k, start in enumerate(starts):
-                    part = ids[start : first if k == 0 else start + capacity]
-                    rows.append((one, k, start, len(part), zlib.crc32(part.tobytes()), part.astype("int64") if with_ids else None))
-            columns = list(zip(*rows, strict=True)) if rows else [()] * 6
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())][: 6 if with_ids else 5]
-            names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=False)], names=names[: len(types)])
-
     schema = PIECES + (", ids array<long>" if with_ids else "")
-    return docs.select(F.col(doc_id).cast("long"), whole(text)).mapInArrow(cut, schema)
+    return docs.select(F.col(doc_id).cast("long"), whole(text)).mapInArrow(remote(cut, path, capacity, end_id, with_ids), schema)
 
 
 def plan(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
@@ -212,6 +213,20 @@ def places(patterns: list[tuple[tuple[int, ...], int]]) -> dict[int, np.ndarray]
     return {k: np.array(v, dtype=np.int64) for k, v in rows.items()}
 
 
+def place(batches: Iterator[pa.RecordBatch], table_: dict[int, np.ndarray], length: str) -> Iterator[pa.RecordBatch]:
+    """The batches with sequence_id and offset in place of the last column, the rank within a length."""
+    for batch in batches:
+        lengths, ranks = batch.column(length).to_numpy(), batch.column(batch.num_columns - 1).to_numpy()
+        sequence, offset = np.zeros(len(lengths), dtype=np.int64), np.zeros(len(lengths), dtype=np.int64)
+        for one in np.unique(lengths):
+            at = np.flatnonzero(lengths == one)
+            rows = table_[int(one)]
+            k = np.searchsorted(rows[:, 0], ranks[at], side="right") - 1
+            sequence[at], offset[at] = rows[k, 1] + ranks[at] - rows[k, 0], rows[k, 2]
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:-1], pa.array(sequence), pa.array(offset)], names=[*batch.schema.names[:-1], "sequence_id", "offset"])
+
+
 def pack(cut: DataFrame, length: str = "length", capacity: int = 1024) -> DataFrame:
     """``cut`` with sequence_id and offset: pieces of at most ``capacity`` in as few sequences as found.
 
@@ -228,19 +243,9 @@ def pack(cut: DataFrame, length: str = "length", capacity: int = 1024) -> DataFr
     here = Window.partitionBy(*by).orderBy("_row")
     ranked = dealt.join(starts, by).withColumn("_rank", F.col("_start") + F.row_number().over(here) - 1)
 
-    @F.pandas_udf("sequence_id long, offset long")
-    def place(lengths: pd.Series, ranks: pd.Series) -> pd.DataFrame:
-        sequence, offset = np.zeros(len(lengths), dtype=np.int64), np.zeros(len(lengths), dtype=np.int64)
-        lengths, ranks = lengths.to_numpy(), ranks.to_numpy()
-        for one in np.unique(lengths):
-            at = np.flatnonzero(lengths == one)
-            rows = table_[int(one)]
-            k = np.searchsorted(rows[:, 0], ranks[at], side="right") - 1
-            sequence[at], offset[at] = rows[k, 1] + ranks[at] - rows[k, 0], rows[k, 2]
-        return pd.DataFrame({"sequence_id": sequence, "offset": offset})
-
-    placed = ranked.withColumn("_p", place(length, "_rank"))
-    return placed.select(*cut.columns, F.col("_p.sequence_id").alias("sequence_id"), F.col("_p.offset").alias("offset"))
+    names = [*cut.columns, "_rank"]
+    schema = T.StructType([*cut.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    return ranked.select(*names).mapInArrow(remote(place, table_, length), schema)
 
 
 def sequences(packed: DataFrame) -> DataFrame:
