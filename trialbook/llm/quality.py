@@ -91,7 +91,10 @@ def quality(
         "lost_chars": lost.cast("long"),
         "kept": ~failed & (lost <= F.lit(most_lost) * F.col("__word_chars")),
     }
-    return parts.select(*[c for c in docs.columns if c not in {prefix + k for k in out}], *[v.alias(prefix + k) for k, v in out.items()])
+    # The figures pass through a generator of one row, below which no filter on them is pushed: pushed down,
+    # it would work out every expression it uses once more for itself.
+    figures = F.inline(F.array(F.struct(*[v.alias(prefix + k) for k, v in out.items()])))
+    return parts.select(*[c for c in docs.columns if c not in {prefix + k for k in out}], figures)
 
 
 def accepted(docs: DataFrame, text: str = "text", **rules) -> DataFrame:
