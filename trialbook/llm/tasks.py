@@ -8,10 +8,14 @@ from pathlib import Path
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
-def remote(function: Callable, *args, **options) -> Callable:
-    """``function(batches, *args, **options)`` for ``mapInArrow``, found by its name in the worker, which
-    then needs neither the driver's path settings nor a pickled copy of the module."""
-    module, name, root = function.__module__, function.__name__, ROOT
+def remote(function: Callable, *args) -> Callable:
+    """``function(batches, *args)`` for ``mapInArrow``.
+
+    The function, and those among its arguments, are found by name in the worker, which then needs
+    neither the driver's path settings nor pickled copies of the modules.
+    """
+    root = ROOT
+    named = [("function", x.__module__, x.__name__) if callable(x) else ("value", x, "") for x in (function, *args)]
 
     def run(batches):
         import importlib
@@ -19,6 +23,7 @@ def remote(function: Callable, *args, **options) -> Callable:
 
         if root not in sys.path:
             sys.path.append(root)
-        yield from getattr(importlib.import_module(module), name)(batches, *args, **options)
+        first, *rest = [getattr(importlib.import_module(x), name) if kind == "function" else x for kind, x, name in named]
+        yield from first(batches, *rest)
 
     return run
