@@ -34,9 +34,9 @@ BLOCK_TOKENS = 100_000
 
 def source_tokens(drawn: DataFrame) -> DataFrame:
     """(source, n_tokens, share): one row per source, summed before it is shuffled."""
-    sums = drawn.groupBy("source").agg(F.sum("tokens").alias("n_tokens"))
-    total = sums.agg(F.sum("n_tokens").alias("_total"))
-    return sums.crossJoin(F.broadcast(total)).select("source", "n_tokens", (F.col("n_tokens") / F.col("_total")).alias("share"))  # one row
+    sums = stage(drawn.groupBy("source").agg(F.sum("tokens").alias("n_tokens")), "sums")
+    total = sums.agg(F.sum("n_tokens")).first()[0]
+    return sums.select("source", "n_tokens", (F.col("n_tokens") / F.lit(total)).alias("share"))
 
 
 def exponent(shares: DataFrame, target_entropy: float | None = None, most_repeats: float | None = None) -> float:
@@ -80,12 +80,11 @@ def budgets(shares: DataFrame, a: float, total: int | None = None) -> DataFrame:
     epochs this takes, the last of which may be partial."""
     some = F.col("n_tokens") > 0
     power = F.when(some, F.pow(F.col("share"), F.lit(a))).otherwise(0.0)
-    sums = shares.agg(F.sum(power).alias("_z"), F.max("share").alias("_most"))
-    with_sums = shares.crossJoin(F.broadcast(sums))  # one row
-    wanted = power / F.col("_z") * F.lit(float(total)) if total is not None else F.col("n_tokens") * F.pow(F.col("share") / F.col("_most"), F.lit(a - 1.0))
+    z, most = shares.agg(F.sum(power), F.max("share")).first()
+    wanted = power / F.lit(z) * F.lit(float(total)) if total is not None else F.col("n_tokens") * F.pow(F.col("share") / F.lit(most), F.lit(a - 1.0))
     budget = F.when(some, F.floor(wanted + 0.5)).otherwise(0).cast("long")
-    return with_sums.select(
-        "source", "n_tokens", F.when(some, power / F.col("_z")).otherwise(0.0).alias("weight"), budget.alias("budget"),
+    return shares.select(
+        "source", "n_tokens", F.when(some, power / F.lit(z)).otherwise(0.0).alias("weight"), budget.alias("budget"),
     ).withColumn("epochs", F.when(F.col("n_tokens") > 0, F.ceil(F.col("budget") / F.col("n_tokens"))).otherwise(1).cast("long"))
 
 
