@@ -21,6 +21,7 @@ score is 0. Repeated rows are scored alike; other columns are ignored; an empty
 from __future__ import annotations
 
 import re
+import sys
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -34,7 +35,7 @@ from trialbook.llm import query
 from trialbook.llm.tasks import remote
 from trialbook.llm.text import table, whole
 
-SAMPLE_TEXTS, SAMPLE_CHARS, CLEAN_PER_TOXIC = 1000, 30_000, 8
+SAMPLE_TEXTS, SAMPLE_CHARS, CLEAN_PER_TOXIC = 600, 30_000, 8
 LEAST_PRECISION, CHANCE = 0.98, 0.01  # of documents with a mark that are toxic; of one mark or more by accident
 STEPS, RATE, PENALTY = 50, 0.3, 1e-6
 BLOCK, CHAIN = 64, 1_000_000
@@ -98,16 +99,16 @@ class Chain:
         return pair / pair.sum(axis=(1, 2), keepdims=True)
 
 
-def _marks(texts: list[list[str]], toxic: np.ndarray) -> set[str]:
+def _marks(texts: list[str], toxic: np.ndarray) -> set[str]:
     """Features that tell toxic documents from clean ones: so frequent among the toxic ones, and hardly elsewhere,
     that of all features seen none would be expected to be so by accident."""
     bad, clean = Counter(), Counter()
-    for words in (t for t, y in zip(texts, toxic, strict=True) if y):
-        bad.update({f for w in set(words) for f in features(w)[:-2]})
+    for text in (t for t, y in zip(texts, toxic, strict=True) if y):
+        bad.update({f for w in set(WORDS.findall(text)) for f in features(w)[:-2]})
     least = np.log(CHANCE / len(bad)) / np.log(toxic.mean())
     bad = Counter({f: n for f, n in bad.items() if n >= least})
-    for words in (t for t, y in zip(texts, toxic, strict=True) if not y):
-        clean.update({f for w in set(words) for f in features(w)[:-2]} & bad.keys())
+    for text in (t for t, y in zip(texts, toxic, strict=True) if not y):
+        clean.update({f for w in set(WORDS.findall(text)) for f in features(w)[:-2]} & bad.keys())
     return {f for f, n in bad.items() if n >= LEAST_PRECISION * (n + clean[f])}
 
 
@@ -118,16 +119,17 @@ def any_toxic(marginals: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.clip(np.log1p(-np.exp(np.minimum(total, -1e-6))) * -1 + total, -15, 15) * -1
 
 
-def train(texts: list[list[str]], toxic: np.ndarray) -> dict | None:
-    """Weights of the chain and the calibration, from words of texts and their labels."""
-    texts, toxic = [t for t in texts if t], np.array([y for t, y in zip(texts, toxic, strict=True) if t], dtype=bool)
+def train(texts: list[str], toxic: np.ndarray) -> dict | None:
+    """Weights of the chain and the calibration, from texts and their labels."""
+    some = [bool(WORDS.search(t)) for t in texts]
+    texts, toxic = [t for t, x in zip(texts, some, strict=True) if x], toxic[np.array(some, dtype=bool)]
     marks = _marks(texts, toxic) if toxic.any() and not toxic.all() else set()
     if not marks:
         return None
     # The marks are found on all texts; the chain is trained on the toxic ones and as many clean ones.
     clean = np.flatnonzero(~toxic)[: toxic.sum()]
     taken = np.sort(np.concatenate([np.flatnonzero(toxic), clean]))
-    texts, toxic = [texts[i] for i in taken], toxic[taken]
+    texts, toxic = [[sys.intern(w) for w in WORDS.findall(texts[i])] for i in taken], toxic[taken]
     types: dict[str, int] = {}
     at = np.array([types.setdefault(w, len(types)) for t in texts for w in t])
     names: dict[str, int] = {}
@@ -174,7 +176,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     texts = docs.select(F.col(doc_id).alias("_doc"), whole(text).alias("t")).filter(F.length("t") <= SAMPLE_CHARS)
     rows = texts.join(F.broadcast(drawn), F.col("_doc") == F.col("_id")).select("t", "toxic").distinct().collect()  # about (1 + CLEAN_PER_TOXIC) x SAMPLE_TEXTS texts
     rows.sort(key=lambda r: zlib.crc32(r["t"].encode()))
-    return train([WORDS.findall(r["t"]) for r in rows], np.array([r["toxic"] for r in rows], dtype=bool))
+    return train([r["t"] for r in rows], np.array([r["toxic"] for r in rows], dtype=bool))
 
 
 class Emission(dict):
