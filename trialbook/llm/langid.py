@@ -2,14 +2,14 @@
 
 A model holds, per language, the log frequency of the most frequent words and of character n-grams of
 four lengths. A known word is scored by its own log frequencies. A word not seen in training backs off to
-its n-grams of length 4; the parts of it that are unknown too back off to length 3, then 2, then 1. Each step down
-costs a fixed penalty, the same for all languages. A text's language has the highest sum over its
-words; its score is the mean, over words, of the word's posterior for that language.
+its n-grams of length 4; the parts of it that are unknown too back off to length 3, then 2, then 1, and the
+word gets the mean over what was found. A text's language has the highest sum over its words; its score
+is the mean, over words, of the word's posterior for that language.
 
 Training takes a bounded sample of labelled texts, spread evenly by a hash of the text and alike for each
 language (``SAMPLE_TEXTS`` each, texts of at most ``SAMPLE_CHARS`` characters), counts it in Spark and keeps ``TABLE`` entries per
 length and language, so the model's size does not depend on the corpus. Scoring reads whole texts
-in pieces; the words of a piece are counted, so a repeated word is scored once.
+in pieces; new words of a batch are scored together, and kept while they are few.
 
 Nulls and edges: a null text, or one without a letter, is ``und`` with score 0. Rows without a language
 are not learned from. Without any training text every text is ``und``. Ties go to the language first in
@@ -19,7 +19,6 @@ order. Repeated rows are scored alike; other columns are ignored; an empty table
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,14 +29,15 @@ from pyspark.sql import functions as F
 from trialbook.llm import query
 from trialbook.llm.tasks import remote
 from trialbook.llm.text import table, whole
+from trialbook.session import stage
 
 SAMPLE_TEXTS, SAMPLE_CHARS, LANGUAGES = 2000, 50_000, 1000
 TABLE = 20_000  # entries per language and length
 GRAMS = (4, 3, 2, 1)
-BACKOFF = -1.0  # log penalty of each step down
 LETTERS = re.compile(r"[^\W\d_]+")
 SEGMENT = 1_000_000
-_CACHE = 200_000
+_CACHE = 400_000
+TOKENS = 500_000  # words of texts that are looked up together
 UNKNOWN = "und"
 
 
@@ -52,7 +52,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict:
         share = F.when(F.col("lang") == name, min(1.0, SAMPLE_TEXTS / n)).otherwise(share)
     drawn = labelled.filter(F.pmod(F.col("h"), F.lit(1_000_000)) < share * 1_000_000)
     words = drawn.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
-    words = words.groupBy("lang", "word").count()
+    words = stage(words.groupBy("lang", "word").count(), "words")
     parts = [words.select("lang", F.lit(0).alias("size"), F.col("word").alias("gram"), "count")]
     for size in GRAMS:
         places = F.sequence(F.lit(1), F.length("word") - size + 1)
@@ -61,66 +61,97 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict:
     grams = parts[0]
     for p in parts[1:]:
         grams = grams.unionByName(p)
+    grams = stage(grams, "grams")
     rank = Window.partitionBy("lang", "size").orderBy(F.desc("count"), "gram")
     top = grams.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= TABLE)
-    totals = grams.groupBy("lang", "size").agg(F.sum("count").alias("total"), F.count(F.lit(1)).alias("kinds"))
+    totals = grams.groupBy("lang", "size").agg((F.sum("count") + F.count(F.lit(1)) + 1).alias("total")).collect()
     langs = [name for name, _ in counts]
     place = {name: i for i, name in enumerate(langs)}
-    floors = {size: np.zeros(len(langs)) for size in (0, *GRAMS)}
-    sums: dict[tuple[int, int], float] = {}
-    for r in totals.collect():
-        sums[r["size"], place[r["lang"]]] = r["total"] + r["kinds"] + 1
-        floors[r["size"]][place[r["lang"]]] = -np.log(r["total"] + r["kinds"] + 1)
-    tables: dict[int, dict[str, np.ndarray]] = {size: {} for size in (0, *GRAMS)}
-    for r in top.select("lang", "size", "gram", "count").collect():  # at most TABLE rows per language and length
-        size, i = r["size"], place[r["lang"]]
-        row = tables[size].get(r["gram"])
-        if row is None:
-            row = tables[size][r["gram"]] = floors[size].copy()
-        row[i] = np.log((r["count"] + 1) / sums[size, i])
-    return {"langs": langs, "tables": tables, "floor": floors[1]}
+    floors = np.zeros((GRAMS[0] + 1, len(langs)))
+    for r in totals:
+        floors[r["size"], place[r["lang"]]] = -np.log(r["total"])
+    # At most TABLE rows per language and length; the row of a gram has every language's log frequency.
+    rows = top.select("lang", "size", "gram", "count").toArrow()
+    size, at = rows.column("size").to_numpy(), np.array([place[x] for x in rows.column("lang").to_pylist()], dtype=np.int64)
+    index: dict[tuple[int, str], int] = {}
+    row = np.array([index.setdefault(x, len(index)) for x in zip(size.tolist(), rows.column("gram").to_pylist(), strict=True)], dtype=np.int64)
+    logs = np.vstack([floors[[k for k, _ in index]], floors[1:2]]) if index else floors[1:2].copy()
+    logs[row, at] = np.log(rows.column("count").to_numpy() + 1.0) + floors[size, at]
+    return {"langs": langs, "grams": list(index), "logs": logs}
 
 
 class Scorer(dict):
-    """Word -> (log frequencies, posterior) under a model; words are kept while they are few."""
+    """Word -> row of ``scores`` (log frequencies) and ``posteriors``. Row 0 is for what has no letter."""
 
     def __init__(self, model: dict):
         super().__init__()
-        self.tables, self.floor = model["tables"], model["floor"]
-
-    def backed_off(self, word: str, level: int) -> tuple[np.ndarray, int]:
-        """Sum over the n-grams of a part of a word, and their number."""
+        self.logs = model["logs"]
+        self.tables: dict[int, dict[str, int]] = {size: {} for size in (0, *GRAMS)}
+        for i, (size, gram) in enumerate(model["grams"]):
+            self.tables[size][gram] = i
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.new: list[str] = []
+        self.scores = np.zeros((1, self.logs.shape[1]))
+        self.posteriors = self.scores
+
+    def __missing__(self, word: str) -> int:
+        if not word.isalpha() and not any(map(str.isalpha, word)):
+            self[word] = 0
+            return 0
+        self.new.append(word)
+        self[word] = row = len(self.scores) + len(self.new) - 1
+        return row
+
+    def backed_off(self, word: str, level: int, out: list[int]) -> None:
+        """Rows of the n-grams of a part of a word; the last row stands for an unknown letter."""
+        if level == len(GRAMS):
+            out += [len(self.logs) - 1] * len(word)
+            return
         size = GRAMS[level]
-        if len(word) < size:
-            return self.backed_off(word, level + 1) if level + 1 < len(GRAMS) else (self.floor, 1)
-        found = self.tables[size]
-        total, n, at = np.zeros(len(self.floor)), 0, 0
-        grams = [found.get(word[i : i + size]) for i in range(len(word) - size + 1)]
-        while at < len(grams):
-            if grams[at] is not None:
-                total, n, at = total + grams[at] + BACKOFF * level, n + 1, at + 1
+        n = len(word) - size + 1
+        if n < 1:
+            self.backed_off(word, level + 1, out)
+            return
+        get = self.tables[size].get
+        found = [get(word[i : i + size]) for i in range(n)]
+        if None not in found:
+            out += found
+            return
+        at = 0
+        while at < n:
+            if found[at] is not None:
+                out.append(found[at])
+                at += 1
                 continue
             stop = at
-            while stop < len(grams) and grams[stop] is None:
+            while stop < n and found[stop] is None:
                 stop += 1
             # The run of unknown n-grams is one part, which is read again one letter shorter.
-            if level + 1 < len(GRAMS):
-                more, m = self.backed_off(word[at : stop + size - 1], level + 1)
+            self.backed_off(word[at : stop + size - 1], level + 1, out)
+            at = stop
+
+    def learn(self) -> None:
+        """Score the new words."""
+        if not self.new:
+            return
+        rows: list[int] = []
+        ends = []
+        for word in self.new:
+            known = self.tables[0].get(word)
+            if known is None:
+                self.backed_off(word, 0, rows)
             else:
-                more, m = (self.floor + BACKOFF * level) * (stop - at), stop - at
-            total, n, at = total + more, n + m, stop
-        return total, n
-
-    def __missing__(self, word: str) -> tuple[np.ndarray, np.ndarray]:
-        scores = self.tables[0].get(word)
-        if scores is None:
-            total, n = self.backed_off(word, 0)
-            scores = total / n + BACKOFF
-        odds = np.exp(scores - scores.max())
-        if len(self) > _CACHE:
-            self.clear()
-        self[word] = out = (scores, odds / odds.sum())
-        return out
+                rows.append(known)
+            ends.append(len(rows))
+        starts = np.array([0, *ends[:-1]])
+        scores = np.add.reduceat(self.logs[rows], starts) / (np.array(ends) - starts)[:, None]
+        odds = np.exp(scores - scores.max(axis=1, keepdims=True))
+        self.scores = np.vstack([self.scores, scores])
+        self.posteriors = np.vstack([self.posteriors, odds / odds.sum(axis=1, keepdims=True)])
+        self.new = []
 
 
 def pieces(text: str) -> Iterator[str]:
@@ -134,27 +165,42 @@ def pieces(text: str) -> Iterator[str]:
         at = stop
 
 
-def identify(text: str, scorer: Scorer, langs: list[str]) -> tuple[str, float]:
-    total, posterior, n = np.zeros(len(langs)), np.zeros(len(langs)), 0
-    for piece in pieces(text):
-        counts = Counter(w for w in LETTERS.findall(piece.lower()) if w.isalpha() or any(map(str.isalpha, w)))
-        if counts and langs:
-            found = [scorer[w] for w in counts]
-            weights = np.fromiter(counts.values(), dtype=float, count=len(counts))
-            total += weights @ np.array([f[0] for f in found])
-            posterior += weights @ np.array([f[1] for f in found])
-            n += int(weights.sum())
-    if not n:
-        return UNKNOWN, 0.0
-    best = int(np.argmax(total))
-    return langs[best], float(min(1.0, posterior[best] / n))
+def identify(texts: list[str], scorer: Scorer, langs: list[str]) -> list[tuple[str, float]]:
+    """Language and score of each text."""
+    totals, posteriors, numbers = np.zeros((len(texts), len(langs))), np.zeros((len(texts), len(langs))), np.zeros(len(texts))
+    rows: list[np.ndarray] = []
+    owners: list[int] = []
+
+    def add() -> None:
+        scorer.learn()
+        for k, found in zip(owners, rows, strict=True):
+            totals[k] += scorer.scores[found].sum(axis=0)
+            posteriors[k] += scorer.posteriors[found].sum(axis=0)
+            numbers[k] += np.count_nonzero(found)
+        rows.clear(), owners.clear()
+        if len(scorer) > _CACHE:
+            scorer.forget()
+
+    size = 0
+    for k, text in enumerate(texts if langs else ()):
+        for piece in pieces(text):
+            words = LETTERS.findall(piece.lower())
+            rows.append(np.fromiter(map(scorer.__getitem__, words), dtype=np.int64, count=len(words)))
+            owners.append(k)
+            size += len(words)
+            if size > TOKENS:
+                add()
+                size = 0
+    add()
+    best = totals.argmax(axis=1) if langs else []
+    return [(langs[best[k]], float(min(1.0, posteriors[k, best[k]] / n))) if n else (UNKNOWN, 0.0) for k, n in enumerate(numbers.tolist())]
 
 
 def label(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
     """Batches of (doc_id, text) with lang_pred and score in place of the text."""
     scorer, langs = Scorer(model.value), model.value["langs"]
     for batch in batches:
-        found = [identify(t.as_py(), scorer, langs) for t in batch.column(1)]
+        found = identify(batch.column(1).to_pylist(), scorer, langs)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=["doc_id", "lang_pred", "score"])
 
