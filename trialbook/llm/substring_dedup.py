@@ -10,7 +10,8 @@ text has no window and stays as it is. Other columns are ignored; an empty table
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable, Iterator
 from itertools import groupby
 
 import numpy as np
@@ -19,7 +20,6 @@ from pyspark.sql import DataFrame
 
 from trialbook.llm import query, windows
 from trialbook.llm.minhash import WordHash, mix
-from trialbook.llm.tasks import remote
 from trialbook.llm.text import table
 
 WIDTH, GRAM = 13, 4
@@ -54,24 +54,38 @@ def text_grams(text: bytes) -> np.ndarray:
     return word_grams(text.split())
 
 
-def split(text: bytes, frequent: np.ndarray | None) -> Iterator[tuple[int, bytes, int]]:
-    """(minimiser, packed words, first word) of each super-k-mer."""
+def _parts(text: bytes, frequent: np.ndarray | None) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
+    """(first word, words, minimiser per window) of each segment, which repeats the last words of the one before."""
     carried: list[bytes] = []
     base = 0
     for words in segments(text):
         words = carried + words
         if len(words) >= WIDTH:
-            values = windows.least_of(windows.ordered(word_grams(words), frequent), WIDTH - GRAM + 1)
-            line = b" ".join(words)
-            begins = np.concatenate([[0], np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1)])
-            first, last = windows.runs(values)
-            for key, i, a, b in zip(values[first].tolist(), first.tolist(), begins[first].tolist(), (begins[last + WIDTH] - 1).tolist(), strict=True):
-                yield key, line[a:b], base + i
+            yield base, words, windows.least_of(windows.ordered(word_grams(words), frequent), WIDTH - GRAM + 1)
         keep = min(len(words), WIDTH - 1)
         base += len(words) - keep
         carried = words[len(words) - keep :]
 
 
+def values(text: bytes, frequent: np.ndarray | None) -> Iterator[np.ndarray]:
+    """Minimisers of the windows of a text."""
+    for _, _, found in _parts(text, frequent):
+        yield found
+
+
+def split(text: bytes, frequent: np.ndarray | None, travels: Callable | None = None) -> Iterator[tuple[int, bytes, int]]:
+    """(minimiser, packed words, first word) of each super-k-mer, of those that ``travels`` picks by their minimisers."""
+    for base, words, found in _parts(text, frequent):
+        first, last = windows.runs(found)
+        if travels is not None:
+            picked = travels(found[first])
+            if not len(picked):
+                continue
+            first, last = first[picked], last[picked]
+        for key, i, j in zip(found[first].tolist(), first.tolist(), (last + WIDTH).tolist(), strict=True):
+            yield key, b" ".join(words[i:j]), base + i
+
+
 def compare(strings: list[bytes], owners: np.ndarray | None) -> list:
     """Without owners the number of windows of each string; with them the smallest owner of each window."""
     if owners is None:
@@ -95,35 +109,28 @@ def compare(strings: list[bytes], owners: np.ndarray | None) -> list:
     return least
 
 
-def strip(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.RecordBatch]:
-    """Batches of (doc_id, text, starts, stops) without the words of the spans."""
-    for batch in batches:
-        rows = []
-        for t, starts, stops in zip(batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            words = t.as_py().encode().split()
-            n, removed, runs = len(words), 0, 0
-            if starts:
-                first, last = windows.merged(starts, stops)
-                removed, runs = int((last - first).sum()), len(first)
-                keep = [slice(a, b) for a, b in zip([0, *last.tolist()], [*first.tolist(), n], strict=True)]
-                words = [w for k in keep for w in words[k]]
-            kept = b" ".join(words)
-            rows.append((n, removed, runs, hashlib.sha256(kept).hexdigest(), kept.decode() if with_text else None))
-        n, removed, runs, digest, kept = zip(*rows, strict=True) if rows else [()] * 5
-        columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(digest, pa.string())]
-        names = ["doc_id", "n_words", "n_removed", "n_spans", "kept_sha256"]
-        if with_text:
-            columns.append(pa.array(kept, pa.string()))
-            names.append("kept_text")
-        yield pa.RecordBatch.from_arrays(columns, names=names)
+def strip(ids: list, texts: pa.ChunkedArray, spans: list, with_text: bool) -> pa.Table:
+    """Rows without the words of their spans."""
+    rows = []
+    for one, t, found in zip(ids, texts, spans, strict=True):
+        words = t.as_py().encode().split()
+        n, removed, runs = len(words), 0, 0
+        if found is not None:
+            first, last = found
+            removed, runs = int((last - first).sum()), len(first)
+            words = [w for a, b in zip([0, *last.tolist()], [*first.tolist(), n], strict=True) for w in words[a:b]]
+        kept = b" ".join(words)
+        rows.append((one, n, removed, runs, hashlib.sha256(kept).hexdigest(), *[kept.decode()] * with_text))
+    names = ["doc_id", "n_words", "n_removed", "n_spans", "kept_sha256", *["kept_text"] * with_text]
+    types = [*[pa.int64()] * 4, *[pa.string()] * (1 + with_text)]
+    columns = list(zip(*rows, strict=True)) if rows else [()] * len(names)
+    return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
 
 def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_text: bool = True) -> DataFrame:
     """(doc_id, n_words, n_removed, n_spans, kept_sha256[, kept_text]) of every row."""
-    texts = windows.identified(docs, doc_id, text)
-    spans = windows.repeated_spans(texts, split, compare, text_grams, WIDTH - 1)
     schema = "doc_id long, n_words long, n_removed long, n_spans long, kept_sha256 string" + (", kept_text string" if with_text else "")
-    return windows.with_spans(texts, spans).mapInArrow(remote(strip, with_text), schema)
+    return windows.without_repeats(windows.identified(docs, doc_id, text), sys.modules[__name__], WIDTH, schema, with_text)
 
 
 @query("op7_substring_dedup")

@@ -15,7 +15,8 @@ Other columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,6 @@ from pyspark.sql import DataFrame
 
 from trialbook.llm import query, windows
 from trialbook.llm.minhash import mix
-from trialbook.llm.tasks import remote
 from trialbook.llm.text import table
 
 WIDTH, GRAM, SHALLOW = 50, 12, 16
@@ -48,14 +48,27 @@ def text_grams(text: bytes) -> np.ndarray:
     return byte_grams(np.frombuffer(text, dtype=np.uint8))
 
 
-def split(text: bytes, frequent: np.ndarray | None) -> Iterator[tuple[int, bytes, int]]:
-    """(minimiser, packed bytes, first byte) of each run of suffixes."""
+def _parts(text: bytes, frequent: np.ndarray | None) -> Iterator[tuple[int, np.ndarray]]:
+    """(first byte, minimiser per window) of each segment of a text."""
     b = np.frombuffer(text, dtype=np.uint8)
     for at in range(0, len(b) - WIDTH + 1, SEGMENT):
-        part = b[at : at + SEGMENT + WIDTH - 1]
-        values = windows.least_of(windows.ordered(byte_grams(part), frequent), WIDTH - GRAM + 1)
-        first, last = windows.runs(values)
-        for key, i, j in zip(values[first].tolist(), (first + at).tolist(), (last + at + WIDTH).tolist(), strict=True):
+        yield at, windows.least_of(windows.ordered(byte_grams(b[at : at + SEGMENT + WIDTH - 1]), frequent), WIDTH - GRAM + 1)
+
+
+def values(text: bytes, frequent: np.ndarray | None) -> Iterator[np.ndarray]:
+    """Minimisers of the runs of windows of a text."""
+    for _, found in _parts(text, frequent):
+        yield found[windows.runs(found)[0]]
+
+
+def split(text: bytes, frequent: np.ndarray | None, travels: Callable | None = None) -> Iterator[tuple[int, bytes, int]]:
+    """(minimiser, packed bytes, first byte) of each run of suffixes, of those that ``travels`` picks by their minimisers."""
+    for at, found in _parts(text, frequent):
+        first, last = windows.runs(found)
+        if travels is not None:
+            picked = travels(found[first])
+            first, last = first[picked], last[picked]
+        for key, i, j in zip(found[first].tolist(), (first + at).tolist(), (last + at + WIDTH).tolist(), strict=True):
             yield key, text[i:j], i
 
 
@@ -149,30 +162,27 @@ def compare(strings: list[bytes], owners: np.ndarray | None) -> list:
     return np.split(least, first[1:])
 
 
-def strip(batches: Iterator[pa.RecordBatch], with_bytes: bool) -> Iterator[pa.RecordBatch]:
-    """Batches of (doc_id, text, starts, stops) without the bytes of the spans."""
+def strip(ids: list, texts: pa.ChunkedArray, spans: list, with_bytes: bool) -> pa.Table:
+    """Rows without the bytes of their spans."""
+    rows = []
+    for one, t, found in zip(ids, texts, spans, strict=True):
+        text = kept = t.as_py().encode()
+        removed = runs = 0
+        if found is not None:
+            first, last = found
+            removed, runs = int((last - first).sum()), len(first)
+            kept = b"".join(text[a:b] for a, b in zip([0, *last.tolist()], [*first.tolist(), len(text)], strict=True))
+        rows.append((one, len(text), removed, runs, hashlib.sha256(kept).hexdigest(), *[kept] * with_bytes))
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * with_bytes]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), *[pa.binary()] * with_bytes]
-    for batch in batches:
-        rows = []
-        for one, t, starts, stops in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            text = kept = t.as_py().encode()
-            removed = runs = 0
-            if starts:
-                first, last = windows.merged(starts, stops)
-                removed, runs = int((last - first).sum()), len(first)
-                kept = b"".join(text[a:b] for a, b in zip([0, *last.tolist()], [*first.tolist(), len(text)], strict=True))
-            rows.append((one, len(text), removed, runs, hashlib.sha256(kept).hexdigest(), *[kept] * with_bytes))
-        columns = list(zip(*rows, strict=True)) if rows else [()] * len(names)
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+    types = [*[pa.int64()] * 4, pa.string(), *[pa.binary()] * with_bytes]
+    columns = list(zip(*rows, strict=True)) if rows else [()] * len(names)
+    return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
 
 def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_bytes: bool = True) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept]) of every row."""
-    texts = windows.identified(docs, doc_id, text)
-    spans = windows.repeated_spans(texts, split, compare, text_grams, WIDTH - 1)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_bytes else "")
-    return windows.with_spans(texts, spans).mapInArrow(remote(strip, with_bytes), schema)
+    return windows.without_repeats(windows.identified(docs, doc_id, text), sys.modules[__name__], WIDTH, schema, with_bytes)
 
 
 @query("op4_suffix_array_dedup")

@@ -3,8 +3,12 @@
 A window is ``width`` consecutive units (words, bytes) of one text. Its minimiser is the smallest
 value among its grams of ``gram`` units. Consecutive windows with the same minimiser travel as one
 packed string to the bucket of that value, so equal windows meet there whatever lies around them.
-A worker holds each packed string once for all the places it has seen it at, and sends one
-compressed block per bucket. In a bucket only values with more than one place are looked at.
+
+Only values that two texts have in common need strings. So values go first, as four bytes each: texts are
+dealt into groups by a hash, a group sends the values of its texts to their buckets, and the buckets
+answer which ones others have too. Then the strings of those values travel, in one compressed block per
+group and bucket that holds each string once for all its places. The spans found go back to the
+groups. All three passes over the texts read one and the same shuffle of them.
 
 Grams that are frequent in a bounded sample of texts come last in the order of minimisers. The order
 never changes a result; it keeps strings around a very common passage from sharing one value.
@@ -24,10 +28,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trialbook.llm.tasks import remote
+from trialbook.llm.minhash import mix
+from trialbook.llm.tasks import remote, remote_pair
 from trialbook.llm.text import whole
 
-BLOCK_BYTES = 16_000_000  # packed text a worker holds before it sends its blocks
+GROUPS_PER_PARTITION = 4
 BUCKETS_PER_PARTITION = 16
 SAMPLE_TEXTS, SAMPLE_CHARS, FREQUENT = 1000, 20_000, 8  # texts, their length at most, and in how many of them a gram is frequent
 _SLOTS = 1 << 20
@@ -101,24 +106,80 @@ def _opened(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     return parts[0], parts[1], parts[2], parts[3].reshape(-1, 3), raw[at:]
 
 
-def send(batches: Iterator[pa.RecordBatch], split: Callable, buckets: int, frequent: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-    """(bucket, block) of batches of (doc_id, text_hash, text); ``split`` gives (key, packed, first unit)."""
-    blocks = Blocks(buckets)
+def digests(values: np.ndarray) -> np.ndarray:
+    """What stands for a minimiser value until its strings travel: a bucket in the lower half, four bytes in the upper."""
+    return mix(values ^ np.uint64(0x5851F42D4C957F2D))
 
-    def out() -> Iterator[pa.RecordBatch]:
-        rows = list(blocks.drain())
-        for at in range(0, len(rows), 512):
-            part = rows[at : at + 512]
-            yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in part], pa.int32()), pa.array([x for _, x in part], pa.binary())], names=["bucket", "block"])
 
+def send_values(batches: Iterator[pa.RecordBatch], values: Callable, buckets: int, frequent: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    """(bucket, g, found, several): the values of each group by bucket, and which of them two of its texts have,
+    from batches of (g, doc_id, text_hash, text)."""
+    own: dict[int, list[np.ndarray]] = {}
+    for batch in batches:
+        for g, t in zip(batch.column(0).to_pylist(), batch.column(3), strict=True):
+            parts = [np.unique(v) for v in values(t.as_py().encode(), frequent)]
+            if parts:
+                own.setdefault(g, []).append(parts[0] if len(parts) == 1 else np.unique(np.concatenate(parts)))
+    for g, parts in own.items():
+        found, counts = np.unique(digests(np.concatenate(parts)), return_counts=True)
+        bucket = ((found & np.uint64(0xFFFFFFFF)) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        bucket, upper, twice = bucket[order], (found[order] >> np.uint64(32)).astype(np.uint32), counts[order] > 1
+        cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        stop = np.append(cut[1:], len(bucket))
+        yield pa.RecordBatch.from_arrays([
+            pa.array(bucket[cut], pa.int32()), pa.array(np.full(len(cut), g), pa.int32()),
+            pa.array([upper[i:j].tobytes() for i, j in zip(cut, stop, strict=True)], pa.binary()),
+            pa.array([np.packbits(twice[i:j]).tobytes() for i, j in zip(cut, stop, strict=True)], pa.binary())], names=["bucket", "g", "found", "several"])
+
+
+def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
+    """The rows of each bucket, from batches sorted by their first column."""
+    now, held = None, []
     for batch in batches:
-        for one, h, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+        for bucket, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if bucket != now:
+                if held:
+                    yield now, held
+                now, held = bucket, []
+            held.append(rest)
+    if held:
+        yield now, held
+
+
+def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(g, bucket, shared): the values of each group that another text has too."""
+    for bucket, rows in by_bucket(batches):
+        parts = [np.frombuffer(found, np.uint32) for _, found, _ in rows]
+        twice = [np.unpackbits(np.frombuffer(s, np.uint8), count=len(v)) for v, (_, _, s) in zip(parts, rows, strict=True)]
+        distinct, at = np.unique(np.concatenate(parts), return_inverse=True)
+        shared = np.bincount(at, weights=1 + np.concatenate(twice), minlength=len(distinct)) > 1
+        mine = np.split(shared[at], np.cumsum([len(v) for v in parts])[:-1])
+        out = [(g, v[m].tobytes()) for (g, _, _), v, m in zip(rows, parts, mine, strict=True) if m.any()]
+        if out:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([g for g, _ in out], pa.int32()), pa.array([bucket] * len(out), pa.int32()), pa.array([x for _, x in out], pa.binary())], names=["g", "bucket", "shared"])
+
+
+def send_strings(texts: pa.Table, shared: pa.Table, split: Callable, values_in: int, buckets: int, frequent: np.ndarray | None) -> pa.Table:
+    """(bucket, block) of one group: (g, doc_id, text_hash, text) and the answers (g, bucket, shared)."""
+    blocks = Blocks(buckets)
+    known = [np.uint64(b) << np.uint64(32) | np.frombuffer(x, np.uint32).astype(np.uint64) for b, x in zip(shared.column(1).to_pylist(), shared.column(2).to_pylist(), strict=True)]
+    if known:
+        wanted = np.sort(np.concatenate(known))
+
+        def travels(values: np.ndarray) -> np.ndarray:
+            d = digests(values)
+            one = ((d & np.uint64(0xFFFFFFFF)) % np.uint64(values_in)) << np.uint64(32) | (d >> np.uint64(32))
+            at = np.minimum(np.searchsorted(wanted, one), len(wanted) - 1)
+            return np.flatnonzero(wanted[at] == one)
+
+        for one, h, t in zip(texts.column(1).to_pylist(), texts.column(2).to_pylist(), texts.column(3), strict=True):
             one = NULL_ID if one is None else one
-            for key, packed, start in split(t.as_py().encode(), frequent):
+            for key, packed, start in split(t.as_py().encode(), frequent, travels):
                 blocks.add(key, packed, (one, h, start))
-            if blocks.size > BLOCK_BYTES:
-                yield from out()
-    yield from out()
+    rows = list(blocks.drain())
+    return pa.table({"bucket": pa.array([b for b, _ in rows], pa.int32()), "block": pa.array([x for _, x in rows], pa.binary())})
 
 
 def _groups(blocks: list[bytes]) -> Iterator[dict[bytes, list[np.ndarray]]]:
@@ -175,16 +236,8 @@ def meet(batches: Iterator[pa.RecordBatch], compare: Callable, tail: int) -> Ite
             ids = pa.array(rows[:, 0], mask=rows[:, 0] == NULL_ID)
             yield pa.RecordBatch.from_arrays([ids, *[pa.array(rows[:, i]) for i in (1, 2, 3)]], names=names)
 
-    now, held = None, []
-    for batch in batches:
-        for bucket, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            if bucket != now:
-                if held:
-                    yield from spans(held)
-                now, held = bucket, []
-            held.append(block)
-    if held:
-        yield from spans(held)
+    for _, rows in by_bucket(batches):
+        yield from spans([block for (block,) in rows])
 
 
 def frequent_grams(texts: DataFrame, grams: Callable) -> np.ndarray:
@@ -202,25 +255,38 @@ def identified(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(whole(text)).alias("text_hash"), whole(text).alias("text"))
 
 
-def repeated_spans(texts: DataFrame, split: Callable, compare: Callable, grams: Callable, tail: int) -> DataFrame:
-    """(doc_id, text_hash, start, stop) of units to remove, in pieces that may touch or overlap."""
-    partitions = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    frequent = frequent_grams(texts, grams)
-    blocks = texts.mapInArrow(remote(send, split, partitions * BUCKETS_PER_PARTITION, frequent), "bucket int, block binary")
-    return blocks.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(remote(meet, compare, tail), SPANS)
-
-
-def with_spans(texts: DataFrame, spans: DataFrame) -> DataFrame:
-    """(doc_id, text, starts, stops) of every row, with the spans of its document."""
-    by = spans.groupBy("doc_id", "text_hash").agg(F.collect_list("start").alias("starts"), F.collect_list("stop").alias("stops"))
-    by = by.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "starts", "stops")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
-    return texts.join(by, same, "left").select("doc_id", "text", "starts", "stops")
+def without_repeats(texts: DataFrame, module, width: int, schema: str, *options) -> DataFrame:
+    """What ``module.strip(ids, texts, spans, *options)`` makes of every row and its spans to remove.
 
-
-def merged(starts: list[int], stops: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Maximal runs covered by the spans."""
-    order = np.argsort(starts, kind="stable")
-    first, reach = np.asarray(starts)[order], np.maximum.accumulate(np.asarray(stops)[order])
-    cut = np.flatnonzero(first[1:] > reach[:-1]) + 1
-    return first[np.append(0, cut)], reach[np.append(cut - 1, len(first) - 1)]
+    ``module`` has ``values`` and ``split`` for texts, ``compare`` for strings of a bucket and ``text_grams``.
+    """
+    partitions = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    frequent = frequent_grams(texts, module.text_grams)
+    group = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(partitions * GROUPS_PER_PARTITION)).cast("int").alias("g")
+    dealt = texts.select(group, "doc_id", "text_hash", "text").repartition(partitions, "g")
+    values = dealt.mapInArrow(remote(send_values, module.values, partitions, frequent), "bucket int, g int, found binary, several binary")
+    answers = values.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(remote(answer), "g int, bucket int, shared binary")
+    strings = remote_pair(send_strings, module.split, partitions, partitions * BUCKETS_PER_PARTITION, frequent)
+    blocks = dealt.groupBy("g").cogroup(answers.groupBy("g")).applyInArrow(strings, "bucket int, block binary")
+    spans = blocks.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(remote(meet, module.compare, width - 1), SPANS)
+    spans = spans.select(group, "doc_id", "text_hash", "start", "stop")
+    return dealt.groupBy("g").cogroup(spans.groupBy("g")).applyInArrow(remote_pair(remove, module.strip, *options), schema)
+
+
+def remove(texts: pa.Table, spans: pa.Table, strip: Callable, *options) -> pa.Table:
+    """The rows of one group without their spans: (g, doc_id, text_hash, text) and (g, doc_id, text_hash, start, stop)."""
+    ids, hashes, starts, stops = (spans.column(i).fill_null(NULL_ID).to_numpy() for i in (1, 2, 3, 4))
+    order = np.lexsort((starts, hashes, ids))
+    ids, hashes, starts, stops = ids[order], hashes[order], starts[order], stops[order]
+    cut = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (hashes[1:] != hashes[:-1]))) if len(ids) else []
+    own = {(int(ids[a]), int(hashes[a])): merged(starts[a:b], stops[a:b]) for a, b in zip(cut, [*cut[1:], len(ids)], strict=True)} if len(ids) else {}
+    keys = zip(texts.column(1).to_pylist(), texts.column(2).to_pylist(), strict=True)
+    found = [own.get((NULL_ID if i is None else i, h)) for i, h in keys]
+    return strip(texts.column(1).to_pylist(), texts.column(3), found, *options)
+
+
+def merged(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Maximal runs covered by spans that are sorted by their starts."""
+    reach = np.maximum.accumulate(stops)
+    cut = np.flatnonzero(starts[1:] > reach[:-1]) + 1
+    return starts[np.append(0, cut)], reach[np.append(cut - 1, len(starts) - 1)]
