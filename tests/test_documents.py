@@ -121,3 +121,15 @@ def test_listing_rejects_and_namespace(spark, tmp_path):
     assert rejects.count() == 2
     assert documents.foreign_documents(spark, path, "http://example.org/ns").count() == 0
     assert documents.foreign_documents(spark, path, "http://elsewhere").count() == 1
+
+
+def test_flows_of_any_depth(spark, tmp_path):
+    """A chain of nine flows is written whole; a flow that contains itself, or an unknown one, is an error."""
+    nodes = spark.range(1, 10).selectExpr("id AS flow_id", "concat('f', id) AS name", "'1' AS external_version")
+    edges = spark.range(1, 9).selectExpr("id AS parent", "'part' AS identifier", "id + 1 AS child")
+    documents.write_flows(nodes, edges, str(tmp_path / "chain"))
+    text = "".join(p.read_text() for p in (tmp_path / "chain").glob("part-*"))
+    assert all(text.count(f">f{k}<") == 1 for k in range(1, 10))
+    for extra in ((9, "part", 1), (9, "part", 77)):
+        with pytest.raises(ValueError, match="contain themselves or unknown"):
+            documents.write_flows(nodes, edges.union(spark.createDataFrame([extra], edges.schema)), str(tmp_path / f"bad{extra[2]}"))

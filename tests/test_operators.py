@@ -189,9 +189,20 @@ def test_last_sample_counts(spark):
     p = spark.createDataFrame([(0, 0, 0, "a", "b"), (0, 0, 2, "a", "a"), (0, 1, 0, "b", "a")], "repeat int, fold int, sample int, prediction string, correct string")
     each, fold = scores.local_measures(p, "classification")
     assert rows(fold, "repeat", "fold", "value") == [(0, 0, 1.0), (0, 1, 0.0)]
-    assert rows(scores.python_metric_by_fold(p, [], "correct", lambda t, y: float((t == y).mean()))) == [(0, 0, 1.0), (0, 1, 0.0)]
-    with pytest.raises(ValueError, match="too large"):
-        scores.python_metric_by_fold(p, [], "correct", lambda t, y: 0.0, max_rows=0)
+
+    class Accuracy:
+        def partial(self, truth, guess):
+            return int((truth == guess).sum()), len(truth)
+
+        def merge(self, a, b):
+            return a[0] + b[0], a[1] + b[1]
+
+        def finish(self, state):
+            return state[0] / state[1]
+
+    assert rows(scores.python_metric_by_fold(p, [], "correct", Accuracy())) == [(0, 0, 1.0), (0, 1, 0.0)]
+    many = p.filter("fold = 1").crossJoin(spark.range(1000)).drop("id").union(p.filter("fold = 0")).repartition(7)
+    assert rows(scores.python_metric_by_fold(many, [], "correct", Accuracy())) == [(0, 0, 1.0), (0, 1, 0.0)]
     assert rows(scores.domain_violations(p, ["a"])) == [("correct", "b", 1), ("prediction", "b", 1)]
 
 
@@ -230,16 +241,12 @@ def test_baselines_against_numpy(spark):
             assert most[repeat, i] == int(np.argmax(np.bincount(y[train], minlength=3)))
 
 
-def test_small_cells_leave_the_large_ones(spark):
-    t = spark.range(3_000).selectExpr("CASE WHEN id < 2500 THEN 'hot' ELSE concat('k', id % 100) END AS task", "id AS rowid",
-                                      "CASE WHEN id % 3 = 0 THEN 'TEST' ELSE 'TRAIN' END AS type", "double(id) AS y", "double(id) AS q")
-    done, large = models.run_small_cells(t, ["task"], lambda train, test: np.full(len(test["q"]), train["y"].mean()), ["q"], max_rows=1_000)
-    expected = t.filter("type = 'TRAIN'").groupBy("task").agg(F.avg("y").alias("m")).join(t.filter("type = 'TEST' AND task <> 'hot'"), "task")
-    assert sorted((r["task"], r["row_id"], r["prediction"], r["truth"]) for r in done.collect()) == sorted(
-        (r["task"], r["rowid"], r["m"], r["y"]) for r in expected.collect())
-    assert large.count() == 2_500
-    whole, none = models.run_small_cells(t, ["task"], lambda train, test: test["q"], ["q"])
-    assert whole.count() == 1_000 and none.count() == 0
+def test_lines_by_cell_of_any_size(spark):
+    t = spark.range(3_000).selectExpr("CASE WHEN id < 2500 THEN 'hot' ELSE concat('k', id % 100) END AS task", "id AS rowid", "id % 3 AS fold",
+                                      "id * 3000000000 + 7 AS y", "id * 1000 AS x").union(spark.sql("SELECT 'alone', 1L, 0L, 5L, 5L"))
+    found = {(r["task"], r["row_id"]): r for r in models.fit_lines(t, ["task"], "fold", "x", "y").collect()}
+    assert len(found) == 3_001 and found["alone", 1]["prediction"] is None
+    assert all(abs(r["prediction"] - r["truth"]) < 1e-3 * max(1.0, r["truth"]) for (task, _), r in found.items() if task == "hot")
 
 
 def test_run_cells_gives_every_class_a_confidence(spark):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from trialbook.functions.params import as_number
 from trialbook.plans.scan import exact_quantiles, join_groups, value_counts_running
+from trialbook.session import stage
 
 # A wide frame with more parameter columns than this is refused; the long form has no such limit.
 MAX_WIDE_COLUMNS = 5_000
@@ -133,6 +134,8 @@ def importance(frame: DataFrame, parameter: str, value: str, low: float, high: f
 
 def flow_ranks(evaluations: DataFrame, descending: bool = True) -> DataFrame:
     """Mean rank of each flow over datasets (1 is best; equal values share the lower rank)."""
+    # Written once, so that both sides of the join have the very same values.
+    evaluations = stage(evaluations.select("did", "flow_id", "value"), "values")
     table = value_counts_running(evaluations, ["did"], "value", descending)
     ranks = table.select("did", "value", (F.col("upto") - F.col("n") + 1).alias("rank"))
     return evaluations.join(ranks, ["did", "value"]).groupBy("flow_id").agg(

@@ -21,7 +21,7 @@ TASK_TYPES = {
 # The states a dataset may be in.
 DATASET_STATES = ("active", "deactivated", "in_preparation")
 
-# Pages that end within this many rows are cut by a top-n; later pages by global row numbers.
+# Pages that end within this many rows are cut by a top-n; later pages by global row numbers, with the same rows in the same order.
 TOP_ROWS = 20_000
 
 Ids = int | str | Sequence | DataFrame | None
@@ -57,7 +57,7 @@ def tagged(df: DataFrame, key: str, tags: DataFrame, tag: str | Sequence[str] |
 
 
 def page(df: DataFrame, order: Sequence[str | Column], size: int | None = None, offset: int = 0) -> DataFrame:
-    """Rows ``offset`` to ``offset + size`` in a stable order."""
+    """Rows ``offset`` to ``offset + size``, ordered whatever the size of the page."""
     if size is None and not offset:
         return df
     if size is not None and offset + size <= TOP_ROWS:
@@ -65,7 +65,7 @@ def page(df: DataFrame, order: Sequence[str | Column], size: int | None = None,
     numbered = row_numbers(df, [], order, "_n").filter(F.col("_n") > offset)
     if size is not None:
         numbered = numbered.filter(F.col("_n") <= offset + size)
-    return numbered.drop("_n")
+    return numbered.orderBy("_n").drop("_n")
 
 
 def page_after(df: DataFrame, key: str, last, size: int) -> DataFrame:
@@ -103,11 +103,17 @@ def list_tasks(
     tasks: DataFrame, datasets: DataFrame, qualities: DataFrame, procedures: DataFrame,
     data_tags: DataFrame, quality_names: Sequence[str], *, task_type: Ids = None, data_tag=None,
     status: str | None = None, data_name: str | None = None, data_id: Ids = None,
-    ranges: dict[str, int | str | tuple] | None = None, offset: int = 0, size: int | None = None,
+    ranges: dict[str, int | str | tuple] | None = None, tags: DataFrame | None = None, tag=None,
+    offset: int = 0, size: int | None = None,
 ) -> DataFrame:
-    """Tasks of known types with procedure names and qualities (0 where a quality is absent)."""
+    """Tasks of known types with procedure names and qualities (0 where a quality is absent).
+
+    ``data_tags`` is (did, tag), ``tags`` (task_id, tag).
+    """
     out = matches(tasks.filter(F.col("ttid").isin(list(TASK_TYPES))), "ttid", task_type)
     out = tagged(matches(out, "did", data_id), "did", data_tags, data_tag)
+    if tag is not None:
+        out = tagged(out, "task_id", tags, tag)
     about = datasets.select("did", "name", "status")
     out = out.join(matches(matches(about, "status", status), "name", data_name), "did")
     out = with_procedure_names(out, procedures)
@@ -165,10 +171,13 @@ def list_setups(
 def list_evaluations(
     fold_evaluations: DataFrame, function: str, *, tasks: Ids = None, setups: Ids = None, flows: Ids = None,
     runs: Ids = None, uploaders: Ids = None, run_table: DataFrame | None = None, study: int | None = None,
-    study_members: DataFrame | None = None, per_fold: bool = False, sort_order: str | None = None,
-    offset: int = 0, size: int | None = None,
+    study_members: DataFrame | None = None, tags: DataFrame | None = None, tag=None, per_fold: bool = False,
+    sort_order: str | None = None, offset: int = 0, size: int | None = None,
 ) -> DataFrame:
-    """One row per evaluation of a metric; ``per_fold`` gives ``values`` by fold in place of ``value``."""
+    """One row per evaluation of a metric; ``per_fold`` gives ``values`` by fold in place of ``value``.
+
+    ``tags`` is (run_id, tag); ``tag`` keeps the evaluations of runs that carry it.
+    """
     if sort_order not in (None, "asc", "desc"):
         raise ValueError("sort_order is 'asc' or 'desc'")
     out = fold_evaluations.filter(F.col("function") == function)
@@ -178,13 +187,15 @@ def list_evaluations(
         out = matches(out, "run_id", matches(run_table, "uploader", uploaders).select("run_id"))
     if study is not None:
         out = matches(out, "run_id", study_members.filter(F.col("study_id") == study).select("run_id"))
+    if tag is not None:
+        out = tagged(out, "run_id", tags, tag)
     ids = ["run_id", "task_id", "flow_id", "setup_id", "function"]
     if per_fold:
         by_fold = F.array_sort(F.collect_list(F.struct("repeat", "fold", F.col("value").alias("v"))))
         out = out.groupBy(*ids).agg(F.transform(by_fold, lambda e: e["v"]).alias("values"))
         out = out.withColumn("value", F.lit(None).cast("double"))
         return page(out, ["run_id", "task_id", "setup_id"], size, offset)
-    out = out.groupBy(*ids).agg(F.round(F.avg("value"), 6).alias("value"))
+    out = out.groupBy(*ids).agg(F.avg("value").alias("value"))
     out = out.withColumn("values", F.lit(None).cast("array<double>"))
     return top(out, "value", sort_order, ["run_id", "task_id", "setup_id"], size, offset)
 

@@ -8,12 +8,10 @@ cell, each cell a distributed fit.
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-import numpy as np
-import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -157,75 +155,24 @@ def run_cells(estimator, placed: DataFrame, cells: Iterable[tuple[int, ...]], la
     return Run(reduce(DataFrame.unionByName, parts), timings)
 
 
-Arrays = dict[str, np.ndarray]
-
-
-def _groups(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[pa.Table]:
-    """Runs of equal keys in sorted batches; holds one group and one batch at a time."""
-    rest: pa.Table | None = None
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        table = table if rest is None else pa.concat_tables([rest, table])
-        if not len(table):
-            continue
-        changed = np.zeros(len(table) - 1, dtype=bool)
-        for k in keys:
-            v = table.column(k).to_numpy()
-            changed |= v[1:] != v[:-1]
-        edges = [0, *(np.flatnonzero(changed) + 1).tolist()]
-        for start, end in zip(edges, edges[1:]):
-            yield table.slice(start, end - start)
-        rest = table.slice(edges[-1])
-    if rest is not None and len(rest):
-        yield rest
-
-
-def run_small_cells(
-    cell_rows: DataFrame, keys: Sequence[str], fit_predict: Callable[[Arrays, Arrays], np.ndarray],
-    inputs: Sequence[str], max_rows: int = 1_000_000,
-) -> tuple[DataFrame, DataFrame]:
-    """Many small cells at once: ``fit_predict(train, test)`` gets one cell as arrays by column.
-
-    Cells are shuffled and sorted by key and streamed through each task in Arrow batches, so a
-    task holds one cell at a time. Returns (predictions, rows of cells beyond ``max_rows``). The
-    latter are not worked on here: the caller runs them where a fit is distributed.
+def fit_lines(rows: DataFrame, keys: Sequence[str], fold: str, x: str, y: str) -> DataFrame:
+    """A least-squares line of ``y`` on ``x`` for every cell, fitted without the cell's own fold, at its own rows.
+
+    ``rows`` is (keys.., fold, rowid, x, y), each row in one fold. A cell's training sums are the totals of
+    its key less the fold's own, so no row is copied and a cell may have any size. Sums are
+    decimals, which do not overflow. Where x never varies the prediction is the mean; where a cell
+    has no training row it is NULL.
     """
-    sizes = cell_rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    large = sizes.filter(F.col("_n") > max_rows).select(*keys)
-    small_rows = cell_rows.join(large, list(keys), "left_anti")
-    types = dict(cell_rows.dtypes)
-    schema = ", ".join([*[f"`{k}` {types[k]}" for k in keys], f"row_id {types['rowid']}", "prediction double", "truth double"])
-    columns = ["rowid", "y", *inputs]
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done: list[tuple] = []
-        held = 0
-        for cell in _groups(batches, keys):
-            values = {c: cell.column(c).to_numpy() for c in columns}
-            is_test = cell.column("_test").to_numpy()
-            if not is_test.any():
-                continue
-            test = {c: v[is_test] for c, v in values.items()}
-            guess = fit_predict({c: v[~is_test] for c, v in values.items()}, test)
-            done.append(([cell.column(k)[0].as_py() for k in keys], test["rowid"], np.asarray(guess, dtype=float), test["y"].astype(float)))
-            held += len(guess)
-            if held >= 10_000:
-                yield _batch(done, keys, cell.schema)
-                done, held = [], 0
-        if done:
-            yield _batch(done, keys, cell.schema)
-
-    ready = small_rows.select(*keys, *columns, (F.col("type") == "TEST").alias("_test"))
-    streamed = ready.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(work, schema)
-    return streamed, cell_rows.join(large, list(keys), "left_semi")
-
-
-def _batch(done: list[tuple], keys: Sequence[str], schema: pa.Schema) -> pa.RecordBatch:
-    lengths = [len(d[1]) for d in done]
-    columns = [pa.array([d[0][i] for d in done], schema.field(k).type).take(pa.array(np.repeat(np.arange(len(done)), lengths)))
-               for i, k in enumerate(keys)]
-    rest = [pa.array(np.concatenate([d[i] for d in done])) for i in (1, 2, 3)]
-    return pa.RecordBatch.from_arrays([*columns, *rest], names=[*keys, "row_id", "prediction", "truth"])
+    a, b = F.col(x).cast("decimal(38,0)"), F.col(y).cast("decimal(38,0)")
+    sums = {"n": F.count(F.lit(1)), "sx": F.sum(a), "sy": F.sum(b), "sxy": F.sum(a * b), "sxx": F.sum(a * a)}
+    own = rows.groupBy(*keys, fold).agg(*[c.alias(k) for k, c in sums.items()])
+    totals = own.groupBy(*keys).agg(*[F.sum(k).alias(f"_{k}") for k in sums])
+    train = own.join(totals, list(keys)).select(*keys, fold, *[(F.col(f"_{k}") - F.col(k)).cast("double").alias(f"_{k}") for k in sums])
+    spread = F.expr("_n * _sxx - _sx * _sx")
+    at = F.col(x).cast("double")
+    line = (F.expr("_sy * _sxx - _sx * _sxy") + F.expr("_n * _sxy - _sx * _sy") * at) / spread
+    guess = F.when(spread > 0, line).when(F.col("_n") > 0, F.expr("_sy / _n"))
+    return rows.join(train, [*keys, fold]).select(*keys, fold, F.col("rowid").alias("row_id"), guess.alias("prediction"), F.col(y).cast("double").alias("truth"))
 
 
 def search(

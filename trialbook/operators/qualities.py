@@ -31,8 +31,10 @@ def simple(df: DataFrame, features: Sequence[Feature]) -> DataFrame:
     numeric = sum(f.data_type == "numeric" for f in features)
     nominal = sum(f.data_type == "nominal" for f in features)
     binary = sum(f.data_type == "nominal" and len(f.nominal_values or ()) == 2 for f in features)
-    gaps = [F.col(f.name).isNull().cast("long") for f in features]
-    one = df.select(reduce(lambda a, b: a + b, gaps).alias("g")).agg(
+    # Gaps are counted in arrays of some columns each, so a wide table makes no deep expression.
+    names = [f.name for f in features]
+    gaps = [F.size(F.filter(F.array(*[F.col(n).isNull() for n in names[i:i + COLUMNS_PER_PASS]]), lambda x: x)) for i in range(0, len(names), COLUMNS_PER_PASS)]
+    one = df.select(F.aggregate(F.array(*gaps), F.lit(0).cast("long"), lambda a, x: a + x).alias("g")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("g").alias("missing"), F.count_if(F.col("g") > 0).alias("incomplete"))
     n, width = F.col("n"), F.lit(float(len(features)))
     missing, incomplete = F.coalesce("missing", F.lit(0)), F.col("incomplete")

@@ -6,7 +6,9 @@ prediction rows are never joined or collected by fold.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import pickle
+from collections.abc import Iterator, Sequence
+from functools import reduce
 from typing import Any
 
 import pandas as pd
@@ -16,8 +18,6 @@ from pyspark.sql import functions as F
 from trialbook.plans.scan import running
 
 CELL = ["repeat", "fold"]
-# A user's Python metric sees one fold as one pandas frame, so its size is limited.
-MAX_PANDAS_ROWS = 5_000_000
 
 
 def accuracy() -> Column:
@@ -46,25 +46,33 @@ def metric_by_fold(predictions: DataFrame, ids: Sequence[str], metric: Column) -
     return last_sample(by_sample(predictions, ids, metric), ids)
 
 
-def python_metric_by_fold(
-    predictions: DataFrame, ids: Sequence[str], truth: str, fn: Callable[[pd.Series, pd.Series], float],
-    max_rows: int = MAX_PANDAS_ROWS,
-) -> DataFrame:
-    """A metric given as ``fn(y_true, y_pred)``; a fold beyond ``max_rows`` is refused by name."""
+def python_metric_by_fold(predictions: DataFrame, ids: Sequence[str], truth: str, metric: Any) -> DataFrame:
+    """A metric in Python for folds of any size, one score per fold.
+
+    ``metric`` has ``partial(y_true, y_pred)``, a state of some rows as arrays, ``merge(a, b)`` of two
+    states, and ``finish(state)``, the score. Every batch of a task becomes one state per fold, and only
+    the states of the folds travel.
+    """
     keys = [*ids, *CELL]
     last = predictions.groupBy(*keys).agg(F.max("sample").alias("_last"))
-    sizes = predictions.groupBy(*keys, "sample").agg(F.count(F.lit(1)).alias("n"))
-    big = sizes.filter(F.col("n") > max_rows).limit(1).collect()
-    if big:
-        raise ValueError(f"fold {big[0].asDict()} is too large for a Python metric; give an aggregate column")
-    kept = predictions.join(last, keys).filter(F.col("sample") == F.col("_last"))
+    kept = predictions.join(last, keys).filter(F.col("sample") == F.col("_last")).select(*keys, truth, "prediction")
     types = dict(predictions.dtypes)
-    schema = ", ".join([*[f"`{k}` {types[k]}" for k in keys], "value double"])
+    cells = ", ".join(f"`{k}` {types[k]}" for k in keys)
+
+    def parts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        states: dict[tuple, Any] = {}
+        for frame in frames:
+            for key, rows in frame.groupby(keys, dropna=False):
+                state = metric.partial(rows[truth].to_numpy(), rows["prediction"].to_numpy())
+                states[key] = metric.merge(states[key], state) if key in states else state
+        yield pd.DataFrame([[*k, pickle.dumps(v)] for k, v in states.items()], columns=[*keys, "state"])
 
     def score(key: tuple[Any, ...], frame: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame([[*key, float(fn(frame[truth], frame["prediction"]))]], columns=[*keys, "value"])
+        state = reduce(metric.merge, map(pickle.loads, frame["state"]))
+        return pd.DataFrame([[*key, float(metric.finish(state))]], columns=[*keys, "value"])
 
-    return kept.select(*keys, truth, "prediction").groupBy(*keys).applyInPandas(score, schema)
+    states = kept.mapInPandas(parts, f"{cells}, state binary")
+    return states.groupBy(*keys).applyInPandas(score, f"{cells}, value double")
 
 
 def domain_violations(predictions: DataFrame, labels: Sequence[str]) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from trialbook.operators import listing, members
 from trialbook.plans.bindings import QUALITY_NAMES
 from trialbook.queries import query
+from trialbook.queries.analysis import round_to
 
 _Q4 = """"NumberOfInstances", "NumberOfClasses", "NumberOfFeatures", "NumberOfMissingValues\""""
 
@@ -83,7 +84,7 @@ def _(r):
     flows = r.table("supplier").filter("s_acctbal > 5000").select("s_suppkey")
     builders = r.table("customer").filter("c_mktsegment = 'BUILDING'").select("c_custkey")
     out = listing.list_evaluations(r.fold_evaluations(), "A", flows=flows, uploaders=builders, run_table=r.runs())
-    return out.withColumn("values", F.lit(None).cast("string"))
+    return round_to(out.withColumn("values", F.lit(None).cast("string")), 6, "value")
 
 
 @query("lst_06_list_evaluations_per_fold", needs=["fold_evaluations"], sql="""

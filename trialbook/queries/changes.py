@@ -119,11 +119,9 @@ WITH c AS (SELECT user_id AS did, user_id % 5 AS "index", repeat('http://o/' ||
 e AS (SELECT did, "index", url, op, seq FROM c WHERE length(url) <= 256 AND op IN ('add', 'remove') UNION ALL SELECT p_partkey, p_partkey % 5, 'http://o/1', 'add', -1 FROM part)
 SELECT did, "index", url FROM (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY did, "index", url ORDER BY seq DESC) = 1) WHERE op = 'add'""")
 def _(r):
-    log = tag_log(r)
-    e = r.table("events").select(
-        F.col("user_id").alias("did"), (F.col("user_id") % 5).alias("index"), F.col("event_id").alias("seq"),
+    c = r.table("events").select(
+        F.expr(_OP).alias("op"), F.col("user_id").alias("did"), (F.col("user_id") % 5).alias("index"), F.col("event_id").alias("seq"),
         F.expr("repeat(concat('http://o/', get_json_object(props, '$.k')), IF(event_id % 17 = 0, 30, 1))").alias("url"))
-    c = e.join(log.select("seq", "op"), "seq")
     current = r.table("part").select(F.col("p_partkey").alias("did"), (F.col("p_partkey") % 5).alias("index"), F.lit("http://o/1").alias("url"))
     return changes.apply_ontologies(current, c)[0]
 

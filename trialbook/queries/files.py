@@ -53,6 +53,21 @@ def _(r):
     return arff.read_sparse(r.spark, path)[0]
 
 
+@query("src_05_sparse_dataset", sql="""
+SELECT rk AS rowid, CAST(count(*) FILTER (abs(v) >= 0.3) AS BIGINT) AS n, coalesce(sum(i - 1) FILTER (abs(v) >= 0.3), 0)::BIGINT AS places, 64 AS width
+FROM (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS rk, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings) GROUP BY rk""")
+def _(r):
+    """Vectors of a sparse file, those of rows without an entry too."""
+    path = new_path(r.spark, "vectors")
+    kept = F.transform("embedding", lambda v: F.when(F.abs(v) >= 0.3, v).otherwise(F.lit(0.0).cast("float")))
+    wide = r.table("embeddings").select(F.col("vec_id").alias("rowid"), kept.alias("e"))
+    arff.write_sparse(wide.select("rowid", *[F.col("e")[i].alias(f"x{i}") for i in range(64)]), path, "vectors")
+    vector = F.from_json(F.to_json(F.struct("features")), "features struct<size: int, indices: array<int>, values: array<double>>")["features"]
+    read = tables.read_preferred(r.spark, None, path).select("rowid", vector.alias("v"))
+    places = F.aggregate("v.indices", F.lit(0).cast("long"), lambda a, i: a + i)
+    return read.select("rowid", F.size("v.indices").cast("long").alias("n"), places.alias("places"), F.col("v.size").alias("width"))
+
+
 @query("src_03_gzipped_arff", sql=ORDERS)
 def _(r):
     path = new_path(r.spark, "orders-gz")
@@ -199,7 +214,7 @@ def _(r):
     path = new_path(r.spark, "flows")
     seed = F.array(F.struct(F.lit("seed").alias("name"), F.lit("integer").alias("data_type"), (F.col("flow_id") % 7).cast("string").alias("default_value")))
     nodes = r.flows().select("flow_id", "name", "external_version", seed.alias("parameter"))
-    documents.write_flows(nodes, r.flow_edges(), path, 5)
+    documents.write_flows(nodes, r.flow_edges(), path)
     back = documents.flow_nodes(r.spark, path, 5)
     return back.select("root_id", F.array_join("path", ".").alias("path"), "flow_id", "name", "external_version",
                        F.col("parameters")[0]["default_value"].cast("int").alias("seed"))

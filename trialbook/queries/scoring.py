@@ -125,12 +125,29 @@ def _(r):
     return round_to(scores.metric_by_fold(predictions(r), [], scores.accuracy()), 9, "value")
 
 
+class Median:
+    """The median absolute error from counts of distinct errors, as an example of a metric in parts."""
+
+    def partial(self, truth, prediction):
+        values, counts = np.unique(np.abs(prediction - truth), return_counts=True)
+        return values, counts
+
+    def merge(self, a, b):
+        values, at = np.unique(np.concatenate([a[0], b[0]]), return_inverse=True)
+        return values, np.bincount(at, weights=np.concatenate([a[1], b[1]])).astype(np.int64)
+
+    def finish(self, state):
+        values, upto = state[0], np.cumsum(state[1])
+        low, high = (values[np.searchsorted(upto, k, side="right")] for k in ((upto[-1] - 1) // 2, upto[-1] // 2))
+        return (low + high) / 2
+
+
 @query("agg_02_python_metric", sql=f"""
 WITH {P} SELECT repeat, fold, round(quantile_cont(abs(estimate - truth), 0.5), 4) AS value FROM p
 WHERE (repeat, fold, sample) IN (SELECT (repeat, fold, max(sample)) FROM p GROUP BY repeat, fold) GROUP BY 1, 2""")
 def _(r):
     p = predictions(r).withColumn("prediction", F.col("estimate"))
-    return round_to(scores.python_metric_by_fold(p, [], "truth", lambda t, e: (e - t).abs().median()), 4, "value")
+    return round_to(scores.python_metric_by_fold(p, [], "truth", Median()), 4, "value")
 
 
 @query("agg_02_domain_violations", sql=f"""
@@ -279,45 +296,32 @@ def _(r):
     return models.run_cells(DecisionTreeClassifier(maxDepth=2, seed=1), placed, cells, ["0", "1"]).predictions
 
 
-@query("run_01_many_small_tasks", sql="""
-WITH x AS (SELECT l_partkey AS task_id, l_linenumber % 2 AS part, l_orderkey * 10 + l_linenumber AS row_id, CAST(l_quantity AS BIGINT) AS q, CAST(round(l_extendedprice * 100) AS BIGINT) AS y FROM lineitem),
-m AS (SELECT task_id, f.fold, count(*) AS n, CAST(sum(q) AS BIGINT) AS sq, CAST(sum(y) AS BIGINT) AS sy, CAST(sum(q * y) AS BIGINT) AS sqy, CAST(sum(q * q) AS BIGINT) AS sqq
- FROM x JOIN (SELECT unnest([0, 1]) AS fold) f ON x.part <> f.fold GROUP BY 1, 2)
-SELECT x.task_id, x.part AS fold, x.row_id, CASE WHEN n * sqq > sq * sq THEN CAST(sy * sqq - sq * sqy + (n * sqy - sq * sy) * q AS DOUBLE) / (n * sqq - sq * sq) ELSE CAST(sy AS DOUBLE) / n END AS prediction,
- CAST(x.y AS DOUBLE) AS truth FROM x JOIN m ON m.task_id = x.task_id AND m.fold = x.part""")
-def _(r):
-    """A least-squares line per part and fold, in whole cents; a row's fold is its line number's parity."""
+def _lines_sql(task: str) -> str:
+    return f"""
+WITH x AS (SELECT {task} AS task_id, l_linenumber % 2 AS part, l_orderkey * 10 + l_linenumber AS row_id, CAST(l_quantity AS BIGINT) AS q, CAST(round(l_extendedprice * 100) AS BIGINT) AS y FROM lineitem),
+s AS (SELECT task_id, part, count(*) AS n, sum(q) AS sq, sum(y) AS sy, sum(q * y) AS sqy, sum(q * q) AS sqq FROM x GROUP BY 1, 2),
+m AS (SELECT task_id, part, CAST(sum(n) OVER t - n AS DOUBLE) AS n, CAST(sum(sq) OVER t - sq AS DOUBLE) AS sq, CAST(sum(sy) OVER t - sy AS DOUBLE) AS sy,
+  CAST(sum(sqy) OVER t - sqy AS DOUBLE) AS sqy, CAST(sum(sqq) OVER t - sqq AS DOUBLE) AS sqq FROM s WINDOW t AS (PARTITION BY task_id))
+SELECT x.task_id, x.part AS fold, x.row_id, CASE WHEN n * sqq - sq * sq > 0 THEN round((sy * sqq - sq * sqy + (n * sqy - sq * sy) * q) / (n * sqq - sq * sq), 3) WHEN n > 0 THEN round(sy / n, 3) END AS prediction,
+ CAST(x.y AS DOUBLE) AS truth FROM x JOIN m ON m.task_id = x.task_id AND m.part = x.part"""
+
+
+def _lines(r, task):
+    """A least-squares line per task and fold, in whole cents; a row's fold is its line number's parity."""
     rows = r.table("lineitem").select(
-        F.col("l_partkey").alias("task_id"), (F.col("l_linenumber") % 2).alias("part"),
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("rowid"), F.col("l_quantity").cast("long").alias("q"),
-        F.round(F.col("l_extendedprice") * 100).cast("long").alias("y"))
-    cells = rows.withColumn("fold", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn(
-        "type", F.when(F.col("part") == F.col("fold"), "TEST").otherwise("TRAIN"))
-
-    def fit_predict(train, test):
-        q, y, n = train["q"], train["y"], len(train["y"])
-        if not n:
-            return np.full(len(test["q"]), np.nan)
-        sq, sy, sqy, sqq = q.sum(), y.sum(), (q * y).sum(), (q * q).sum()
-        spread = n * sqq - sq * sq
-        if not spread:
-            return np.full(len(test["q"]), sy / n)
-        return (sy * sqq - sq * sqy + (n * sqy - sq * sy) * test["q"]) / spread
-
-    keys = ["task_id", "fold"]
-    done, large = models.run_small_cells(cells, keys, fit_predict, ["q"], max_rows=100_000)
-    # The same line for cells too large for one frame, from sums.
-    whole = "decimal(38,0)"
-    q, y = F.col("q").cast(whole), F.col("y").cast(whole)
-    sums = large.filter("type = 'TRAIN'").groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("q").alias("sq"), F.sum("y").alias("sy"), F.sum(q * y).alias("sqy"), F.sum(q * q).alias("sqq"))
-    line = sums.select(*keys, *[F.col(c).cast("double").alias(c) for c in ("n", "sq", "sy", "sqy", "sqq")])
-    spread = F.expr("n * sqq - sq * sq")
-    rest = large.filter("type = 'TEST'").join(line, keys).select(
-        *keys, F.col("rowid").alias("row_id"),
-        F.when(spread > 0, F.expr("(sy * sqq - sq * sqy + (n * sqy - sq * sy) * q)") / spread).otherwise(F.expr("sy / n")).alias("prediction"),
-        F.col("y").cast("double").alias("truth"))
-    return done.filter(~F.isnan("prediction")).unionByName(rest)
+        task.alias("task_id"), (F.col("l_linenumber") % 2).alias("fold"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("rowid"),
+        F.col("l_quantity").cast("long").alias("q"), F.round(F.col("l_extendedprice") * 100).cast("long").alias("y"))
+    return round_to(models.fit_lines(rows, ["task_id"], "fold", "q", "y"), 3, "prediction")
+
+
+@query("run_01_many_small_tasks", sql=_lines_sql("l_partkey"))
+def _(r):
+    return _lines(r, F.col("l_partkey"))
+
+
+@query("run_01_one_large_task", sql=_lines_sql("CAST(0 AS BIGINT)"))
+def _(r):
+    return _lines(r, F.lit(0).cast("long"))
 
 
 @query("run_05_timings")

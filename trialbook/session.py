@@ -37,12 +37,15 @@ def tune(spark: SparkSession) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only where the cluster names none (tests, a laptop) a temporary folder is set.
+    Only a ``local`` master may go without: its executors see the driver's temporary folder. On a
+    cluster a missing setting is an error, since each machine would write to its own disk.
     """
     folder = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="trialbook-")
         spark.sparkContext.setCheckpointDir(folder)
         folder = spark.sparkContext.getCheckpointDir()

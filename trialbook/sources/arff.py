@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trialbook.operators.datasets import Feature, attributes_of, is_boolean_domain
 from trialbook.session import stage
@@ -214,13 +215,39 @@ def sparse_shape(entries: DataFrame) -> DataFrame:
     return entries.agg((F.max("rowid") + 1).alias("rows"), (F.max("col") + 1).alias("columns"))
 
 
-def sparse_vectors(entries: DataFrame, width: int) -> DataFrame:
-    """One ``pyspark.ml`` sparse vector per row, for learners that want one."""
-    from pyspark.ml.functions import array_to_vector
+def sparse_rows(spark: SparkSession, path: str) -> DataFrame:
+    """(rowid) of every row of a sparse file, those without entries too."""
+    return _parts(spark, path)[1].select("rowid")
 
-    filled = entries.groupBy("rowid").agg(F.map_from_entries(F.collect_list(F.struct("col", "value"))).alias("m"))
-    dense = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0.0)).cast("double"))
-    return filled.select("rowid", array_to_vector(dense).alias("features"))
+
+def is_sparse(spark: SparkSession, path: str) -> bool:
+    """Whether the first row of data is written in braces."""
+    header, lines = _parts(spark, path)
+    first = lines.orderBy("rowid").first()
+    return first is not None and first["value"].lstrip().startswith("{")
+
+
+def sparse_vectors(entries: DataFrame, width: int, rows: DataFrame | None = None) -> DataFrame:
+    """One ``pyspark.ml`` sparse vector per row: its size, and the places and values that are not zero.
+
+    ``rows`` (rowid) keeps the rows without entries, as empty vectors.
+    """
+    from pyspark.ml.linalg import VectorUDT
+
+    kept = entries.filter("value IS NOT NULL AND value <> 0").groupBy("rowid").agg(F.array_sort(F.collect_list(F.struct("col", F.col("value").cast("double").alias("value")))).alias("e"))
+    if rows is not None:
+        kept = rows.join(kept, "rowid", "left")
+    e = F.coalesce("e", F.array().cast("array<struct<col: int, value: double>>"))
+    parts = F.struct(F.lit(0).alias("type"), F.lit(width).alias("size"), F.transform(e, lambda x: x["col"]).alias("indices"), F.transform(e, lambda x: x["value"]).alias("values"))
+    # The storage form of a vector, read as one.
+    vector = F.from_json(F.to_json(F.struct(parts.alias("v"))), T.StructType([T.StructField("v", VectorUDT())]))
+    return kept.select("rowid", vector["v"].alias("features"))
+
+
+def read_sparse_dataset(spark: SparkSession, path: str) -> DataFrame:
+    """(rowid, features) of a sparse file, with a vector for every row."""
+    entries, features = read_sparse(spark, path)
+    return sparse_vectors(entries, len(features), sparse_rows(spark, path))
 
 
 def read_splits(spark: SparkSession, path: str) -> DataFrame:

@@ -6,10 +6,14 @@ entities per file load in parallel. Prefix and namespace are parameters of what
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trialbook.session import stage
+
 # Fixed value: the element prefix of registry documents, for writing.
 PREFIX = "oml"
 CORRUPT = "_corrupt"
@@ -283,7 +287,8 @@ def listing(spark: SparkSession, path: str, entity: str) -> tuple[DataFrame, Dat
     """(rows of a listing document, rows that could not be used).
 
     Qualities and task inputs become maps; ``values`` becomes an array; a run without an error
-    message has ''. A row without its key, or with an id that is no number, goes to the rejects.
+    message has ''. A row without its key, with an id that is no number, or with a quality or input named
+    twice goes to the rejects. A quality without a number is NULL.
     """
     key, ids, texts = LISTINGS[entity]
     extra = {"dataset": f", quality {NAMED_TEXT}", "task": f", input {NAMED_TEXT}, quality {NAMED_TEXT}, tag array<string>"}.get(entity, "")
@@ -293,6 +298,9 @@ def listing(spark: SparkSession, path: str, entity: str) -> tuple[DataFrame, Dat
     bad = F.col(CORRUPT).isNotNull() | numbers[key].isNull()
     for c in ids:
         bad = bad | (text(c).isNotNull() & numbers[c].isNull())
+    for c in [c for c in ("quality", "input") if c in raw.columns]:
+        names = F.transform(c, lambda e: e["_name"])
+        bad = bad | F.coalesce(F.size(F.array_distinct(names)) < F.size(names), F.lit(False))
     columns = [numbers[c].alias(c) for c in ids]
     for c in texts:
         if c == "value":
@@ -311,9 +319,9 @@ def listing(spark: SparkSession, path: str, entity: str) -> tuple[DataFrame, Dat
 
 
 def _map(entries: str, kind: str) -> Column:
-    """Named entries as a map. A number without text is 0."""
+    """Named entries as a map. A number that is missing, or NaN, is NULL."""
     def value(e: Column) -> Column:
-        return F.coalesce(text(e["_VALUE"]).try_cast("double"), F.lit(0.0)) if kind == "double" else text(e["_VALUE"])
+        return F.nanvl(text(e["_VALUE"]).try_cast("double"), F.lit(None).cast("double")) if kind == "double" else text(e["_VALUE"])
 
     return F.map_from_entries(F.transform(entries, lambda e: F.struct(e["_name"].alias("key"), value(e).alias("value"))))
 
@@ -432,17 +440,39 @@ def write_listing(table: DataFrame, path: str, entity: str, **how) -> None:
     write(out, path, entity, f"{entity}s", **how)
 
 
-def write_flows(nodes: DataFrame, edges: DataFrame, path: str, max_depth: int, **how) -> None:
-    """Flows as nested documents, built from the leaves up; one document per root.
+def write_flows(nodes: DataFrame, edges: DataFrame, path: str, **how) -> None:
+    """Flows as nested documents of any depth, built from the leaves up; one document per root.
 
-    ``nodes`` is (flow_id, name, ..), ``edges`` (parent, identifier, child) over them.
+    ``nodes`` is (flow_id, name, ..), ``edges`` (parent, identifier, child) over them. Each round nests the
+    flows whose components are all complete. Flows that never become complete contain themselves or an
+    unknown flow, which is an error.
     """
     fields = [c for c in FLOW_TEXT if c in nodes.columns] + (["parameter"] if "parameter" in nodes.columns else [])
     base = nodes.select("flow_id", F.struct(F.col("flow_id").alias("id"), *fields).alias("f"))
-    built = base
-    for _ in range(max_depth):
-        parts = edges.join(built, edges["child"] == built["flow_id"]).groupBy(F.col("parent").alias("flow_id")).agg(
-            F.array_sort(F.collect_list(F.struct("identifier", F.col("f").alias("flow")))).alias("component"))
-        built = base.join(parts, "flow_id", "left").select("flow_id", F.struct("f.*", "component").alias("f"))
-    roots = built.join(edges.select(F.col("child").alias("flow_id")), "flow_id", "left_anti")
+    edges = stage(edges.select("parent", "identifier", "child"), "edges")
+    number = edges.groupBy(F.col("parent").alias("flow_id")).count()
+    # Flows by height above the leaves: the documents of one height have one shape.
+    done = stage(base.join(number, "flow_id", "left_anti"), "flows-0")
+    heights, height = [done], 0
+    while True:
+        height += 1
+        built = reduce(DataFrame.unionByName, [h.select("flow_id") for h in heights])
+        known = built.select(F.col("flow_id").alias("child"))
+        waiting = base.join(number, "flow_id").join(built, "flow_id", "left_anti")
+        ready = edges.join(known, "child", "left_semi").groupBy(F.col("parent").alias("flow_id")).agg(F.count(F.lit(1)).alias("_known"))
+        ready = waiting.join(ready, "flow_id").filter(F.col("count") == F.col("_known")).select("flow_id", "f")
+        ready = stage(ready, f"ready-{height}")
+        if ready.isEmpty():
+            if not waiting.isEmpty():
+                raise ValueError(f"flows contain themselves or unknown flows, {waiting.first()['flow_id']} for one")
+            break
+        # Every flow so far in the shape of the deepest one, with empty components where it has none.
+        deepest = heights[-1].select("f").schema["f"].dataType
+        alike = reduce(DataFrame.unionByName, [h.select("flow_id", F.from_json(F.to_json("f"), deepest).alias("f")) for h in heights])
+        parts = edges.join(ready.select(F.col("flow_id").alias("parent")), "parent", "left_semi").join(alike, F.col("child") == F.col("flow_id"))
+        parts = parts.groupBy(F.col("parent").alias("flow_id")).agg(F.array_sort(F.collect_list(F.struct("identifier", F.col("f").alias("flow")))).alias("component"))
+        heights.append(stage(ready.join(parts, "flow_id").select("flow_id", F.struct("f.*", "component").alias("f")), f"flows-{height}"))
+    deepest = heights[-1].select("f").schema["f"].dataType
+    every = reduce(DataFrame.unionByName, [h.select("flow_id", F.from_json(F.to_json("f"), deepest).alias("f")) for h in heights])
+    roots = every.join(edges.select(F.col("child").alias("flow_id")), "flow_id", "left_anti")
     write(roots.select("f.*"), path, "flow", "flows", **how)

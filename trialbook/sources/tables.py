@@ -14,12 +14,17 @@ from trialbook.operators.datasets import Feature
 from trialbook.sources import arff
 
 
+def _read_arff(spark: SparkSession, path: str) -> DataFrame:
+    """Typed columns of a dense file; (rowid, features) of a sparse one."""
+    return arff.read_sparse_dataset(spark, path) if arff.is_sparse(spark, path) else arff.read_dense(spark, path)[0]
+
+
 def read_dataset(spark: SparkSession, path: str) -> DataFrame:
     """Pick the reader by suffix."""
     if path.endswith((".pq", ".parquet")):
         return spark.read.parquet(path)
     if path.endswith((".arff", ".arff.gz")):
-        return arff.read_dense(spark, path)[0]
+        return _read_arff(spark, path)
     raise ValueError(f"no reader for {path}")
 
 
@@ -31,7 +36,7 @@ def read_preferred(spark: SparkSession, parquet_path: str | None, arff_path: str
         except AnalysisException as e:
             if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
-    return arff.read_dense(spark, arff_path)[0]
+    return _read_arff(spark, arff_path)
 
 
 def write_cache(df: DataFrame, features: Sequence[Feature], path: str) -> None:
