@@ -8,8 +8,9 @@ of similarity 0.75 miss each other in all bands with a chance of 5e-6.
 Texts of equal sets form a class that is worked on once. In each bucket of a band the members are
 paired with one leader, another one in each bucket; pairs whose sketches differ too much are left
 out; each text's best pair is confirmed on the full sets first, then those that still connect
-different components, and last every pair of different components in one bucket. So a bucket of
-thousands of copies costs one comparison each, and yet no pair that matters goes unseen.
+different components, and last every pair of different components in one bucket that can still be
+similar: shingles that no other text of these buckets has bound what two texts may share. So a
+bucket of thousands of copies costs a few comparisons each, and yet no pair that matters goes unseen.
 
 Nulls and edges: a null or wordless text has the empty set, is linked with nothing and is kept. A
 null id never names a component unless all its ids are null; rows that repeat both id and text are
@@ -35,8 +36,10 @@ from trialbook.session import stage
 SHINGLE, BANDS, ROWS, BITS = 5, 32, 4, 512
 PERCENT = 75
 # Two sets at 0.75 differ in 32 of 128 samples on average, which sets 57 bits with a deviation of 10;
-# seven deviations more are left as a margin, so the sketch loses no link in practice.
-MOST_BITS = 125
+# six deviations more are left as a margin, so the sketch loses no link in practice.
+MOST_BITS = 117
+
+SLOTS = 1 << 22
 
 _LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _CACHE = 300_000
@@ -124,16 +127,21 @@ def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, longs), pa.array(sketches, longs)], names=names)
 
 
-def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, shingles) of batches of (node, digest, text), where the text has the digest."""
+def full_sets(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(_id, _hash, _digest, shingles) of those of (doc_id, text_hash, slot, text) whose slot is in the bit map."""
     hashes = WordHash()
     for batch in batches:
-        nodes, sets = [], []
-        for node, digest, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-            shingles = shingle_set(t.as_py(), hashes)
-            if xxhash.xxh3_128_digest(shingles.tobytes()) == digest:
-                nodes.append(node), sets.append(shingles.view(np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
+        slots = batch.column(2).to_numpy()
+        taken = np.flatnonzero((bits[slots >> 6] >> (slots & 63)) & 1)
+        sets = [shingle_set(batch.column(3)[i].as_py(), hashes) for i in taken.tolist()]
+        rows = pa.array(taken)
+        yield pa.RecordBatch.from_arrays([
+            batch.column(0).take(rows), batch.column(1).take(rows), pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in sets], pa.binary()),
+            pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))], names=["_id", "_hash", "_digest", "shingles"])
+
+
+def slot(*columns: str) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(SLOTS))
 
 
 def bits_apart(a: Column, b: Column) -> Column:
@@ -142,34 +150,51 @@ def bits_apart(a: Column, b: Column) -> Column:
     return sum(parts[1:], parts[0])
 
 
+def may_link(common: Column, a: Column, b: Column) -> Column:
+    """Whether sets of these sizes with so many shingles in common are similar enough."""
+    return common * 100 >= (a + b - common) * PERCENT
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("s"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("t"))
     common = F.size(F.array_intersect("s", "t"))
-    sized = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", common.alias("common"), (F.size("s") + F.size("t") - common).alias("all"))
-    return sized.filter(F.col("common") * 100 >= F.col("all") * PERCENT).select("a", "b")
+    sized = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", common.alias("common"), F.size("s").alias("n"), F.size("t").alias("m"))
+    return sized.filter(may_link(F.col("common"), F.col("n"), F.col("m"))).select("a", "b")
 
 
 def _links(reps: DataFrame, texts: DataFrame) -> DataFrame | None:
     """(node, label) of the classes that are linked with others; None if there are none."""
     banded = reps.select("node", F.explode("bands").alias("key"))
-    shared = stage(banded.groupBy("key").count().filter("count > 1").select("key"), "shared-bands")
+    shared = stage(banded.groupBy("key").count().filter("count > 1"), "shared-bands")
     rows = stage(banded.join(shared, "key"), "buckets")
     if rows.isEmpty():
         return None
-    leaders = stage(rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", "key").alias("h"), "node"))["node"].alias("leader")), "leaders")
+    # A bucket is led by its member with most company in all its buckets: in a group of copies of one text that is one
+    # of the least changed, which the others are most likely linked with.
+    weight = rows.groupBy("node").agg(F.sum("count").alias("weight"))
+    leaders = stage(rows.join(weight, "node").groupBy("key").agg(F.max(F.struct("weight", "node"))["node"].alias("leader")), "leaders")
     star = rows.join(leaders, "key").filter("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
-    sketches = reps.select("node", "sketch")
-    first, second = sketches.select(F.col("node").alias("a"), F.col("sketch").alias("p")), sketches.select(F.col("node").alias("b"), F.col("sketch").alias("q"))
-    near = star.join(first, "a").join(second, "b").select("a", "b", bits_apart(F.col("p"), F.col("q")).alias("bits"))
+    sketches = reps.select("node", "sketch", "n_shingles")
+    first = sketches.select(F.col("node").alias("a"), F.col("sketch").alias("p"), F.col("n_shingles").alias("n"))
+    second = sketches.select(F.col("node").alias("b"), F.col("sketch").alias("q"), F.col("n_shingles").alias("m"))
+    sized = star.join(first, "a").join(second, "b").filter(may_link(F.least("n", "m"), F.col("n"), F.col("m")))
+    near = sized.select("a", "b", bits_apart(F.col("p"), F.col("q")).alias("bits"))
     near = stage(near.filter(F.col("bits") <= MOST_BITS), "near")
 
     wanted = rows.select("node").distinct().join(reps.select("node", "rep_id", "text_hash", "digest"), "node")
-    hashed = texts.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "text")
-    found = hashed.join(stage(wanted, "wanted"), F.col("_id").eqNullSafe(F.col("rep_id")) & (F.col("_hash") == F.col("text_hash")))
-    sets = found.select("node", "digest", "text").mapInArrow(remote(full_sets), "node long, shingles array<long>")
-    sets = stage(sets.dropDuplicates(["node"]), "sets")
+    wanted = stage(wanted.withColumn("_slot", slot("rep_id", "text_hash")), "wanted")
+    # Texts outside the candidates are left out by a bit map of fixed size before anything is shuffled; what
+    # passes by accident goes in the join.
+    bits = np.zeros(SLOTS // 64, dtype=np.int64)
+    one = F.expr("shiftleft(1L, CAST(_slot % 64 AS INT))")
+    for r in wanted.groupBy(F.expr("_slot div 64").alias("part")).agg(F.bit_or(one).alias("bits")).collect():  # at most SLOTS / 64 rows
+        bits[r["part"]] = r["bits"]
+    hashed = texts.select("doc_id", "text_hash", slot("doc_id", "text_hash"), "text")
+    found = hashed.mapInArrow(remote(full_sets, bits), "_id long, _hash long, _digest binary, shingles array<long>")
+    same = F.col("_id").eqNullSafe(F.col("rep_id")) & (F.col("_hash") == F.col("text_hash")) & (F.col("_digest") == F.col("digest"))
+    sets = stage(found.join(wanted, same).select("node", "shingles").dropDuplicates(["node"]), "sets")
 
     best = near.groupBy("a").agg(F.min(F.struct("bits", "b"))["b"].alias("b"))
     labels = components(stage(confirmed(best, sets), "links"))
@@ -185,8 +210,15 @@ def _links(reps: DataFrame, texts: DataFrame) -> DataFrame | None:
     placed = rows.join(labels, "node", "left").select("node", "key", F.coalesce("label", "node").alias("label"))
     mixed = stage(placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("key"), "mixed")
     members = stage(placed.join(mixed, "key").join(sketches, "node"), "members")
-    one, two = (members.select("key", *[F.col(c).alias(f"{s}_{c}") for c in ("node", "label", "sketch")]) for s in ("a", "b"))
-    apart = (F.col("a_label") < F.col("b_label")) & (bits_apart(F.col("a_sketch"), F.col("b_sketch")) <= MOST_BITS)
+    # Shingles that one member alone has are shared with no other: the rest bounds what a pair can have in common.
+    shingles = sets.join(members.select("node").distinct(), "node").select("node", F.explode("shingles").alias("shingle"))
+    alone = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).filter("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
+    bounded = members.join(alone, "node", "left").withColumn("most", F.col("n_shingles") - F.coalesce("alone", F.lit(0)))
+    bounded = stage(bounded.filter(may_link(F.col("most"), F.col("n_shingles"), F.col("most"))), "bounded")
+    columns = ("node", "label", "sketch", "n_shingles", "most")
+    one, two = (bounded.select("key", *[F.col(c).alias(f"{s}_{c}") for c in columns]) for s in ("a", "b"))
+    possible = may_link(F.least("a_most", "b_most"), F.col("a_n_shingles"), F.col("b_n_shingles"))
+    apart = (F.col("a_label") < F.col("b_label")) & possible & (bits_apart(F.col("a_sketch"), F.col("b_sketch")) <= MOST_BITS)
     rest = one.join(two, (one["key"] == two["key"]) & apart).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
     rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     seen = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
@@ -203,8 +235,8 @@ def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     # One row per set: all its rows have the same bands and sketch.
     classes = signed.filter("n_shingles > 0").groupBy("digest").agg(
         F.min("_row").alias("node"), F.min("doc_id").alias("least"), F.min(F.struct("_row", "doc_id", "text_hash")).alias("rep"),
-        F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
-    classes = stage(classes.select("digest", "node", "least", F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_hash").alias("text_hash"), "bands", "sketch"), "classes")
+        F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.first("n_shingles").alias("n_shingles"))
+    classes = stage(classes.select("digest", "node", "least", F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_hash").alias("text_hash"), "bands", "sketch", "n_shingles"), "classes")
     labels = _links(classes, texts)
     named = classes.select("digest", "node", "least")
     if labels is None:
