@@ -65,8 +65,9 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", has
             "_row", "doc_id", "text_sha256", F.transform("r", lambda x: F.struct(x["hash"].alias("hash"), x["rank"].alias("rank"))).alias("recipe"))
     recipes = stage(recipes, "recipes")
     groups = recipes.groupBy("recipe").agg(F.max(F.struct("doc_id", "_row")).alias("keep"), F.count(F.lit(1)).alias("group_size"))
-    # Only recipes that repeat need a look-up, and AQE splits the ones that repeat very often.
-    repeated = groups.filter("group_size > 1")
+    # Only recipes that repeat need a look-up. Their table is written, so that the join has a shuffle of its
+    # own on both sides and AQE can split the recipes that repeat very often.
+    repeated = stage(groups.filter("group_size > 1"), "repeated")
     return recipes.join(repeated, "recipe", "left").select(
         "doc_id",
         F.when(F.col("keep").isNull(), F.col("doc_id")).otherwise(F.col("keep.doc_id")).alias("keep_id"),
