@@ -17,13 +17,13 @@ def put(tmp_path, name, body):
 def test_features_keep_spaces_and_default_counts(spark, tmp_path):
     path = put(tmp_path, "12/features.xml", f"""<oml:data_features {NS}>
   <oml:feature><oml:index>0</oml:index><oml:name>x</oml:name><oml:data_type>numeric</oml:data_type><oml:is_target>false</oml:is_target>
-    <oml:number_of_missing_values>772</oml:number_of_missing_values></oml:feature>
+    <oml:number_of_missing_values>13</oml:number_of_missing_values></oml:feature>
   <oml:feature><oml:index>1</oml:index><oml:name>y</oml:name><oml:data_type>nominal</oml:data_type>
-    <oml:nominal_value> - 50000.</oml:nominal_value><oml:nominal_value> 50000+.</oml:nominal_value><oml:is_target>true</oml:is_target></oml:feature>
+    <oml:nominal_value> under ten </oml:nominal_value><oml:nominal_value> ten and over</oml:nominal_value><oml:is_target>true</oml:is_target></oml:feature>
 </oml:data_features>""")
     a, b = documents.features(spark, path).orderBy("index").collect()
-    assert (a["did"], a["name"], a["nominal_values"], a["number_of_missing_values"], a["is_target"]) == (12, "x", None, 772, False)
-    assert (b["nominal_values"], b["number_of_missing_values"], b["is_target"]) == ([" - 50000.", " 50000+."], 0, True)
+    assert (a["did"], a["name"], a["nominal_values"], a["number_of_missing_values"], a["is_target"]) == (12, "x", None, 13, False)
+    assert (b["nominal_values"], b["number_of_missing_values"], b["is_target"]) == ([" under ten ", " ten and over"], 0, True)
 
 
 def test_qualities(spark, tmp_path):
@@ -33,32 +33,32 @@ def test_qualities(spark, tmp_path):
 
 
 def test_description(spark, tmp_path):
-    path = put(tmp_path, "d.xml", f"""<oml:data_set_description {NS}><oml:id>-1</oml:id><oml:name>words</oml:name><oml:version>1</oml:version>
+    path = put(tmp_path, "d.xml", f"""<oml:data_set_description {NS}><oml:id>-7</oml:id><oml:name>words</oml:name><oml:version>1</oml:version>
 <oml:upload_date></oml:upload_date><oml:md5_checksum></oml:md5_checksum><oml:ignore_attribute>p</oml:ignore_attribute><oml:ignore_attribute>q</oml:ignore_attribute>
 </oml:data_set_description>""")
     r = documents.descriptions(spark, path).first()
-    assert (r["did"], r["name"], r["version"], r["upload_date"], r["md5_checksum"], r["ignore_attribute"]) == (-1, "words", 1, None, None, ["p", "q"])
+    assert (r["did"], r["name"], r["version"], r["upload_date"], r["md5_checksum"], r["ignore_attribute"]) == (-7, "words", 1, None, None, ["p", "q"])
 
 
 TASK = """<oml:task {ns}><oml:task_id>{tid}</oml:task_id><oml:task_type_id>{ttid}</oml:task_type_id><oml:task_type>T</oml:task_type>
 <oml:input name="source_data"><oml:data_set><oml:data_set_id>2</oml:data_set_id><oml:target_feature>class</oml:target_feature></oml:data_set></oml:input>
 <oml:input name="estimation_procedure"><oml:estimation_procedure><oml:id>3</oml:id><oml:type>crossvalidation</oml:type>
-<oml:parameter name="number_repeats">10</oml:parameter><oml:parameter name="percentage"></oml:parameter></oml:estimation_procedure></oml:input>
+<oml:parameter name="number_repeats">3</oml:parameter><oml:parameter name="percentage"></oml:parameter></oml:estimation_procedure></oml:input>
 <oml:input name="evaluation_measures"><oml:evaluation_measures><oml:evaluation_measure>acc</oml:evaluation_measure></oml:evaluation_measures></oml:input></oml:task>"""
 
 
 def test_tasks(spark, tmp_path):
-    put(tmp_path, "t/1.xml", TASK.format(ns=NS, tid=1882, ttid=1))
+    put(tmp_path, "t/1.xml", TASK.format(ns=NS, tid=4711, ttid=1))
     put(tmp_path, "t/2.xml", TASK.format(ns=NS, tid=9, ttid=4))
     good, other = documents.tasks(spark, str(tmp_path / "t"))
     r = good.first()
     assert good.count() == 1 and other.first()["task_id"] == 9
-    assert (r["task_id"], r["did"], r["target"], r["measure"], r["estimation"]["id"]) == (1882, 2, "class", "acc", 3)
-    assert r["estimation"]["parameters"] == {"number_repeats": "10", "percentage": ""}
+    assert (r["task_id"], r["did"], r["target"], r["measure"], r["estimation"]["id"]) == (4711, 2, "class", "acc", 3)
+    assert r["estimation"]["parameters"] == {"number_repeats": "3", "percentage": ""}
 
 
 RUN = """<oml:run {ns}><oml:run_id>5</oml:run_id><oml:uploader>1</oml:uploader><oml:task_id>2</oml:task_id><oml:flow_id>3</oml:flow_id><oml:setup_id>4</oml:setup_id>
-<oml:parameter_setting><oml:name>C</oml:name><oml:value>0.9</oml:value><oml:component>60</oml:component></oml:parameter_setting>
+<oml:parameter_setting><oml:name>depth</oml:name><oml:value>7</oml:value><oml:component>60</oml:component></oml:parameter_setting>
 <oml:input_data><oml:dataset><oml:did>8</oml:did></oml:dataset></oml:input_data>
 <oml:output_data><oml:file><oml:file_id>11</oml:file_id><oml:name>predictions</oml:name><oml:url>u</oml:url></oml:file>
 <oml:evaluation><oml:name>acc</oml:name><oml:value>0.5</oml:value></oml:evaluation>
@@ -70,7 +70,7 @@ def test_runs(spark, tmp_path):
     path = put(tmp_path, "r.xml", RUN.format(ns=NS, last="<oml:array_data>[1,2]</oml:array_data>"))
     docs = documents.run_documents(spark, path)
     r = documents.runs(docs).first()
-    assert (r["run_id"], r["did"], r["predictions_file_id"], r["error_message"], r["parameters"]) == (5, 8, 11, "", {"60/C": "0.9"})
+    assert (r["run_id"], r["did"], r["predictions_file_id"], r["error_message"], r["parameters"]) == (5, 8, 11, "", {"60/depth": "7"})
     got = [tuple(e) for e in documents.run_evaluations(docs).collect()]
     assert got == [(5, "acc", None, None, None, 0.5, None), (5, "acc", 0, 1, None, 0.25, None), (5, "acc", 0, 1, 2, None, "[1,2]")]
     bad = put(tmp_path, "bad.xml", RUN.format(ns=NS, last=""))

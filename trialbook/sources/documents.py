@@ -149,16 +149,23 @@ def run_documents(spark: SparkSession, path: str, **how) -> DataFrame:
 
 
 def runs(documents: DataFrame) -> DataFrame:
-    settings = F.map_from_entries(F.transform("parameter_setting", lambda p: F.struct(
-        F.concat_ws("/", text(p["component"]), text(p["name"])).alias("key"), p["value"].alias("value"))))
+    """Documents of one run that agree in all of this are one row; those that differ stay, see ``conflicts``."""
+    settings = F.transform("parameter_setting", lambda p: F.struct(
+        F.concat_ws("/", text(p["component"]), text(p["name"])).alias("key"), p["value"].alias("value")))
     predictions = F.get(F.filter("output_data.file", lambda f: text(f["name"]) == "predictions"), F.lit(0))
-    return documents.select(
+    table = documents.select(
         "run_id", "uploader", text("uploader_name").alias("uploader_name"), "task_id", text("task_type").alias("task_type"),
         text("task_evaluation_measure").alias("task_evaluation_measure"), "flow_id", text("flow_name").alias("flow_name"), "setup_id",
         text("setup_string").alias("setup_string"), F.coalesce(text("error_message"), F.lit("")).alias("error_message"),
         text(F.col("input_data.dataset.did")).cast("long").alias("did"), settings.alias("parameters"),
         text(predictions["file_id"]).cast("long").alias("predictions_file_id"), text(predictions["url"]).alias("predictions_url"),
-        text("run_details").alias("run_details"), F.col("tag").alias("tags")).dropDuplicates(["run_id"])
+        text("run_details").alias("run_details"), F.col("tag").alias("tags")).distinct()
+    return table.withColumn("parameters", F.map_from_entries("parameters"))
+
+
+def conflicts(table: DataFrame, key: str) -> DataFrame:
+    """Rows whose key another row has too: documents of one id that say different things."""
+    return table.join(table.groupBy(key).count().filter("count > 1").select(key), key, "left_semi")
 
 
 def run_evaluations(documents: DataFrame) -> DataFrame:
@@ -268,7 +275,7 @@ def studies(spark: SparkSession, path: str, entity: str | None = None, **how) ->
     every = F.concat(*[ids_of(k, inner) for k, inner in STUDY_LISTS])
     members = raw.select(_id("id").alias("study_id"), F.explode(every).alias("m")).select("study_id", "m.*")
     # A study with very many members is written as several documents of the same id.
-    return table.dropDuplicates(["study_id"]), members
+    return table.distinct(), members
 
 
 # Fields of the listing documents; ids are numbers, the rest is text.
