@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trialbook.functions.params import canonical_key, empty_map
+from trialbook.session import stage
 
 # More parameter columns than this is taken for a mistake in the flow table.
 MAX_PARAMETER_COLUMNS = 5_000
@@ -19,11 +20,15 @@ def setup_maps(parameters: DataFrame) -> DataFrame:
     return parameters.groupBy("setup_id").agg(F.map_from_entries(entries).alias("parameters"))
 
 
-def evaluations_setups(evaluations: DataFrame, parameters: DataFrame, order: Sequence[str | Column] = ()) -> DataFrame:
+def evaluations_setups(evaluations: DataFrame, parameters: DataFrame, order: Sequence[str | Column] = (), few: bool = False) -> DataFrame:
     """Every evaluation with its setup's parameters; an unknown setup has an empty map.
 
-    A join does not keep the order of its input, so a wanted order is given.
+    A join does not keep the order of its input, so a wanted order is given. For ``few`` evaluations out of
+    many, they are written once, and maps are built only for their setups.
     """
+    if few:
+        evaluations = stage(evaluations, "few")
+        parameters = parameters.join(evaluations.select("setup_id").distinct(), "setup_id", "left_semi")
     out = evaluations.join(setup_maps(parameters), "setup_id", "left")
     out = out.withColumn("parameters", F.coalesce("parameters", empty_map()))
     return out.orderBy(*order) if order else out

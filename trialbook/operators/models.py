@@ -99,8 +99,8 @@ class Run:
 
 
 def place(rows: DataFrame, test_folds: DataFrame) -> DataFrame:
-    """Rows with their test fold per repeat, written once: fitting and predicting both read them."""
-    return stage(rows.join(test_folds, "rowid"), "placed")
+    """Rows with their test fold per repeat, written once by repeat and fold: a cell reads its own folders only."""
+    return stage(rows.join(test_folds, "rowid"), "placed", ["repeat", "fold"])
 
 
 def place_cells(rows: DataFrame, cells: DataFrame) -> DataFrame:

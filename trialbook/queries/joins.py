@@ -18,7 +18,7 @@ LEFT JOIN setups s ON e.setup_id = s.setup_id LEFT JOIN flows f ON s.flow_id = f
 def _(r):
     best = listing.top(r.evaluations().filter("function = 'A'"), "value", "desc", ["run_id", "task_id", "setup_id"], 10)
     order = [F.col("value").desc(), "run_id", "task_id", "setup_id"]
-    return lookups.evaluations_setups(best, r.setup_parameters(), order).withColumn("parameters", map_text("parameters"))
+    return lookups.evaluations_setups(best, r.setup_parameters(), order, few=True).withColumn("parameters", map_text("parameters"))
 
 
 @query("jn_01_evaluations_setups", needs=["evaluations", "setups", "flows"], sql="""
@@ -73,10 +73,11 @@ def _(r):
 
 @query("jn_06_rows_of_cell", needs=["points"], sql="""
 WITH folds AS (SELECT rowid, label, (row_number() OVER (PARTITION BY label ORDER BY md5('7-0-' || rowid), rowid) - 1) % 5 AS fold FROM points)
-SELECT p.rowid, p.label, f.fold, CASE WHEN f.fold = 2 THEN 'TEST' ELSE 'TRAIN' END AS type, round(CAST(p.embedding[1] AS DOUBLE), 6) AS x0
+SELECT p.rowid, p.label, f.fold, CASE WHEN f.fold = 2 THEN 'TEST' ELSE 'TRAIN' END AS type, array_to_string(list_transform(p.embedding, lambda v: CAST(round(CAST(v AS DOUBLE) * 1000000) AS BIGINT)), ',') AS x
 FROM points p JOIN folds f ON p.rowid = f.rowid""")
 def _(r):
-    rows = r.points().select("rowid", "label", F.round(F.col("embedding")[0].cast("double"), 6).alias("x0"))
+    millionths = F.transform("embedding", lambda v: F.round(v.cast("double") * 1_000_000).cast("long").cast("string"))
+    rows = r.points().select("rowid", "label", F.array_join(millionths, ",").alias("x"))
     folds = splits.cross_validation(r.points().select("rowid", "label"), repeats=1, folds=5, seed=7, stratify="label")
     train, test = lookups.rows_of_cell(rows, folds, 0, 2)
     return members.concat([train.withColumn("type", F.lit("TRAIN")), test.withColumn("type", F.lit("TEST"))])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,13 +69,14 @@ def drop_staged(spark: SparkSession) -> None:
         target.getFileSystem(conf).delete(target, True)
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write a frame once and go on from the written table.
+def stage(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write a frame once and go on from the written table, in a folder per value of ``partition_by``.
 
     Every later pass then sees the same rows in the same slices, and a lost executor costs a
     re-read rather than a recomputation of the lineage.
     """
     path = new_path(df.sparkSession, label)
     _STAGED.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    return written.select(*df.columns) if partition_by else written
