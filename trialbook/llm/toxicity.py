@@ -101,7 +101,7 @@ class Chain:
 
 def _marks(texts: list[str], toxic: np.ndarray) -> set[str]:
     """Features that tell toxic documents from clean ones: so frequent among the toxic ones, and hardly elsewhere,
-    that of all features seen none would be expected to be so by accident."""
+    that of all features seen none would be expected to be so by accident, nor by copies of a passage."""
     bad, clean = Counter(), Counter()
     for text in (t for t, y in zip(texts, toxic, strict=True) if y):
         bad.update({f for w in set(WORDS.findall(text)) for f in features(w)[:-2]})
@@ -109,7 +109,15 @@ def _marks(texts: list[str], toxic: np.ndarray) -> set[str]:
     bad = Counter({f: n for f, n in bad.items() if n >= least})
     for text in (t for t, y in zip(texts, toxic, strict=True) if not y):
         clean.update({f for w in set(WORDS.findall(text)) for f in features(w)[:-2]} & bad.keys())
-    return {f for f, n in bad.items() if n >= LEAST_PRECISION * (n + clean[f])}
+    marks = {f for f, n in bad.items() if n >= LEAST_PRECISION * (n + clean[f])}
+    # Copies of one passage repeat its words after the same words; a mark stands after various ones.
+    before: dict[str, set[str]] = {f: set() for f in marks}
+    for text in (t for t, y in zip(texts, toxic, strict=True) if y):
+        words = WORDS.findall(text)
+        for last, word in zip(["", *words], words):
+            for f in marks.intersection(features(word)[:-2]):
+                before[f].add(last)
+    return {f for f, words in before.items() if len(words) >= least / 2}
 
 
 def any_toxic(marginals: np.ndarray, first: np.ndarray) -> np.ndarray:
