@@ -1,7 +1,7 @@
 """Near-duplicates by banded MinHash, odd sketches and full sets.
 
 One pass over the texts gives each its set size, a digest of the set, 32 band keys of four MinHash
-samples each, and an odd sketch: every one of the 128 samples flips one bit of a 512-bit map, so
+samples each, and an odd sketch: every one of 256 samples flips one bit of a 1,024-bit map, so
 the exclusive-or of two maps counts the samples that differ, most precisely where few do. Two sets
 of similarity 0.75 miss each other in all bands with a chance of 5e-6.
 
@@ -33,11 +33,12 @@ from trialbook.llm.tasks import remote
 from trialbook.llm.text import LOWER, UPPER, table, whole
 from trialbook.session import stage
 
-SHINGLE, BANDS, ROWS, BITS = 5, 32, 4, 512
+SHINGLE, BANDS, ROWS = 5, 32, 4
+SAMPLES, BITS = 256, 1024
 PERCENT = 75
-# Two sets at 0.75 differ in 32 of 128 samples on average, which sets 57 bits with a deviation of 10;
-# six deviations more are left as a margin, so the sketch loses no link in practice.
-MOST_BITS = 117
+# Two sets at 0.75 differ in 64 of 256 samples on average, which sets 113 bits with a deviation of 13; five
+# deviations are left as a margin, so the sketch loses fewer links than the bands do. Pairs below 0.57 mostly fail.
+MOST_BITS = 180
 
 SLOTS = 1 << 22
 
@@ -80,21 +81,23 @@ def shingle_set(text: str, hashes: WordHash) -> np.ndarray:
 
 
 _RANDOM = np.random.default_rng(7)
-_MULTIPLY = _RANDOM.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64)[:, None] * np.uint64(2) + np.uint64(1)
-_ADD = _RANDOM.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64)[:, None]
+_MULTIPLY = _RANDOM.integers(0, 2**63, SAMPLES, dtype=np.uint64)[:, None] * np.uint64(2) + np.uint64(1)
+_ADD = _RANDOM.integers(0, 2**63, SAMPLES, dtype=np.uint64)[:, None]
 
 
 def samples(shingles: np.ndarray) -> np.ndarray:
     """The smallest value of the set under each of the permutations."""
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for at in range(0, len(shingles), 4096):
-        least = np.minimum(least, (shingles[None, at : at + 4096] * _MULTIPLY + _ADD).min(axis=1))
+    least = np.full(SAMPLES, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for at in range(0, len(shingles), 256):  # parts that stay in the cache
+        part = shingles[None, at : at + 256] * _MULTIPLY
+        part += _ADD
+        np.minimum(least, part.min(axis=1), out=least)
     return least
 
 
 def band_keys(least: np.ndarray) -> np.ndarray:
     keys = np.arange(BANDS, dtype=np.uint64)
-    for column in least.reshape(BANDS, ROWS).T:
+    for column in least[: BANDS * ROWS].reshape(BANDS, ROWS).T:
         keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + column)
     return keys
 
@@ -243,7 +246,7 @@ def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
         owners = named.select("digest", F.col("least").alias("component_id"))
     else:
         labelled = named.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        linked = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
+        linked = stage(labelled.groupBy("label").agg(F.min("least").alias("component_id")), "components")
         owners = stage(labelled.join(linked, "label").select("digest", "component_id"), "owners")
     rows = signed.select("doc_id", "text_hash", "n_shingles", "digest").join(owners, "digest", "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
