@@ -183,7 +183,7 @@ def test_odd_sketches_estimate_similarity():
             a, b = (np.unique(np.concatenate([common, rng.integers(0, 2**63, rest, dtype=np.uint64)])) for _ in "ab")
             x, y = (minhash.odd_sketch(minhash.samples(s)) for s in (a, b))
             apart.append(int(np.bitwise_count(x ^ y).sum()))
-        samples, bits = minhash.BANDS * minhash.ROWS, minhash.BITS
+        samples, bits = minhash.SAMPLES, minhash.BITS
         estimate = 1 + bits / (4 * samples) * math.log(1 - 2 * np.mean(apart) / bits)
         assert abs(estimate - share) < 0.03 and max(apart) <= minhash.MOST_BITS
 
