@@ -1,7 +1,7 @@
 """Suffix-array dedup of bytes by deep-shallow sorting.
 
 Suffixes matter here up to 50 bytes. They meet by minimiser (see ``windows``): the suffixes of one
-text that share the smallest hashed 12-byte gram travel as one packed string. In a bucket the
+text that share the smallest hashed 24-byte gram travel as one packed string. In a bucket the
 suffixes of strings that differ but share a minimiser are sorted: to a shallow depth of 16 bytes by
 a multikey sort whose characters are eight bytes wide, and groups with a longer common prefix by
 blind tries, which look at the branching bytes only and compare one whole string per insertion. A
@@ -26,7 +26,7 @@ from trialbook.llm import query, windows
 from trialbook.llm.minhash import mix
 from trialbook.llm.text import table
 
-WIDTH, GRAM, SHALLOW = 50, 12, 16
+WIDTH, GRAM, SHALLOW = 50, 24, 16
 SEGMENT = 1 << 16  # windows of a text worked on at a time
 
 
@@ -40,8 +40,12 @@ def eights(b: np.ndarray) -> np.ndarray:
 def byte_grams(b: np.ndarray) -> np.ndarray:
     if len(b) < GRAM:
         return np.empty(0, dtype=np.uint64)
-    x = eights(b)
-    return mix(x[: len(b) - GRAM + 1] * np.uint64(0x9E3779B97F4A7C15) + x[GRAM - 8 :])
+    x, n = eights(b), len(b) - GRAM + 1
+    total = np.zeros(n, dtype=np.uint64)
+    for k in range(0, GRAM, 8):
+        total = (total + x[k : n + k]) * np.uint64(0x9E3779B97F4A7C15)
+        total ^= total >> np.uint64(31)
+    return mix(total)
 
 
 def text_grams(text: bytes) -> np.ndarray:
