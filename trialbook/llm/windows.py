@@ -32,8 +32,8 @@ from trialbook.llm.minhash import mix
 from trialbook.llm.tasks import remote, remote_pair
 from trialbook.llm.text import whole
 
-GROUPS_PER_PARTITION = 4
-BUCKETS_PER_PARTITION = 16
+GROUPS_PER_PARTITION = 2
+BUCKETS_PER_PARTITION = 2
 SAMPLE_TEXTS, SAMPLE_CHARS, FREQUENT = 1000, 20_000, 8  # texts, their length at most, and in how many of them a gram is frequent
 _SLOTS = 1 << 20
 NULL_ID = np.iinfo(np.int64).max
