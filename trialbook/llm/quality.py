@@ -22,7 +22,7 @@ from trialbook.llm.text import WORD, let, table, whole, words
 # alike by Java's and RE2's expressions.
 SYMBOLS = r"[#*$%&|<>]"
 MARK = r"""[.,!?…:;"'”’»)\]]([\x20\x09-\x0D]|$)"""
-DECORATED = r"[^\x20\x09-\x0D]*[!?#*$%&|<>@~^=_+]{2,}[^\x20\x09-\x0D]*"
+DECORATED = r"[!?#*$%&|<>@~^=_+]{2,}[^\x20\x09-\x0D]*"  # from the marks to the end of the word: one match a word
 SEPARATORS = r"[|›»•·→]"
 BOILERPLATE = (
     r"(?i)(all rights reserved|licensed under|released under the|terms of (use|service)|privacy policy|cookie|javascript|"
@@ -34,14 +34,17 @@ SHORT_LINE = 30  # words; a longer line is not boilerplate for a phrase in it
 def repeat_words(w: Column) -> Column:
     """Words of the array that lie in a three-word window found twice or more.
 
-    The windows are sorted with their places, so equal ones are neighbours; each place found
-    covers the words up to the next place, three at most.
+    The windows are sorted by hash with their places, so equal ones are neighbours, which their words
+    confirm; each place found covers the words up to the next place, three at most.
     """
     n = F.size(w)
-    windows = F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.struct(F.concat_ws(" ", w[i], w[i + 1], w[i + 2]).alias("w"), i.alias("i")))
+    windows = F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.struct(F.xxhash64(w[i], w[i + 1], w[i + 2]).alias("h"), i.alias("i")))
+
+    def alike(x: Column, y: Column) -> Column:
+        return (x["h"] == y["h"]) & (w[x["i"]] == w[y["i"]]) & (w[x["i"] + 1] == w[y["i"] + 1]) & (w[x["i"] + 2] == w[y["i"] + 2])
 
     def places(s: Column) -> Column:
-        twice = F.filter(s, lambda x, j: (x["w"] == F.get(s, j - 1)["w"]) | (x["w"] == F.get(s, j + 1)["w"]))
+        twice = F.filter(s, lambda x, j: alike(x, F.get(s, j - 1)) | alike(x, F.get(s, j + 1)))
         return F.sort_array(F.transform(twice, lambda x: x["i"]))
 
     def covered(p: Column) -> Column:
