@@ -343,6 +343,20 @@ def test_a_refused_text_goes_through_the_other_library():
     assert e(text).tolist() == e.slow.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_of_a_text_are_one_id(spark):
+    from tokenizers import Tokenizer
+
+    path = packing.byte_bpe()
+    plain, e = Tokenizer.from_file(path), packing.Encoder(path)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>y  <|endoftext|>\n", "a<|endoftext |>", "<|<|endoftext|>|>", " " * 70_000 + "<|endoftext|>x", "no mark at all", ""]
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [64, 220, 50256, 275]
+    assert [e(t).tolist() for t in texts] == want and [e.slow.encode(t, add_special_tokens=False).ids for t in texts] == want
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = packing.pieces(rows, path, capacity=10**6).collect()
+    same([(r["doc_id"], r["length"], r["ids_crc32"]) for r in got], [(i, len(w) + 1, zlib.crc32(np.array([*w, 2], dtype="<u4").tobytes())) for i, w in enumerate(want)])
+
+
 # -- chat
 
 

@@ -48,34 +48,35 @@ def _byte_of() -> dict[str, int]:
 class Encoder:
     """Ids of a byte-level BPE file. The merges run in tiktoken, which gives the same ids several times as
     fast where, as checked here, ids follow the order of the merges; texts that it refuses (runs of a
-    million blanks, say) and other vocabularies go through ``tokenizers``."""
+    million blanks, say) and other vocabularies go through ``tokenizers``. As there, an added token of the file
+    (``<|endoftext|>``) that stands in a text is its one id."""
 
     def __init__(self, path: str):
         self.path, self.fast = path, None
         with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
+            file = json.load(f)
+        model, added = file["model"], file.get("added_tokens") or []
         vocab, merges = model["vocab"], [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         ids = [vocab["".join(m)] for m in merges]
-        if ids == sorted(ids):
+        if ids == sorted(ids) and len(added) <= 1 and not any(a[k] for a in added for k in ("single_word", "lstrip", "rstrip", "normalized")):
             import tiktoken
 
             byte = _byte_of()
             ranks = {bytes(byte[c] for c in token): i for token, i in vocab.items() if all(c in byte for c in token)}
-            specials = {bytes(byte[c] for c in s) for s in ("<|endoftext|>",)}
-            self.fast = tiktoken.Encoding("bpe", pat_str=PATTERN, mergeable_ranks={k: v for k, v in ranks.items() if k not in specials}, special_tokens={})
+            specials = {a["content"]: a["id"] for a in added}
+            merged = {k: v for k, v in ranks.items() if k not in {s.encode() for s in specials}}
+            self.fast = tiktoken.Encoding("bpe", pat_str=PATTERN, mergeable_ranks=merged, special_tokens=specials)
 
     @functools.cached_property
     def slow(self):
         from tokenizers import Tokenizer
 
-        t = Tokenizer.from_file(self.path)
-        t.encode_special_tokens = True
-        return t
+        return Tokenizer.from_file(self.path)
 
     def __call__(self, text: str) -> np.ndarray:
         if self.fast is not None:
             try:
-                return np.asarray(self.fast.encode_to_numpy(text, disallowed_special=()), dtype="<u4")
+                return np.asarray(self.fast.encode_to_numpy(text, allowed_special="all"), dtype="<u4")
             except BaseException as e:
                 if type(e).__name__ != "PanicException":
                     raise
