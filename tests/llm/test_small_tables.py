@@ -405,6 +405,35 @@ def test_unseen_words_back_off(spark):
     assert [g[0] for g in got] == ["aa", "bb", "und"] and got[2][1] == 0.0
 
 
+def test_every_language_with_letters_is_learned_and_no_other(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE_TEXTS", 5)
+    monkeypatch.setattr(langid, "SAMPLE_CHARS", 300)
+    aa, bb = "schreiben treiben bleiben ", "nation station ration "
+    rows = [("aa", f"{aa}{chr(97 + i % 26)}{chr(97 + i // 26)}") for i in range(200)]
+    rows += [("bb", bb)] * 500 + [("bb", bb * 2)] * 500  # two distinct texts, much copied
+    rows += [("cc", "kiitos paljon " * 40)]  # long texts only
+    rows += [("dd", "um ok ja")]  # no word of four letters
+    rows += [("ee", f"{i}") for i in range(300)] + [("ee", "perros gatos")]  # most texts without a letter
+    rows += [("ff", "zebra yoga " * 60), ("ff", "123")]  # a long text, and a short one without a letter
+    rows += [("gg", "hm")]  # a single word
+    rows += [("zxx", ""), ("zxx", "123"), ("zxy", "4 5")]
+    model = langid.fit(spark.createDataFrame(rows, "lang string, text string"))
+    assert model["langs"] == ["aa", "bb", "cc", "dd", "ee", "ff", "gg"]
+    got = langid.identify(["verbleiben", "national", "paljon", "um ok", "gatos", "zebra", "hm", "12"], langid.Scorer(model), model["langs"])
+    assert [g[0] for g in got] == [*model["langs"], "und"] and got[-1][1] == 0.0
+
+
+def test_more_than_a_thousand_languages(spark):
+    def word(i):
+        return "".join(chr(97 + i // 26**k % 26) for k in range(3)) * 2
+
+    rows = [(f"l{i:04}", word(i)) for i in range(1100)] + [("most", "something else")] * 3
+    model = langid.fit(spark.createDataFrame(rows, "lang string, text string"))
+    assert len(model["langs"]) == 1101
+    got = langid.identify([word(i) for i in range(0, 1100, 50)], langid.Scorer(model), model["langs"])
+    assert [g[0] for g in got] == [f"l{i:04}" for i in range(0, 1100, 50)]
+
+
 def test_held_out_language_accuracy(spark):
     from __spark_entry__ import queries
 
