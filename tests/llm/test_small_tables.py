@@ -82,6 +82,16 @@ def test_lines_are_removed(spark):
     assert got[1]["clean_text"] == prose and got[1]["kept"] and not got[2]["kept"]
 
 
+@pytest.mark.parametrize("letters, mark", [("कखगघचछजझ", "।"), ("ابتثجحخد", "؟"), ("ابتثجحخد", "۔"), ("天地人山水火木金", "。"), ("天地人山水火木金", "，然后"), ("አበገደሀወዘተ", "።"), ("աբգդեզէը", "։"), ("ကခဂဃငစဆဇ", "။"), ("กขคงจฉชซ", ""), ("ກຂຄງຈຊຍດ", "")])
+def test_marks_of_other_scripts(spark, letters, mark):
+    rows = [(1, "\n".join(" ".join(letters[i] + letters[k] + letters[(i + k) % 8] + letters[k // 2] for k in range(8)) + mark for i in range(8)))]
+    if mark:
+        rows += [(2, rows[0][1].replace(mark, ""))]  # without marks such lines still fail
+    got = {r["doc_id"]: r for r in quality.quality(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1]["n_words"] == 64 and got[1]["kept"] and got[1]["clean_text"] == rows[0][1]
+    assert not mark or not got[2]["kept"]
+
+
 # -- exact dedup
 
 

@@ -6,6 +6,10 @@ is a row of links or cells (navigation), whether it is a stock phrase or a repet
 line (boilerplate). Lines that fail are removed, and a document is rejected when it loses more than
 ``most_lost`` of its word characters, or when the whole text fails the base rules.
 
+Sentence marks of all scripts count, and lines mostly in a script without such marks (Thai, Lao) need none. The
+SQL twin knows the Latin marks only, so ``kept`` may differ from it on texts in other scripts. Words are what blanks
+separate, as in the twin, so texts without blanks have few and fail the base rules.
+
 All figures come from expressions on one row; there is no shuffle. A null text has no words and
 fails the base rules. Other columns, of any name, are ignored or passed on.
 """
@@ -23,6 +27,29 @@ from trialbook.llm.text import WORD, let, table, whole, words
 SYMBOLS = r"[#*$%&|<>]"
 MARK = r"""[.,!?…:;"'”’»)\]]([\x20\x09-\x0D]|$)"""
 DECORATED = r"[!?#*$%&|<>@~^=_+]{2,}[^\x20\x09-\x0D]*"  # from the marks to the end of the word: one match a word
+# Marks of other scripts than the Latin one, which count wherever they stand, since not all scripts set blanks after them:
+# Unicode's terminal punctuation without the Ethiopic word space and double marks like U+203C, Armenian tone marks, and closing quotes and brackets.
+OTHER_MARKS = (
+    r"["
+    r"\x{37E}\x{387}\x{55B}-\x{55E}\x{589}\x{5C3}\x{60C}\x{61B}\x{61D}-\x{61F}\x{6D4}\x{700}-\x{70A}\x{70C}\x{7F8}-\x{7F9}"
+    r"\x{830}-\x{835}\x{837}-\x{83E}\x{85E}\x{964}-\x{965}\x{E5A}-\x{E5B}\x{F08}\x{F0D}-\x{F12}\x{104A}-\x{104B}"
+    r"\x{1362}-\x{1368}\x{166E}\x{16EB}-\x{16ED}\x{1735}-\x{1736}\x{17D4}-\x{17D6}\x{17DA}\x{1802}-\x{1805}\x{1808}-\x{1809}"
+    r"\x{1944}-\x{1945}\x{1AA8}-\x{1AAB}\x{1B4E}-\x{1B4F}\x{1B5A}-\x{1B5B}\x{1B5D}-\x{1B5F}\x{1B7D}-\x{1B7F}\x{1C3B}-\x{1C3F}"
+    r"\x{1C7E}-\x{1C7F}\x{2CF9}-\x{2CFB}\x{2E2E}\x{2E3C}\x{2E41}\x{2E4C}\x{2E4E}-\x{2E4F}"
+    r"\x{2E53}-\x{2E54}\x{2E60}-\x{2E61}\x{3001}-\x{3002}\x{3009}\x{300B}\x{300D}\x{300F}\x{3011}\x{3015}\x{3017}\x{3019}"
+    r"\x{301B}\x{A4FE}-\x{A4FF}\x{A60D}-\x{A60F}\x{A6F3}-\x{A6F7}\x{A876}-\x{A877}\x{A8CE}-\x{A8CF}\x{A92F}\x{A9C7}-\x{A9C9}"
+    r"\x{AA5D}-\x{AA5F}\x{AADF}\x{AAF0}-\x{AAF1}\x{ABEB}\x{FE12}\x{FE15}-\x{FE16}\x{FE42}\x{FE44}\x{FE50}-\x{FE52}"
+    r"\x{FE54}-\x{FE57}\x{FF01}\x{FF09}\x{FF0C}\x{FF0E}\x{FF1A}-\x{FF1B}\x{FF1F}\x{FF3D}\x{FF61}\x{FF63}-\x{FF64}\x{1039F}"
+    r"\x{103D0}\x{10857}\x{1091F}\x{10A56}-\x{10A57}\x{10AF0}-\x{10AF5}\x{10B3A}-\x{10B3F}\x{10B99}-\x{10B9C}"
+    r"\x{10F55}-\x{10F59}\x{10F86}-\x{10F89}\x{11047}-\x{1104D}\x{110BE}-\x{110C1}\x{11141}-\x{11143}\x{111C5}-\x{111C6}"
+    r"\x{111CD}\x{111DE}-\x{111DF}\x{11238}-\x{1123C}\x{112A9}\x{113D4}-\x{113D5}\x{1144B}-\x{1144D}\x{1145A}-\x{1145B}"
+    r"\x{115C2}-\x{115C5}\x{115C9}-\x{115D7}\x{11641}-\x{11642}\x{1173C}-\x{1173E}\x{11944}\x{11946}\x{11A42}-\x{11A43}"
+    r"\x{11A9B}-\x{11A9C}\x{11AA1}-\x{11AA2}\x{11C41}-\x{11C43}\x{11C71}\x{11EF7}-\x{11EF8}\x{11F43}-\x{11F44}"
+    r"\x{12470}-\x{12474}\x{16A6E}-\x{16A6F}\x{16AF5}\x{16B37}-\x{16B39}\x{16B44}\x{16D6E}-\x{16D6F}\x{16E97}-\x{16E98}"
+    r"\x{1BC9F}\x{1DA87}-\x{1DA8A}"
+    r"]"
+)
+UNMARKED = r"[\x{E00}-\x{EFF}\x{1950}-\x{19DF}\x{AA80}-\x{AADF}]"  # Thai, Lao and Tai scripts, whose prose has no marks
 SEPARATORS = r"[|›»•·→]"
 BOILERPLATE = (
     r"(?i)(all rights reserved|licensed under|released under the|terms of (use|service)|privacy policy|cookie|javascript|"
@@ -58,7 +85,9 @@ def line_passes(line: Column) -> Column:
     n = F.size(words(line))
     decorated = F.size(F.regexp_extract_all(line, F.lit(DECORATED), F.lit(0)))
     separators = F.length(line) - F.length(F.regexp_replace(line, SEPARATORS, ""))
-    punctuation = line.rlike(MARK) & (decorated * 2 <= n)
+    # The later ones are worked out for lines that the earlier ones do not pass.
+    unmarked = F.length(F.regexp_replace(line, UNMARKED, "")) * 2 < F.length(line)
+    punctuation = (line.rlike(MARK) | line.rlike(OTHER_MARKS) | unmarked) & (decorated * 2 <= n)
     navigation = (separators >= 3) & (separators * 6 >= n)
     boilerplate = (n <= SHORT_LINE) & line.rlike(BOILERPLATE)
     return punctuation & ~navigation & ~boilerplate
