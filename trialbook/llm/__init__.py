@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-_MODULES = ["quality", "exact_dedup", "packing", "mixing", "minhash", "substring_dedup", "suffix_dedup", "chat", "langid", "toxicity"]
+_MODULES = ["quality", "exact_dedup", "packing", "mixing", "minhash", "substring_dedup", "suffix_dedup", "chat", "langid", "toxicity", "token_files", "vector_codes", "hard_negatives"]
 
 
 def query(name: str, sql: str | None = None):
