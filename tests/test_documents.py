@@ -78,22 +78,90 @@ def test_runs(spark, tmp_path):
         documents.run_evaluations(documents.run_documents(spark, bad)).collect()
 
 
-def test_long_documents_are_cut_and_come_back_whole(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(documents, "DOCUMENT_ENTRIES", 10)
+def test_long_documents_stay_whole(spark, tmp_path):
     t = spark.range(55).selectExpr("1L AS run_id", "0 AS repeat", "0 AS fold", "id AS iteration", "id / 10.0D AS evaluation", "id = 3 AS selected", "map('k', string(id)) AS parameters")
     documents.write_traces(t, str(tmp_path / "t"))
     back = documents.traces(spark, str(tmp_path / "t"))
-    assert sorted(r["iteration"] for r in back.collect()) == list(range(55))
-    members = spark.range(40).selectExpr("7L AS study_id", "'run' AS entity_type", "id AS entity_id")
-    table = spark.createDataFrame([(7, "s", "run"), (8, "empty", "task")], "study_id long, name string, main_entity_type string")
+    assert [r["iteration"] for r in back.collect() if r["run_id"] == 1 and r["parameters"] == {"k": str(r["iteration"])}].__len__() == 55
+    members = spark.range(40).selectExpr("7L AS study_id", "IF(id % 4 = 0, 'task', 'run') AS entity_type", "id AS entity_id")
+    table = spark.createDataFrame([(7, "s <&>", "run"), (8, "empty", "task")], "study_id long, name string, main_entity_type string")
     documents.write_studies(table, members, str(tmp_path / "s"))
     studies, found = documents.studies(spark, str(tmp_path / "s"))
-    assert sorted((r["study_id"], r["name"]) for r in studies.collect()) == [(7, "s"), (8, "empty")]
-    assert sorted(r["entity_id"] for r in found.collect()) == list(range(40))
+    assert sorted((r["study_id"], r["name"]) for r in studies.collect()) == [(7, "s <&>"), (8, "empty")]
+    assert sorted((r["study_id"], r["entity_id"], r["entity_type"]) for r in found.collect()) == [(7, i, "run" if i % 4 else "task") for i in range(40)]
+    assert sum(p.read_text().count("<oml:study>") for p in (tmp_path / "s").rglob("part-*")) == 2
     with pytest.raises(Exception, match="expected a study of run"):
         documents.studies(spark, str(tmp_path / "s"), entity="run")[0].collect()
 
 
+def test_files_are_whole_documents(spark, tmp_path):
+    """Every file can be read by any XML reader."""
+    import xml.etree.ElementTree as ET
+
+    e = spark.range(3000).selectExpr("id % 40 AS run_id", "'f' AS function", "0 AS repeat", "int(id) AS fold", "0 AS sample", "1.5D AS value", "'<x>' AS array_data")
+    runs = spark.range(40).selectExpr("id AS run_id", "1L AS task_id", "2L AS flow_id", "3L AS setup_id")
+    documents.write_runs(runs, e, str(tmp_path / "r"), namespace="http://example.org/ns")
+    seen = []
+    for file in (tmp_path / "r").rglob("part-*"):
+        for run in ET.parse(file).getroot():
+            folds = [int(x.attrib["fold"]) for x in run.iter() if x.tag.endswith("}evaluation")]
+            assert folds == sorted(folds) and len(folds) == 75
+            seen.append(run[0].text)
+    assert sorted(map(int, seen)) == list(range(40))
+
+
+@pytest.mark.parametrize("split", [97, 1024, 100_000])
+def test_splits_lose_nothing(spark, tmp_path, split):
+    """Elements, entries and trees that lie over the splits of a file, under another prefix and after comments."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        rows = "".join(f"<r:run><r:run_id>{i}</r:run_id><r:task_id>2</r:task_id></r:run>\n<r:run/>" if i % 9 == 0 else f"<r:run a='x>y'><r:run_id>{i}</r:run_id></r:run>" for i in range(300))
+        path = put(tmp_path, "l.xml", f'<?xml version="1.0"?>\n<!-- <x> -->\n<r:runs xmlns:r="u">{rows}</r:runs>')
+        good, bad = documents.listing(spark, path, "run")
+        assert sorted(r["run_id"] for r in good.collect()) == list(range(300)) and bad.count() == 34
+        body = "".join(f"<r:run><r:run_id>{i}</r:run_id><r:output_data>" + "".join(
+            f"<r:evaluation repeat='0' fold='{k}'><r:name>m</r:name><r:value>{i}.5</r:value></r:evaluation>" for k in range(i % 7)) + f"</r:output_data><r:error_message>{i}</r:error_message></r:run>" for i in range(60))
+        docs = documents.run_documents(spark, put(tmp_path, "r.xml", f"<r:runs>{body}</r:runs>"))
+        assert sorted((r["run_id"], r["error_message"]) for r in documents.runs(docs).collect()) == [(i, str(i)) for i in range(60)]
+        assert sorted((r["run_id"], r["fold"], r["value"]) for r in documents.run_evaluations(docs).collect()) == [(i, k, i + 0.5) for i in range(60) for k in range(i % 7)]
+
+        def flow(depth, width):
+            return f"<r:flow><r:name>n{depth}</r:name>" + "".join(f"<r:component><r:identifier>c{k}&amp;</r:identifier>{flow(depth - 1, width)}</r:component>" for k in range(width if depth else 0)) + "<r:version>7</r:version></r:flow>"
+
+        text = "<r:flows>" + flow(4, 3) + flow(0, 1) + flow(30, 1) + "</r:flows>"
+        got = documents.flow_nodes(spark, put(tmp_path, "f.xml", text)).collect()
+        assert len(got) == 121 + 1 + 31 and len({r["document"] for r in got}) == 3 and {r["version"] for r in got} == {"7"}
+        assert all(r["name"] == f"n{ {121: 4, 1: 0, 31: 30}[n] - len(r['path'])}" for d in {r["document"] for r in got}
+                   for n in [sum(x["document"] == d for x in got)] for r in got if r["document"] == d)
+        assert len({(r["document"], tuple(r["path"])) for r in got}) == len(got) and all(p.startswith("c") and p.endswith("&") for r in got for p in r["path"])
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_a_large_file_is_many_partitions(spark, tmp_path):
+    body = "".join(f"<oml:evaluation><oml:run_id>{i}</oml:run_id><oml:function>f</oml:function><oml:value>{i}.25</oml:value></oml:evaluation>\n" for i in range(90_000))
+    path = put(tmp_path, "e.xml", f"<oml:evaluations {NS}>{body}</oml:evaluations>")
+    assert len(body) > 9 << 20
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 20))
+    try:
+        good, bad = documents.listing(spark, path, "evaluation")
+        assert good.rdd.getNumPartitions() >= 9
+        assert good.count() == 90_000 and bad.count() == 0
+        assert good.agg({"value": "sum"}).first()[0] == sum(i + 0.25 for i in range(90_000))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_elements_that_cannot_be_told_apart(spark, tmp_path):
+    for name, text in {"prefix": "<a:qs><a:quality><a:name>x</a:name></a:quality><b:quality/></a:qs>", "blank": "<qs><quality><name>x</name></quality ><quality></quality></qs>",
+                       "nested": "<qs><quality><quality></quality></quality></qs>", "cdata": "<qs><quality><name><![CDATA[</quality>]]></name></quality></qs>"}.items():
+        path = put(tmp_path, f"{name}.xml", text)
+        with pytest.raises(Exception, match="cannot be told apart"):
+            documents.qualities(spark, path, 1).collect()
+
+
 def test_setup_without_parameters(spark, tmp_path):
     path = put(tmp_path, "s.xml", f"<oml:setups {NS}><oml:setup><oml:setup_id>1</oml:setup_id><oml:flow_id>2</oml:flow_id></oml:setup></oml:setups>")
     r = documents.setups(spark, path).first()
@@ -109,8 +177,16 @@ def test_flow_tree(spark, tmp_path):
     path = put(tmp_path, "f.xml", FLOW.format(ns=NS))
     rows = sorted((tuple(r["path"]), r["flow_id"], r["name"]) for r in documents.flow_nodes(spark, path).collect())
     assert rows == [((), 1, "a"), (("x",), 2, "b"), (("x", "y"), 3, "c")]
-    with pytest.raises(Exception, match="nested more than 1"):
-        documents.flow_nodes(spark, path, max_depth=1).collect()
+
+
+def test_flows_without_ids(spark, tmp_path):
+    """Two documents, neither of which has an id."""
+    for k in (1, 2):
+        put(tmp_path, f"f/{k}.xml", FLOW.format(ns=NS).replace("<oml:id>1</oml:id>", "").replace("<oml:id>2</oml:id>", ""))
+    rows = documents.flow_nodes(spark, str(tmp_path / "f")).collect()
+    assert len({r["document"] for r in rows}) == 2
+    for d in {r["document"] for r in rows}:
+        assert sorted((tuple(r["path"]), r["root_id"], r["flow_id"]) for r in rows if r["document"] == d) == [((), None, None), (("x",), None, None), (("x", "y"), None, 3)]
 
 
 def test_listing_rejects_and_namespace(spark, tmp_path):
@@ -128,8 +204,8 @@ def test_flows_of_any_depth(spark, tmp_path):
     nodes = spark.range(1, 10).selectExpr("id AS flow_id", "concat('f', id) AS name", "'1' AS external_version")
     edges = spark.range(1, 9).selectExpr("id AS parent", "'part' AS identifier", "id + 1 AS child")
     documents.write_flows(nodes, edges, str(tmp_path / "chain"))
-    text = "".join(p.read_text() for p in (tmp_path / "chain").glob("part-*"))
+    text = "".join(p.read_text() for p in (tmp_path / "chain").rglob("part-*"))
     assert all(text.count(f">f{k}<") == 1 for k in range(1, 10))
     for extra in ((9, "part", 1), (9, "part", 77)):
-        with pytest.raises(ValueError, match="contain themselves or unknown"):
+        with pytest.raises(ValueError, match="contain themselves"):
             documents.write_flows(nodes, edges.union(spark.createDataFrame([extra], edges.schema)), str(tmp_path / f"bad{extra[2]}"))

@@ -281,8 +281,22 @@ def test_trace_selection_and_merge(spark):
 def test_flow_cycles_are_errors(spark):
     f = spark.createDataFrame([(1,), (2,)], "flow_id long")
     e = spark.createDataFrame([(1, "x", 2), (2, "y", 1)], "parent long, identifier string, child long")
-    with pytest.raises(ValueError, match="nested"):
-        flows.components(f, e, max_depth=3)
+    with pytest.raises(ValueError, match="contain themselves"):
+        flows.components(f, e)
+    ring = spark.range(70).selectExpr("id AS parent", "'x' AS identifier", "(id + 1) % 70 AS child")
+    with pytest.raises(ValueError, match="contain themselves"):
+        flows.components(f, ring)
+
+
+def test_flows_of_any_depth(spark):
+    """A chain longer than any level limit, and a flow that is reached in two ways."""
+    edges = [(i, "s", i + 1) for i in range(130)] + [(0, "a", 200), (0, "b", 201), (200, "c", 202), (201, "c", 202)]
+    e = spark.createDataFrame(edges, "parent long, identifier string, child long")
+    f = spark.createDataFrame([(i,) for i in [*range(131), 200, 201, 202]], "flow_id long")
+    got = flows.components(f, e).filter("root_id = 0").collect()
+    assert sorted(r["depth"] for r in got if r["flow_id"] < 200) == list(range(131))
+    assert sorted(tuple(r["path"]) for r in got if r["flow_id"] == 202) == [("a", "c"), ("b", "c")]
+    assert len(got) == 131 + 4
 
 
 def test_flow_differences_options(spark):

@@ -14,23 +14,42 @@ SERVER_FIELDS = ("flow_id", "uploader", "version", "upload_date", "tags")
 LOCAL_FIELDS = ("binary_url", "binary_format", "binary_md5", "model")
 
 
-def components(flows: DataFrame, edges: DataFrame, max_depth: int = 64) -> DataFrame:
-    """(root_id, path, flow_id, depth): every flow with all its direct and indirect sub-flows.
+def paths(edges: DataFrame) -> DataFrame:
+    """(root_id, steps, flow_id): every way down from every flow, as (identifier, child) steps; no limit on its length.
 
-    One join per level. A tree deeper than ``max_depth``, or one that contains itself, is an error.
+    Ways double: those of exactly n steps, continued by all of at most n, are those of n + 1 to 2n. So the rounds are as many
+    as the depth has binary digits. A way that ends where it began is a flow that contains itself, an error, and one is
+    found as soon as ways are as long as the cycle.
     """
-    level = flows.select(
-        F.col("flow_id").alias("root_id"), F.array().cast("array<string>").alias("path"), "flow_id", F.lit(0).alias("depth"))
-    found = level
-    step = edges.select(F.col("parent").alias("flow_id"), "identifier", "child")
-    for depth in range(1, max_depth + 2):
-        level = stage(level.join(step, "flow_id").select(
-            "root_id", F.array_append("path", F.col("identifier")).alias("path"), F.col("child").alias("flow_id"),
-            F.lit(depth).alias("depth")), f"level-{depth}")
-        if level.isEmpty():
-            return found
-        found = found.unionByName(level)
-    raise ValueError(f"flows are nested more than {max_depth} deep")
+    step = F.array(F.struct(F.col("identifier"), F.col("child")))
+    exact = upto = stage(edges.select(F.col("parent").alias("root_id"), step.alias("steps"), F.col("child").alias("flow_id")), "steps")
+    added, doubled = upto, 0
+    while True:
+        cycle = added.filter("root_id = flow_id").first()
+        if cycle is not None:
+            raise ValueError(f"flows contain themselves, {cycle['root_id']} for one")
+        doubled += 1
+        on = exact.select("root_id", F.col("steps").alias("_first"), F.col("flow_id").alias("_at"))
+
+        def continued(by: DataFrame) -> DataFrame:
+            return on.join(by.withColumnRenamed("root_id", "_at"), "_at").select("root_id", F.concat("_first", "steps").alias("steps"), "flow_id")
+
+        added = stage(continued(upto), f"ways-{doubled}")
+        if added.isEmpty():
+            return upto
+        exact = added.filter(F.size("steps") == 2**doubled)
+        upto = upto.unionByName(added)
+
+
+def components(flows: DataFrame, edges: DataFrame) -> DataFrame:
+    """(root_id, path, flow_id, depth): every flow with all its direct and indirect sub-flows, however deep.
+
+    A flow that contains itself is an error.
+    """
+    own = flows.select(F.col("flow_id").alias("root_id"), F.array().cast("array<string>").alias("path"), "flow_id", F.lit(0).alias("depth"))
+    below = paths(edges).join(flows.select(F.col("flow_id").alias("root_id")), "root_id", "left_semi").select(
+        "root_id", F.transform("steps", lambda s: s["identifier"]).alias("path"), "flow_id", F.size("steps").alias("depth"))
+    return own.unionByName(below)
 
 
 def subflow(tree: DataFrame, path: Sequence[str]) -> DataFrame:

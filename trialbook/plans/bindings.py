@@ -90,6 +90,12 @@ class Registry:
             (F.col("child") - F.col("c") + F.floor((F.col("c") - 1) / 3)).cast("long").alias("parent"),
             F.when(F.col("c") % 3 == 1, "left").otherwise("right").alias("identifier"), "child")
 
+    def chain_edges(self) -> DataFrame:
+        """Parts as flows that come in chains of a hundred, each the component of the one before."""
+        p = self.table("part").select(F.col("p_partkey").alias("child"))
+        return p.filter("child % 100 <> 0").select(
+            (F.col("child") - 1).alias("parent"), F.concat(F.lit("step"), (F.col("child") % 7).cast("string")).alias("identifier"), "child")
+
     def flow_parameters(self) -> DataFrame:
         s = self.table("supplier")
         return s.select(
@@ -214,6 +220,7 @@ CTE = {
     "flow_tags": "SELECT s_suppkey AS flow_id, CASE WHEN s_acctbal < 5000 THEN 'low' ELSE 'high' END AS tag FROM supplier",
     "flow_edges": """SELECT s_suppkey - c + (c - 1) // 3 AS parent, CASE WHEN c % 3 = 1 THEN 'left' ELSE 'right' END AS identifier,
         s_suppkey AS child FROM (SELECT s_suppkey, s_suppkey % 40 AS c FROM supplier) WHERE c > 0 AND c % 3 IN (1, 2)""",
+    "chain_edges": "SELECT p_partkey - 1 AS parent, 'step' || (p_partkey % 7) AS identifier, p_partkey AS child FROM part WHERE p_partkey % 100 <> 0",
     "flow_parameters": """SELECT s_suppkey AS flow_id, 'tax' AS name, '0' AS default_value, 'integer' AS data_type FROM supplier
         UNION ALL SELECT s_suppkey, 'ship', 'F', 'string' FROM supplier
         UNION ALL SELECT s_suppkey, 'seed', CAST(s_nationkey AS VARCHAR), 'integer' FROM supplier""",

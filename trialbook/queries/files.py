@@ -10,9 +10,9 @@ from trialbook.operators import members, splits, traces
 from trialbook.queries import query
 from trialbook.queries.analysis import map_text
 from trialbook.queries.columns import FEATURE_TABLE, feature_table, line_features
-from trialbook.queries.flows import TREE
+from trialbook.queries.flows import CHAINS, TREE
 from trialbook.queries.scoring import CLASSES, P, POINT_FOLDS, predictions
-from trialbook.session import new_path
+from trialbook.session import new_path, stage
 from trialbook.sources import arff, documents, tables
 
 STATES = ["F", "O", "P"]
@@ -152,13 +152,32 @@ def _(r):
 
 def run_documents(r):
     path = new_path(r.spark, "runs")
-    folds = r.fold_evaluations().groupBy("run_id", "function", "repeat", "fold").agg(F.round(F.avg("value"), 6).alias("value"))
+    folds = stage(r.fold_evaluations().groupBy("run_id", "function", "repeat", "fold").agg(F.round(F.avg("value"), 6).alias("value")), "folds")
     means = folds.groupBy("run_id", "function").agg(F.max("value").alias("value"))
     both = members.concat([folds.withColumn("sample", F.when(F.col("fold") == 1, 0)), means]).withColumn("array_data", F.lit(None).cast("string"))
     documents.write_runs(r.runs(), both, path)
     return documents.run_documents(r.spark, path)
 
 
+def repeated_runs(r):
+    """Run documents of which some come twice, every third of these with another uploader."""
+    path = new_path(r.spark, "runs")
+    runs = r.runs()
+    again = runs.filter("run_id % 5 = 0").withColumn("uploader", F.when(F.col("run_id") % 3 == 0, F.col("uploader") + 1).otherwise(F.col("uploader")))
+    none = r.spark.createDataFrame([], "run_id long, function string, repeat int, fold int, sample int, value double, array_data string")
+    documents.write_runs(runs, none, f"{path}/a")
+    documents.write_runs(again, none, f"{path}/b")
+    return documents.run_documents(r.spark, f"{path}/*")
+
+
+@query("src_11_repeated_runs_xml", needs=["runs"], sql="""
+SELECT run_id, uploader, false AS conflict FROM runs WHERE run_id % 15 <> 0 UNION ALL SELECT run_id, uploader + k, true FROM runs, (SELECT unnest([0, 1]) AS k) WHERE run_id % 15 = 0""")
+def _(r):
+    docs = repeated_runs(r)
+    return documents.runs(docs).select("run_id", "uploader", F.lit(False).alias("conflict")).unionByName(
+        documents.run_conflicts(docs).select("run_id", "uploader", F.lit(True).alias("conflict")))
+
+
 @query("src_11_runs_xml", needs=["runs"], sql="SELECT run_id, task_id, flow_id, setup_id, uploader, error_message FROM runs")
 def _(r):
     return documents.runs(run_documents(r)).select("run_id", "task_id", "flow_id", "setup_id", "uploader", "error_message")
@@ -215,11 +234,40 @@ def _(r):
     seed = F.array(F.struct(F.lit("seed").alias("name"), F.lit("integer").alias("data_type"), (F.col("flow_id") % 7).cast("string").alias("default_value")))
     nodes = r.flows().select("flow_id", "name", "external_version", seed.alias("parameter"))
     documents.write_flows(nodes, r.flow_edges(), path)
-    back = documents.flow_nodes(r.spark, path, 5)
+    back = documents.flow_nodes(r.spark, path)
     return back.select("root_id", F.array_join("path", ".").alias("path"), "flow_id", "name", "external_version",
                        F.col("parameters")[0]["default_value"].cast("int").alias("seed"))
 
 
+@query("src_15_flow_chains_xml", needs=["chain_edges"], sql=f"""{CHAINS}
+SELECT c.root_id, c.path, c.flow_id, p.p_name AS name, p.p_size % 7 AS seed FROM chain c JOIN part p ON p.p_partkey = c.flow_id
+WHERE c.root_id NOT IN (SELECT child FROM chain_edges)""")
+def _(r):
+    """Documents of flows nested a hundred deep."""
+    path = new_path(r.spark, "chains")
+    seed = F.array(F.struct(F.lit("seed").alias("name"), F.lit("integer").alias("data_type"), (F.col("p_size") % 7).cast("string").alias("default_value")))
+    nodes = r.table("part").select(F.col("p_partkey").alias("flow_id"), F.col("p_name").alias("name"), seed.alias("parameter"))
+    documents.write_flows(nodes, r.chain_edges(), path)
+    back = documents.flow_nodes(r.spark, path)
+    return back.select("root_id", F.array_join("path", ".").alias("path"), "flow_id", "name", F.col("parameters")[0]["default_value"].cast("int").alias("seed"))
+
+
+@query("src_15_flows_without_ids_xml", needs=["chain_edges"], sql=f"""{CHAINS}
+SELECT any_value(p.p_name) FILTER (c.depth = 0) AS root, count(*) AS flows, max(c.depth) AS depth, count(*) FILTER (c.flow_id % 2 = 1) AS named, count(DISTINCT c.root_id) AS documents
+FROM chain c JOIN part p ON p.p_partkey = c.flow_id WHERE c.root_id NOT IN (SELECT child FROM chain_edges) GROUP BY c.root_id""")
+def _(r):
+    """Trees whose flows mostly have no id are told apart by their documents."""
+    path = new_path(r.spark, "chains")
+    documents.write_flows(r.table("part").select(F.col("p_partkey").alias("flow_id"), F.col("p_name").alias("name")), r.chain_edges(), f"{path}/all")
+    # The ids of even flows are taken out of the text, a file at a time.
+    lines = r.spark.read.text(f"{path}/all", wholetext=True)
+    lines.select("slice", F.regexp_replace("value", r"<oml:id>\d*[02468]</oml:id>", "").alias("value")).write.partitionBy("slice").text(f"{path}/some")
+    back = documents.flow_nodes(r.spark, f"{path}/some")
+    return back.groupBy("document").agg(
+        F.max(F.when(F.size("path") == 0, F.col("name"))).alias("root"), F.count(F.lit(1)).alias("flows"), F.max(F.size("path")).alias("depth"),
+        F.count("flow_id").alias("named"), F.count_if(F.size("path") == 0).alias("documents")).drop("document")
+
+
 def study_documents(r):
     path = new_path(r.spark, "studies")
     runs = r.study_members().select("study_id", F.lit("run").alias("entity_type"), F.col("run_id").alias("entity_id"))
@@ -264,6 +312,19 @@ def _(r):
     return both.agg(F.sum("g").alias("good"), F.sum("b").alias("bad"))
 
 
+@query("src_17_task_listing_rejected_rows", needs=["tasks"], sql="""
+SELECT CAST(task_id AS VARCHAR) AS task_id, CASE WHEN ttid = 3 THEN 'third' ELSE CAST(ttid AS VARCHAR) END AS task_type_id, ttid <> 3 AS good FROM tasks""")
+def _(r):
+    """What is kept and what is rejected, row by row."""
+    path = new_path(r.spark, "listing")
+    t = r.tasks().withColumns({"task_type_id": F.when(F.col("ttid") == 3, "third").otherwise(F.col("ttid").cast("string")),
+                               "inputs": F.create_map(F.lit("estimation_procedure"), F.col("procedure_id").cast("string"))})
+    documents.write_listing(t, path, "task")
+    rows, rejects = documents.listing(r.spark, path, "task")
+    return rows.select(F.col("task_id").cast("string").alias("task_id"), F.col("task_type_id").cast("string").alias("task_type_id"), F.lit(True).alias("good")).unionByName(
+        rejects.select("task_id", "task_type_id", F.lit(False).alias("good")))
+
+
 @query("src_17_run_listing", needs=["runs"], sql="SELECT run_id, task_id, setup_id, flow_id, uploader, error_message FROM runs")
 def _(r):
     path = new_path(r.spark, "listing")
@@ -328,6 +389,35 @@ def _(r):
     return r.spark.read.text(path).select(element.alias("element")).filter("element <> ''").groupBy("element").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("snk_03_one_large_run", sql="""
+SELECT 1 AS run_id, l_returnflag AS function, l_linenumber AS repeat, CAST(l_orderkey AS INTEGER) AS fold, CASE WHEN l_linenumber = 2 THEN 3 END AS sample, CASE WHEN l_tax > 0 THEN l_extendedprice END AS value,
+ CASE WHEN l_tax = 0 THEN '[' || l_suppkey || ',"a<b"]' END AS array_data, 1 AS documents FROM lineitem""")
+def _(r):
+    """All lines as evaluations of one run, written as one document and read back whole."""
+    path = new_path(r.spark, "large")
+    e = r.table("lineitem").select(
+        F.lit(1).cast("long").alias("run_id"), F.col("l_returnflag").alias("function"), F.col("l_linenumber").alias("repeat"), F.col("l_orderkey").cast("int").alias("fold"),
+        F.when(F.col("l_linenumber") == 2, 3).alias("sample"), F.when(F.col("l_tax") > 0, F.col("l_extendedprice")).alias("value"),
+        F.when(F.col("l_tax") == 0, F.concat(F.lit("["), "l_suppkey", F.lit(',"a<b"]'))).alias("array_data"))
+    documents.write_runs(r.runs().limit(1).withColumn("run_id", F.lit(1).cast("long")), e, path)
+    docs = documents.run_documents(r.spark, path)
+    n = docs.heads.groupBy("run_id").agg(F.count(F.lit(1)).cast("int").alias("documents"))
+    return documents.run_evaluations(docs).join(n, "run_id")
+
+
+@query("snk_03_traces_and_studies", needs=["trace", "study_members"], sql="""
+SELECT 'trace' AS kind, count(*) AS n, sum(iteration)::BIGINT AS total FROM trace UNION ALL SELECT 'run', count(*), sum(run_id)::BIGINT FROM study_members""")
+def _(r):
+    """One trace and one study that hold everything."""
+    path = new_path(r.spark, "large")
+    documents.write_traces(small_trace(r).withColumn("run_id", F.lit(9).cast("long")), f"{path}/t")
+    one = r.studies().limit(1).withColumn("study_id", F.lit(4).cast("long"))
+    documents.write_studies(one, r.study_members().select(F.lit(4).cast("long").alias("study_id"), F.lit("run").alias("entity_type"), F.col("run_id").alias("entity_id")), f"{path}/s")
+    iterations = documents.traces(r.spark, f"{path}/t").filter("run_id = 9").agg(F.lit("trace").alias("kind"), F.count(F.lit(1)).alias("n"), F.sum("iteration").alias("total"))
+    found = documents.studies(r.spark, f"{path}/s")[1].filter("study_id = 4").groupBy(F.col("entity_type").alias("kind")).agg(F.count(F.lit(1)).alias("n"), F.sum("entity_id").alias("total"))
+    return iterations.unionByName(found)
+
+
 @query("run_06_stored_predictions", sql=f"""
 WITH {P} SELECT repeat, fold, sample, row_id, prediction, correct, c_a AS "confidence.A", c_n AS "confidence.N", c_r AS "confidence.R" FROM p""")
 def _(r):

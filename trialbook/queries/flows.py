@@ -9,6 +9,10 @@ from trialbook.queries.analysis import flagged_trace, map_text
 TREE = """WITH RECURSIVE tree AS (SELECT flow_id AS root_id, '' AS path, flow_id, 0 AS depth FROM flows
  UNION ALL SELECT t.root_id, CASE WHEN t.depth = 0 THEN e.identifier ELSE t.path || '.' || e.identifier END, e.child, t.depth + 1 FROM tree t JOIN flow_edges e ON e.parent = t.flow_id)"""
 
+# Ways down chains of a hundred flows.
+CHAINS = """WITH RECURSIVE chain AS (SELECT p_partkey AS root_id, '' AS path, p_partkey AS flow_id, 0 AS depth FROM part
+ UNION ALL SELECT c.root_id, CASE WHEN c.depth = 0 THEN e.identifier ELSE c.path || '.' || e.identifier END, e.child, c.depth + 1 FROM chain c JOIN chain_edges e ON e.parent = c.flow_id)"""
+
 
 def tree_of(r):
     return flows.components(r.flows(), r.flow_edges())
@@ -19,6 +23,13 @@ def _(r):
     return tree_of(r).withColumn("path", F.concat_ws(".", "path"))
 
 
+@query("flw_01_chains", needs=["chain_edges"], sql=f"{CHAINS} SELECT root_id, md5(path) AS path, flow_id, depth FROM chain")
+def _(r):
+    """Chains of a hundred flows, with a round of joins per binary digit of the depth."""
+    tree = flows.components(r.table("part").select(F.col("p_partkey").alias("flow_id")), r.chain_edges())
+    return tree.withColumn("path", F.md5(F.concat_ws(".", "path")))
+
+
 @query("flw_02_subflow", needs=["flows", "flow_edges"], sql=f"{TREE} SELECT root_id, flow_id FROM tree WHERE path = 'left.right'")
 def _(r):
     return flows.subflow(tree_of(r), ["left", "right"])

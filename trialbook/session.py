@@ -53,16 +53,18 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def new_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+_STAGED: dict[str, list[str]] = {}
 
 
-_STAGED: dict[str, list[str]] = {}
+def new_path(spark: SparkSession, label: str) -> str:
+    """A fresh path below the shared folder, for as long as ``drop_staged`` is not called."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def drop_staged(spark: SparkSession) -> None:
-    """Delete the tables ``stage`` wrote for this application, once no frame reads them any more."""
+    """Delete what lies at the paths that ``new_path`` and ``stage`` gave this application, once no frame reads it any more."""
     jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
     for path in _STAGED.pop(spark.sparkContext.applicationId, []):
         target = jvm.org.apache.hadoop.fs.Path(path)
@@ -76,7 +78,6 @@ def stage(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFr
     re-read rather than a recomputation of the lineage.
     """
     path = new_path(df.sparkSession, label)
-    _STAGED.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     df.write.partitionBy(*partition_by).parquet(path)
     written = df.sparkSession.read.schema(df.schema).parquet(path)
     return written.select(*df.columns) if partition_by else written

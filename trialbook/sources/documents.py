@@ -1,42 +1,38 @@
 """Registry XML documents: one loader and one exporter per kind of entity.
 
-Documents are read with an explicit schema by their row tag, so any number of files and of
-entities per file load in parallel. Prefix and namespace are parameters of what is written.
+Elements are cut out of files of any size (``elements``) and parsed with an explicit schema, so any number of files and
+of entities per file load in parallel, and an entity may hold any number of entries. Prefix and namespace are
+parameters of what is written.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trialbook.operators.flows import paths
 from trialbook.session import stage
+from trialbook.sources import elements
+from trialbook.sources.elements import CORRUPT, PREFIX, element, escaped, opened, write_lines
 
-# Fixed value: the element prefix of registry documents, for writing.
-PREFIX = "oml"
-CORRUPT = "_corrupt"
 # Task types that can be instantiated.
 RUNNABLE_TASK_TYPES = (1, 2, 3, 5)
 
-# Entries that one document gathers, about; what has more is written as several documents.
-DOCUMENT_ENTRIES = 100_000
-
 NAMED_TEXT = "array<struct<_name string, _VALUE string>>"
 
 
 def read(spark: SparkSession, path: str, tag: str, schema: str, *, strict: bool = True) -> DataFrame:
     """Rows of one tag, whatever the prefix. Not strict: a row that does not fit is kept whole in ``_corrupt``."""
-    reader = (
-        spark.read.format("xml").option("rowTag", tag)
-        .option("ignoreNamespace", "true").option("ignoreSurroundingSpaces", "false")
-        .option("mode", "FAILFAST" if strict else "PERMISSIVE")
-    )
-    if not strict:
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-        schema = f"{schema}, {CORRUPT} string"
-    return reader.schema(schema).load(path)
+    return elements.records(spark, path, tag, schema, strict=strict)
+
+
+def _parsed(rows: DataFrame, keys: list[str], record: str, tag: str, schema: str, prefix: str) -> DataFrame:
+    """The columns of an element's text beside the keys; an element that does not fit is an error."""
+    options = {**elements.PARSE, "rowTag": f"{prefix}{tag}", "mode": "FAILFAST"}
+    return rows.select(*keys, F.explode(F.array(F.from_xml(record, schema, options))).alias("_r")).select(*keys, "_r.*")
 
 
 def foreign_documents(spark: SparkSession, path: str, namespace: str, prefix: str = PREFIX) -> DataFrame:
@@ -136,62 +132,87 @@ RUN_SCHEMA = (
     "flow_id string, flow_name string, setup_id string, setup_string string, error_message string, run_details string, "
     "parameter_setting array<struct<name string, value string, component string>>, "
     "input_data struct<dataset struct<did string>>, "
-    "output_data struct<file array<struct<file_id string, name string, url string>>, "
-    "evaluation array<struct<_repeat string, _fold string, _sample string, name string, value string, array_data string>>>, tag array<string>"
+    "output_data struct<file array<struct<file_id string, name string, url string>>>, tag array<string>"
 )
+EVALUATION_SCHEMA = "_repeat string, _fold string, _sample string, name string, value string, array_data string"
+
+
+@dataclass(frozen=True)
+class Parsed:
+    """``heads``: a row per document, with its number; ``entries``: a row per entry, with the id of its document."""
+
+    heads: DataFrame
+    entries: DataFrame
 
 
-def run_documents(spark: SparkSession, path: str, **how) -> DataFrame:
-    """Run documents with typed ids, for ``runs`` and ``run_evaluations``."""
-    raw = read(spark, path, "run", RUN_SCHEMA, **how)
-    ids = ("run_id", "uploader", "task_id", "flow_id", "setup_id")
-    return raw.withColumns({c: _id(c) for c in ids})
+def _documents(found: elements.Documents, tag: str, schema: str, key: str, entry_tag: str, entry_schema: str) -> Parsed:
+    """Documents with typed ``key``, and their entries parsed."""
+    heads = stage(_parsed(found.heads, ["document"], "record", tag, schema, found.prefix).withColumn(key, _id(key)), f"{tag}-heads")
+    entries = _parsed(found.entries, ["document", "place"], "entry", entry_tag, entry_schema, found.prefix)
+    return Parsed(heads, heads.select("document", key).join(entries, "document"))
 
 
-def runs(documents: DataFrame) -> DataFrame:
-    """Documents of one run that agree in all of this are one row; those that differ stay, see ``conflicts``."""
+def run_documents(spark: SparkSession, path: str) -> Parsed:
+    """Run documents with typed ids, for ``runs`` and ``run_evaluations``. A run may have any number of evaluations."""
+    found = elements.documents(spark, path, "run", "</{p}evaluation>", "<{p}evaluation(?=[\\s/>])")
+    parsed = _documents(found, "run", RUN_SCHEMA, "run_id", "evaluation", EVALUATION_SCHEMA)
+    return Parsed(parsed.heads.withColumns({c: _id(c) for c in ("uploader", "task_id", "flow_id", "setup_id")}), parsed.entries)
+
+
+def _run_rows(documents: Parsed) -> DataFrame:
     settings = F.transform("parameter_setting", lambda p: F.struct(
         F.concat_ws("/", text(p["component"]), text(p["name"])).alias("key"), p["value"].alias("value")))
     predictions = F.get(F.filter("output_data.file", lambda f: text(f["name"]) == "predictions"), F.lit(0))
-    table = documents.select(
+    return documents.heads.select(
         "run_id", "uploader", text("uploader_name").alias("uploader_name"), "task_id", text("task_type").alias("task_type"),
         text("task_evaluation_measure").alias("task_evaluation_measure"), "flow_id", text("flow_name").alias("flow_name"), "setup_id",
         text("setup_string").alias("setup_string"), F.coalesce(text("error_message"), F.lit("")).alias("error_message"),
         text(F.col("input_data.dataset.did")).cast("long").alias("did"), settings.alias("parameters"),
         text(predictions["file_id"]).cast("long").alias("predictions_file_id"), text(predictions["url"]).alias("predictions_url"),
         text("run_details").alias("run_details"), F.col("tag").alias("tags")).distinct()
-    return table.withColumn("parameters", F.map_from_entries("parameters"))
 
 
-def conflicts(table: DataFrame, key: str) -> DataFrame:
-    """Rows whose key another row has too: documents of one id that say different things."""
-    return table.join(table.groupBy(key).count().filter("count > 1").select(key), key, "left_semi")
+def runs(documents: Parsed) -> DataFrame:
+    """A row per run; documents that agree in all of this are one. Ids that are in ``run_conflicts`` are left out."""
+    return _told_apart(_run_rows(documents), "run_id", True).withColumn("parameters", F.map_from_entries("parameters"))
+
+
+def run_conflicts(documents: Parsed) -> DataFrame:
+    """Rows of one run id that say different things, or have no id at all; ``parameters`` are entries."""
+    return _told_apart(_run_rows(documents), "run_id", False)
+
+
+def _told_apart(table: DataFrame, key: str, single: bool) -> DataFrame:
+    said = table.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*table.columns)).alias("_row"))
+    if single:
+        return said.filter(F.col(key).isNotNull() & (F.col("_n") == 1)).select("_row.*")
+    return table.join(said.filter("_n > 1").select(F.col(key).alias("_key")), F.col(key) == F.col("_key"), "left_semi").unionByName(table.filter(F.col(key).isNull()))
 
 
-def run_evaluations(documents: DataFrame) -> DataFrame:
+def run_evaluations(documents: Parsed) -> DataFrame:
     """(run_id, function, repeat, fold, sample, value, array_data); what is NULL tells the scope."""
-    e = documents.select("run_id", F.explode("output_data.evaluation").alias("e"))
-    value, arrays = text(F.col("e.value")).cast("double"), text(F.col("e.array_data"))
-    fold = F.when(F.col("e._repeat").isNotNull(), text(F.col("e._fold")).cast("int"))
+    e = documents.entries
+    value, arrays = text("value").cast("double"), text("array_data")
+    fold = F.when(F.col("_repeat").isNotNull(), text("_fold").cast("int"))
     required = F.when(value.isNotNull() | arrays.isNotNull(), value).otherwise(
         F.raise_error(F.concat(F.lit("neither value nor array_data in run "), F.col("run_id").cast("string"))))
     return e.select(
-        "run_id", text(F.col("e.name")).alias("function"), F.when(fold.isNotNull(), text(F.col("e._repeat")).cast("int")).alias("repeat"),
-        fold.alias("fold"), F.when(fold.isNotNull(), text(F.col("e._sample")).cast("int")).alias("sample"),
+        "run_id", text("name").alias("function"), F.when(fold.isNotNull(), text("_repeat").cast("int")).alias("repeat"),
+        fold.alias("fold"), F.when(fold.isNotNull(), text("_sample").cast("int")).alias("sample"),
         required.alias("value"), F.when(value.isNull(), arrays).alias("array_data"))
 
 
-def traces(spark: SparkSession, path: str, **how) -> DataFrame:
-    """Trace iterations with parameters decoded from their JSON text."""
-    raw = read(spark, path, "trace", "run_id string, trace_iteration array<struct<repeat string, fold string, iteration string, "
-               "setup_string string, evaluation string, selected string>>", **how)
-    t = raw.select(_id("run_id").alias("run_id"), F.explode("trace_iteration").alias("t"))
-    chosen = F.lower(text(F.col("t.selected")))
+def traces(spark: SparkSession, path: str) -> DataFrame:
+    """Trace iterations with parameters decoded from their JSON text; a trace may have any number of them."""
+    found = elements.documents(spark, path, "trace", "</{p}trace_iteration>", "<{p}trace_iteration(?=[\\s/>])")
+    t = _documents(found, "trace", "run_id string", "run_id", "trace_iteration",
+                   "repeat string, fold string, iteration string, setup_string string, evaluation string, selected string").entries
+    chosen = F.lower(text("selected"))
     return t.select(
-        "run_id", text(F.col("t.repeat")).cast("int").alias("repeat"), text(F.col("t.fold")).cast("int").alias("fold"),
-        text(F.col("t.iteration")).cast("long").alias("iteration"), text(F.col("t.evaluation")).cast("double").alias("evaluation"),
+        "run_id", text("repeat").cast("int").alias("repeat"), text("fold").cast("int").alias("fold"),
+        text("iteration").cast("long").alias("iteration"), text("evaluation").cast("double").alias("evaluation"),
         F.when(chosen == "true", True).when(chosen == "false", False).otherwise(F.raise_error(F.lit("selected is neither true nor false"))).alias("selected"),
-        F.from_json(text(F.col("t.setup_string")), "map<string,string>").alias("parameters"))
+        F.from_json(text("setup_string"), "map<string,string>").alias("parameters"))
 
 
 PARAMETER = "struct<id string, flow_id string, flow_name string, full_name string, parameter_name string, data_type string, default_value string, value string>"
@@ -213,40 +234,21 @@ FLOW_TEXT = ("name", "external_version", "uploader", "description", "upload_date
              "binary_url", "binary_format", "binary_md5", "class_name", "custom_name")
 
 
-def _flow_fields(depth: int) -> list[T.StructField]:
-    s = T.StringType()
-    fields = [T.StructField("id", s), *[T.StructField(c, s) for c in FLOW_TEXT],
-              T.StructField("parameter", T.ArrayType(T.StructType([T.StructField(c, s) for c in ("name", "data_type", "default_value", "description")]))),
-              T.StructField("tag", T.ArrayType(s))]
-    inner = T.StructType(_flow_fields(depth - 1)) if depth else s
-    return [*fields, T.StructField("component", T.ArrayType(T.StructType([T.StructField("identifier", s), T.StructField("flow", inner)])))]
+FLOW_SCHEMA = ", ".join(["id string", *[f"{c} string" for c in FLOW_TEXT], "parameter array<struct<name string, data_type string, default_value string, description string>>", "tag array<string>"])
 
 
-def flow_nodes(spark: SparkSession, path: str, max_depth: int = 5) -> DataFrame:
-    """(root_id, path, flow_id, fields.., parameters): every flow of every document with its place.
+def flow_nodes(spark: SparkSession, path: str) -> DataFrame:
+    """(document, root_id, path, flow_id, fields.., parameters): every flow of every document with its place.
 
-    A document is one tree, so its schema is spelled out to ``max_depth``; deeper ones are an error.
+    Flows nest to any depth. ``document`` tells the trees apart, also where their outermost flow has no id.
     """
-    schema = T.StructType(_flow_fields(max_depth))
-    raw = (spark.read.format("xml").option("rowTag", "flow").option("ignoreNamespace", "true")
-           .option("mode", "FAILFAST").schema(schema).load(path))
-    level = raw.select(F.monotonically_increasing_id().alias("_doc"), F.array().cast("array<string>").alias("path"),
-                       text("id").cast("long").alias("root_id"), F.struct("*").alias("f"))
-    out = None
-    for depth in range(max_depth + 1):
-        given = F.transform("f.parameter", lambda p: F.struct(
-            text(p["name"]).alias("name"), text(p["data_type"]).alias("data_type"), p["default_value"].alias("default_value"), text(p["description"]).alias("description")))
-        node = level.select("root_id", "path", text(F.col("f.id")).cast("long").alias("flow_id"),
-                            *[text(F.col(f"f.{c}")).alias(c) for c in FLOW_TEXT], given.alias("parameters"), F.col("f.tag").alias("tags"))
-        out = node if out is None else out.unionByName(node)
-        children = level.select("_doc", "root_id", "path", F.explode("f.component").alias("c"))
-        child = F.col("c.flow")
-        if depth == max_depth:
-            deeper = children.select("root_id", "path", F.raise_error(F.lit(f"flows are nested more than {max_depth} deep")).cast("long").alias("flow_id"))
-            out = out.unionByName(deeper, allowMissingColumns=True)
-        else:
-            level = children.select("_doc", F.array_append("path", text(F.col("c.identifier"))).alias("path"), "root_id", child.alias("f"))
-    return out
+    nodes = elements.tree(spark, path, "flow", "component", "identifier", FLOW_SCHEMA)
+    given = F.transform("record.parameter", lambda p: F.struct(
+        text(p["name"]).alias("name"), text(p["data_type"]).alias("data_type"), p["default_value"].alias("default_value"), text(p["description"]).alias("description")))
+    nodes = stage(nodes.select("document", "node", "path", text("record.id").cast("long").alias("flow_id"),
+                               *[text(f"record.{c}").alias(c) for c in FLOW_TEXT], given.alias("parameters"), F.col("record.tag").alias("tags")), "flow-nodes")
+    roots = nodes.filter("node = document").select("document", F.col("flow_id").alias("root_id"))
+    return roots.join(nodes, "document").drop("node")
 
 
 STUDY_LISTS = (("data", "data_id"), ("task", "task_id"), ("flow", "flow_id"), ("setup", "setup_id"), ("run", "run_id"))
@@ -254,11 +256,16 @@ STUDY_LISTS = (("data", "data_id"), ("task", "task_id"), ("flow", "flow_id"), ("
 STUDY_ELEMENTS = {"data": "data", "task": "tasks", "flow": "flows", "setup": "setups", "run": "runs"}
 
 
-def studies(spark: SparkSession, path: str, entity: str | None = None, **how) -> tuple[DataFrame, DataFrame]:
-    """(studies, their members as rows); with ``entity`` given, a study of another kind is an error."""
-    lists = ", ".join(f"{STUDY_ELEMENTS[kind]} struct<{inner}: array<string>>" for kind, inner in STUDY_LISTS)
-    raw = read(spark, path, "study", "id string, alias string, main_entity_type string, benchmark_suite string, name string, description string, "
-               f"status string, creation_date string, creator string, {lists}, tag array<struct<name string, write_access string>>", **how)
+STUDY_SCHEMA = ("id string, alias string, main_entity_type string, benchmark_suite string, name string, description string, "
+                "status string, creation_date string, creator string, tag array<struct<name string, write_access string>>")
+
+
+def studies(spark: SparkSession, path: str, entity: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(studies, their members as rows, of any number); with ``entity`` given, a study of another kind is an error."""
+    kinds = "|".join(kind for kind, _ in STUDY_LISTS)
+    # Ids end at "_id>", and so do their begin tags.
+    found = elements.documents(spark, path, "study", "_id>", f"[^<>]*</{{p}}(?:{kinds})$", f"\\s*<{{p}}(?:{kinds})$")
+    raw = stage(_parsed(found.heads, ["document"], "record", "study", STUDY_SCHEMA, found.prefix), "study-heads")
     kind = text("main_entity_type")
     if entity is not None:
         kind = F.when(kind == entity, kind).otherwise(F.raise_error(F.concat(F.lit(f"expected a study of {entity}, got "), kind)))
@@ -267,15 +274,10 @@ def studies(spark: SparkSession, path: str, entity: str | None = None, **how) ->
         text("name").alias("name"), text("description").alias("description"), text("status").alias("status"),
         text("creation_date").try_cast("timestamp").alias("creation_date"), _id("creator").alias("creator"),
         F.transform("tag", lambda t: text(t["name"])).alias("tags"))
-    def ids_of(kind: str, inner: str) -> Column:
-        found = F.transform(F.col(STUDY_ELEMENTS[kind])[inner], lambda v: F.struct(
-            F.lit(kind).alias("entity_type"), text(v).cast("long").alias("entity_id")))
-        return F.coalesce(found, F.array().cast("array<struct<entity_type:string,entity_id:bigint>>"))
-
-    every = F.concat(*[ids_of(k, inner) for k, inner in STUDY_LISTS])
-    members = raw.select(_id("id").alias("study_id"), F.explode(every).alias("m")).select("study_id", "m.*")
-    # A study with very many members is written as several documents of the same id.
-    return table.distinct(), members
+    pattern = f"(?s)^(.*)</{found.prefix}({kinds})_id>$"
+    members = found.entries.select("document", F.regexp_extract("entry", pattern, 2).alias("entity_type"), text(F.regexp_extract("entry", pattern, 1)).cast("long").alias("entity_id"))
+    owners = raw.select("document", _id("id").alias("study_id"))
+    return table.distinct(), owners.join(members, "document").select("study_id", "entity_type", "entity_id")
 
 
 # Fields of the listing documents; ids are numbers, the rest is text.
@@ -390,31 +392,48 @@ def write_tasks(table: DataFrame, path: str, **how) -> None:
     write(out, path, "task", "tasks", **how)
 
 
-def _gather(rows: DataFrame, key: str, entry: Column, name: str) -> DataFrame:
-    """Entries per key as arrays of about ``DOCUMENT_ENTRIES`` at most; a larger key has several rows."""
-    sizes = rows.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / DOCUMENT_ENTRIES).alias("_parts"))
-    large = sizes.filter("_parts > 1")
-    cut = rows.select(key, entry.alias("_e")).join(large, key, "left").withColumn(
-        "_part", F.pmod(F.xxhash64("_e"), F.coalesce("_parts", F.lit(1))))
-    return cut.groupBy(key, "_part").agg(F.array_sort(F.collect_list("_e")).alias(name)).drop("_part")
+def _element(columns: list[Column | str], table: DataFrame, tag: str, prefix: str) -> Column:
+    """Columns of a table as one element; the names of fields get the prefix."""
+    full = f"{prefix}:" if prefix else ""
+    return element(F.struct(*columns).cast(_prefixed(table.select(*columns).schema, full)), tag, prefix)
+
+
+def _end(*tags: str, prefix: str) -> Column:
+    return F.lit("".join(f"</{prefix}:{t}>" if prefix else f"</{t}>" for t in tags))
+
+
+def _write_documents(heads: DataFrame, entries: DataFrame, path: str, root: str, tag: str, inner: tuple[str, ...], how: dict) -> None:
+    """Documents from (entity, line) of their beginnings and (entity, key.., line) of their entries; ``inner`` elements stay open around these."""
+    prefix = how.get("prefix", PREFIX)
+    keys = [c for c in entries.columns if c not in ("entity", "line")]
+    begin = "".join(f"<{prefix}:{t}>" if prefix else f"<{t}>" for t in inner)
+    ends = heads.select("entity", F.lit(2).alias("_at"), _end(*reversed(inner), tag, prefix=prefix).alias("line"))
+    heads = heads.select("entity", F.lit(0).alias("_at"), F.concat("line", F.lit(begin)).alias("line"))
+    known = entries.join(heads.select("entity"), "entity", "left_semi").withColumn("_at", F.lit(1))
+    write_lines(heads.unionByName(ends).unionByName(known, allowMissingColumns=True), path, root, ["_at", *keys], **how)
 
 
 def write_runs(run_table: DataFrame, evaluations: DataFrame, path: str, **how) -> None:
-    """Runs with their evaluations; repeat, fold and sample are attributes. A run with very many
-    evaluations becomes several documents of the same id."""
-    gathered = _gather(evaluations, "run_id", F.struct(
-        F.col("repeat").alias("_repeat"), F.col("fold").alias("_fold"), F.col("sample").alias("_sample"),
-        F.col("function").alias("name"), "value", "array_data"), "evaluation")
+    """Runs with their evaluations, of any number; repeat, fold and sample are attributes."""
+    prefix = how.get("prefix", PREFIX)
     optional = [c for c in ("uploader", "uploader_name", "task_type", "flow_name", "setup_string", "error_message", "run_details") if c in run_table.columns]
-    out = run_table.join(gathered, "run_id", "left").select(
-        "run_id", *optional, "task_id", "flow_id", "setup_id", F.struct("evaluation").alias("output_data"))
-    write(out, path, "run", "runs", **how)
+    head = _element(["run_id", *optional, "task_id", "flow_id", "setup_id"], run_table, "run", prefix)
+    each = _element([F.col("repeat").alias("_repeat"), F.col("fold").alias("_fold"), F.col("sample").alias("_sample"),
+                     F.col("function").alias("name"), "value", "array_data"], evaluations, "evaluation", prefix)
+    _write_documents(
+        run_table.select(F.col("run_id").alias("entity"), opened(head, "run", prefix).alias("line")),
+        evaluations.select(F.col("run_id").alias("entity"), "repeat", "fold", "sample", "function", each.alias("line")), path, "runs", "run", ("output_data",), how)
 
 
 def write_traces(table: DataFrame, path: str, **how) -> None:
-    """Traces of runs with parameters as JSON text; a long trace becomes several documents."""
-    each = F.struct("repeat", "fold", "iteration", F.to_json("parameters").alias("setup_string"), "evaluation", F.col("selected").cast("string").alias("selected"))
-    write(_gather(table, "run_id", each, "trace_iteration"), path, "trace", "traces", **how)
+    """Traces of runs, of any length, with parameters as JSON text."""
+    prefix = how.get("prefix", PREFIX)
+    each = _element(["repeat", "fold", "iteration", F.to_json("parameters").alias("setup_string"), "evaluation", F.col("selected").cast("string").alias("selected")],
+                    table, "trace_iteration", prefix)
+    owners = table.select("run_id").distinct()
+    _write_documents(
+        owners.select(F.col("run_id").alias("entity"), opened(_element(["run_id"], owners, "trace", prefix), "trace", prefix).alias("line")),
+        table.select(F.col("run_id").alias("entity"), "repeat", "fold", "iteration", each.alias("line")), path, "traces", "trace", (), how)
 
 
 def write_setups(parameters: DataFrame, path: str, **how) -> None:
@@ -424,17 +443,24 @@ def write_setups(parameters: DataFrame, path: str, **how) -> None:
 
 
 def write_studies(table: DataFrame, members: DataFrame, path: str, **how) -> None:
-    """Studies with their member ids per kind; one with very many members becomes several documents."""
-    lists = _gather(members, "study_id", F.struct("entity_type", "entity_id"), "_members")
+    """Studies with their member ids, of any number, in a list per kind."""
+    prefix = how.get("prefix", PREFIX)
     fields = [c for c in ("alias", "main_entity_type", "name", "description", "status", "creation_date", "creator") if c in table.columns]
+    head = _element([F.col("study_id").alias("id"), *fields], table, "study", prefix)
+    full = f"{prefix}:" if prefix else ""
+    numbers = {kind: i for i, (kind, _) in enumerate(STUDY_LISTS)}
 
-    def ids(kind: str) -> Column:
-        return F.transform(F.filter("_members", lambda m: m["entity_type"] == kind), lambda m: m["entity_id"])
+    def by_kind(values: dict[str, str]) -> Column:
+        return F.element_at(F.create_map(*[F.lit(x) for pair in values.items() for x in pair]), F.col("entity_type"))
 
-    out = table.join(lists, "study_id", "left").select(
-        F.col("study_id").alias("id"), *fields,
-        *[F.when(F.size(ids(kind)) > 0, F.struct(ids(kind).alias(inner))).alias(STUDY_ELEMENTS[kind]) for kind, inner in STUDY_LISTS])
-    write(out, path, "study", "studies", **how)
+    known = members.filter(F.col("entity_type").isin(list(numbers))).select(
+        F.col("study_id").alias("entity"), "entity_type", by_kind(numbers).alias("kind"), F.lit(1).alias("part"), F.col("entity_id").alias("id"))
+    lists = known.select("entity", "entity_type", "kind").distinct()
+    ids = known.select("entity", "kind", "part", "id", F.concat(by_kind({k: f"<{full}{inner}>" for k, inner in STUDY_LISTS}), F.col("id").cast("string"), by_kind({k: f"</{full}{inner}>" for k, inner in STUDY_LISTS})).alias("line"))
+    ends = [lists.select("entity", "kind", F.lit(part).alias("part"), F.lit(None).cast("long").alias("id"), by_kind({k: f"<{slash}{full}{STUDY_ELEMENTS[k]}>" for k in numbers}).alias("line"))
+            for part, slash in ((0, ""), (2, "/"))]
+    _write_documents(table.select(F.col("study_id").alias("entity"), opened(head, "study", prefix).alias("line")),
+                     ids.unionByName(ends[0]).unionByName(ends[1]), path, "studys", "study", (), how)
 
 
 def write_listing(table: DataFrame, path: str, entity: str, **how) -> None:
@@ -448,38 +474,26 @@ def write_listing(table: DataFrame, path: str, entity: str, **how) -> None:
 
 
 def write_flows(nodes: DataFrame, edges: DataFrame, path: str, **how) -> None:
-    """Flows as nested documents of any depth, built from the leaves up; one document per root.
+    """Flows as nested documents of any depth, one per flow that is no component of another.
 
-    ``nodes`` is (flow_id, name, ..), ``edges`` (parent, identifier, child) over them. Each round nests the
-    flows whose components are all complete. Flows that never become complete contain themselves or an
-    unknown flow, which is an error.
+    ``nodes`` is (flow_id, name, ..), ``edges`` (parent, identifier, child) over them; a flow that contains itself, or
+    one that is not in ``nodes``, is an error. A begin tag sorts before the flow's components, its end tag after them.
     """
+    prefix = how.get("prefix", PREFIX)
     fields = [c for c in FLOW_TEXT if c in nodes.columns] + (["parameter"] if "parameter" in nodes.columns else [])
-    base = nodes.select("flow_id", F.struct(F.col("flow_id").alias("id"), *fields).alias("f"))
-    edges = stage(edges.select("parent", "identifier", "child"), "edges")
-    number = edges.groupBy(F.col("parent").alias("flow_id")).count()
-    # Flows by height above the leaves: the documents of one height have one shape.
-    done = stage(base.join(number, "flow_id", "left_anti"), "flows-0")
-    heights, height = [done], 0
-    while True:
-        height += 1
-        built = reduce(DataFrame.unionByName, [h.select("flow_id") for h in heights])
-        known = built.select(F.col("flow_id").alias("child"))
-        waiting = base.join(number, "flow_id").join(built, "flow_id", "left_anti")
-        ready = edges.join(known, "child", "left_semi").groupBy(F.col("parent").alias("flow_id")).agg(F.count(F.lit(1)).alias("_known"))
-        ready = waiting.join(ready, "flow_id").filter(F.col("count") == F.col("_known")).select("flow_id", "f")
-        ready = stage(ready, f"ready-{height}")
-        if ready.isEmpty():
-            if not waiting.isEmpty():
-                raise ValueError(f"flows contain themselves or unknown flows, {waiting.first()['flow_id']} for one")
-            break
-        # Every flow so far in the shape of the deepest one, with empty components where it has none.
-        deepest = heights[-1].select("f").schema["f"].dataType
-        alike = reduce(DataFrame.unionByName, [h.select("flow_id", F.from_json(F.to_json("f"), deepest).alias("f")) for h in heights])
-        parts = edges.join(ready.select(F.col("flow_id").alias("parent")), "parent", "left_semi").join(alike, F.col("child") == F.col("flow_id"))
-        parts = parts.groupBy(F.col("parent").alias("flow_id")).agg(F.array_sort(F.collect_list(F.struct("identifier", F.col("f").alias("flow")))).alias("component"))
-        heights.append(stage(ready.join(parts, "flow_id").select("flow_id", F.struct("f.*", "component").alias("f")), f"flows-{height}"))
-    deepest = heights[-1].select("f").schema["f"].dataType
-    every = reduce(DataFrame.unionByName, [h.select("flow_id", F.from_json(F.to_json("f"), deepest).alias("f")) for h in heights])
-    roots = every.join(edges.select(F.col("child").alias("flow_id")), "flow_id", "left_anti")
-    write(roots.select("f.*"), path, "flow", "flows", **how)
+    unknown = edges.join(nodes.select(F.col("flow_id").alias("child")), "child", "left_anti").first()
+    if unknown is not None:
+        raise ValueError(f"flows contain themselves or unknown flows, {unknown['child']} for one")
+    steps = "array<struct<end int, identifier string, child bigint>>"
+    roots = nodes.select("flow_id").join(edges.select(F.col("child").alias("flow_id")), "flow_id", "left_anti")
+    below = paths(edges).join(roots.select(F.col("flow_id").alias("root_id")), "root_id", "left_semi").select(
+        F.col("root_id").alias("entity"), "flow_id", F.transform("steps", lambda s: F.struct(F.lit(0).alias("end"), s["identifier"].alias("identifier"), s["child"].alias("child"))).alias("at"))
+    places = stage(roots.select(F.col("flow_id").alias("entity"), "flow_id", F.array().cast(steps).alias("at")).unionByName(below), "flow-places")
+    texts = nodes.select("flow_id", opened(_element([F.col("flow_id").alias("id"), *fields], nodes, "flow", prefix), "flow", prefix).alias("text"))
+    full = f"{prefix}:" if prefix else ""
+    inside = F.size("at") > 0
+    wrapped = F.concat(F.lit(f"<{full}component><{full}identifier>"), escaped(F.element_at("at", -1)["identifier"]), F.lit(f"</{full}identifier>"))
+    begins = places.join(texts, "flow_id").select("entity", "at", F.concat(F.when(inside, wrapped).otherwise(F.lit("")), "text").alias("line"))
+    last = F.struct(F.lit(1).alias("end"), F.lit("").alias("identifier"), F.lit(0).cast("long").alias("child"))
+    ends = places.select("entity", F.array_append("at", last).alias("at"), F.when(F.size("at") > 0, _end("flow", "component", prefix=prefix)).otherwise(_end("flow", prefix=prefix)).alias("line"))
+    write_lines(begins.unionByName(ends), path, "flows", ["at"], **how)
