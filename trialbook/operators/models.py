@@ -17,10 +17,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trialbook.operators import scores, splits, traces
+from trialbook.plans.scan import join_groups
 from trialbook.plans.skew import join_by_cell
 from trialbook.session import stage
 
 CELL = ["repeat", "fold"]
+# Files that hold the rows of one repeat and fold, at most.
+FILES_PER_CELL = 64
 
 
 def _train_totals(per_fold: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -100,7 +103,9 @@ class Run:
 
 def place(rows: DataFrame, test_folds: DataFrame) -> DataFrame:
     """Rows with their test fold per repeat, written once by repeat and fold: a cell reads its own folders only."""
-    return stage(rows.join(test_folds, "rowid"), "placed", ["repeat", "fold"])
+    placed = rows.join(test_folds, "rowid")
+    # A task that holds many cells would write a file for each: a cell's rows meet in a few tasks first.
+    return stage(placed.repartition("repeat", "fold", F.pmod(F.xxhash64("rowid"), F.lit(FILES_PER_CELL))), "placed", ["repeat", "fold"])
 
 
 def place_cells(rows: DataFrame, cells: DataFrame) -> DataFrame:
@@ -158,21 +163,54 @@ def run_cells(estimator, placed: DataFrame, cells: Iterable[tuple[int, ...]], la
 def fit_lines(rows: DataFrame, keys: Sequence[str], fold: str, x: str, y: str) -> DataFrame:
     """A least-squares line of ``y`` on ``x`` for every cell, fitted without the cell's own fold, at its own rows.
 
-    ``rows`` is (keys.., fold, rowid, x, y), each row in one fold. A cell's training sums are the totals of
-    its key less the fold's own, so no row is copied and a cell may have any size. Sums are
-    decimals, which do not overflow. Where x never varies the prediction is the mean; where a cell
-    has no training row it is NULL.
+    ``rows`` is (keys.., fold, rowid, x, y), each row in one fold; NULL is a key and a fold like any other. A cell may
+    have any size, and no row is copied. Whole numbers are summed exactly, and the training sums of a fold are the
+    totals less its own; fractions go by means and sums of deviations of every fold, which are put together for all
+    folds but one. Where x never varies the prediction is the mean; where a cell has no training row, or x is NULL,
+    it is NULL.
     """
-    a, b = F.col(x).cast("decimal(38,0)"), F.col(y).cast("decimal(38,0)")
-    sums = {"n": F.count(F.lit(1)), "sx": F.sum(a), "sy": F.sum(b), "sxy": F.sum(a * b), "sxx": F.sum(a * a)}
-    own = rows.groupBy(*keys, fold).agg(*[c.alias(k) for k, c in sums.items()])
+    kinds = dict(rows.dtypes)
+    whole = all(kinds[c] in ("tinyint", "smallint", "int", "bigint") or kinds[c].endswith(",0)") for c in (x, y))
+    both = F.col(x).isNotNull() & F.col(y).isNotNull()
+    given = rows.select(*keys, fold, F.when(both, F.col(x)).alias("_a"), F.when(both, F.col(y)).alias("_b"))
+    train, guess = (_whole_lines if whole else _fraction_lines)(given, list(keys), fold, F.col(x).cast("double"))
+    out = join_groups(rows, train, [*keys, fold])
+    return out.select(*keys, fold, F.col("rowid").alias("row_id"), F.when(F.col(x).isNotNull(), guess).alias("prediction"), F.col(y).cast("double").alias("truth"))
+
+
+def _whole_lines(given: DataFrame, keys: list[str], fold: str, at: Column) -> tuple[DataFrame, Column]:
+    """(keys.., fold, exact training sums) and the prediction at a place; decimals do not overflow."""
+    a, b = F.col("_a").cast("decimal(38,0)"), F.col("_b").cast("decimal(38,0)")
+    sums = {"n": F.count("_a"), "sx": F.sum(a), "sy": F.sum(b), "sxy": F.sum(a * b), "sxx": F.sum(a * a)}
+    own = given.groupBy(*keys, fold).agg(*[F.coalesce(c, F.lit(0)).alias(k) for k, c in sums.items()])
     totals = own.groupBy(*keys).agg(*[F.sum(k).alias(f"_{k}") for k in sums])
-    train = own.join(totals, list(keys)).select(*keys, fold, *[(F.col(f"_{k}") - F.col(k)).cast("double").alias(f"_{k}") for k in sums])
+    train = join_groups(own, totals, keys).select(*keys, fold, *[(F.col(f"_{k}") - F.col(k)).cast("double").alias(f"_{k}") for k in sums])
     spread = F.expr("_n * _sxx - _sx * _sx")
-    at = F.col(x).cast("double")
     line = (F.expr("_sy * _sxx - _sx * _sxy") + F.expr("_n * _sxy - _sx * _sy") * at) / spread
-    guess = F.when(spread > 0, line).when(F.col("_n") > 0, F.expr("_sy / _n"))
-    return rows.join(train, [*keys, fold]).select(*keys, fold, F.col("rowid").alias("row_id"), guess.alias("prediction"), F.col(y).cast("double").alias("truth"))
+    return train, F.when(spread > 0, line).when(F.col("_n") > 0, F.expr("_sy / _n"))
+
+
+def _fraction_lines(given: DataFrame, keys: list[str], fold: str, at: Column) -> tuple[DataFrame, Column]:
+    """(keys.., fold, means and slope of all other folds) and the prediction at a place."""
+    a, b = F.col("_a").cast("double"), F.col("_b").cast("double")
+    n = F.count("_a")
+    own = given.groupBy(*keys, fold).agg(
+        n.alias("n"), F.avg(a).alias("x"), F.avg(b).alias("y"), (F.var_pop(a) * n).alias("xx"), (F.covar_pop(a, b) * n).alias("xy"), F.min(a).alias("least"), F.max(a).alias("most"))
+    # One entry per fold of a cell.
+    folds = own.groupBy(*keys).agg(F.collect_list(F.struct(fold, "n", "x", "y", "xx", "xy", "least", "most")).alias("_folds"))
+    each = folds.select(*keys, "_folds", F.explode(F.transform("_folds", lambda f: f[fold])).alias(fold))
+    others = F.filter("_folds", lambda f: ~f[fold].eqNullSafe(F.col(fold)) & (f["n"] > 0))
+
+    def total(value) -> Column:
+        return F.aggregate("_others", F.lit(0.0), lambda s, f: s + value(f))
+
+    train = each.withColumn("_others", others).withColumn("_n", total(lambda f: f["n"].cast("double")))
+    train = train.withColumns({"_x": total(lambda f: f["n"] * f["x"]) / F.nullif("_n", F.lit(0.0)), "_y": total(lambda f: f["n"] * f["y"]) / F.nullif("_n", F.lit(0.0))})
+    xx = total(lambda f: f["xx"] + f["n"] * (f["x"] - F.col("_x")) * (f["x"] - F.col("_x")))
+    xy = total(lambda f: f["xy"] + f["n"] * (f["x"] - F.col("_x")) * (f["y"] - F.col("_y")))
+    varies = F.array_min(F.transform("_others", lambda f: f["least"])) < F.array_max(F.transform("_others", lambda f: f["most"]))
+    train = train.select(*keys, fold, "_x", "_y", F.when(varies, xy / xx).alias("_slope"))
+    return train, F.when(F.col("_slope").isNotNull(), F.col("_y") + F.col("_slope") * (at - F.col("_x"))).otherwise(F.col("_y"))
 
 
 def search(

@@ -6,15 +6,14 @@ prediction rows are never joined or collected by fold.
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Iterator, Sequence
-from functools import reduce
 from typing import Any
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trialbook.operators import mergeable
 from trialbook.plans.scan import running
 
 CELL = ["repeat", "fold"]
@@ -50,29 +49,19 @@ def python_metric_by_fold(predictions: DataFrame, ids: Sequence[str], truth: str
     """A metric in Python for folds of any size, one score per fold.
 
     ``metric`` has ``partial(y_true, y_pred)``, a state of some rows as arrays, ``merge(a, b)`` of two
-    states, and ``finish(state)``, the score. Every batch of a task becomes one state per fold, and only
-    the states of the folds travel.
+    states, and ``finish(state)``, the score. Every batch of a task becomes one state per fold; only
+    states travel, and a task holds some thousands of them at most.
     """
     keys = [*ids, *CELL]
     last = predictions.groupBy(*keys).agg(F.max("sample").alias("_last"))
     kept = predictions.join(last, keys).filter(F.col("sample") == F.col("_last")).select(*keys, truth, "prediction")
-    types = dict(predictions.dtypes)
-    cells = ", ".join(f"`{k}` {types[k]}" for k in keys)
-
-    def parts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        states: dict[tuple, Any] = {}
-        for frame in frames:
-            for key, rows in frame.groupby(keys, dropna=False):
-                state = metric.partial(rows[truth].to_numpy(), rows["prediction"].to_numpy())
-                states[key] = metric.merge(states[key], state) if key in states else state
-        yield pd.DataFrame([[*k, pickle.dumps(v)] for k, v in states.items()], columns=[*keys, "state"])
-
-    def score(key: tuple[Any, ...], frame: pd.DataFrame) -> pd.DataFrame:
-        state = reduce(metric.merge, map(pickle.loads, frame["state"]))
-        return pd.DataFrame([[*key, float(metric.finish(state))]], columns=[*keys, "value"])
-
-    states = kept.mapInPandas(parts, f"{cells}, state binary")
-    return states.groupBy(*keys).applyInPandas(score, f"{cells}, value double")
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, state, types in mergeable.merged(batches, keys, metric.merge):
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((*key, float(metric.finish(state))), (*types, pa.float64()), strict=True)], names=[*keys, "value"])
+
+    states = mergeable.states(kept, keys, [truth, "prediction"], lambda rows: metric.partial(rows[truth], rows["prediction"]), metric.merge, keys)
+    kinds = dict(predictions.dtypes)
+    return states.mapInArrow(scored, ", ".join([*[f"`{k}` {kinds[k]}" for k in keys], "value double"]))
 
 
 def domain_violations(predictions: DataFrame, labels: Sequence[str]) -> DataFrame:

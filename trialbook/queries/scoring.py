@@ -7,7 +7,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from trialbook.operators import lookups, models, scores, splits
+from trialbook.operators import lookups, mergeable, models, scores, splits
 from trialbook.queries import query
 from trialbook.queries.analysis import round_to
 
@@ -324,6 +324,66 @@ def _(r):
     return _lines(r, F.lit(0).cast("long"))
 
 
+@query("run_01_lines_of_fractions", sql="""
+WITH x AS (SELECT CASE WHEN l_partkey % 10 > 0 THEN l_partkey END AS task_id, l_linenumber % 3 AS part, l_orderkey * 10 + l_linenumber AS row_id, CASE WHEN l_tax < 0.08 THEN l_discount END AS a, l_extendedprice AS b FROM lineitem),
+cell AS (SELECT DISTINCT task_id, part FROM x),
+m AS (SELECT c.task_id, c.part, CASE WHEN min(a) < max(a) THEN regr_slope(b, a) END AS slope, avg(a) AS ma, avg(b) AS mb
+ FROM cell c JOIN x ON x.task_id IS NOT DISTINCT FROM c.task_id AND x.part <> c.part AND a IS NOT NULL GROUP BY 1, 2)
+SELECT x.task_id, x.part AS fold, x.row_id, CASE WHEN a IS NOT NULL THEN round(mb + coalesce(slope * (a - ma), 0) + 0.0137, 1) END AS prediction, b AS truth
+FROM x LEFT JOIN m ON m.task_id IS NOT DISTINCT FROM x.task_id AND m.part = x.part""")
+def _(r):
+    """Lines through discounts and prices as they are, with parts without a key as one task and rows without a discount.
+
+    Predictions are shifted before they are rounded, since means of few prices lie on halves.
+    """
+    rows = r.table("lineitem").select(
+        F.when(F.col("l_partkey") % 10 > 0, F.col("l_partkey")).alias("task_id"), (F.col("l_linenumber") % 3).alias("fold"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("rowid"), F.when(F.col("l_tax") < 0.08, F.col("l_discount")).alias("a"), F.col("l_extendedprice").alias("b"))
+    lines = models.fit_lines(rows, ["task_id"], "fold", "a", "b")
+    return round_to(lines.withColumn("prediction", F.col("prediction") + 0.0137), 1, "prediction")
+
+
+def _cells(r, *columns):
+    """Lines by part, those of every tenth part as one cell without a key; a row's fold is its order's remainder."""
+    return r.table("lineitem").select(
+        F.when(F.col("l_partkey") % 10 > 0, F.col("l_partkey")).alias("task_id"), (F.col("l_orderkey") % 3).alias("fold"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("rowid"), *columns)
+
+
+@query("run_01_bayes_per_part", sql="""
+WITH x AS (SELECT CASE WHEN l_partkey % 10 > 0 THEN l_partkey END AS task_id, l_orderkey % 3 AS fold, l_orderkey * 10 + l_linenumber AS row_id, l_linestatus AS s,
+  CASE WHEN l_linenumber < 7 THEN CAST(l_linenumber AS VARCHAR) END AS k, l_returnflag AS y, row_number() OVER () AS i FROM lineitem),
+cell AS (SELECT DISTINCT task_id, fold FROM x), label AS (SELECT unnest(['A', 'N', 'R']) AS c),
+tr AS (SELECT cell.task_id, cell.fold, x.s, x.k, x.y FROM cell JOIN x ON x.task_id IS NOT DISTINCT FROM cell.task_id AND x.fold <> cell.fold),
+n AS (SELECT task_id, fold, count(*) AS n FROM tr GROUP BY 1, 2),
+nc AS (SELECT n.task_id, n.fold, c, n, (SELECT count(*) FROM tr WHERE tr.task_id IS NOT DISTINCT FROM n.task_id AND tr.fold = n.fold AND y = c) AS nc FROM n, label),
+ns AS (SELECT task_id, fold, y AS c, s, count(*) AS m FROM tr GROUP BY ALL), nk AS (SELECT task_id, fold, y AS c, k, count(*) AS m FROM tr WHERE k IS NOT NULL GROUP BY ALL),
+kt AS (SELECT task_id, fold, c, sum(m) AS t FROM nk GROUP BY ALL),
+sc AS (SELECT x.task_id, x.fold, x.row_id, x.i, x.y, nc.c, round(ln((nc + 1.0) / (n + 3.0)) + (ln((coalesce(ns.m, 0) + 1.0) / (nc + 2.0))
+   + CASE WHEN x.k IS NULL THEN 0 ELSE ln((coalesce(nk.m, 0) + 1.0) / (coalesce(kt.t, 0) + 6.0)) END), 9) AS score
+ FROM x JOIN nc ON nc.task_id IS NOT DISTINCT FROM x.task_id AND nc.fold = x.fold
+ LEFT JOIN ns ON ns.task_id IS NOT DISTINCT FROM x.task_id AND ns.fold = x.fold AND ns.c = nc.c AND ns.s = x.s
+ LEFT JOIN nk ON nk.task_id IS NOT DISTINCT FROM x.task_id AND nk.fold = x.fold AND nk.c = nc.c AND nk.k = x.k
+ LEFT JOIN kt ON kt.task_id IS NOT DISTINCT FROM x.task_id AND kt.fold = x.fold AND kt.c = nc.c)
+SELECT task_id, fold, row_id, c AS prediction, y AS truth FROM (SELECT *, row_number() OVER (PARTITION BY task_id, fold, row_id, i ORDER BY score DESC, c) AS place FROM sc) WHERE place = 1
+UNION ALL SELECT task_id, fold, row_id, NULL, y FROM x WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.task_id IS NOT DISTINCT FROM x.task_id AND n.fold = x.fold)""")
+def _(r):
+    rows = _cells(r, F.col("l_linestatus").alias("s"), F.when(F.col("l_linenumber") < 7, F.col("l_linenumber").cast("string")).alias("k"), F.col("l_returnflag").alias("y"))
+    model = mergeable.CountedBayes("y", {"s": ["F", "O"], "k": ["1", "2", "3", "4", "5", "6"]}, ["A", "N", "R"])
+    return mergeable.cross_validated(model, rows, ["task_id"], "fold", "y", ["s", "k"])
+
+
+@query("run_01_ridge_per_part", sql="""
+WITH x AS (SELECT CASE WHEN l_partkey % 10 > 0 THEN l_partkey END AS task_id, l_orderkey % 3 AS fold, l_orderkey * 10 + l_linenumber AS row_id, l_quantity AS a, l_extendedprice AS b FROM lineitem),
+cell AS (SELECT DISTINCT task_id, fold FROM x),
+m AS (SELECT c.task_id, c.fold, covar_pop(b, a) * count(*) / (var_pop(a) * count(*) + 10) AS slope, avg(a) AS ma, avg(b) AS mb
+ FROM cell c JOIN x ON x.task_id IS NOT DISTINCT FROM c.task_id AND x.fold <> c.fold GROUP BY 1, 2)
+SELECT x.task_id, x.fold, x.row_id, round(mb + slope * (a - ma), 1) AS prediction, b AS truth FROM x LEFT JOIN m ON m.task_id IS NOT DISTINCT FROM x.task_id AND m.fold = x.fold""")
+def _(r):
+    rows = _cells(r, F.col("l_quantity").alias("a"), F.col("l_extendedprice").alias("b"))
+    return round_to(mergeable.cross_validated(mergeable.RidgeLine("b", ["a"], penalty=10.0), rows, ["task_id"], "fold", "b", ["a"], "double"), 1, "prediction")
+
+
 @query("run_05_timings")
 def _(r):
     run = models.run_cells(DecisionTreeClassifier(maxDepth=1, seed=1), placed_points(r, 2), [(0, 0), (0, 1)], DIGITS)
