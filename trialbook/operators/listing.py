@@ -10,7 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trialbook.plans.scan import row_numbers
+from trialbook.operators.pages import By, page_index, sort_columns
+from trialbook.session import stage
 
 # Task type ids and names.
 TASK_TYPES = {
@@ -21,7 +22,7 @@ TASK_TYPES = {
 # The states a dataset may be in.
 DATASET_STATES = ("active", "deactivated", "in_preparation")
 
-# Pages that end within this many rows are cut by a top-n; later pages by global row numbers, with the same rows in the same order.
+# Pages that end within this many rows are cut by a top-n; later pages through an index, with the same rows in the same order.
 TOP_ROWS = 20_000
 
 Ids = int | str | Sequence | DataFrame | None
@@ -56,16 +57,21 @@ def tagged(df: DataFrame, key: str, tags: DataFrame, tag: str | Sequence[str] |
     return df.join(holders, key, "left_semi")
 
 
-def page(df: DataFrame, order: Sequence[str | Column], size: int | None = None, offset: int = 0) -> DataFrame:
-    """Rows ``offset`` to ``offset + size``, ordered whatever the size of the page."""
+def page(df: DataFrame, order: Sequence[By], size: int | None = None, offset: int = 0) -> DataFrame:
+    """Rows ``offset`` to ``offset + size``, ordered whatever the size of the page.
+
+    A late page goes through an index of counts per slice, so only the slices that hold it are sorted, and the table is
+    not written. Where floating-point numbers order the rows they are written once, unsorted, since sums
+    made twice may differ in their last digit.
+    """
     if size is None and not offset:
         return df
     if size is not None and offset + size <= TOP_ROWS:
-        return df.orderBy(*order).offset(offset).limit(size)
-    numbered = row_numbers(df, [], order, "_n").filter(F.col("_n") > offset)
-    if size is not None:
-        numbered = numbered.filter(F.col("_n") <= offset + size)
-    return numbered.orderBy("_n").drop("_n")
+        return df.orderBy(*sort_columns(order)).offset(offset).limit(size)
+    kinds = {t for _, t in df.select(*[F.col(by[0]) if isinstance(by, tuple) else by for by in order]).dtypes}
+    if kinds & {"float", "double"}:
+        df = stage(df, "pages")
+    return page_index(df, order).page(df, size, offset)
 
 
 def page_after(df: DataFrame, key: str, last, size: int) -> DataFrame:
@@ -73,8 +79,10 @@ def page_after(df: DataFrame, key: str, last, size: int) -> DataFrame:
     return df.filter(F.col(key) > last).orderBy(key).limit(size)
 
 
-def quality_columns(qualities: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Named qualities as columns, one row per dataset."""
+def quality_columns(qualities: DataFrame, names: Sequence[str], of: DataFrame | None = None) -> DataFrame:
+    """Named qualities as columns, one row per dataset; of the datasets in ``of`` only, if given."""
+    if of is not None:
+        qualities = qualities.join(of.select("did"), "did", "left_semi")
     return (
         qualities.filter(F.col("name").isin(list(names))).groupBy("did")
         .pivot("name", list(names)).agg(F.max("value"))
@@ -93,7 +101,8 @@ def list_datasets(
         out = out.filter(F.col("status") == status)
     out = matches(matches(out, "did", data_id), "name", data_name)
     out = tagged(matches(out, "version", data_version), "did", tags, tag)
-    out = out.join(quality_columns(qualities, quality_names), "did", "left")
+    narrowed = data_id is not None or data_name is not None or tag is not None
+    out = out.join(quality_columns(qualities, quality_names, out if narrowed else None), "did", "left")
     for name, wanted in (ranges or {}).items():
         out = out.filter(in_range(name, wanted))
     return page(out, ["did"], size, offset)
@@ -117,7 +126,8 @@ def list_tasks(
     about = datasets.select("did", "name", "status")
     out = out.join(matches(matches(about, "status", status), "name", data_name), "did")
     out = with_procedure_names(out, procedures)
-    out = out.join(quality_columns(qualities, quality_names), "did", "left").fillna(0.0, list(quality_names))
+    narrowed = data_id is not None or data_name is not None or data_tag is not None or tag is not None
+    out = out.join(quality_columns(qualities, quality_names, out if narrowed else None), "did", "left").fillna(0.0, list(quality_names))
     for name, wanted in (ranges or {}).items():
         out = out.filter(in_range(name, wanted))
     return page(out, ["task_id"], size, offset)
@@ -204,10 +214,10 @@ def top(df: DataFrame, metric: str, sort_order: str | None, ids: Sequence[str],
     """Sort by a metric, ids breaking ties, then cut."""
     if sort_order is None:
         return page(df, list(ids), size, offset)
-    first = F.col(metric).desc() if sort_order == "desc" else F.col(metric).asc()
+    order: list[By] = [(metric, sort_order), *ids]
     if size is None and not offset:
-        return df.orderBy(first, *ids)
-    return page(df, [first, *ids], size, offset)
+        return df.orderBy(*sort_columns(order))
+    return page(df, order, size, offset)
 
 
 def by_run(evaluations: DataFrame, order: Sequence[str]) -> DataFrame:

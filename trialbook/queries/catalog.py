@@ -2,10 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from trialbook.operators import listing, members
+from trialbook.operators import listing, members, pages
 from trialbook.plans.bindings import QUALITY_NAMES
 from trialbook.queries import query
 from trialbook.queries.analysis import round_to
+from trialbook.session import new_path
 
 _Q4 = """"NumberOfInstances", "NumberOfClasses", "NumberOfFeatures", "NumberOfMissingValues\""""
 
@@ -151,6 +152,49 @@ def _(r):
     return listing.page(r.evaluations(), ["run_id", "task_id", "flow_id", "setup_id", "function"], 500, 30_000)
 
 
+@query("lst_10_late_page_by_value", needs=["evaluations"], sql="""
+SELECT run_id, task_id, flow_id, setup_id, function, value FROM evaluations ORDER BY value DESC, run_id, task_id, setup_id, function LIMIT 300 OFFSET 25000""")
+def _(r):
+    return listing.top(r.evaluations().withColumn("value", F.round("value", 6)), "value", "desc", ["run_id", "task_id", "setup_id", "function"], 300, 25_000)
+
+
+@query("lst_10_written_pages", sql="""
+SELECT *, 'early' AS page FROM (SELECT event_id, user_id, event_type FROM events ORDER BY event_type DESC, user_id, event_id LIMIT 40 OFFSET 60)
+UNION ALL SELECT *, 'late' FROM (SELECT event_id, user_id, event_type FROM events ORDER BY event_type DESC, user_id, event_id LIMIT 250 OFFSET 9000)
+UNION ALL SELECT *, 'last' FROM (SELECT event_id, user_id, event_type FROM events ORDER BY event_type DESC, user_id, event_id LIMIT 100 OFFSET (SELECT count(*) - 30 FROM events))""")
+def _(r):
+    """Three pages of one written order."""
+    order = [("event_type", "desc"), "user_id", "event_id"]
+    events = r.table("events").select("event_id", "user_id", "event_type")
+    path = new_path(r.spark, "pages")
+    index = pages.write_pages(events, order, path)
+    rows, _ = pages.open_pages(r.spark, order, path)
+    n = sum(count for count, _, _ in index.slices)
+    parts = [index.page(rows, size, offset).withColumn("page", F.lit(name)) for name, size, offset in (("early", 40, 60), ("late", 250, 9000), ("last", 100, max(0, n - 30)))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("lst_02_tagged_tasks", needs=["tasks", "datasets", "procedures"], sql="""
+SELECT t.task_id, t.did, d.status, p.procedure_name AS estimation_procedure FROM tasks t JOIN datasets d ON t.did = d.did LEFT JOIN procedures p ON t.procedure_id = p.procedure_id
+WHERE t.task_id IN (SELECT p_partkey FROM part WHERE p_type = (SELECT min(p_type) FROM part))""")
+def _(r):
+    """Tasks that carry a tag of their own."""
+    part = r.table("part")
+    first = part.agg(F.min("p_type").alias("p_type"))
+    tags = part.join(first, "p_type").select(F.col("p_partkey").alias("task_id"), F.lit("first").alias("tag"))
+    out = listing.list_tasks(r.tasks(), r.datasets(), r.qualities(), r.procedures(), r.dataset_tags(), QUALITY_NAMES, tags=tags, tag="first")
+    return out.select("task_id", "did", "status", "estimation_procedure")
+
+
+@query("lst_06_tagged_evaluations", needs=["evaluations"], sql="""
+SELECT run_id, task_id, flow_id, setup_id, function, value FROM evaluations WHERE function = 'R' AND run_id IN (SELECT o_orderkey FROM orders WHERE o_orderpriority IN ('1-URGENT', '5-LOW'))""")
+def _(r):
+    """Evaluations of runs that carry one of two tags."""
+    tags = r.table("orders").select(F.col("o_orderkey").alias("run_id"), F.col("o_orderpriority").alias("tag"))
+    out = listing.list_evaluations(r.fold_evaluations(), "R", tags=tags, tag=["1-URGENT", "5-LOW"])
+    return round_to(out.drop("values"), 6, "value")
+
+
 @query("lst_10_page_after_key", needs=["datasets"], sql="SELECT * FROM datasets WHERE did > 77 ORDER BY did LIMIT 50")
 def _(r):
     return listing.page_after(r.datasets(), "did", 77, 50)
