@@ -16,7 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trialbook.operators import scores, splits, traces
+from trialbook.operators import neighbours, scores, splits, traces
 from trialbook.plans.scan import join_groups
 from trialbook.plans.skew import join_by_cell
 from trialbook.session import stage
@@ -243,16 +243,25 @@ def search(
 
 def landmarkers(learners: Sequence[tuple[str, object]], placed: DataFrame, cells: Sequence[tuple[int, int]], labels: Sequence[str]) -> DataFrame:
     """(name, value): area, error rate and kappa of simple learners under cross-validation."""
-    out = []
-    for name, estimator in learners:
-        p = run_cells(estimator, placed, cells, labels).predictions.withColumn("_all", F.lit(0))
-        summary = scores.classification_summary(scores.confusion(p, ["_all"]), ["_all"])
-        both = summary.join(scores.weighted_auc(p, ["_all"], labels), "_all", "left")
-        out.append(both.select(F.explode(F.array(
-            F.struct(F.lit(f"{name}AUC").alias("name"), F.col("auc").alias("value")),
-            F.struct(F.lit(f"{name}ErrRate").alias("name"), (1 - F.col("accuracy")).alias("value")),
-            F.struct(F.lit(f"{name}Kappa").alias("name"), F.col("kappa").alias("value")))).alias("q")).select("q.*"))
-    return reduce(DataFrame.unionByName, out)
+    return reduce(DataFrame.unionByName, [landmarks(name, run_cells(estimator, placed, cells, labels).predictions, labels) for name, estimator in learners])
+
+
+def landmarks(name: str, predictions: DataFrame, labels: Sequence[str]) -> DataFrame:
+    """(name, value): area, error rate and kappa of predictions with confidences."""
+    p = predictions.withColumn("_all", F.lit(0))
+    summary = scores.classification_summary(scores.confusion(p, ["_all"]), ["_all"])
+    both = summary.join(scores.weighted_auc(p, ["_all"], labels), "_all", "left")
+    return both.select(F.explode(F.array(
+        F.struct(F.lit(f"{name}AUC").alias("name"), F.col("auc").alias("value")),
+        F.struct(F.lit(f"{name}ErrRate").alias("name"), (1 - F.col("accuracy")).alias("value")),
+        F.struct(F.lit(f"{name}Kappa").alias("name"), F.col("kappa").alias("value")))).alias("q")).select("q.*")
+
+
+def nearest_neighbour_landmarks(rows: DataFrame, test_folds: DataFrame, labels: Sequence[str], name: str = "kNN1N") -> DataFrame:
+    """(name, value) of the nearest neighbour over rows (rowid, label, features as an array) and one repeat of folds."""
+    found = stage(neighbours.predictions(rows.join(test_folds.select("rowid", "fold"), "rowid")), "neighbours")
+    certain = [(F.coalesce(F.col("prediction") == v, F.lit(False))).cast("double").alias(f"confidence.{v}") for v in labels]
+    return landmarks(name, found.select("*", *certain), labels)
 
 
 def surrogate(frame: DataFrame, numeric: Sequence[str], nominal: Sequence[str], target: str, trees: int = 10, seed: int = 0):

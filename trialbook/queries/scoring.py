@@ -7,7 +7,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from trialbook.operators import lookups, mergeable, models, scores, splits
+from trialbook.operators import lookups, mergeable, models, neighbours, scores, splits
 from trialbook.queries import query
 from trialbook.queries.analysis import round_to
 
@@ -411,3 +411,33 @@ def _(r):
     learners = [("DecisionStump", DecisionTreeClassifier(maxDepth=1, seed=1)), ("REPTreeDepth2", DecisionTreeClassifier(maxDepth=2, seed=1)),
                 ("NaiveBayes", NaiveBayes(modelType="gaussian"))]
     return models.landmarkers(learners, placed_points(r, 2), [(0, 0), (0, 1)], DIGITS)
+
+
+_SQUARE = "list_dot_product(a.v, a.v) - 2 * list_dot_product(a.v, b.v) + list_dot_product(b.v, b.v)"
+_NEAREST = f"""f AS ({POINT_FOLDS.format(n=1)}), x AS MATERIALIZED (SELECT rowid, label, fold, [floor(4096 * CAST(e AS DOUBLE)) FOR e IN embedding] AS v FROM points JOIN f USING (rowid)),
+d AS MATERIALIZED (SELECT a.rowid, min({{'d': {_SQUARE}, 'r': b.rowid}}) AS near FROM x a JOIN x b ON a.fold <> b.fold GROUP BY 1)"""
+
+
+def whole_points(r):
+    """Points with whole components, so that distances are exact."""
+    whole = F.transform("embedding", lambda e: F.floor(e.cast("double") * 4096).cast("double"))
+    rows = r.points().select("rowid", F.col("label").cast("string").alias("label"), whole.alias("features"))
+    return rows, splits.cross_validation(rows.select("rowid", "label"), 1, 5, seed=3, stratify="label")
+
+
+@query("agg_07_nearest_neighbours", needs=["points"], sql=f"WITH {_NEAREST} SELECT rowid, near.r AS neighbour, near.d AS square FROM d")
+def _(r):
+    rows, folds = whole_points(r)
+    return neighbours.nearest(rows.join(folds.select("rowid", "fold"), "rowid"))
+
+
+@query("agg_07_nearest_neighbour_landmarks", needs=["points"], sql=f"""
+WITH {_NEAREST}, p AS (SELECT a.label AS correct, b.label AS prediction FROM d JOIN x a ON a.rowid = d.rowid JOIN x b ON b.rowid = d.near.r),
+c AS (SELECT label, count(*) FILTER (correct = label) AS actual, count(*) FILTER (prediction = label) AS predicted, count(*) FILTER (correct = label AND prediction = label) AS hits FROM p, (SELECT DISTINCT label FROM x) GROUP BY 1),
+s AS (SELECT sum(hits) / sum(actual) AS agreed, sum(actual * predicted) / (sum(actual) * sum(actual)) AS chance, sum(actual) AS n,
+ sum(CASE WHEN actual > 0 AND actual < t THEN actual * ((hits / actual) + 1 - (predicted - hits) / (t - actual)) / 2 END) / sum(actual) FILTER (actual > 0 AND actual < t) AS auc
+ FROM c, (SELECT count(*) AS t FROM p))
+SELECT 'kNN1NErrRate' AS name, round(1 - agreed, 9) AS value FROM s UNION ALL SELECT 'kNN1NKappa', round((agreed - chance) / (1 - chance), 9) FROM s UNION ALL SELECT 'kNN1NAUC', round(auc, 9) FROM s""")
+def _(r):
+    rows, folds = whole_points(r)
+    return round_to(models.nearest_neighbour_landmarks(rows, folds, DIGITS), 9, "value")
