@@ -7,14 +7,13 @@ kurtosis is the excess, entropies are in bits over observed frequencies.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trialbook.operators.datasets import Feature
 
-# Columns per aggregate, so that wide tables do not make one expression of thousands of terms.
+# Columns per array or aggregate, so that wide tables do not make one expression of thousands of terms.
 COLUMNS_PER_PASS = 200
 
 
@@ -51,21 +50,31 @@ def simple(df: DataFrame, features: Sequence[Feature]) -> DataFrame:
     ])
 
 
+def column_moments(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """(i, m0, m1, m2, m3): mean, deviation, skewness and kurtosis of each column, in one pass over the table.
+
+    A few columns are aggregated side by side. Many are turned into rows (column, value) as they are read, which are
+    aggregated before anything is exchanged; so the plan does not grow with the columns.
+    """
+    def four(column: Column) -> list[Column]:
+        return [f(column) for f in (F.avg, F.stddev_pop, F.skewness, F.kurtosis)]
+
+    if len(names) <= COLUMNS_PER_PASS:
+        one = df.agg(*[c.cast("double").alias(f"{i}#{k}") for i, n in enumerate(names) for k, c in enumerate(four(F.col(n)))])
+        return one.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), *[F.col(f"`{i}#{k}`").alias(f"m{k}") for k in range(4)]) for i in range(len(names))])).alias("m")).select("m.*")
+    # Columns that follow each other make one array, so no expression has thousands of terms.
+    parts = [F.array(*[F.col(n).cast("double") for n in names[i : i + COLUMNS_PER_PASS]]) for i in range(0, len(names), COLUMNS_PER_PASS)]
+    long = df.select(F.posexplode(F.array(*parts)).alias("part", "values")).select("part", F.posexplode("values").alias("k", "x")).filter("x IS NOT NULL")
+    found = long.groupBy("part", "k").agg(*[c.alias(f"m{k}") for k, c in enumerate(four(F.col("x")))])
+    return found.select((F.col("part") * COLUMNS_PER_PASS + F.col("k")).alias("i"), *[f"m{k}" for k in range(4)])
+
+
 def moments(df: DataFrame, features: Sequence[Feature]) -> DataFrame:
     """Means over numeric columns of mean, deviation, skewness and kurtosis."""
     names = [f.name for f in features if f.data_type == "numeric" and not f.is_target]
-    per_column = []
-    for start in range(0, len(names), COLUMNS_PER_PASS):
-        part = names[start:start + COLUMNS_PER_PASS]
-        one = df.agg(*[c for n in part for c in (
-            F.avg(n).alias(f"{n}#0"), F.stddev_pop(n).alias(f"{n}#1"),
-            F.skewness(n).alias(f"{n}#2"), F.kurtosis(n).alias(f"{n}#3"))])
-        rows = F.explode(F.array(*[F.struct(*[F.col(f"`{n}#{i}`").cast("double").alias(f"m{i}") for i in range(4)]) for n in part]))
-        per_column.append(one.select(rows.alias("m")).select("m.*"))
-    if not per_column:
+    if not names:
         return df.sparkSession.createDataFrame([], "name string, value double")
-    columns = reduce(DataFrame.unionByName, per_column)
-    one = columns.agg(*[F.avg(F.nanvl(f"m{i}", F.lit(None).cast("double"))).alias(f"m{i}") for i in range(4)])
+    one = column_moments(df, names).agg(*[F.avg(F.nanvl(f"m{i}", F.lit(None).cast("double"))).alias(f"m{i}") for i in range(4)])
     return _long(one, [(f"Mean{what}OfNumericAtts", F.col(f"m{i}"))
                        for i, what in enumerate(("Means", "StdDev", "Skewness", "Kurtosis"))])
 

@@ -205,3 +205,35 @@ def _(r):
     # The ratio of class entropy to a tiny mutual information is compared whole; its noise ratio is left to the tests.
     value = F.when(F.col("name") == "EquivalentNumberOfAtts", F.round("value")).otherwise(F.round("value", 6))
     return out.filter("name <> 'MeanNoiseToSignalRatio'").withColumn("value", value)
+
+
+@query("agg_06_informative_qualities", sql="""
+WITH rows AS (SELECT l_quantity, l_returnflag, CASE WHEN l_returnflag = 'A' AND l_quantity < 45 THEN 'x' WHEN l_quantity < 10 THEN 'y' WHEN l_quantity > 5 THEN 'z' END AS hint, l_linestatus FROM lineitem),
+c AS (SELECT l_returnflag AS y, count(*) AS n FROM rows GROUP BY 1), h AS (SELECT log2(sum(n)) - sum(n * log2(n)) / sum(n) AS hy, max(n) AS most, min(n) AS least, sum(n) AS total FROM c),
+j AS (SELECT 'hint' AS a, hint AS x, l_returnflag AS y, count(*) AS n FROM rows WHERE hint IS NOT NULL GROUP BY 2, 3 UNION ALL SELECT 'l_linestatus', l_linestatus, l_returnflag, count(*) FROM rows GROUP BY 2, 3),
+e AS (SELECT avg(hx) AS h, avg(greatest(hx + hy - hxy, 0)) AS mi FROM (SELECT a, log2(sum(n)) - sum(n * log2(n)) / sum(n) AS hxy FROM j GROUP BY a)
+ JOIN (SELECT a, log2(sum(n)) - sum(n * log2(n)) / sum(n) AS hx FROM (SELECT a, x, sum(n) AS n FROM j GROUP BY 1, 2) GROUP BY a) USING (a)
+ JOIN (SELECT a, log2(sum(n)) - sum(n * log2(n)) / sum(n) AS hy FROM (SELECT a, y, sum(n) AS n FROM j GROUP BY 1, 2) GROUP BY a) USING (a))
+SELECT unnest(['MajorityClassPercentage', 'MinorityClassPercentage', 'MeanAttributeEntropy', 'MeanMutualInformation', 'EquivalentNumberOfAtts', 'MeanNoiseToSignalRatio']) AS name,
+ unnest([round(100.0::DOUBLE * most / total, 6), round(100.0::DOUBLE * least / total, 6), round(e.h, 6), round(mi, 6), round(hy / mi, 6), round((e.h - mi) / mi, 6)]) AS value FROM h, e""")
+def _(r):
+    """An attribute that tells much of the class, so that ratios to the information are well defined; both class shares."""
+    hint = F.when((F.col("l_returnflag") == "A") & (F.col("l_quantity") < 45), "x").when(F.col("l_quantity") < 10, "y").when(F.col("l_quantity") > 5, "z")
+    rows = r.table("lineitem").select("l_quantity", "l_returnflag", hint.alias("hint"), "l_linestatus")
+    features = [ds.Feature(0, "l_quantity", "numeric"), ds.Feature(1, "l_returnflag", "nominal", ("A", "N", "R"), True),
+                ds.Feature(2, "hint", "nominal", ("x", "y", "z")), ds.Feature(3, "l_linestatus", "nominal", ("F", "O"))]
+    wanted = ["MajorityClassPercentage", "MinorityClassPercentage", "MeanAttributeEntropy", "MeanMutualInformation", "EquivalentNumberOfAtts", "MeanNoiseToSignalRatio"]
+    return qualities.all_qualities(rows, features).filter(F.col("name").isin(wanted)).withColumn("value", F.round("value", 6))
+
+
+@query("agg_06_moments_of_many_columns", sql="""
+WITH x AS (SELECT i, CASE WHEN v > 0.3 THEN NULL ELSE CAST(v AS DOUBLE) + (i % 3) END AS v FROM (SELECT unnest(embedding || embedding || embedding || embedding) AS v, generate_subscripts(embedding || embedding || embedding || embedding, 1) AS i FROM embeddings)),
+m AS (SELECT i, avg(v) AS mu FROM x GROUP BY 1),
+c AS (SELECT x.i, avg(v) AS m0, stddev_pop(v) AS m1, avg(pow(v - mu, 3)) / pow(stddev_pop(v), 3) AS m2, avg(pow(v - mu, 4)) / pow(var_pop(v), 2) - 3 AS m3 FROM x JOIN m USING (i) GROUP BY 1)
+SELECT i - 1 AS i, round(m0, 9) AS m0, round(m1, 9) AS m1, round(m2, 6) AS m2, round(m3, 6) AS m3 FROM c""")
+def _(r):
+    """256 columns with gaps, in one pass."""
+    value = lambda i: F.col("embedding")[i % 64]
+    wide = r.table("embeddings").select(*[F.when(value(i) <= 0.3, value(i).cast("double") + (i + 1) % 3).alias(f"x{i}") for i in range(256)])
+    found = qualities.column_moments(wide, [f"x{i}" for i in range(256)])
+    return found.select(F.col("i").cast("long").alias("i"), F.round("m0", 9).alias("m0"), F.round("m1", 9).alias("m1"), F.round("m2", 6).alias("m2"), F.round("m3", 6).alias("m3"))
