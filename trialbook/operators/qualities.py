@@ -31,8 +31,8 @@ def simple(df: DataFrame, features: Sequence[Feature]) -> DataFrame:
     nominal = sum(f.data_type == "nominal" for f in features)
     binary = sum(f.data_type == "nominal" and len(f.nominal_values or ()) == 2 for f in features)
     # Gaps are counted in arrays of some columns each, so a wide table makes no deep expression.
-    names = [f.name for f in features]
-    gaps = [F.size(F.filter(F.array(*[F.col(n).isNull() for n in names[i:i + COLUMNS_PER_PASS]]), lambda x: x)) for i in range(0, len(names), COLUMNS_PER_PASS)]
+    names = ["`" + f.name.replace("`", "``") + "` IS NULL" for f in features]
+    gaps = [F.expr(f"size(filter(array({', '.join(names[i : i + COLUMNS_PER_PASS])}), x -> x))") for i in range(0, len(names), COLUMNS_PER_PASS)]
     one = df.select(F.aggregate(F.array(*gaps), F.lit(0).cast("long"), lambda a, x: a + x).alias("g")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("g").alias("missing"), F.count_if(F.col("g") > 0).alias("incomplete"))
     n, width = F.col("n"), F.lit(float(len(features)))
@@ -63,8 +63,10 @@ def column_moments(df: DataFrame, names: Sequence[str]) -> DataFrame:
         one = df.agg(*[c.cast("double").alias(f"{i}#{k}") for i, n in enumerate(names) for k, c in enumerate(four(F.col(n)))])
         return one.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), *[F.col(f"`{i}#{k}`").alias(f"m{k}") for k in range(4)]) for i in range(len(names))])).alias("m")).select("m.*")
     # Columns that follow each other make one array, so no expression has thousands of terms.
-    parts = [F.array(*[F.col(n).cast("double") for n in names[i : i + COLUMNS_PER_PASS]]) for i in range(0, len(names), COLUMNS_PER_PASS)]
-    long = df.select(F.posexplode(F.array(*parts)).alias("part", "values")).select("part", F.posexplode("values").alias("k", "x")).filter("x IS NOT NULL")
+    # They are named in one text, since a call for each would take longer than the pass.
+    quoted = ["double(`" + n.replace("`", "``") + "`)" for n in names]
+    parts = [f"array({', '.join(quoted[i : i + COLUMNS_PER_PASS])})" for i in range(0, len(names), COLUMNS_PER_PASS)]
+    long = df.select(F.expr(f"posexplode(array({', '.join(parts)})) AS (part, values)")).select("part", F.posexplode("values").alias("k", "x")).filter("x IS NOT NULL")
     found = long.groupBy("part", "k").agg(*[c.alias(f"m{k}") for k, c in enumerate(four(F.col("x")))])
     return found.select((F.col("part") * COLUMNS_PER_PASS + F.col("k")).alias("i"), *[f"m{k}" for k in range(4)])
 

@@ -68,6 +68,20 @@ def _(r):
     return read.select("rowid", F.size("v.indices").cast("long").alias("n"), places.alias("places"), F.col("v.size").alias("width"))
 
 
+@query("src_05_sparse_gaps", sql="""
+SELECT rk AS rowid, i - 1 AS col, CASE WHEN v <= 0.3 THEN CAST(v AS DOUBLE) END AS value FROM (
+SELECT row_number() OVER (ORDER BY vec_id) - 1 AS rk, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings) WHERE abs(v) >= 0.2""")
+def _(r):
+    """Entries of sparse vectors, of which the large ones are missing: they stay missing and are not zero."""
+    path = new_path(r.spark, "vectors")
+    kept = F.transform("embedding", lambda v: F.when(F.abs(v) < 0.2, F.lit(0.0).cast("float")).when(v <= 0.3, v))
+    wide = r.table("embeddings").select(F.col("vec_id").alias("rowid"), kept.alias("e"))
+    arff.write_sparse(wide.select("rowid", *[F.col("e")[i].alias(f"x{i}") for i in range(64)]), path, "vectors")
+    vector = F.from_json(F.to_json(F.struct("features")), "features struct<indices: array<int>, values: array<double>>")["features"]
+    pairs = tables.read_preferred(r.spark, None, path).select("rowid", F.explode(F.arrays_zip(vector["indices"].alias("col"), vector["values"].alias("value"))).alias("e"))
+    return pairs.select("rowid", F.col("e.col").alias("col"), F.nanvl(F.col("e.value"), F.lit(None).cast("double")).cast("float").cast("double").alias("value"))
+
+
 @query("src_03_gzipped_arff", sql=ORDERS)
 def _(r):
     path = new_path(r.spark, "orders-gz")

@@ -15,12 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trialbook.operators.datasets import Feature, attributes_of, is_boolean_domain
-from trialbook.session import stage
 
 # ARFF types and what they become.
 TYPES = {"REAL": "double", "NUMERIC": "double", "INTEGER": "bigint", "STRING": "string"}
-# Lines of a header the driver reads at most; wide tables have one line per column.
-MAX_HEADER_LINES = 2_000_000
+# Bytes of a header the driver reads, about; a wide table has a line per column.
+HEADER_BYTES = 512 << 20
 
 _NAME = re.compile(r"""@attribute\s+(?:'((?:[^'\\]|\\.)*)'|"((?:[^"\\]|\\.)*)"|(\S+))\s+(.+)$""", re.I)
 _ITEM = re.compile(r"""\s*(?:'((?:[^'\\]|\\.)*)'|"((?:[^"\\]|\\.)*)"|([^,]*?))\s*(?:,|$)""")
@@ -81,39 +80,51 @@ def parse_header(lines: Sequence[str]) -> Header | None:
 
 def read_header(spark: SparkSession, path: str) -> Header:
     """Read as many leading lines as the header needs."""
+    return _header_and_next(spark, path)[0]
+
+
+def _is_row(line: str) -> bool:
+    return bool(line.strip()) and not line.lstrip().startswith("%")
+
+
+def _header_and_next(spark: SparkSession, path: str) -> tuple[Header, str | None]:
+    """The header, and the first line after it that is neither blank nor a comment (None where the file ends)."""
     n = 1_000
     while True:
         lines = [r[0] for r in spark.read.text(path).take(n)]
         header = parse_header(lines)
+        ended = len(lines) < n
         if header is not None:
-            return header
-        if len(lines) < n or n >= MAX_HEADER_LINES:
+            rest = [line for line in lines if _is_row(line)][header.lines:]
+            if rest or ended:
+                return header, rest[0] if rest else None
+        elif ended:
             raise ValueError(f"no @data line in {path}")
-        n *= 10
+        size = sum(map(len, lines))
+        if size >= HEADER_BYTES and header is None:
+            raise ValueError(f"no @data line in the first {size} characters of {path}")
+        n = min(n * 10, max(n + 1_000, n * HEADER_BYTES // max(1, size)))
+
+
+def _row_lines(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.text(path).filter(~F.ltrim("value").startswith("%") & (F.trim("value") != ""))
 
 
 def numbered_lines(spark: SparkSession, path: str, skip: int = 0) -> DataFrame:
     """(rowid, value) of the lines that are neither blank nor comments, without the first ``skip``.
 
-    The lines are written once with their split and their order in it. Counting lines per split
-    then gives each split its first row number: one small row per split of the input.
+    The text is read twice and not copied. The first reading counts the lines of each split, one small row per split,
+    which gives each split its first row number; the second one adds it to the order within the split.
     """
-    text = spark.read.text(path)
-    kept = text.select(
-        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
-    ).filter(~F.ltrim("value").startswith("%") & (F.trim("value") != ""))
-    lines = stage(kept.withColumn("_at", F.monotonically_increasing_id()), "lines")
+    lines = _row_lines(spark, path).select(
+        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"))
     blocks = lines.groupBy("_file", "_block").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    within = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    files = blocks.groupBy("_file").agg(F.sum("_n").alias("_total"))
-    # One row per file of the input.
-    across = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    files = files.select("_file", F.coalesce(F.sum("_total").over(across), F.lit(0)).alias("_base"))
-    starts = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(within), F.lit(0))).join(files, "_file")
-    starts = starts.select("_file", "_block", (F.col("_base") + F.col("_before") - F.col("_first")).alias("_shift"))
+    # One row per split of the input.
+    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.select("_file", "_block", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
     rowid = F.col("_at") + F.col("_shift") - skip
     # Later filters may run before this one, so header lines also lose their text.
-    body = lines.join(starts, ["_file", "_block"]).select(rowid.alias("rowid"), F.when(rowid >= 0, F.col("value")).alias("value"))
+    body = lines.join(F.broadcast(starts), ["_file", "_block"]).select(rowid.alias("rowid"), F.when(rowid >= 0, F.col("value")).alias("value"))
     return body.filter(F.col("rowid") >= 0)
 
 
@@ -169,45 +180,58 @@ def _typed_rows(
                                   for i, (name, kind) in enumerate(attributes)])
 
 
-def _parts(spark: SparkSession, path: str) -> tuple[Header, DataFrame]:
-    """Header and numbered rows of a single file, or of a folder as ``write`` lays it out."""
+def _parts(spark: SparkSession, path: str, positions: bool = True) -> tuple[Header, DataFrame]:
+    """Header and numbered rows of a single file, or of a folder as ``write`` lays it out.
+
+    Where no positions are wanted the rows of a folder are read once, and ``rowid`` is NULL.
+    """
     if re.search(r"\.arff(\.gz)?$", path, re.I):
         header = read_header(spark, path)
         return header, numbered_lines(spark, path, header.lines)
-    return read_header(spark, f"{path}/header"), numbered_lines(spark, f"{path}/rows")
+    rows = numbered_lines(spark, f"{path}/rows") if positions else _row_lines(spark, f"{path}/rows").select(F.lit(None).cast("long").alias("rowid"), "value")
+    return read_header(spark, f"{path}/header"), rows
 
 
 def read_dense(spark: SparkSession, path: str, position: str | None = "rowid") -> tuple[DataFrame, list[Feature]]:
     """Rows with their ``position`` (left out when None) and typed columns, and the declared features."""
-    header, lines = _parts(spark, path)
+    header, lines = _parts(spark, path, position is not None)
     names = [n for n, _ in header.attributes]
     if position in names:
         raise ValueError(f"the file has a column {position!r} of its own; name the position otherwise")
     return _typed_rows(lines, header.attributes, position), header.features()
 
 
-def read_sparse(spark: SparkSession, path: str) -> tuple[DataFrame, list[Feature]]:
-    """(rowid, col, value FLOAT) of the entries that are written out.
-
-    A nominal value counts as its position in the domain; text columns are refused.
-    """
+def _sparse_entries(spark: SparkSession, path: str) -> tuple[Header, DataFrame]:
+    """(rowid, entries): the entries (col, value) that each row of a sparse file writes out."""
     header, lines = _parts(spark, path)
     if any(kind == "STRING" for _, kind in header.attributes):
         raise ValueError("text columns cannot be sparse")
     pair = rf"""(\d+\s+(?:{_QUOTED}|[^,}}\s]+))\s*[,}}]"""
-    entries = lines.select("rowid", F.explode(F.regexp_extract_all("value", F.lit(pair), F.lit(1))).alias("e"))
-    split = entries.select(
-        "rowid", F.regexp_extract("e", r"^(\d+)", 1).cast("int").alias("col"),
-        _decoded(F.regexp_extract("e", r"^\d+\s+(.*)$", 1)).alias("text"))
     domains = {i: kind for i, (_, kind) in enumerate(header.attributes) if isinstance(kind, list)}
-    number = F.col("text").try_cast("float")
-    if domains:
-        codes = F.create_map(*[x for i, kind in domains.items() for x in (F.lit(i), F.array(*[F.lit(v) for v in kind]))])
-        coded = (F.array_position(F.try_element_at(codes, F.col("col")), F.col("text")) - 1).cast("float")
-        number = F.when(F.col("col").isin(list(domains)), coded).otherwise(number)
-    bad = F.col("text").isNotNull() & (number.isNull() | (number < 0) & F.col("col").isin(list(domains)))
-    value = F.when(bad, F.raise_error(F.concat(F.lit("bad sparse value "), F.col("text")))).otherwise(number)
-    return split.select("rowid", "col", value.alias("value")), header.features()
+    codes = F.create_map(*[x for i, kind in domains.items() for x in (F.lit(i), F.array(*[F.lit(v) for v in kind]))]) if domains else None
+
+    def number(col: Column, text: Column) -> Column:
+        if codes is None:
+            return text.try_cast("float")
+        coded = F.array_position(F.try_element_at(codes, col), text) - 1
+        return F.when(col.isin(list(domains)), F.when(coded >= 0, coded).cast("float")).otherwise(text.try_cast("float"))
+
+    def entry(e: Column) -> Column:
+        col, text = F.regexp_extract(e, r"^(\d+)", 1).cast("int"), _decoded(F.regexp_extract(e, r"^\d+\s+(.*)$", 1))
+        bad = text.isNotNull() & number(col, text).isNull()
+        value = F.when(bad, F.raise_error(F.concat(F.lit("bad sparse value "), text)).cast("float")).otherwise(number(col, text))
+        return F.struct(col.alias("col"), value.alias("value"))
+
+    return header, lines.select("rowid", F.transform(F.regexp_extract_all("value", F.lit(pair), F.lit(1)), entry).alias("entries"))
+
+
+def read_sparse(spark: SparkSession, path: str) -> tuple[DataFrame, list[Feature]]:
+    """(rowid, col, value FLOAT) of the entries that are written out; a missing value is NULL.
+
+    A nominal value counts as its position in the domain; text columns are refused.
+    """
+    header, rows = _sparse_entries(spark, path)
+    return rows.select("rowid", F.explode("entries").alias("e")).select("rowid", "e.col", "e.value"), header.features()
 
 
 def sparse_shape(entries: DataFrame) -> DataFrame:
@@ -222,32 +246,41 @@ def sparse_rows(spark: SparkSession, path: str) -> DataFrame:
 
 def is_sparse(spark: SparkSession, path: str) -> bool:
     """Whether the first row of data is written in braces."""
-    header, lines = _parts(spark, path)
-    first = lines.orderBy("rowid").first()
-    return first is not None and first["value"].lstrip().startswith("{")
+    if re.search(r"\.arff(\.gz)?$", path, re.I):
+        first = _header_and_next(spark, path)[1]
+    else:
+        rows = _row_lines(spark, f"{path}/rows").take(1)  # all rows are written alike
+        first = rows[0]["value"] if rows else None
+    return first is not None and first.lstrip().startswith("{")
+
+
+def _vector(entries: Column, width: int) -> Column:
+    """A ``pyspark.ml`` sparse vector of (col, value) entries; a missing value is NaN, zeros are left out."""
+    from pyspark.ml.linalg import VectorUDT
+
+    filled = F.transform(entries, lambda e: F.struct(e["col"].alias("col"), F.coalesce(e["value"].cast("double"), F.lit(float("nan"))).alias("value")))
+    kept = F.array_sort(F.filter(filled, lambda e: e["value"] != 0))
+    parts = F.struct(F.lit(0).alias("type"), F.lit(width).alias("size"), F.transform(kept, lambda e: e["col"]).alias("indices"), F.transform(kept, lambda e: e["value"]).alias("values"))
+    # The storage form of a vector, read as one.
+    return F.from_json(F.to_json(F.struct(parts.alias("v"))), T.StructType([T.StructField("v", VectorUDT())]))["v"]
 
 
 def sparse_vectors(entries: DataFrame, width: int, rows: DataFrame | None = None) -> DataFrame:
-    """One ``pyspark.ml`` sparse vector per row: its size, and the places and values that are not zero.
+    """One ``pyspark.ml`` sparse vector per row: its size, and the places and values that are not zero, NaN where one is missing.
 
     ``rows`` (rowid) keeps the rows without entries, as empty vectors.
     """
-    from pyspark.ml.linalg import VectorUDT
-
-    kept = entries.filter("value IS NOT NULL AND value <> 0").groupBy("rowid").agg(F.array_sort(F.collect_list(F.struct("col", F.col("value").cast("double").alias("value")))).alias("e"))
+    kept = entries.groupBy("rowid").agg(F.collect_list(F.struct("col", "value")).alias("e"))
     if rows is not None:
         kept = rows.join(kept, "rowid", "left")
-    e = F.coalesce("e", F.array().cast("array<struct<col: int, value: double>>"))
-    parts = F.struct(F.lit(0).alias("type"), F.lit(width).alias("size"), F.transform(e, lambda x: x["col"]).alias("indices"), F.transform(e, lambda x: x["value"]).alias("values"))
-    # The storage form of a vector, read as one.
-    vector = F.from_json(F.to_json(F.struct(parts.alias("v"))), T.StructType([T.StructField("v", VectorUDT())]))
-    return kept.select("rowid", vector["v"].alias("features"))
+    e = F.coalesce("e", F.array().cast("array<struct<col: int, value: float>>"))
+    return kept.select("rowid", _vector(e, width).alias("features"))
 
 
 def read_sparse_dataset(spark: SparkSession, path: str) -> DataFrame:
     """(rowid, features) of a sparse file, with a vector for every row."""
-    entries, features = read_sparse(spark, path)
-    return sparse_vectors(entries, len(features), sparse_rows(spark, path))
+    header, rows = _sparse_entries(spark, path)
+    return rows.select("rowid", _vector(F.col("entries"), len(header.attributes)).alias("features"))
 
 
 def read_splits(spark: SparkSession, path: str) -> DataFrame:
