@@ -166,6 +166,22 @@ def test_near_dedup(docs, none):
     assert minhash.survivors(docs).columns == docs.columns
 
 
+def test_one_document_of_each_component_survives(spark, docs):
+    """Near-duplicates without ids, with one id, and ids that are repeated; rows without words stay."""
+    changed = BASE.replace("word30", "other")
+    rows = [(None, BASE, "a"), (None, changed, "b"), (7, LONG, "c"), (7, LONG.replace("long400 ", "x "), "d"), (7, LONG, "c"), (None, " ", "e"), (None, " ", "e"), (None, None, "f"), (8, "", "g"), (8, "", "h"), (9, "quite another text of its own", "i")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, __id string").withColumns({"__n": F.lit(1), "kept_id": F.lit(2), "r": F.lit(3), "a.b": F.lit(4)}).repartition(4)
+    out = minhash.survivors(table)
+    assert out.columns == table.columns
+    got = Counter((r["doc_id"], (r["text"] or "")[:4]) for r in out.collect())
+    assert got == Counter([(None, BASE[:4]), (7, LONG[:4]), (None, " "), (None, " "), (None, ""), (8, ""), (8, ""), (9, "quit")])
+    # On the table of odd rows: as many as components, and all wordless rows.
+    want = plain_components(ROWS)
+    kept = minhash.survivors(docs).collect()
+    sets = plain_sets(ROWS)
+    assert sum(not s for s in sets) + len({c for (_, n, c) in want if n}) == len(kept)
+
+
 def test_near_dedup_of_a_chain_and_a_hot_group(spark):
     """A chain of texts each linked with the next, and a group that holds most rows and has unlinked members."""
     words = [f"w{i}" for i in range(400)]

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from trialbook.llm import query
 from trialbook.llm.graph import components
 from trialbook.llm.tasks import remote
-from trialbook.llm.text import LOWER, UPPER, table, whole
+from trialbook.llm.text import LOWER, UPPER, WORD, table, whole
 from trialbook.session import stage
 
 SHINGLE, BANDS, ROWS = 5, 32, 4
@@ -229,9 +229,8 @@ def _links(reps: DataFrame, texts: DataFrame) -> DataFrame | None:
     return labels if links.isEmpty() else components(links, labels)
 
 
-def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text_hash, n_shingles, component_id, kept) of every row: the smallest id reachable over links
-    between texts whose sets of five-word shingles have a similarity of 0.75 or more."""
+def _classified(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, component, component_id) of every row; ``component`` is NULL for wordless rows only."""
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(whole(text)).alias("text_hash"), whole(text).alias("text"))
     signed = texts.mapInArrow(remote(sign), "doc_id long, text_hash long, n_shingles long, digest binary, bands array<long>, sketch array<long>")
     signed = stage(signed.withColumn("_row", F.monotonically_increasing_id()), "signatures")
@@ -243,23 +242,36 @@ def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     labels = _links(classes, texts)
     named = classes.select("digest", "node", "least")
     if labels is None:
-        owners = named.select("digest", F.col("least").alias("component_id"))
+        owners = named.select("digest", F.col("node").alias("component"), F.col("least").alias("component_id"))
     else:
-        labelled = named.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        linked = stage(labelled.groupBy("label").agg(F.min("least").alias("component_id")), "components")
-        owners = stage(labelled.join(linked, "label").select("digest", "component_id"), "owners")
+        labelled = named.join(labels, "node", "left").withColumn("component", F.coalesce("label", "node"))
+        linked = stage(labelled.groupBy("component").agg(F.min("least").alias("component_id")), "components")
+        owners = stage(labelled.join(linked, "component").select("digest", "component", "component_id"), "owners")
     rows = signed.select("doc_id", "text_hash", "n_shingles", "digest").join(owners, "digest", "left")
-    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return rows.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
+    return rows.select("doc_id", "text_hash", "n_shingles", "component", own.alias("component_id"))
+
+
+def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, text_hash, n_shingles, component_id, kept) of every row: the smallest id reachable over links
+    between texts whose sets of five-word shingles have a similarity of 0.75 or more."""
+    rows = _classified(docs, doc_id, text)
+    return rows.select("doc_id", "text_hash", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def survivors(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, one of each component; wordless rows stay."""
-    kept = near_dedup(docs, doc_id, text).filter("kept").select(F.col("doc_id").alias("__kept_id"), F.col("text_hash").alias("__kept_hash")).distinct()
-    marked = docs.withColumns({"__id": F.col(doc_id), "__hash": F.xxhash64(whole(text))})
-    joined = marked.join(kept, F.col("__id").eqNullSafe(F.col("__kept_id")) & (F.col("__hash") == F.col("__kept_hash")))
-    first = Window.partitionBy("__kept_id", "__kept_hash").orderBy("__kept_id")
-    return joined.withColumn("__n", F.row_number().over(first)).filter("__n = 1").select(*docs.columns)
+    """The rows of ``docs``, with all their columns, one of each component: that of the smallest id (NULL last) and, among
+    texts of one id, the smallest hash. All wordless rows stay. Columns may have any name."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
+    kept = _classified(docs, doc_id, text).filter("component IS NOT NULL").groupBy("component").agg(first.alias("first"))
+    kept = kept.select(F.col("first.doc_id").alias("kept_id"), F.col("first.text_hash").alias("kept_hash"))
+    columns = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+    packed = docs.select(F.struct(*columns).alias("r"), F.col(doc_id).cast("long").alias("id"), F.xxhash64(whole(text)).alias("hash"), whole(text).rlike(WORD).alias("worded"))
+    joined = packed.filter("worded").join(kept, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("hash") == F.col("kept_hash")))
+    # Rows of one id and text are alike to this operator.
+    one = F.row_number().over(Window.partitionBy("kept_id", "kept_hash").orderBy("kept_id"))
+    chosen = joined.withColumn("n", one).filter("n = 1").select("r")
+    return chosen.unionByName(packed.filter(~F.col("worded")).select("r")).select("r.*")
 
 
 @query("op2_minhash_near_dedup")
