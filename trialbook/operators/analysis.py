@@ -8,12 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trialbook.functions.params import as_number
-from trialbook.plans.scan import exact_quantiles, join_groups, value_counts_running
+from trialbook.plans.scan import exact_quantiles, join_groups, row_numbers, value_counts_running
 from trialbook.session import stage
 
-# A wide frame with more parameter columns than this is refused; the long form has no such limit.
-MAX_WIDE_COLUMNS = 5_000
-
 
 def evaluation_summary(fold_scores: DataFrame, ids: Sequence[str]) -> DataFrame:
     """Mean and population deviation over folds per repeat, then the mean of both over repeats."""
@@ -105,14 +102,39 @@ def varying_numeric_parameters(parameters: DataFrame) -> DataFrame:
 
 
 def widen(long: DataFrame, key: str, names: Sequence[str] | DataFrame) -> DataFrame:
-    """One column per parameter; the names come from the flow table or a given list."""
+    """One column per parameter; the names come from the flow table or a given list.
+
+    Columns are a schema, so their names are the driver's; ``sparse_blocks`` holds any number of them.
+    """
     if isinstance(names, DataFrame):
-        names = [row[0] for row in names.distinct().limit(MAX_WIDE_COLUMNS + 1).collect()]
-        if len(names) > MAX_WIDE_COLUMNS:
-            raise ValueError("too many parameters for a wide frame")
+        names = [row[0] for row in names.distinct().collect()]
     return long.groupBy(key).pivot("name", sorted(names)).agg(F.max("number"))
 
 
+def name_dictionary(names: DataFrame) -> DataFrame:
+    """(name, position): the distinct names numbered from 0 in their order."""
+    first = names.select(F.col(names.columns[0]).alias("name")).filter("name IS NOT NULL").distinct()
+    return row_numbers(first, [], ["name"], "_n").select("name", (F.col("_n") - 1).alias("position"))
+
+
+def sparse_blocks(long: DataFrame, key: str, dictionary: DataFrame, width: int = 4096) -> DataFrame:
+    """(key, block, entries) of (key, name, number): a matrix of any width, cut into blocks of columns.
+
+    Column ``position`` of the dictionary is ``place`` position % width of block position / width. An entry is (place,
+    number), the largest number of a name; a block holds ``width`` of them at most, and one without any is absent.
+    """
+    cells = long.groupBy(key, "name").agg(F.max("number").alias("number")).filter("number IS NOT NULL").join(dictionary, "name")
+    entry = F.struct((F.col("position") % width).cast("int").alias("place"), "number")
+    return cells.groupBy(key, F.floor(F.col("position") / width).alias("block")).agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+
+
+def block_columns(blocks: DataFrame, key: str, dictionary: DataFrame, names: Sequence[str], width: int = 4096) -> DataFrame:
+    """Some columns of a blocked matrix by name, a row per key that has one of them."""
+    found = dictionary.filter(F.col("name").isin(list(names)))
+    entries = blocks.select(key, "block", F.explode("entries").alias("e")).select(key, (F.col("block") * width + F.col("e.place")).alias("position"), "e.number")
+    return widen(entries.join(found, "position"), key, names)
+
+
 def importance(frame: DataFrame, parameter: str, value: str, low: float, high: float, bins: int) -> DataFrame:
     """Share of the variance of ``value`` that lies between bins of one parameter.
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trialbook.plans.scan import row_numbers
+from trialbook.session import stage
 
 # Entity kinds that carry tags; states a change may set; longest ontology URI;
 # dataset fields anybody may edit, and those only an owner may.
@@ -98,6 +99,60 @@ def delete(entities: DataFrame, key: str, requests: DataFrame, dependents: Mappi
     return entities.join(gone, key, "left_anti"), judged.filter("reason IS NOT NULL").select(*requests.columns, "reason")
 
 
+# What depends on an entity, in the order in which a refusal names it.
+DEPENDENTS = ("task", "run", "flow", "setup", "study")
+
+
+def _what(kind: str, id_: str, to_kind: str, to_id: str) -> list:
+    return [F.col(kind).alias(to_kind), F.col(id_).alias(to_id)]
+
+
+def dependents(start: DataFrame, uses: DataFrame) -> DataFrame:
+    """(kind, id, by_kind, by_id): everything that depends on the entities (kind, id) of ``start``, directly or through others.
+
+    ``uses`` (kind, id, used_kind, used_id) is the graph over all kinds. Every round follows the edges of what the round
+    before found new, so an edge is met once per entity, and cycles end.
+    """
+    keys = ["kind", "id", "by_kind", "by_id"]
+    edges = uses.select(*_what("used_kind", "used_id", "on_kind", "on_id"), *_what("kind", "id", "by_kind", "by_id")).distinct()
+    edges = stage(edges, "uses")
+    found = new = stage(start.select("kind", "id").distinct().join(edges, (F.col("kind") == F.col("on_kind")) & (F.col("id") == F.col("on_id"))).select(*keys), "dependents")
+    while not new.isEmpty():
+        reached = new.select("kind", "id", *_what("by_kind", "by_id", "on_kind", "on_id")).join(edges, ["on_kind", "on_id"]).select(*keys).distinct()
+        new = stage(reached.join(found, keys, "left_anti"), "dependents")
+        found = found.unionByName(new)
+    return found
+
+
+def delete_any(entities: DataFrame, requests: DataFrame, uses: DataFrame, cascade: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Entities (kind, id, uploader, ..) of all kinds after deletions (kind, id, user), and the refused requests.
+
+    A request is refused when the entity is unknown, when the user does not own it, or when something uses it; the reason names
+    the first kind of ``DEPENDENTS`` that does. With ``cascade`` all that depends on an entity goes with it, unless
+    some of it belongs to others.
+    """
+    owners = entities.select("kind", "id", F.col("uploader").alias("_owner"), F.lit(True).alias("_known"))
+    judged = requests.join(owners, ["kind", "id"], "left")
+    reason = F.when(F.col("_known").isNull(), "unknown id").when(~F.col("user").eqNullSafe(F.col("_owner")), "not the owner")
+    if cascade:
+        below = stage(dependents(requests, uses), "cascade")
+        theirs = below.join(owners.select(*_what("kind", "id", "by_kind", "by_id"), F.col("_owner").alias("_by_owner")), ["by_kind", "by_id"])
+        whose = theirs.groupBy("kind", "id").agg(F.min("_by_owner").alias("_least"), F.max("_by_owner").alias("_most"), F.count_if(F.col("_by_owner").isNull()).alias("_nobody"))
+        judged = judged.join(whose, ["kind", "id"], "left")
+        alone = F.col("_least").isNull() & (F.coalesce("_nobody", F.lit(0)) == 0) | (F.col("_least") == F.col("user")) & (F.col("_most") == F.col("user")) & (F.col("_nobody") == 0)
+        reason = reason.when(~F.coalesce(alone, F.lit(False)), "others own what depends on it")
+    else:
+        used = uses.join(entities.select("kind", "id"), ["kind", "id"], "left_semi").groupBy(*_what("used_kind", "used_id", "kind", "id")).agg(
+            F.min(F.array_position(F.array(*[F.lit(k) for k in DEPENDENTS]), F.col("kind"))).alias("_by"))
+        judged = judged.join(used, ["kind", "id"], "left")
+        reason = reason.when(F.col("_by").isNotNull(), F.concat(F.lit("used by a "), F.element_at(F.array(*[F.lit(k) for k in DEPENDENTS]), F.col("_by").cast("int"))))
+    judged = stage(judged.withColumn("reason", reason), "judged")
+    gone = judged.filter("reason IS NULL").select("kind", "id")
+    if cascade:
+        gone = gone.unionByName(below.join(gone, ["kind", "id"], "left_semi").select(*_what("by_kind", "by_id", "kind", "id")))
+    return entities.join(gone, ["kind", "id"], "left_anti"), judged.filter("reason IS NOT NULL").select(*requests.columns, "reason")
+
+
 def apply_ontologies(current: DataFrame, changes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(did, index, url) after changes (did, index, url, op, seq); one row per URL, however many."""
     short = F.length("url") <= MAX_ONTOLOGY

@@ -113,18 +113,25 @@ def place_cells(rows: DataFrame, cells: DataFrame) -> DataFrame:
     return stage(rows.join(cells.select("repeat", "fold", "sample", "type", "rowid"), "rowid"), "placed")
 
 
-def _cell_rows(placed: DataFrame, repeat: int, fold: int, sample: int) -> tuple[DataFrame, DataFrame]:
+def place_ranked(rows: DataFrame, ranks: DataFrame) -> DataFrame:
+    """Rows with their TEST fold and their ranks per fold (``splits.learning_ranks``): one row per row, whatever the samples."""
+    return place(rows, ranks)
+
+
+def _cell_rows(placed: DataFrame, repeat: int, fold: int, size: int | None, sample: int) -> tuple[DataFrame, DataFrame]:
     one = placed.filter(F.col("repeat") == repeat)
+    if size is not None:
+        return one.filter((F.col("fold") != fold) & (F.get("ranks", F.lit(fold)) < size)), one.filter(F.col("fold") == fold)
     if "type" not in placed.columns:
         return one.filter(F.col("fold") != fold), one.filter(F.col("fold") == fold)
     one = one.filter((F.col("fold") == fold) & (F.col("sample") == sample))
     return one.filter("type = 'TRAIN'"), one.filter("type = 'TEST'")
 
 
-def run_cells(estimator, placed: DataFrame, cells: Iterable[tuple[int, ...]], labels: Sequence[str] | None = None) -> Run:
+def run_cells(estimator, placed: DataFrame, cells: Iterable[tuple[int, ...]], labels: Sequence[str] | None = None, sizes: Sequence[int] | None = None) -> Run:
     """Fit and predict each (repeat, fold) or (repeat, fold, sample) with any ``pyspark.ml`` estimator.
 
-    ``placed`` comes from ``place`` or ``place_cells`` and has ``features``. With ``labels`` it is a
+    ``placed`` comes from ``place``, ``place_cells`` or, with the ``sizes`` of the samples, ``place_ranked``, and has ``features``. With ``labels`` it is a
     classification of ``label``, whose position in ``labels`` is what the estimator sees; without,
     a regression of ``y``, or a clustering where there is none. Predictions of a cell are written
     before the next begins, so the timing of a phase covers its work.
@@ -135,7 +142,7 @@ def run_cells(estimator, placed: DataFrame, cells: Iterable[tuple[int, ...]], la
     learner = estimator.copy({estimator.labelCol: target}) if estimator.hasParam("labelCol") else estimator
     for repeat, fold, *rest in cells:
         sample = rest[0] if rest else 0
-        train, test = _cell_rows(placed, repeat, fold, sample)
+        train, test = _cell_rows(placed, repeat, fold, None if sizes is None else sizes[sample], sample)
         if labels is not None:
             train = train.withColumn("_y", (F.array_position(domain, F.col("label").cast("string")) - 1).cast("double"))
         begin = time.perf_counter()

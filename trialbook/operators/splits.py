@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trialbook.plans.scan import hash_counts, hash_positions
+from trialbook.session import stage
 
 
 def _ranked(rows: DataFrame, repeats: int, seed: int, stratify: str | None) -> tuple[DataFrame, list[str]]:
@@ -49,11 +50,11 @@ def holdout(rows: DataFrame, share: float, seed: int = 0, stratify: str | None =
     return sized.select("repeat", "rowid", F.lit(0).alias("fold"), kind.alias("type"))
 
 
-def learning_curve(rows: DataFrame, folds: int, sizes: Sequence[int], seed: int = 0, stratify: str | None = None) -> DataFrame:
-    """(repeat, fold, sample, type, rowid): nested, growing TRAIN prefixes and the same TEST rows.
+def learning_ranks(rows: DataFrame, folds: int, seed: int = 0, stratify: str | None = None) -> DataFrame:
+    """(repeat, rowid, fold, ranks): every row once, with its TEST fold and, per fold, its place among the fold's TRAIN rows.
 
-    TRAIN rows of a fold are taken in the digest order of (seed, 'train', rowid). The prefix of a
-    sample is its size; the rank is exact within the fold.
+    TRAIN rows of a fold are taken in the digest order of (seed, 'train', rowid), so the TRAIN rows of a sample of n rows
+    are those of other folds whose rank is below n. Ranks are exact; that of the row's own fold is NULL.
     """
     test = cross_validation(rows, 1, folds, seed, stratify)
     digest = F.md5(F.concat_ws("-", F.lit(str(seed)), F.lit("train"), F.col("rowid").cast("string")))
@@ -62,16 +63,25 @@ def learning_curve(rows: DataFrame, folds: int, sizes: Sequence[int], seed: int
     counted = hash_counts(test.withColumn("_digest", digest), ["repeat"], "_digest", "rowid",
                           {f"_n{f}": F.col("fold") == f for f in range(folds)})
     earlier = sum((F.col(f"_n{f}") for f in range(folds)), F.lit(0))
-    ranks = F.array(*[F.struct(F.lit(f).alias("fold"), (earlier - F.col(f"_n{f}")).alias("rank")) for f in range(folds)])
+    ranks = F.array(*[F.when(F.col("fold") != f, earlier - F.col(f"_n{f}")) for f in range(folds)])
+    return counted.select("repeat", "rowid", "fold", ranks.alias("ranks"))
+
+
+def learning_curve(rows: DataFrame, folds: int, sizes: Sequence[int], seed: int = 0, stratify: str | None = None) -> DataFrame:
+    """(repeat, fold, sample, type, rowid): nested, growing TRAIN prefixes and the same TEST rows, as a split file has them.
+
+    ``learning_ranks`` says the same with one row per row; it is evaluated once and written.
+    """
+    ranked = stage(learning_ranks(rows, folds, seed, stratify), "ranks")
     samples = F.array(*[F.struct(F.lit(i).alias("sample"), F.lit(int(n)).alias("size")) for i, n in enumerate(sizes)])
     # Only the places that some prefix reaches leave the row.
-    reached = F.filter(ranks, lambda r: (r["fold"] != F.col("fold")) & (r["rank"] < max(sizes)))
+    places = F.filter(F.transform("ranks", lambda r, f: F.struct(f.alias("fold"), r.alias("rank"))), lambda p: p["rank"] < max(sizes))
     growing = (
-        counted.select("repeat", "rowid", F.explode(reached).alias("r"))
+        ranked.select("repeat", "rowid", F.explode(places).alias("r"))
         .select("repeat", "rowid", "r.fold", "r.rank", F.explode(samples).alias("s")).filter("rank < s.size")
         .select("repeat", "fold", "s.sample", F.lit("TRAIN").alias("type"), "rowid")
     )
-    tested = test.withColumn("sample", F.explode(F.array(*[F.lit(i) for i in range(len(sizes))])))
+    tested = ranked.withColumn("sample", F.explode(F.array(*[F.lit(i) for i in range(len(sizes))])))
     return growing.unionByName(tested.select("repeat", "fold", "sample", F.lit("TEST").alias("type"), "rowid"))
 
 

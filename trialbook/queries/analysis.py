@@ -209,3 +209,14 @@ SELECT run_id, repeat, fold, round(max(value) FILTER (WHERE function = 'A') - ma
  - max(value) FILTER (WHERE function = 'R'), 6) AS refit_time FROM fold_evaluations GROUP BY 1, 2, 3""")
 def _(r):
     return round_to(traces.refit_time(r.fold_evaluations(), ["run_id", "repeat", "fold"], "A", "N", "R"), 6, "refit_time")
+
+
+@query("agg_13_sparse_blocks", sql="""
+WITH p AS (SELECT l_suppkey AS setup_id, 'p' || (l_orderkey * 7 + l_linenumber) AS name, max(l_quantity) AS number FROM lineitem GROUP BY 1, 2),
+d AS (SELECT name, row_number() OVER (ORDER BY name) - 1 AS position FROM (SELECT DISTINCT name FROM p))
+SELECT setup_id, position // 1000 AS block, CAST(position % 1000 AS INTEGER) AS place, number FROM p JOIN d USING (name)""")
+def _(r):
+    """A parameter per order line: tens of thousands of names as blocks of a thousand columns."""
+    long = r.table("lineitem").select(F.col("l_suppkey").alias("setup_id"), F.concat(F.lit("p"), (F.col("l_orderkey") * 7 + F.col("l_linenumber")).cast("string")).alias("name"), F.col("l_quantity").alias("number"))
+    blocks = analysis.sparse_blocks(long, "setup_id", analysis.name_dictionary(long.select("name")), 1000)
+    return blocks.select("setup_id", "block", F.explode("entries").alias("e")).select("setup_id", "block", "e.place", "e.number")

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from trialbook.operators import changes
+from trialbook.operators import changes, members
 from trialbook.queries import query
 
 _OP = "CASE event_type WHEN 'signup' THEN 'add' WHEN 'error' THEN 'remove' ELSE event_type END"
@@ -132,3 +132,78 @@ def _(r):
     other = d.filter("did % 10 <> 1").withColumns({
         "name": F.when(F.col("did") % 6 == 0, "changed").otherwise(F.col("name")), "uploader": F.col("uploader") + 1})
     return changes.compare_datasets(d, other, "did", ignore=["uploader"])
+
+
+_KINDS = """ent AS (SELECT 'data' AS kind, did AS id, uploader FROM datasets UNION ALL SELECT 'task', task_id, task_id % 4 FROM tasks UNION ALL SELECT 'flow', flow_id, uploader % 4 FROM flows
+ UNION ALL SELECT 'run', run_id, uploader % 4 FROM runs UNION ALL SELECT 'study', study_id, study_id % 4 FROM studies),
+uses AS (SELECT 'task' AS kind, task_id AS id, 'data' AS used_kind, did AS used_id FROM tasks UNION ALL SELECT 'run', run_id, 'task', task_id FROM runs UNION ALL SELECT 'run', run_id, 'flow', flow_id FROM runs
+ UNION ALL SELECT 'flow', parent, 'flow', child FROM flow_edges UNION ALL SELECT 'study', study_id, 'run', run_id FROM study_members WHERE run_id % 3 = 0),
+req AS (SELECT DISTINCT CASE event_type WHEN 'click' THEN 'data' WHEN 'view' THEN 'task' WHEN 'purchase' THEN 'flow' WHEN 'signup' THEN 'run' ELSE 'study' END AS kind,
+ CASE WHEN event_type = 'error' THEN event_id % 7 ELSE event_id % 3000 END AS id, event_id % 4 AS "user" FROM events)"""
+_ENTITIES = ["datasets", "tasks", "flows", "runs", "studies", "flow_edges", "study_members"]
+
+
+def all_kinds(r):
+    """Entities of all kinds, what uses what, and requests to delete."""
+    def of(frame, kind, key, owner):
+        return frame.select(F.lit(kind).alias("kind"), F.col(key).cast("long").alias("id"), owner.cast("long").alias("uploader"))
+
+    entities = members.concat([
+        of(r.datasets(), "data", "did", F.col("uploader")), of(r.tasks(), "task", "task_id", F.col("task_id") % 4), of(r.flows(), "flow", "flow_id", F.col("uploader") % 4),
+        of(r.runs(), "run", "run_id", F.col("uploader") % 4), of(r.studies(), "study", "study_id", F.col("study_id") % 4)])
+
+    def uses(frame, kind, key, used_kind, used):
+        return frame.select(F.lit(kind).alias("kind"), F.col(key).cast("long").alias("id"), F.lit(used_kind).alias("used_kind"), F.col(used).cast("long").alias("used_id"))
+
+    graph = members.concat([
+        uses(r.tasks(), "task", "task_id", "data", "did"), uses(r.runs(), "run", "run_id", "task", "task_id"), uses(r.runs(), "run", "run_id", "flow", "flow_id"),
+        uses(r.flow_edges(), "flow", "parent", "flow", "child"), uses(r.study_members().filter("run_id % 3 = 0"), "study", "study_id", "run", "run_id")])
+    kind = F.col("event_type")
+    requests = r.table("events").select(
+        F.when(kind == "click", "data").when(kind == "view", "task").when(kind == "purchase", "flow").when(kind == "signup", "run").otherwise("study").alias("kind"),
+        F.when(kind == "error", F.col("event_id") % 7).otherwise(F.col("event_id") % 3000).alias("id"), (F.col("event_id") % 4).alias("user")).distinct()
+    return entities, requests, graph
+
+
+@query("chg_05_delete_of_any_kind", needs=_ENTITIES, sql=f"""
+WITH {_KINDS}, u AS (SELECT used_kind AS kind, used_id AS id, min(CASE uses.kind WHEN 'task' THEN 1 WHEN 'run' THEN 2 WHEN 'flow' THEN 3 ELSE 5 END) AS k FROM uses SEMI JOIN ent USING (kind, id) GROUP BY 1, 2),
+j AS (SELECT req.*, CASE WHEN ent.id IS NULL THEN 'unknown id' WHEN ent.uploader <> req."user" THEN 'not the owner' WHEN u.k IS NOT NULL THEN 'used by a ' || ['task', 'run', 'flow', 'setup', 'study'][u.k] END AS reason
+ FROM req LEFT JOIN ent USING (kind, id) LEFT JOIN u USING (kind, id))
+SELECT kind, id, "user", reason FROM j WHERE reason IS NOT NULL UNION ALL
+SELECT kind, id, uploader, 'still there' FROM ent WHERE (kind, id) NOT IN (SELECT (kind, id) FROM j WHERE reason IS NULL)""")
+def _(r):
+    left, refused = changes.delete_any(*all_kinds(r))
+    return refused.unionByName(left.select("kind", "id", F.col("uploader").alias("user"), F.lit("still there").alias("reason")))
+
+
+_REACH = """reach AS (SELECT q.kind, q.id, u.kind AS by_kind, u.id AS by_id FROM (SELECT DISTINCT kind, id FROM req) q JOIN uses u ON u.used_kind = q.kind AND u.used_id = q.id
+ UNION SELECT r.kind, r.id, u.kind, u.id FROM reach r JOIN uses u ON u.used_kind = r.by_kind AND u.used_id = r.by_id)"""
+
+
+@query("chg_05_dependents", needs=_ENTITIES, sql=f"WITH RECURSIVE {_KINDS}, {_REACH} SELECT kind, id, by_kind, count(*) AS n, sum(by_id)::BIGINT AS ids FROM reach GROUP BY 1, 2, 3")
+def _(r):
+    """All that depends on what is to be deleted, through tasks, runs, flows and studies."""
+    _, requests, graph = all_kinds(r)
+    return changes.dependents(requests, graph).groupBy("kind", "id", "by_kind").agg(F.count(F.lit(1)).alias("n"), F.sum("by_id").alias("ids"))
+
+
+@query("chg_05_delete_with_dependents", needs=_ENTITIES, sql=f"""
+WITH RECURSIVE {_KINDS}, {_REACH}, w AS (SELECT r.kind, r.id, min(e.uploader) AS lo, max(e.uploader) AS hi FROM reach r JOIN ent e ON e.kind = r.by_kind AND e.id = r.by_id GROUP BY 1, 2),
+j AS (SELECT req.*, CASE WHEN ent.id IS NULL THEN 'unknown id' WHEN ent.uploader <> req."user" THEN 'not the owner' WHEN w.lo <> req."user" OR w.hi <> req."user" THEN 'others own what depends on it' END AS reason
+ FROM req LEFT JOIN ent USING (kind, id) LEFT JOIN w USING (kind, id)),
+gone AS (SELECT kind, id FROM j WHERE reason IS NULL UNION SELECT r.by_kind, r.by_id FROM reach r JOIN j ON j.kind = r.kind AND j.id = r.id WHERE j.reason IS NULL)
+SELECT kind, id, "user", reason FROM j WHERE reason IS NOT NULL UNION ALL SELECT kind, id, uploader, 'still there' FROM ent WHERE (kind, id) NOT IN (SELECT (kind, id) FROM gone)""")
+def _(r):
+    left, refused = changes.delete_any(*all_kinds(r), cascade=True)
+    return refused.unionByName(left.select("kind", "id", F.col("uploader").alias("user"), F.lit("still there").alias("reason")))
+
+
+@query("chg_02_study_status", needs=["studies"], sql="""
+WITH c AS (SELECT event_id % 6 AS study_id, CASE event_type WHEN 'click' THEN 'active' WHEN 'view' THEN 'deactivated' ELSE 'in_preparation' END AS status, event_id AS seq FROM events),
+l AS (SELECT study_id, arg_max(status, seq) AS status FROM c WHERE status <> 'in_preparation' GROUP BY 1)
+SELECT s.study_id, s.name, coalesce(l.status, s.status) AS status FROM studies s LEFT JOIN l USING (study_id)""")
+def _(r):
+    """Status updates of studies and suites."""
+    kind = F.col("event_type")
+    log = r.table("events").select((F.col("event_id") % 6).alias("study_id"), F.when(kind == "click", "active").when(kind == "view", "deactivated").otherwise("in_preparation").alias("status"), F.col("event_id").alias("seq"))
+    return changes.apply_status(r.studies().select("study_id", "name", "status"), "study_id", log)[0]

@@ -287,13 +287,33 @@ def _(r):
     return scores.format_clustering(models.run_cells(KMeans(k=3, seed=1, maxIter=5), placed, [(0, 0), (0, 1)]).predictions)
 
 
+def curve_points(r):
+    return r.document_points().select("rowid", F.col("label").cast("string").alias("label"), array_to_vector(F.array("x")).alias("features"))
+
+
 @query("run_01_learning_curve")
 def _(r):
-    rows = r.document_points().select("rowid", F.col("label").cast("string").alias("label"), array_to_vector(F.array("x")).alias("features"))
-    curve = splits.learning_curve(rows.select("rowid", "label"), 2, [50, 100], seed=1, stratify="label")
-    placed = models.place_cells(rows, curve)
+    rows = curve_points(r)
+    placed = models.place_ranked(rows, splits.learning_ranks(rows.select("rowid", "label"), 2, seed=1, stratify="label"))
     cells = [(0, f, s) for f in range(2) for s in range(2)]
-    return models.run_cells(DecisionTreeClassifier(maxDepth=2, seed=1), placed, cells, ["0", "1"]).predictions
+    return models.run_cells(DecisionTreeClassifier(maxDepth=2, seed=1), placed, cells, ["0", "1"], sizes=[50, 100]).predictions
+
+
+_CURVE = """f AS (SELECT rowid, label, CAST((row_number() OVER (PARTITION BY label ORDER BY md5('1-0-' || rowid), rowid) - 1) % 2 AS INT) AS fold FROM document_points),
+tr AS (SELECT k.fold, rowid, label, row_number() OVER (PARTITION BY k.fold ORDER BY md5('1-train-' || rowid), rowid) - 1 AS rk FROM f JOIN (SELECT unnest([0, 1]) AS fold) k ON k.fold <> f.fold)"""
+
+
+@query("run_01_learning_curve_cells", needs=["document_points"], sql=f"""
+WITH {_CURVE}, s AS (SELECT unnest([0, 1, 2]) AS sample, unnest([50, 100, 10000]) AS size),
+m AS (SELECT fold, sample, label, count(*) AS n FROM tr JOIN s ON rk < size GROUP BY ALL), best AS (SELECT fold, sample, arg_min(label, (-n, label)) AS label FROM m GROUP BY 1, 2)
+SELECT b.fold, b.sample, f.rowid AS row_id, CAST(b.label AS VARCHAR) AS prediction, CAST(f.label AS VARCHAR) AS correct FROM best b JOIN f ON f.fold = b.fold""")
+def _(r):
+    """A tree without splits predicts the majority of its prefix, which tells the TRAIN rows of every cell."""
+    rows = curve_points(r)
+    placed = models.place_ranked(rows, splits.learning_ranks(rows.select("rowid", "label"), 2, seed=1, stratify="label"))
+    cells = [(0, f, s) for f in range(2) for s in range(3)]
+    run = models.run_cells(DecisionTreeClassifier(maxDepth=0, seed=1), placed, cells, ["0", "1"], sizes=[50, 100, 10_000])
+    return run.predictions.select("fold", "sample", "row_id", "prediction", "correct")
 
 
 def _lines_sql(task: str) -> str:
@@ -384,6 +404,74 @@ def _(r):
     return round_to(mergeable.cross_validated(mergeable.RidgeLine("b", ["a"], penalty=10.0), rows, ["task_id"], "fold", "b", ["a"], "double"), 1, "prediction")
 
 
+def _sound(predictions, labels, *keys):
+    """Rows of a prediction table without the prediction itself, and whether label and confidences are sound."""
+    confidences = [F.col(f"`confidence.{v}`") for v in labels]
+    total = sum(confidences[1:], confidences[0])
+    highest = F.greatest(*confidences) == F.element_at(F.create_map(*[x for v, c in zip(labels, confidences, strict=True) for x in (F.lit(v), c)]), F.col("prediction"))
+    return predictions.select(*keys, "row_id", "correct", F.col("prediction").isin(labels).alias("in_domain"), (F.abs(total - 1) < 1e-9).alias("sums_to_one"), highest.alias("is_highest"))
+
+
+@query("run_01_decision_tree_soundness", needs=["points"], sql=f"""
+WITH f AS ({POINT_FOLDS.replace('% 5', '% 3').format(n=1)}) SELECT repeat, fold, 0 AS sample, rowid AS row_id, CAST(label AS VARCHAR) AS correct, true AS in_domain, true AS sums_to_one, true AS is_highest FROM f JOIN points USING (rowid)""")
+def _(r):
+    run = models.run_cells(DecisionTreeClassifier(maxDepth=3, seed=1), placed_points(r, 3), [(0, f) for f in range(3)], DIGITS)
+    return _sound(run.predictions, DIGITS, "repeat", "fold", "sample")
+
+
+@query("run_01_clustering_soundness", sql="""
+SELECT 0 AS repeat, CAST((row_number() OVER (ORDER BY md5('4-0-' || vec_id), vec_id) - 1) % 2 AS INT) AS fold, vec_id AS row_id, true AS in_range FROM embeddings""")
+def _(r):
+    rows = r.points().select("rowid", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+    placed = models.place(rows, splits.cross_validation(rows.select("rowid"), 1, 2, seed=4))
+    found = models.run_cells(KMeans(k=3, seed=1, maxIter=5), placed, [(0, 0), (0, 1)]).predictions
+    return scores.format_clustering(found).select("repeat", "fold", "row_id", F.col("cluster").between(0, 2).alias("in_range"))
+
+
+@query("run_05_timings_soundness", sql="""
+SELECT 0 AS repeat, f AS fold, 0 AS sample, m AS measure, true AS sound FROM (SELECT unnest([0, 1]) AS f), (SELECT unnest(['wall_clock_time_millis_training', 'wall_clock_time_millis_testing', 'wall_clock_time_millis']) AS m)""")
+def _(r):
+    run = models.run_cells(DecisionTreeClassifier(maxDepth=1, seed=1), placed_points(r, 2), [(0, 0), (0, 1)], DIGITS)
+    part = F.when(F.col("measure") == "wall_clock_time_millis", 0.0).otherwise(F.col("seconds"))
+    whole = F.when(F.col("measure") == "wall_clock_time_millis", F.col("seconds")).otherwise(0.0)
+    rows = run.timing_rows()
+    adds_up = rows.groupBy("repeat", "fold", "sample").agg((F.abs(F.sum(part) - F.sum(whole)) < 1e-6).alias("adds_up"))
+    return rows.join(adds_up, ["repeat", "fold", "sample"]).select("repeat", "fold", "sample", "measure", ((F.col("seconds") >= 0) & F.col("adds_up")).alias("sound"))
+
+
+@query("run_07_search_soundness", sql="SELECT 0 AS repeat, f AS fold, 2 AS candidates, 1 AS chosen, true AS chosen_is_best, 'max_depth' AS parameter FROM (SELECT unnest([0, 1]) AS f)")
+def _(r):
+    rows = curve_points(r)
+    placed = models.place(rows, splits.cross_validation(rows.select("rowid", "label"), 1, 2, seed=3, stratify="label"))
+    candidates = [({"max_depth": d}, DecisionTreeClassifier(maxDepth=d, seed=1)) for d in (1, 3)]
+    trace = models.search(candidates, placed, [(0, 0), (0, 1)], ["0", "1"], inner_folds=2)[0]
+    first = F.min(F.when(F.col("selected"), F.struct(-F.col("evaluation"), "iteration")))
+    return trace.groupBy("repeat", "fold").agg(
+        F.count(F.lit(1)).cast("int").alias("candidates"), F.count_if("selected").cast("int").alias("chosen"),
+        (first == F.min(F.struct(-F.col("evaluation"), "iteration"))).alias("chosen_is_best"), F.replace(F.min(F.map_keys("parameters")[0]), F.lit("parameter_"), F.lit("")).alias("parameter"))
+
+
+@query("run_08_surrogate_soundness", needs=["evaluations", "setups"], sql="""
+SELECT e.run_id, CAST(s.tax AS DOUBLE) AS tax, s.ship, e.value, true AS within FROM (SELECT run_id, setup_id, value FROM evaluations WHERE function = 'A') e JOIN setups s ON s.setup_id = e.setup_id""")
+def _(r):
+    """The surrogate's predictions lie within the values it has seen."""
+    evals = lookups.evaluations_setups(r.evaluations().filter("function = 'A'"), r.setup_parameters())
+    named = F.transform_keys("parameters", lambda k, _: F.substring_index(k, "_", -1))
+    frame = evals.select("run_id", "value", named["tax"].try_cast("double").alias("tax"), named["ship"].alias("ship"))
+    out = models.surrogate(frame, ["tax"], ["ship"], "value")[1]
+    ends = frame.agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    return out.join(F.broadcast(ends)).select("run_id", "tax", "ship", F.round("value", 6).alias("value"), F.col("prediction").between(F.col("lo") - 1e-9, F.col("hi") + 1e-9).alias("within"))  # one row
+
+
+@query("agg_07_landmarkers_soundness", sql="""
+SELECT l || m AS name, true AS sound FROM (SELECT unnest(['DecisionStump', 'REPTreeDepth2', 'NaiveBayes']) AS l), (SELECT unnest(['AUC', 'ErrRate', 'Kappa']) AS m)""")
+def _(r):
+    found = models.landmarkers([("DecisionStump", DecisionTreeClassifier(maxDepth=1, seed=1)), ("REPTreeDepth2", DecisionTreeClassifier(maxDepth=2, seed=1)),
+                                ("NaiveBayes", NaiveBayes(modelType="gaussian"))], placed_points(r, 2), [(0, 0), (0, 1)], DIGITS)
+    low = F.when(F.col("name").endswith("Kappa"), -1.0).otherwise(0.0)
+    return found.select("name", F.col("value").between(low, F.lit(1.0)).alias("sound"))
+
+
 @query("run_05_timings")
 def _(r):
     run = models.run_cells(DecisionTreeClassifier(maxDepth=1, seed=1), placed_points(r, 2), [(0, 0), (0, 1)], DIGITS)
