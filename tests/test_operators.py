@@ -250,8 +250,8 @@ def test_baselines_against_numpy(spark):
     t = spark.createDataFrame(data, "rowid long, label int, embedding array<float>")
     folds = splits.cross_validation(t.select("rowid", "label"), 2, 3, 1, "label").persist()
     fold = {(r["repeat"], r["rowid"]): r["fold"] for r in folds.collect()}
-    got = {(r["repeat"], r["row_id"]): r["prediction"] for r in models.nearest_centroid(t, folds, 4, 3, 6).collect()}
-    most = {(r["repeat"], r["row_id"]): r["prediction"] for r in models.majority_class(t, folds, 6).collect()}
+    got = {(r["repeat"], r["row_id"]): r["prediction"] for r in models.nearest_centroid(t, folds, 4).collect()}
+    most = {(r["repeat"], r["row_id"]): r["prediction"] for r in models.majority_class(t, folds).collect()}
     assert len(got) == len(most) == 120
     x = np.array([d[2] for d in data], dtype=np.float32).astype(float)
     y = np.array([d[1] for d in data])
@@ -322,6 +322,14 @@ def test_flows_of_any_depth(spark):
     assert len(got) == 131 + 4
 
 
+def test_older_children(spark):
+    """A sub-flow counts as older by the upload times of it and of its parent; an unknown time tells nothing."""
+    f = spark.createDataFrame([(1, "2020-01-02T00:00:00"), (2, "2020-01-01T23:59:59"), (3, "2020-01-03T00:00:00"), (4, None), (5, "no date")], "flow_id long, upload_date string")
+    e = spark.createDataFrame([(1, "a", 2), (1, "b", 3), (3, "c", 2), (1, "d", 4), (1, "e", 5)], "parent long, identifier string, child long")
+    got = flows.older_children(f, e).collect()
+    assert sorted((r["root_id"], tuple(r["path"])) for r in got) == [(1, ("a",)), (1, ("b", "c")), (3, ("c",))]
+
+
 def test_flow_differences_options(spark):
     s = "root_id long, path string, kind string, name string, value string"
     a = spark.createDataFrame([(1, "", "field", "name", "n"), (1, "", "field", "version", "1"), (1, "", "field", "custom_name", None), (1, "", "parameter", "p", "1"),

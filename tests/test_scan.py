@@ -84,10 +84,11 @@ def test_value_counts(spark, pairs):
         assert upto == sum(1 for a, b in pairs if a == k and b <= v)
 
 
-def test_join_by_cell_is_the_same_beyond_the_broadcast_limit(spark):
+def test_join_by_cell_is_the_same_beyond_the_broadcast_limit(spark, monkeypatch):
     big = spark.range(1_000).select((F.col("id") % 3).alias("fold"), "id")
     small = spark.createDataFrame([(0, "x"), (1, "y")], "fold long, m string")
-    near = skew.join_by_cell(big, small, ["fold"], 10, "id")
-    far = skew.join_by_cell(big, small, ["fold"], skew.BROADCAST_BYTES + 1, "id")
+    near = skew.join_by_cell(big, small, ["fold"], "id")
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", 1)
+    far = skew.join_by_cell(big, small, ["fold"], "id")
     assert sorted(map(tuple, near.collect())) == sorted(map(tuple, far.select(*near.columns).collect()))
     assert near.count() == 667

@@ -58,6 +58,22 @@ def subflow(tree: DataFrame, path: Sequence[str]) -> DataFrame:
     return tree.filter(F.col("path") == wanted).select("root_id", "flow_id")
 
 
+def older_children(flows: DataFrame, edges: DataFrame) -> DataFrame:
+    """(root_id, path) of the sub-flows that were uploaded before the flow they are a component of, for ``differences``.
+
+    ``flows`` has ``upload_date``, a timestamp or its text; a date that is missing or no date tells nothing.
+    """
+    at = flows.select("flow_id", F.col("upload_date").try_cast("timestamp").alias("at"))
+    parent = at.select(F.col("flow_id").alias("parent"), F.col("at").alias("_parent_at"))
+    child = at.select(F.col("flow_id").alias("child"), F.col("at").alias("_child_at"))
+    older = edges.join(parent, "parent").join(child, "child").filter(F.col("_child_at") < F.col("_parent_at")).select("parent", "identifier", "child")
+    own = older.select(F.col("parent").alias("root_id"), F.array("identifier").alias("path"))
+    # The same edge below any flow that holds the parent.
+    above = components(flows, edges).filter("depth > 0").select("root_id", F.col("path").alias("_path"), F.col("flow_id").alias("parent"))
+    below = above.join(older, "parent").select("root_id", F.array_append("_path", F.col("identifier")).alias("path"))
+    return own.unionByName(below)
+
+
 def differences(
     left: DataFrame, right: DataFrame, *, ignore_fields: Sequence[str] = (*SERVER_FIELDS, *LOCAL_FIELDS, "description"),
     ignore_parameter_values: bool = False, ignore_custom_name_if_none: bool = False,

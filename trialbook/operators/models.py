@@ -35,18 +35,18 @@ def _train_totals(per_fold: DataFrame, by: Sequence[str], columns: Sequence[str]
     return joined.select(*CELL, *by, *[(F.col(f"_t_{c}") - F.col(c)).alias(c) for c in columns])
 
 
-def majority_class(rows: DataFrame, test_folds: DataFrame, cells: int) -> DataFrame:
+def majority_class(rows: DataFrame, test_folds: DataFrame) -> DataFrame:
     """Predict the most frequent training class; the lowest label wins a tie."""
     placed = place(rows.select("rowid", "label"), test_folds)
     per_fold = placed.filter("label IS NOT NULL").groupBy(*CELL, "label").agg(F.count(F.lit(1)).alias("n"))
     train = _train_totals(per_fold, ["label"], ["n"])
     most = train.groupBy(*CELL).agg(F.max("n").alias("n"))
     chosen = train.join(most, [*CELL, "n"]).groupBy(*CELL).agg(F.min("label").alias("prediction"))
-    out = join_by_cell(placed, chosen, CELL, cells * 256.0, "rowid")
+    out = join_by_cell(placed, chosen, CELL, "rowid")
     return out.select(*CELL, F.lit(0).alias("sample"), F.col("rowid").alias("row_id"), "prediction", F.col("label").alias("correct"))
 
 
-def nearest_centroid(rows: DataFrame, test_folds: DataFrame, dims: int, classes: int, cells: int) -> DataFrame:
+def nearest_centroid(rows: DataFrame, test_folds: DataFrame, dims: int) -> DataFrame:
     """Predict the class of the nearest training mean; the lowest label wins a tie.
 
     ``rows`` is (rowid, label, embedding). The model of a cell is one row of class means, and a
@@ -68,18 +68,18 @@ def nearest_centroid(rows: DataFrame, test_folds: DataFrame, dims: int, classes:
         return F.aggregate(gaps, F.lit(0.0), lambda acc, g: acc + g)
 
     nearest = F.array_min(F.transform("model", lambda m: F.struct(distance(m["mean"]).alias("d"), m["label"].alias("label"))))
-    out = join_by_cell(placed, model, CELL, float(cells) * classes * (dims * 8 + 64), "rowid")
+    out = join_by_cell(placed, model, CELL, "rowid")
     return out.select(*CELL, F.lit(0).alias("sample"), F.col("rowid").alias("row_id"),
                       nearest["label"].alias("prediction"), F.col("label").alias("correct"))
 
 
-def mean_regressor(rows: DataFrame, test_folds: DataFrame, cells: int) -> DataFrame:
+def mean_regressor(rows: DataFrame, test_folds: DataFrame) -> DataFrame:
     """Predict the training mean of ``y``."""
     placed = place(rows.select("rowid", "y"), test_folds)
     per_fold = placed.groupBy(*CELL).agg(F.sum("y").alias("s"), F.count("y").alias("n"))
     train = _train_totals(per_fold, [], ["s", "n"])
     model = train.select(*CELL, F.try_divide("s", "n").alias("prediction"))
-    out = join_by_cell(placed, model, CELL, cells * 64.0, "rowid")
+    out = join_by_cell(placed, model, CELL, "rowid")
     return out.select(*CELL, F.col("rowid").alias("row_id"), "prediction", F.col("y").alias("truth"))
 
 

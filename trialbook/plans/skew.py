@@ -7,17 +7,27 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trialbook.session import stage
+
 BROADCAST_BYTES = 64 * 1024 * 1024
+# Bytes in memory for a byte of a written table, at most about.
+UNPACKED = 8
 SALTS = 256
 
 
-def join_by_cell(large: DataFrame, small: DataFrame, keys: Sequence[str], small_bytes: float, spread: str) -> DataFrame:
+def written_bytes(df: DataFrame) -> int:
+    """The size of a frame's files, as the plan knows it from their listing."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def join_by_cell(large: DataFrame, small: DataFrame, keys: Sequence[str], spread: str) -> DataFrame:
     """Inner join where one key value may hold most of ``large``.
 
-    ``small_bytes`` is the caller's bound on the small side: under the limit it is broadcast;
-    beyond, it is repeated per salt and the large side is spread over the salts by ``spread``.
+    The small side is written and its files measured: under the limit it is broadcast; beyond, it is repeated per salt
+    and the large side is spread over the salts by ``spread``.
     """
-    if small_bytes <= BROADCAST_BYTES:
+    small = stage(small, "small-side")
+    if written_bytes(small) * UNPACKED <= BROADCAST_BYTES:
         return large.join(F.broadcast(small), list(keys))
     salted = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     spread_out = large.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))

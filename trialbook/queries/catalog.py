@@ -7,6 +7,7 @@ from trialbook.plans.bindings import QUALITY_NAMES
 from trialbook.queries import query
 from trialbook.queries.analysis import round_to
 from trialbook.session import new_path
+from trialbook.sources import documents
 
 _Q4 = """"NumberOfInstances", "NumberOfClasses", "NumberOfFeatures", "NumberOfMissingValues\""""
 
@@ -141,6 +142,25 @@ def _(r):
     return listing.list_procedures(r.procedures(), r.tasks())
 
 
+@query("lst_09_vocabularies_xml", needs=["procedures"], sql="""
+SELECT 'quality' AS kind, p_name AS name, NULL AS ttid, NULL AS folds FROM (SELECT DISTINCT p_name FROM part) UNION ALL SELECT 'measure', event_type, NULL, NULL FROM (SELECT DISTINCT event_type FROM events)
+UNION ALL SELECT 'procedure', procedure_name || ' ' || p_partkey, CASE WHEN ttid < 9 THEN ttid END, folds FROM procedures, part""")
+def _(r):
+    """Vocabularies of qualities, measures and procedures, written and read back; procedures of unknown task types come second."""
+    path = new_path(r.spark, "vocabularies")
+    documents.write_vocabulary(r.table("part").select("p_name").distinct(), f"{path}/q", "quality", "data_qualities_list")
+    documents.write_vocabulary(r.table("events").select("event_type").distinct(), f"{path}/m", "measure", "measures")
+    each = F.concat_ws(" ", "procedure_name", F.col("p_partkey").cast("string"))
+    many = r.table("part").select("p_partkey").join(F.broadcast(r.procedures()))  # five rows
+    kind = F.when(F.col("ttid") < 9, F.col("ttid").cast("string")).otherwise("none")
+    documents.write_procedures(many.select(F.col("p_partkey").alias("procedure_id"), kind.alias("ttid"), each.alias("procedure_name"), "repeats", "folds"), f"{path}/p")
+    known, others = documents.procedures(r.spark, f"{path}/p")
+    none = [F.lit(None).cast("int").alias(c) for c in ("ttid", "folds")]
+    parts = [documents.quality_names(r.spark, f"{path}/q").select(F.lit("quality").alias("kind"), "name", *none), documents.measures(r.spark, f"{path}/m").select(F.lit("measure").alias("kind"), "name", *none)]
+    parts += [p.select(F.lit("procedure").alias("kind"), F.col("procedure_name").alias("name"), "ttid", "folds") for p in (known, others)]
+    return members.concat(parts)
+
+
 @query("lst_10_page_of_runs", needs=["runs"], sql="SELECT * FROM runs ORDER BY run_id LIMIT 100 OFFSET 250")
 def _(r):
     return listing.page(r.runs(), ["run_id"], 100, 250)

@@ -86,6 +86,17 @@ def _(r):
     return flows.differences(attribute_rows(r, False), attribute_rows(r, True), older_children=older)
 
 
+@query("flw_03_older_children_by_date", needs=["flows", "flow_edges"], sql=f"""{TREE},
+d AS (SELECT flow_id, CASE WHEN flow_id % 6 > 0 THEN TIMESTAMP '2020-01-01' + INTERVAL 1 DAY * (flow_id * 7 % 11) END AS at FROM flows)
+SELECT t.root_id, CASE WHEN t.depth = 0 THEN e.identifier ELSE t.path || '.' || e.identifier END AS path
+FROM tree t JOIN flow_edges e ON e.parent = t.flow_id JOIN d p ON p.flow_id = e.parent JOIN d c ON c.flow_id = e.child WHERE c.at < p.at""")
+def _(r):
+    """Sub-flows older than their parent, by upload dates written as text, some of them missing."""
+    day = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("flow_id") * 7 % 11).cast("int")).cast("string")
+    dated = r.flows().withColumn("upload_date", F.when(F.col("flow_id") % 6 > 0, F.concat(day, F.lit("T00:00:00"))))
+    return flows.older_children(dated, r.flow_edges()).withColumn("path", F.concat_ws(".", "path"))
+
+
 @query("flw_04_effective_parameters", needs=["flows", "flow_edges", "flow_parameters", "setups"], sql=f"""{TREE}
 SELECT s.setup_id, t.path, t.flow_id, p.name, CASE WHEN t.depth = 0 AND p.name = 'tax' THEN CAST(s.tax AS VARCHAR) WHEN t.depth = 0 AND p.name = 'ship' THEN s.ship ELSE p.default_value END AS value
 FROM setups s JOIN tree t ON t.root_id = s.flow_id JOIN flow_parameters p ON p.flow_id = t.flow_id""")

@@ -209,7 +209,7 @@ pred AS (SELECT repeat, fold, 0 AS sample, rowid AS row_id, guess AS prediction,
 def centroid_run(r):
     points = r.points()
     folds = splits.cross_validation(points.select("rowid", "label"), 2, 5, seed=3, stratify="label")
-    return models.nearest_centroid(points, folds, dims=64, classes=10, cells=10)
+    return models.nearest_centroid(points, folds, dims=64)
 
 
 @query("run_02_nearest_centroid", needs=["points"], sql=f"WITH {_CENTROID} SELECT * FROM pred")
@@ -224,7 +224,7 @@ c AS (SELECT cell.repeat, cell.fold, x.label FROM cell JOIN x ON x.repeat = cell
 SELECT x.repeat, x.fold, 0 AS sample, rowid AS row_id, c.label AS prediction, x.label AS correct FROM x JOIN c ON c.repeat = x.repeat AND c.fold = x.fold""")
 def _(r):
     folds = splits.cross_validation(r.points().select("rowid", "label"), 2, 5, seed=3, stratify="label")
-    return models.majority_class(r.points(), folds, cells=10)
+    return models.majority_class(r.points(), folds)
 
 
 @query("run_02_mean_regressor", needs=["line_rows"], sql="""
@@ -234,7 +234,7 @@ SELECT 0 AS repeat, f.fold, rowid AS row_id, round((t.s - m.s) / (t.n - m.n), 4)
 def _(r):
     rows = r.line_rows().select("rowid", F.col("l_extendedprice").alias("y"))
     folds = splits.cross_validation(rows.select("rowid"), 1, 5, seed=2)
-    return round_to(models.mean_regressor(rows, folds, cells=5), 4, "prediction")
+    return round_to(models.mean_regressor(rows, folds), 4, "prediction")
 
 
 @query("run_03_format_predictions", needs=["points"], sql=f"""

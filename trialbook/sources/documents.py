@@ -327,6 +327,50 @@ def listing(spark: SparkSession, path: str, entity: str) -> tuple[DataFrame, Dat
     return raw.filter(~bad).select(*columns), raw.filter(bad)
 
 
+def quality_names(spark: SparkSession, path: str) -> DataFrame:
+    """(name) of a vocabulary of qualities."""
+    return _names(spark, path, "quality")
+
+
+def measures(spark: SparkSession, path: str) -> DataFrame:
+    """(name) of a vocabulary of evaluation measures."""
+    return _names(spark, path, "measure")
+
+
+def _names(spark: SparkSession, path: str, tag: str) -> DataFrame:
+    # An element that holds only text is read by an attribute that it may have.
+    return read(spark, path, tag, "_id string, _VALUE string").select(text("_VALUE").alias("name")).filter("name IS NOT NULL").distinct()
+
+
+# Task types an estimation procedure may belong to.
+PROCEDURE_TASK_TYPES = tuple(range(1, 10))
+
+
+def procedures(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """((procedure_id, ttid, procedure_name, type, repeats, folds, ..) of known task types, the others)."""
+    fields = ("id", "task_type_id", "name", "type", "repeats", "folds", "samples", "percentage", "stratified_sampling")
+    raw = read(spark, path, "estimationprocedure", ", ".join(f"{c} string" for c in fields))
+    out = raw.select(
+        text("id").cast("int").alias("procedure_id"), text("task_type_id").try_cast("int").alias("ttid"), text("name").alias("procedure_name"), text("type").alias("type"),
+        *[text(c).try_cast("int").alias(c) for c in ("repeats", "folds", "samples", "percentage")], (F.lower(text("stratified_sampling")) == "true").alias("stratified_sampling"))
+    known = F.coalesce(F.col("ttid").isin(list(PROCEDURE_TASK_TYPES)), F.lit(False))
+    return out.filter(known), out.filter(~known)
+
+
+def write_vocabulary(names: DataFrame, path: str, tag: str, root: str, **how) -> None:
+    """One element of text per name."""
+    prefix = how.get("prefix", PREFIX)
+    full = f"{prefix}:{tag}" if prefix else tag
+    first = names.select(F.col(names.columns[0]).alias("entity")).filter("entity IS NOT NULL")
+    write_lines(first.select("entity", F.concat(F.lit(f"<{full}>"), escaped(F.col("entity")), F.lit(f"</{full}>")).alias("line")), path, root, [], **how)
+
+
+def write_procedures(table: DataFrame, path: str, **how) -> None:
+    """Estimation procedures in the form ``procedures`` reads."""
+    write(table.select(F.col("procedure_id").alias("id"), F.col("ttid").alias("task_type_id"), F.col("procedure_name").alias("name"),
+                       *[c for c in ("type", "repeats", "folds", "samples", "percentage", "stratified_sampling") if c in table.columns]), path, "estimationprocedure", "estimationprocedures", **how)
+
+
 def _map(entries: str, kind: str) -> Column:
     """Named entries as a map. A number that is missing, or NaN, is NULL."""
     def value(e: Column) -> Column:
