@@ -43,6 +43,11 @@ SEGMENT, _CACHE, TOKENS, TEXTS = 1_000_000, 400_000, 500_000, 100_000
 UNKNOWN = "und"
 
 
+def _gram(size: int):
+    """The n-gram of a word at a place. (A second parameter of such a function would be the place's index.)"""
+    return lambda i: F.col("word").substr(i, F.lit(size))
+
+
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict:
     """Log frequencies per language from the labelled rows of ``docs``."""
     labelled = docs.filter(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
@@ -60,7 +65,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict:
     parts = [words.select("lang", F.lit(0).alias("size"), F.col("word").alias("gram"), "count")]
     for size in GRAMS:
         places = F.sequence(F.lit(1), F.length("word") - size + 1)
-        cut = words.filter(F.length("word") >= size).select("lang", "count", F.explode(F.transform(places, lambda i, size=size: F.col("word").substr(i, F.lit(size)))).alias("gram"))
+        cut = words.filter(F.length("word") >= size).select("lang", "count", F.explode(F.transform(places, _gram(size))).alias("gram"))
         parts.append(cut.groupBy("lang", "gram").agg(F.sum("count").alias("count")).select("lang", F.lit(size).alias("size"), "gram", "count"))
     grams = parts[0]
     for p in parts[1:]:
