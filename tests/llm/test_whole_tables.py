@@ -94,4 +94,4 @@ def test_near_duplicates_lose_no_link(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
     want = {i: (n, c) for i, n, c in plain_components(rows)}
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in QUERIES["op2_minhash_near_dedup"](spark, folder).collect()}
-    assert got == want and sum(c != i for i, (_, c) in want.items()) > 100
+    assert got == want and sum(c != i for i, (_, c) in want.items()) > 50
