@@ -92,6 +92,25 @@ def test_marks_of_other_scripts(spark, letters, mark):
     assert not mark or not got[2]["kept"]
 
 
+SCRIPTS = [("कखगघचछजझ", "।"), ("ابتثجحخد", "؟"), ("ابتثجحخد", ""), ("天地人山水火木金", "。"), ("አበገደሀወዘተ", "።"), ("กขคงจฉชซ", ""), ("abcdefgh", ""), ("abcdefgh", "!")]
+
+
+def test_the_twin_knows_all_scripts(spark):
+    """The SQL twin judges lines of other scripts as the query does."""
+    import duckdb
+
+    from trialbook.llm import ORACLES
+
+    rows = [(k, "\n".join(" ".join(a[i] + a[j] + a[(i + j) % 8] + a[j // 2] for j in range(8)) + mark for i in range(8))) for k, (a, mark) in enumerate(SCRIPTS)]
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    got = [tuple(r) for r in quality.quality(spark.createDataFrame(rows, "doc_id long, text string")).select(*columns).collect()]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    assert sorted(got) == sorted(con.execute(ORACLES["op8_quality_rules"]).fetchall())
+    assert [r[-1] for r in sorted(got)] == [True, True, False, True, True, True, False, True]
+
+
 # -- exact dedup
 
 

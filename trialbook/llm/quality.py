@@ -148,7 +148,7 @@ lines AS (SELECT doc_id, x FROM (SELECT doc_id, unnest(string_split(t, chr(10)))
 firsts AS (SELECT doc_id, x, count(*) AS n FROM lines GROUP BY doc_id, x),
 judged AS (SELECT doc_id, n, len(regexp_replace(x, '[\\x20\\x09-\\x0D]+', '', 'g')) AS chars, len(regexp_extract_all(x, {word})) AS nw,
   len(regexp_extract_all(x, {q(DECORATED)})) AS deco, len(x) - len(regexp_replace(x, {q(SEPARATORS)}, '', 'g')) AS seps,
-  regexp_matches(x, {q(MARK)}) AS ends, regexp_matches(x, {q(BOILERPLATE)}) AS boiler FROM firsts),
+  regexp_matches(x, {q(MARK)}) OR regexp_matches(x, {q(OTHER_MARKS)}) OR len(regexp_replace(x, {q(UNMARKED)}, '', 'g')) * 2 < len(x) AS ends, regexp_matches(x, {q(BOILERPLATE)}) AS boiler FROM firsts),
 by_doc AS (SELECT doc_id, sum(n) - count(*) AS n_dup_lines,
   coalesce(sum(chars) FILTER (ends AND deco * 2 <= nw AND NOT (seps >= 3 AND seps * 6 >= nw) AND NOT (nw <= {SHORT_LINE} AND boiler)), 0) AS passed FROM judged GROUP BY doc_id),
 base AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(array_to_string(w, '')) AS BIGINT) AS word_chars,
