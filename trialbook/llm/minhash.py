@@ -8,9 +8,10 @@ of similarity 0.75 miss each other in all bands with a chance of 5e-6.
 Texts of equal sets form a class that is worked on once. In each bucket of a band the members are
 paired with one leader, another one in each bucket; pairs whose sketches differ too much are left
 out; each text's best pair is confirmed on the full sets first, then those that still connect
-different components, and last every pair of different components in one bucket that can still be
-similar: shingles that no other text of these buckets has bound what two texts may share. So a
-bucket of thousands of copies costs a few comparisons each, and yet no pair that matters goes unseen.
+different components. What can still be similar across components is found by an index over the
+rarest shingles of the members of such buckets, which every two similar sets share one of. So
+neither a bucket of thousands of copies nor a family around the threshold costs more than a few
+comparisons each, and yet no pair that matters goes unseen.
 
 Nulls and edges: a null or wordless text has the empty set, is linked with nothing and is kept. A
 null id never names a component unless all its ids are null; rows that repeat both id and text are
@@ -212,18 +213,24 @@ def _links(reps: DataFrame, texts: DataFrame) -> DataFrame | None:
     labels = components(stage(confirmed(open_pairs(near), sets), "links"), labels)
     placed = rows.join(labels, "node", "left").select("node", "key", F.coalesce("label", "node").alias("label"))
     mixed = stage(placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("key"), "mixed")
-    members = stage(placed.join(mixed, "key").join(sketches, "node"), "members")
-    # Shingles that one member alone has are shared with no other: the rest bounds what a pair can have in common.
-    shingles = sets.join(members.select("node").distinct(), "node").select("node", F.explode("shingles").alias("shingle"))
-    alone = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).filter("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
-    bounded = members.join(alone, "node", "left").withColumn("most", F.col("n_shingles") - F.coalesce("alone", F.lit(0)))
-    bounded = stage(bounded.filter(may_link(F.col("most"), F.col("n_shingles"), F.col("most"))), "bounded")
-    columns = ("node", "label", "sketch", "n_shingles", "most")
-    one, two = (bounded.select("key", *[F.col(c).alias(f"{s}_{c}") for c in columns]) for s in ("a", "b"))
-    possible = may_link(F.least("a_most", "b_most"), F.col("a_n_shingles"), F.col("b_n_shingles"))
-    apart = (F.col("a_label") < F.col("b_label")) & possible & (bits_apart(F.col("a_sketch"), F.col("b_sketch")) <= MOST_BITS)
-    rest = one.join(two, (one["key"] == two["key"]) & apart).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
-    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    members = stage(placed.join(mixed, "key").select("node", "label").distinct(), "members")
+    # An index over the rarest shingles. Two sets with enough in common share one of the first n - ceil(0.75 n) + 1 of each
+    # in any order of all shingles, and the first they share leaves enough behind it in both. Rarest first, texts
+    # that have only the body of a family in common do not meet; shingles of one component join nothing.
+    shingles = sets.join(members, "node").select("node", "label", F.explode("shingles").alias("shingle"))
+    spread = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
+    ordered = F.sort_array(F.collect_list(F.struct("n", "shingle", (F.col("low") < F.col("high")).alias("joins"))))
+    ranked = shingles.join(spread, "shingle").groupBy("node", "label").agg(ordered.alias("ranked"))
+    size = F.size("ranked")
+    first = F.slice("ranked", F.lit(1), size - F.ceil(size * PERCENT / 100).cast("int") + 1)
+    index = ranked.select("node", "label", size.alias("size"), F.posexplode(first).alias("place", "rare")).filter("rare.joins")
+    index = stage(index.select("node", "label", "size", (F.col("size") - F.col("place")).alias("behind"), F.col("rare.shingle").alias("shingle")), "rarest")
+    one, two = (index.select("shingle", *[F.col(c).alias(f"{side}_{c}") for c in ("node", "label", "size", "behind")]) for side in "ab")
+    possible = may_link(F.least("a_behind", "b_behind"), F.col("a_size"), F.col("b_size"))
+    rest = one.join(two, (one["shingle"] == two["shingle"]) & (F.col("a_label") < F.col("b_label")) & possible)
+    rest = rest.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
+    sketched = rest.join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("p")), "a").join(sketches.select(F.col("node").alias("b"), F.col("sketch").alias("q")), "b")
+    rest = sketched.filter(bits_apart(F.col("p"), F.col("q")) <= MOST_BITS).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     seen = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     links = stage(confirmed(rest.join(seen, ["a", "b"], "left_anti"), sets), "links")
     return labels if links.isEmpty() else components(links, labels)
