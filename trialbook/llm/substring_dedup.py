@@ -12,7 +12,6 @@ from __future__ import annotations
 import hashlib
 import sys
 from collections.abc import Callable, Iterator
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -86,27 +85,39 @@ def split(text: bytes, frequent: np.ndarray | None, travels: Callable | None = N
             yield key, b" ".join(words[i:j]), base + i
 
 
-def compare(strings: list[bytes], owners: np.ndarray | None) -> list:
-    """Without owners the number of windows of each string; with them the smallest owner of each window."""
+def compare(strings: list[bytes], owners: np.ndarray | None) -> tuple[np.ndarray, np.ndarray | None]:
+    """The number of windows of each string and, given owners, the smallest owner of each window.
+
+    Windows are sorted by a hash of the numbers of their words; neighbours of one hash are compared word by word.
+    """
+    counts = np.array([s.count(b" ") + 2 - WIDTH for s in strings], dtype=np.int64)
     if owners is None:
-        return [s.count(b" ") + 2 - WIDTH for s in strings]
-    found: list[tuple[bytes, int, int]] = []
-    least = []
-    for k, s in enumerate(strings):
-        words = s.split(b" ")
-        n = len(words) + 1 - WIDTH
-        ends = np.cumsum([len(w) + 1 for w in words]).tolist()
-        starts = [0, *ends]
-        found += [(s[starts[i] : ends[i + WIDTH - 1] - 1], k, i) for i in range(n)]
-        least.append(np.full(n, owners[k], dtype=np.int64))
-    found.sort()
-    for _, same in groupby(found, key=lambda x: x[0]):
-        places = list(same)
-        if len(places) > 1:
-            smallest = min(int(owners[k]) for _, k, _ in places)
-            for _, k, i in places:
-                least[k][i] = smallest
-    return least
+        return counts, None
+    number = pa.array(b" ".join(strings).split(b" "), pa.large_binary()).dictionary_encode().indices.to_numpy().astype(np.uint64)
+    starts = np.arange(counts.sum()) + np.repeat(np.arange(len(counts)) * (WIDTH - 1), counts)
+    hashed = np.zeros(len(number) - WIDTH + 1, dtype=np.uint64)
+    for k in range(WIDTH):
+        hashed = (hashed + number[k : k + len(hashed)]) * np.uint64(0x9E3779B97F4A7C15)
+        hashed ^= hashed >> np.uint64(29)
+    hashed = mix(hashed)[starts]
+    order = np.argsort(hashed, kind="stable")
+    hashed, at = hashed[order], starts[order]
+    begin = np.flatnonzero(np.append(True, hashed[1:] != hashed[:-1]))
+    sizes = np.diff(np.append(begin, len(order)))
+    head = np.repeat(at[begin], sizes)
+    same = np.ones(len(at), dtype=bool)
+    for k in range(WIDTH):
+        same &= number[at + k] == number[head + k]
+    owner = np.repeat(owners, counts)
+    least = np.empty(len(owner), dtype=np.int64)
+    least[order] = np.repeat(np.minimum.reduceat(owner[order], begin), sizes)
+    for g in np.flatnonzero(~np.logical_and.reduceat(same, begin)).tolist():  # different windows of one hash
+        members = order[begin[g] : begin[g] + sizes[g]]
+        _, which = np.unique(number[starts[members][:, None] + np.arange(WIDTH)], axis=0, return_inverse=True)
+        smallest = np.full(which.max() + 1, windows.NULL_ID)
+        np.minimum.at(smallest, which.ravel(), owner[members])
+        least[members] = smallest[which.ravel()]
+    return counts, least
 
 
 def strip(ids: list, texts: pa.ChunkedArray, spans: list, with_text: bool) -> pa.Table:

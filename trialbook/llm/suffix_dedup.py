@@ -116,8 +116,9 @@ class BlindTrie:
                 stack += [child for _, child in sorted(node[1].items(), reverse=True)]
 
 
-def sorted_groups(buffer: bytes, starts: np.ndarray) -> Iterator[np.ndarray]:
-    """Indexes into ``starts`` of equal suffixes, group by group, for groups of two or more in order."""
+def shallow(buffer: bytes, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order of the suffixes by their first bytes, where each group of equal ones begins in it, and which groups
+    are equal to the full depth."""
     x = eights(np.frombuffer(buffer, dtype=np.uint8))
     order = np.lexsort([x[starts + d] for d in range(SHALLOW - 8, -1, -8)])
     at = starts[order]
@@ -125,45 +126,54 @@ def sorted_groups(buffer: bytes, starts: np.ndarray) -> Iterator[np.ndarray]:
     for d in range(0, SHALLOW, 8):
         same &= x[at[1:] + d] == x[at[:-1] + d]
     begin = np.flatnonzero(np.append(True, ~same))
-    end = np.append(begin[1:], len(at))
-    head = np.repeat(begin, end - begin)
+    head = np.repeat(at[begin], np.diff(np.append(begin, len(at))))
     equal = np.ones(len(at), dtype=bool)
     for d in [*range(SHALLOW, WIDTH - 8, 8), WIDTH - 8]:
-        equal &= x[at + d] == x[at[head] + d]
-    whole = np.logical_and.reduceat(equal, begin)
-    for a, b, one in zip(begin.tolist(), end.tolist(), whole.tolist(), strict=True):
-        if b - a < 2:
-            continue
-        if one:
+        equal &= x[at + d] == x[head + d]
+    return order, begin, np.logical_and.reduceat(equal, begin)
+
+
+def deep(buffer: bytes, starts: np.ndarray, members: np.ndarray) -> Iterator[list[int]]:
+    """The equal ones among suffixes that agree to the shallow depth, in order, through a blind trie."""
+    trie = None
+    for m, at in zip(members.tolist(), starts[members].tolist(), strict=True):
+        string = buffer[at : at + WIDTH]
+        if trie is None:
+            trie = BlindTrie(string, m)
+        else:
+            trie.insert(string, m)
+    yield from trie.leaves()
+
+
+def sorted_groups(buffer: bytes, starts: np.ndarray) -> Iterator[np.ndarray]:
+    """Indexes into ``starts`` of equal suffixes, group by group, for groups of two or more in order."""
+    order, begin, whole = shallow(buffer, starts)
+    for a, b, one in zip(begin.tolist(), [*begin[1:].tolist(), len(order)], whole.tolist(), strict=True):
+        if one and b - a > 1:
             yield order[a:b]
-            continue
-        members = order[a:b].tolist()
-        trie = None
-        for m in members:
-            string = buffer[starts[m] : starts[m] + WIDTH]
-            if trie is None:
-                trie = BlindTrie(string, m)
-            else:
-                trie.insert(string, m)
-        for leaf in trie.leaves():
-            if len(leaf) > 1:
-                yield np.array(leaf)
+        elif not one:
+            yield from (np.array(leaf) for leaf in deep(buffer, starts, order[a:b]) if len(leaf) > 1)
 
 
-def compare(strings: list[bytes], owners: np.ndarray | None) -> list:
-    """Without owners the number of windows of each string; with them the smallest owner of each window."""
-    counts = np.array([len(s) - WIDTH + 1 for s in strings])
+def compare(strings: list[bytes], owners: np.ndarray | None) -> tuple[np.ndarray, np.ndarray | None]:
+    """The number of windows of each string and, given owners, the smallest owner of each window."""
+    counts = np.array([len(s) - WIDTH + 1 for s in strings], dtype=np.int64)
     if owners is None:
-        return counts.tolist()
+        return counts, None
     buffer = b"".join(strings) + bytes(8)
     begins = np.cumsum([0, *map(len, strings[:-1])])
     first = np.cumsum(np.append(0, counts[:-1]))
     starts = np.arange(counts.sum()) + np.repeat(begins - first, counts)
     owner = np.repeat(owners, counts)
-    least = owner.copy()
-    for group in sorted_groups(buffer, starts):
-        least[group] = owner[group].min()
-    return np.split(least, first[1:])
+    order, begin, whole = shallow(buffer, starts)
+    sizes = np.diff(np.append(begin, len(order)))
+    least = np.empty(len(owner), dtype=np.int64)
+    least[order] = np.repeat(np.minimum.reduceat(owner[order], begin), sizes)
+    for g in np.flatnonzero(~whole).tolist():
+        members = order[begin[g] : begin[g] + sizes[g]]
+        for leaf in deep(buffer, starts, members):
+            least[leaf] = owner[leaf[0]] if len(leaf) == 1 else owner[leaf].min()
+    return counts, least
 
 
 def strip(ids: list, texts: pa.ChunkedArray, spans: list, with_bytes: bool) -> pa.Table:

@@ -36,6 +36,7 @@ GROUPS_PER_PARTITION = 2
 BUCKETS_PER_PARTITION = 2
 SAMPLE_TEXTS, SAMPLE_CHARS, FREQUENT = 1000, 20_000, 8  # texts, their length at most, and in how many of them a gram is frequent
 _SLOTS = 1 << 20
+EXPANDED = 1 << 20  # runs of windows of all places looked at together
 NULL_ID = np.iinfo(np.int64).max
 SPANS = "doc_id long, text_hash long, start long, stop long"
 
@@ -182,62 +183,87 @@ def send_strings(texts: pa.Table, shared: pa.Table, split: Callable, values_in:
     return pa.table({"bucket": pa.array([b for b, _ in rows], pa.int32()), "block": pa.array([x for _, x in rows], pa.binary())})
 
 
-def _groups(blocks: list[bytes]) -> Iterator[dict[bytes, list[np.ndarray]]]:
-    """For each minimiser value of a bucket that has more than one place: packed string -> places."""
+def _strings(blocks: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct packed strings of a bucket whose minimiser value has more than one place, whether others share that
+    value, and their places with the number of the string of each, in the order of the strings."""
     opened = [_opened(b) for b in blocks]
     keys = np.concatenate([o[0] for o in opened])
     number = np.concatenate([o[2] for o in opened])
     values, inverse = np.unique(keys, return_inverse=True)
     several = np.bincount(inverse, weights=number, minlength=len(values)) > 1
-    found: dict[int, dict[bytes, list[np.ndarray]]] = {}
+    known: dict[bytes, int] = {}  # a string has one minimiser
+    item, taken = [], []
     at = 0
     for k, lengths, counts, places, text in opened:
-        take = np.flatnonzero(several[inverse[at : at + len(k)]])
+        take = several[inverse[at : at + len(k)]]
         at += len(k)
-        ends, stops = np.cumsum(lengths), np.cumsum(counts)
-        for i in take.tolist():
-            group = found.setdefault(int(k[i]), {})
-            group.setdefault(text[ends[i] - lengths[i] : ends[i]], []).append(places[stops[i] - counts[i] : stops[i]])
-    yield from found.values()
+        ends = np.cumsum(lengths)
+        item += [known.setdefault(text[i:j], len(known)) for i, j in zip((ends - lengths)[take].tolist(), ends[take].tolist(), strict=True)]
+        taken.append(places[np.repeat(take, counts)])
+    numbers, item = number[several[inverse]], np.array(item, dtype=np.int64)
+    of = np.empty(len(known), dtype=np.int64)
+    of[item] = inverse[several[inverse]]
+    shared = np.bincount(of, minlength=len(values))[of] > 1
+    string = np.repeat(item, numbers)
+    order = np.argsort(string, kind="stable")
+    return list(known), shared, string[order], np.concatenate(taken)[order]
+
+
+def _covered(first: np.ndarray, last: np.ndarray, least: np.ndarray, begin: np.ndarray, number: np.ndarray, string: np.ndarray, places: np.ndarray) -> Iterator[np.ndarray]:
+    """(document, hash, first unit, last window) of the maximal runs of windows with a smaller owner, a bounded number at a time.
+
+    Windows first..last of string i have one smallest owner, for the runs begin[i] and the number[i] - 1 after it.
+    """
+    late = places[:, 0] > np.minimum.reduceat(least, begin)[string]
+    string, places = string[late], places[late]
+    ends = np.cumsum(number[string])
+    at = 0
+    while at < len(string):
+        done = ends[at - 1] if at else 0
+        stop = max(int(np.searchsorted(ends, done + EXPANDED, side="right")), at + 1)
+        repeats = number[string[at:stop]]
+        place = np.repeat(np.arange(at, stop), repeats)
+        run = np.arange(len(place)) - np.repeat(ends[at:stop] - repeats - done, repeats) + begin[string[place]]
+        own = np.flatnonzero(least[run] < places[place, 0])
+        place, run = place[own], run[own]
+        begins = np.append(True, (place[1:] != place[:-1]) | (first[run[1:]] != last[run[:-1]] + 1))
+        ends_at = np.append(begins[1:], True)
+        owner = places[place[begins]]
+        yield np.column_stack([owner[:, 0], owner[:, 1], owner[:, 2] + first[run[begins]], owner[:, 2] + last[run[ends_at]]])
+        at = stop
 
 
 def meet(batches: Iterator[pa.RecordBatch], compare: Callable, tail: int) -> Iterator[pa.RecordBatch]:
     """Spans of units covered by windows that start in a smaller document too, from sorted (bucket, block).
 
-    ``compare(strings, owners)`` gives for each packed string, per window, the smallest owner.
+    ``compare(strings, owners)`` gives the number of windows of each packed string and, for all of them in a row, the
+    smallest owner; without owners the numbers only.
     """
     names = ["doc_id", "text_hash", "start", "stop"]
-
-    def spans(blocks: list[bytes]) -> Iterator[pa.RecordBatch]:
-        out: list[np.ndarray] = []
-        several: list[tuple[list[bytes], list[np.ndarray]]] = []
-        for group in _groups(blocks):
-            strings, places = list(group), [np.concatenate(p) if len(p) > 1 else p[0] for p in group.values()]
-            if len(strings) > 1:
-                several.append((strings, places))
-                continue
-            # One string: whoever is not its smallest document repeats all of it.
-            late = places[0][places[0][:, 0] > places[0][:, 0].min()]
-            if len(late):
-                n = compare([strings[0]], None)[0]
-                out.append(np.column_stack([late[:, 0], late[:, 1], late[:, 2], late[:, 2] + n + tail]))
-        if several:
-            strings = [s for g, _ in several for s in g]
-            places = [p for _, g in several for p in g]
-            for p, least in zip(places, compare(strings, np.array([p[:, 0].min() for p in places])), strict=True):
-                for row in p:
-                    covered = np.flatnonzero(least < row[0])
-                    if len(covered):
-                        cut = np.flatnonzero(np.diff(covered) > 1)
-                        first, last = covered[np.append(0, cut + 1)], covered[np.append(cut, len(covered) - 1)]
-                        out.append(np.column_stack([np.full(len(first), row[0]), np.full(len(first), row[1]), row[2] + first, row[2] + last + 1 + tail]))
-        if out:
-            rows = np.concatenate(out)
-            ids = pa.array(rows[:, 0], mask=rows[:, 0] == NULL_ID)
-            yield pa.RecordBatch.from_arrays([ids, *[pa.array(rows[:, i]) for i in (1, 2, 3)]], names=names)
-
     for _, rows in by_bucket(batches):
-        yield from spans([block for (block,) in rows])
+        strings, shared, string, places = _strings([block for (block,) in rows])
+        if not strings:
+            continue
+        owners = np.minimum.reduceat(places[:, 0], np.flatnonzero(np.append(True, string[1:] != string[:-1])))
+        # A string that is alone has one run: whoever is not its smallest document repeats all of it.
+        alone, others = np.flatnonzero(~shared), np.flatnonzero(shared)
+        counts, _ = compare([strings[i] for i in alone], None)
+        of, first, last, least = alone, np.zeros(len(alone), dtype=np.int64), counts - 1, owners[alone]
+        if len(others):
+            counts, smallest = compare([strings[i] for i in others], owners[others])
+            window_of = np.repeat(others, counts)
+            cut = np.flatnonzero(np.append(True, (smallest[1:] != smallest[:-1]) | (window_of[1:] != window_of[:-1])))
+            window = np.arange(len(smallest)) - np.repeat(np.cumsum(counts) - counts, counts)
+            of = np.concatenate([of, window_of[cut]])
+            first = np.concatenate([first, window[cut]])
+            last = np.concatenate([last, window[np.append(cut[1:], len(smallest)) - 1]])
+            least = np.concatenate([least, smallest[cut]])
+        order = np.argsort(of, kind="stable")
+        number = np.bincount(of, minlength=len(strings))
+        for found in _covered(first[order], last[order], least[order], np.cumsum(number) - number, number, string, places):
+            if len(found):
+                ids = pa.array(found[:, 0], mask=found[:, 0] == NULL_ID)
+                yield pa.RecordBatch.from_arrays([ids, pa.array(found[:, 1]), pa.array(found[:, 2]), pa.array(found[:, 3] + 1 + tail)], names=names)
 
 
 def frequent_grams(texts: DataFrame, grams: Callable) -> np.ndarray:
