@@ -14,42 +14,52 @@ SERVER_FIELDS = ("flow_id", "uploader", "version", "upload_date", "tags")
 LOCAL_FIELDS = ("binary_url", "binary_format", "binary_md5", "model")
 
 
-def paths(edges: DataFrame) -> DataFrame:
-    """(root_id, steps, flow_id): every way down from every flow, as (identifier, child) steps; no limit on its length.
+def ways(edges: DataFrame, flows: DataFrame) -> DataFrame:
+    """(root_id, steps, flow_id): every way down to every flow from those that are no component of another.
 
-    Ways double: those of exactly n steps, continued by all of at most n, are those of n + 1 to 2n. So the rounds are as many
-    as the depth has binary digits. A way that ends where it began is a flow that contains itself, an error, and one is
-    found as soon as ways are as long as the cycle.
+    Steps are (identifier, child, main, known): the edge is the first one into its child, and where it begins is in
+    ``flows``. No limit on the length of a way. Every flow starts from the edges into it, and jumps to the ways of where these begin,
+    so the rounds are as many as the depth has binary digits, and a tree has one row per flow in all of them. A way that
+    meets a flow twice is a flow that contains itself, an error.
     """
-    step = F.array(F.struct(F.col("identifier"), F.col("child")))
-    exact = upto = stage(edges.select(F.col("parent").alias("root_id"), step.alias("steps"), F.col("child").alias("flow_id")), "steps")
-    added, doubled = upto, 0
+    numbered = stage(edges.select("parent", "identifier", "child").withColumn("_edge", F.monotonically_increasing_id()), "edges")
+    first = numbered.groupBy("child").agg(F.min("_edge").alias("_first")).select(F.col("child").alias("_child"), "_first")
+    inner = numbered.select(F.col("child").alias("parent"), F.lit(True).alias("_open")).distinct()
+    known = flows.select(F.col("flow_id").alias("parent"), F.lit(True).alias("_known")).distinct()
+    # Compact files say little about a table's size in memory: nothing here is broadcast.
+    placed = numbered.join(first.hint("merge"), F.col("child") == F.col("_child"), "left").join(inner.hint("merge"), "parent", "left").join(known.hint("merge"), "parent", "left")
+    step = F.struct("identifier", "child", F.coalesce(F.col("_edge") == F.col("_first"), F.lit(False)).alias("main"), F.coalesce("_known", F.lit(False)).alias("known"))
+    found = stage(placed.select(F.col("parent").alias("root_id"), F.array(step).alias("steps"), F.col("child").alias("flow_id"), F.coalesce("_open", F.lit(False)).alias("_open")), "steps")
+    jumps = 0
     while True:
-        cycle = added.filter("root_id = flow_id").first()
+        met = F.array_compact(F.array_append(F.transform("steps", lambda s: s["child"]), F.col("root_id")))
+        cycle = found.filter(F.size(F.array_distinct(met)) < F.size(met)).first()
         if cycle is not None:
-            raise ValueError(f"flows contain themselves, {cycle['root_id']} for one")
-        doubled += 1
-        on = exact.select("root_id", F.col("steps").alias("_first"), F.col("flow_id").alias("_at"))
-
-        def continued(by: DataFrame) -> DataFrame:
-            return on.join(by.withColumnRenamed("root_id", "_at"), "_at").select("root_id", F.concat("_first", "steps").alias("steps"), "flow_id")
-
-        added = stage(continued(upto), f"ways-{doubled}")
-        if added.isEmpty():
-            return upto
-        exact = added.filter(F.size("steps") == 2**doubled)
-        upto = upto.unionByName(added)
+            raise ValueError(f"flows contain themselves, {cycle['flow_id']} for one")
+        if found.filter("_open").isEmpty():
+            return found.drop("_open")
+        jumps += 1
+        up = found.select(F.col("flow_id").alias("root_id"), F.col("root_id").alias("_above"), F.col("steps").alias("_before"), F.col("_open").alias("_on"))
+        longer = found.filter("_open").join(up.hint("merge"), "root_id").select(
+            F.col("_above").alias("root_id"), F.concat("_before", "steps").alias("steps"), "flow_id", F.col("_on").alias("_open"))
+        found = stage(found.filter("NOT _open").unionByName(longer), f"ways-{jumps}")
 
 
 def components(flows: DataFrame, edges: DataFrame) -> DataFrame:
     """(root_id, path, flow_id, depth): every flow with all its direct and indirect sub-flows, however deep.
 
-    A flow that contains itself is an error.
+    A flow that contains itself is an error. What is left of a way after some of its steps is a way down from where these
+    end. It is taken where all of them are main ones, as there is one such beginning for every flow; so no way is
+    shuffled again.
     """
     own = flows.select(F.col("flow_id").alias("root_id"), F.array().cast("array<string>").alias("path"), "flow_id", F.lit(0).alias("depth"))
-    below = paths(edges).join(flows.select(F.col("flow_id").alias("root_id")), "root_id", "left_semi").select(
-        "root_id", F.transform("steps", lambda s: s["identifier"]).alias("path"), "flow_id", F.size("steps").alias("depth"))
-    return own.unionByName(below)
+    rest = F.slice("steps", F.col("_at") + 1, F.size("steps"))
+    other = F.array_position(F.transform("steps", lambda s: s["main"]), F.lit(False)).cast("int")
+    last = F.when(other > 0, other - 1).otherwise(F.size("steps") - 1)
+    below = ways(edges, flows).select("root_id", "steps", "flow_id", F.explode(F.sequence(F.lit(0), last)).alias("_at")).filter(F.get("steps", F.col("_at"))["known"])
+    return own.unionByName(below.select(
+        F.when(F.col("_at") == 0, F.col("root_id")).otherwise(F.get("steps", F.col("_at") - 1)["child"]).alias("root_id"),
+        F.transform(rest, lambda s: s["identifier"]).alias("path"), "flow_id", (F.size("steps") - F.col("_at")).alias("depth")))
 
 
 def subflow(tree: DataFrame, path: Sequence[str]) -> DataFrame:

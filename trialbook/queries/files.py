@@ -273,9 +273,10 @@ def _(r):
     """Trees whose flows mostly have no id are told apart by their documents."""
     path = new_path(r.spark, "chains")
     documents.write_flows(r.table("part").select(F.col("p_partkey").alias("flow_id"), F.col("p_name").alias("name")), r.chain_edges(), f"{path}/all")
-    # The ids of even flows are taken out of the text, a file at a time.
-    lines = r.spark.read.text(f"{path}/all", wholetext=True)
-    lines.select("slice", F.regexp_replace("value", r"<oml:id>\d*[02468]</oml:id>", "").alias("value")).write.partitionBy("slice").text(f"{path}/some")
+    # The ids of even flows are taken out of the text, whose lines keep their order.
+    lines = r.spark.read.text(f"{path}/all").select("slice", "value", F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    lines = lines.withColumn("value", F.regexp_replace("value", r"<oml:id>\d*[02468]</oml:id>", ""))
+    lines.repartition("slice").sortWithinPartitions("slice", "block", "line").select("slice", "value").write.partitionBy("slice").text(f"{path}/some")
     back = documents.flow_nodes(r.spark, f"{path}/some")
     return back.groupBy("document").agg(
         F.max(F.when(F.size("path") == 0, F.col("name"))).alias("root"), F.count(F.lit(1)).alias("flows"), F.max(F.size("path")).alias("depth"),

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trialbook.operators.flows import paths
+from trialbook.operators.flows import ways
 from trialbook.session import stage
 from trialbook.sources import elements
 from trialbook.sources.elements import CORRUPT, PREFIX, element, escaped, opened, write_lines
@@ -248,7 +248,7 @@ def flow_nodes(spark: SparkSession, path: str) -> DataFrame:
     nodes = stage(nodes.select("document", "node", "path", text("record.id").cast("long").alias("flow_id"),
                                *[text(f"record.{c}").alias(c) for c in FLOW_TEXT], given.alias("parameters"), F.col("record.tag").alias("tags")), "flow-nodes")
     roots = nodes.filter("node = document").select("document", F.col("flow_id").alias("root_id"))
-    return roots.join(nodes, "document").drop("node")
+    return roots.join(nodes.hint("merge"), "document").drop("node")
 
 
 STUDY_LISTS = (("data", "data_id"), ("task", "task_id"), ("flow", "flow_id"), ("setup", "setup_id"), ("run", "run_id"))
@@ -525,19 +525,19 @@ def write_flows(nodes: DataFrame, edges: DataFrame, path: str, **how) -> None:
     """
     prefix = how.get("prefix", PREFIX)
     fields = [c for c in FLOW_TEXT if c in nodes.columns] + (["parameter"] if "parameter" in nodes.columns else [])
-    unknown = edges.join(nodes.select(F.col("flow_id").alias("child")), "child", "left_anti").first()
+    unknown = edges.join(nodes.select(F.col("flow_id").alias("child")).hint("merge"), "child", "left_anti").first()
     if unknown is not None:
         raise ValueError(f"flows contain themselves or unknown flows, {unknown['child']} for one")
     steps = "array<struct<end int, identifier string, child bigint>>"
-    roots = nodes.select("flow_id").join(edges.select(F.col("child").alias("flow_id")), "flow_id", "left_anti")
-    below = paths(edges).join(roots.select(F.col("flow_id").alias("root_id")), "root_id", "left_semi").select(
+    roots = nodes.select("flow_id").join(edges.select(F.col("child").alias("flow_id")).hint("merge"), "flow_id", "left_anti")
+    below = ways(edges, nodes).filter(F.col("steps")[0]["known"]).select(
         F.col("root_id").alias("entity"), "flow_id", F.transform("steps", lambda s: F.struct(F.lit(0).alias("end"), s["identifier"].alias("identifier"), s["child"].alias("child"))).alias("at"))
     places = stage(roots.select(F.col("flow_id").alias("entity"), "flow_id", F.array().cast(steps).alias("at")).unionByName(below), "flow-places")
     texts = nodes.select("flow_id", opened(_element([F.col("flow_id").alias("id"), *fields], nodes, "flow", prefix), "flow", prefix).alias("text"))
     full = f"{prefix}:" if prefix else ""
     inside = F.size("at") > 0
     wrapped = F.concat(F.lit(f"<{full}component><{full}identifier>"), escaped(F.element_at("at", -1)["identifier"]), F.lit(f"</{full}identifier>"))
-    begins = places.join(texts, "flow_id").select("entity", "at", F.concat(F.when(inside, wrapped).otherwise(F.lit("")), "text").alias("line"))
+    begins = places.join(texts.hint("merge"), "flow_id").select("entity", "at", F.concat(F.when(inside, wrapped).otherwise(F.lit("")), "text").alias("line"))
     last = F.struct(F.lit(1).alias("end"), F.lit("").alias("identifier"), F.lit(0).cast("long").alias("child"))
     ends = places.select("entity", F.array_append("at", last).alias("at"), F.when(F.size("at") > 0, _end("flow", "component", prefix=prefix)).otherwise(_end("flow", prefix=prefix)).alias("line"))
     write_lines(begins.unionByName(ends), path, "flows", ["at"], **how)

@@ -175,7 +175,7 @@ def tree(spark: SparkSession, path: str, tag: str, wrapper: str, name: str, sche
     last = F.element_at(F.split("text", f"<{e}{re.escape(wrapper)}{ATTRIBUTES}>"), -1)
     named = F.regexp_extract(last, f"(?s)^\\s*<{e}{re.escape(name)}{ATTRIBUTES}>(.*?)</{e}{re.escape(name)}>\\s*$", 1)
     before = before.select("piece", "k", "parent", _unescaped(F.trim(named)).alias("name"))
-    nodes = owned.filter("k > 0").select("piece", "k", "node", "file").join(before, ["piece", "k"], "left")
+    nodes = owned.filter("k > 0").select("piece", "k", "node", "file").join(before.hint("merge"), ["piece", "k"], "left")
     nameless = F.raise_error(F.concat(F.lit(f"an element {tag} stands in another one without a {name} before it, in "), "file")).cast("string")
     nodes = stage(nodes.select(
         "node", "file", F.col("parent").alias("above"), F.when(F.col("parent").isNull(), F.array().cast("array<string>"))
@@ -188,7 +188,7 @@ def tree(spark: SparkSession, path: str, tag: str, wrapper: str, name: str, sche
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "text"))), lambda x: x["text"]), "").alias("text"))
     whole = F.concat(F.lit(f"<{p}{tag}"), F.col("text"), F.lit(f"</{p}{tag}>"))
     parsed = content.select("node", _once(F.array(F.from_xml(whole, schema, {**PARSE, "rowTag": f"{p}{tag}", "mode": "FAILFAST"}))).alias("record"))
-    return nodes.join(parsed, "node").select("document", "node", "path", "file", "record")
+    return nodes.join(parsed.hint("merge"), "node").select("document", "node", "path", "file", "record")
 
 
 def to_roots(nodes: DataFrame) -> DataFrame:
@@ -199,7 +199,7 @@ def to_roots(nodes: DataFrame) -> DataFrame:
     nodes = nodes.withColumn("document", F.when(F.col("above").isNull(), F.col("node")))
     while not nodes.filter("above IS NOT NULL").isEmpty():
         up = nodes.select(F.col("node").alias("above"), F.col("above").alias("_above"), F.col("path").alias("_path"), F.col("document").alias("_document"))
-        nodes = stage(nodes.join(up, "above", "left").select(
+        nodes = stage(nodes.join(up.hint("merge"), "above", "left").select(
             "node", "file", F.col("_above").alias("above"), F.concat(F.coalesce("_path", F.array().cast("array<string>")), "path").alias("path"),
             F.coalesce("document", "_document").alias("document")), "ancestors")
     return nodes.drop("above")
