@@ -112,3 +112,17 @@ def test_a_frame_without_keys_is_one_cell(spark):
     got = mergeable.cross_validated(mergeable.RidgeLine("y", ["x"]), df, [], "fold", "y", ["x"], "double").collect()
     assert len(got) == 40 and all(math.isclose(r["prediction"], r["truth"], abs_tol=1e-9) for r in got)
     assert mergeable.cross_validated(mergeable.RidgeLine("y", ["x"]), df.filter("false"), [], "fold", "y", ["x"], "double").collect() == []
+
+
+def test_rows_of_one_large_task_are_not_shuffled(spark):
+    """Few cells are broadcast whatever the size of the rows, so no task reads a whole fold; NULL cells are kept."""
+    rows = spark.range(2000).selectExpr("IF(id % 2 = 0, NULL, 1L) AS task_id", "id % 2 + id % 3 AS fold", "id AS rowid", "id % 5 AS q", "id % 5 * 3 + 1 AS y")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        out = models.fit_lines(rows, ["task_id"], "fold", "q", "y")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+        assert out.count() == 2000 and all(abs(r["prediction"] - r["truth"]) < 1e-9 for r in out.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from trialbook.operators import neighbours, scores, splits, traces
 from trialbook.plans.scan import join_groups
-from trialbook.plans.skew import join_by_cell
+from trialbook.plans.skew import bounded, join_by_cell
 from trialbook.session import stage
 
 CELL = ["repeat", "fold"]
@@ -181,7 +181,7 @@ def fit_lines(rows: DataFrame, keys: Sequence[str], fold: str, x: str, y: str) -
     both = F.col(x).isNotNull() & F.col(y).isNotNull()
     given = rows.select(*keys, fold, F.when(both, F.col(x)).alias("_a"), F.when(both, F.col(y)).alias("_b"))
     train, guess = (_whole_lines if whole else _fraction_lines)(given, list(keys), fold, F.col(x).cast("double"))
-    out = join_groups(rows, train, [*keys, fold])
+    out = join_groups(rows, bounded(stage(train, "lines")), [*keys, fold])
     return out.select(*keys, fold, F.col("rowid").alias("row_id"), F.when(F.col(x).isNotNull(), guess).alias("prediction"), F.col(y).cast("double").alias("truth"))
 
 

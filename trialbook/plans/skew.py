@@ -20,6 +20,11 @@ def written_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def bounded(staged: DataFrame) -> DataFrame:
+    """A written table for a join: broadcast where its measured size is under the limit, and merged beyond."""
+    return F.broadcast(staged) if written_bytes(staged) * UNPACKED <= BROADCAST_BYTES else staged.hint("merge")
+
+
 def join_by_cell(large: DataFrame, small: DataFrame, keys: Sequence[str], spread: str) -> DataFrame:
     """Inner join where one key value may hold most of ``large``.
 
