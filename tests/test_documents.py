@@ -209,3 +209,28 @@ def test_flows_of_any_depth(spark, tmp_path):
     for extra in ((9, "part", 1), (9, "part", 77)):
         with pytest.raises(ValueError, match="contain themselves"):
             documents.write_flows(nodes, edges.union(spark.createDataFrame([extra], edges.schema)), str(tmp_path / f"bad{extra[2]}"))
+
+
+@pytest.mark.parametrize("split, batch", [(97, 3), (1000, 7), (100_000, 10_000)])
+def test_rows_are_numbered_while_they_are_read(spark, tmp_path, split, batch):
+    """Sums over all rows before, over splits, files and batches, and the text of the files is neither shuffled nor sorted."""
+    from pyspark.sql import functions as F
+
+    from trialbook.sources import elements
+
+    for k in range(3):
+        put(tmp_path, f"d/{k}.xml", "".join(f"<a>{k}-{i}</a>" for i in range(200)))
+    settings = {"spark.sql.files.maxPartitionBytes": split, "spark.sql.files.openCostInBytes": 0, "spark.sql.execution.arrow.maxRecordsPerBatch": batch}
+    for key, value in settings.items():
+        spark.conf.set(key, str(value))
+    try:
+        cut = elements.pieces(spark, str(tmp_path / "d"), "</a>")
+        # Every row adds 1, and its number to a sum that starts anew in each file.
+        out = elements.numbered(cut, {"place": F.lit(1), "own": F.regexp_extract("value", r"-(\d+)", 1).cast("int")}, ["own"])
+        plan = out._jdf.queryExecution().sparkPlan().toString()
+        assert "line#" in plan and not any("line#" in step for step in plan.splitlines() if "Sort " in step or "Window " in step)
+        rows = [(r["value"], r["place"], r["own"]) for r in out.collect()]
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert sorted(rows, key=lambda r: r[1]) == [(f"<a>{k}-{i}", 200 * k + i, i * (i - 1) // 2) for k in range(3) for i in range(200)]

@@ -9,7 +9,7 @@ text file and no task needs a whole one. Three readers stand on that:
 - ``tree``: elements that hold elements of the same tag, to any depth.
 
 The last two need to know what came before a cut. Splits of the files are ordered slices as they are: sums per split,
-one row each, give every split its start, and only rows of one split meet in a task.
+one row each, give every split its start, and rows are numbered while their split is read, without a shuffle.
 
 The writer makes documents from rows of text in order, so an entity is never one cell. A file is written by one task,
 as a stream of sorted rows, and holds whole documents only.
@@ -22,9 +22,11 @@ that are not strict keep its text in a column instead); it is never left out sil
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -94,18 +96,42 @@ def records(spark: SparkSession, path: str, tag: str, schema: str, *, strict: bo
 
 def numbered(cut: DataFrame, sums: Mapping[str, Column], of_file: Sequence[str] = ()) -> DataFrame:
     """``cut`` (with path, block, line) with the sum over all rows before, in file order, for each name; over those of
-    the same file for the names in ``of_file``.
+    the same file for the names in ``of_file``. ``cut`` comes from ``pieces`` by projections alone.
 
-    The first reading gives one row of sums per split; the second one numbers the rows of each split on their own.
+    The first reading gives one row of sums per split; the second one numbers the rows of each split as they come, since
+    one task reads a whole split in order.
     """
+    names = list(sums)
+
+    def before(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, upto = None, [0] * len(names)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            path = batch.column("path").dictionary_encode()
+            code, block = path.indices.to_numpy(), batch.column("block").to_numpy()
+            begins = np.flatnonzero(np.r_[True, (np.diff(code) != 0) | (np.diff(block) != 0)])
+            first, last = [(path.dictionary[int(code[i])].as_py(), int(block[i])) for i in (0, -1)]
+            columns = []
+            for k, name in enumerate(names):
+                added = batch.column(f"_in_{name}").to_numpy()
+                total = np.cumsum(added)
+                at_start = (total - added)[begins]
+                if first == split:
+                    at_start[0] -= upto[k]
+                here = total - np.repeat(at_start, np.diff(np.r_[begins, len(added)]))
+                upto[k] = int(here[-1])
+                columns.append(pa.array(here - added))
+            split = last
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *[f"_here_{n}" for n in names]])
+
     added = cut.withColumns({f"_in_{k}": c.cast("long") for k, c in sums.items()})
     of_split = added.groupBy("path", "block").agg(*[F.sum(f"_in_{k}").alias(f"_sum_{k}") for k in sums])
     # One row per split of the files.
     earlier = Window.orderBy("path", "block").rowsBetween(Window.unboundedPreceding, -1)
     in_file = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = of_split.select("path", "block", *[F.coalesce(F.sum(f"_sum_{k}").over(in_file if k in of_file else earlier), F.lit(0)).alias(f"_start_{k}") for k in sums])
-    here = Window.partitionBy("path", "block").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
-    local = added.select("*", *[F.coalesce(F.sum(f"_in_{k}").over(here), F.lit(0)).alias(f"_here_{k}") for k in sums])
+    local = added.mapInArrow(before, ", ".join([f"`{c}` {t}" for c, t in added.dtypes] + [f"`_here_{k}` bigint" for k in names]))
     return local.join(F.broadcast(starts), ["path", "block"]).select(
         *cut.columns, *[(F.col(f"_start_{k}") + F.col(f"_here_{k}")).alias(k) for k in sums])
 
