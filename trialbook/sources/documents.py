@@ -447,20 +447,24 @@ def _end(*tags: str, prefix: str) -> Column:
 
 
 def _write_documents(heads: DataFrame, entries: DataFrame, path: str, root: str, tag: str, inner: tuple[str, ...], how: dict) -> None:
-    """Documents from (entity, line) of their beginnings and (entity, key.., line) of their entries; ``inner`` elements stay open around these."""
+    """Documents from (entity, line) of their beginnings and (entity, key.., line) of their entries, all of known entities;
+    ``inner`` elements stay open around these."""
     prefix = how.get("prefix", PREFIX)
     keys = [c for c in entries.columns if c not in ("entity", "line")]
     begin = "".join(f"<{prefix}:{t}>" if prefix else f"<{t}>" for t in inner)
-    ends = heads.select("entity", F.lit(2).alias("_at"), _end(*reversed(inner), tag, prefix=prefix).alias("line"))
-    heads = heads.select("entity", F.lit(0).alias("_at"), F.concat("line", F.lit(begin)).alias("line"))
-    known = entries.join(heads.select("entity"), "entity", "left_semi").withColumn("_at", F.lit(1))
-    write_lines(heads.unionByName(ends).unionByName(known, allowMissingColumns=True), path, root, ["_at", *keys], **how)
+    edges = F.array(F.struct(F.lit(0).alias("_at"), F.concat("line", F.lit(begin)).alias("line")),
+                    F.struct(F.lit(2).alias("_at"), _end(*reversed(inner), tag, prefix=prefix).alias("line")))
+    edges = heads.select("entity", F.explode(edges).alias("e")).select("entity", "e.*")
+    write_lines(edges.unionByName(entries.withColumn("_at", F.lit(1)), allowMissingColumns=True), path, root, ["_at", *keys], **how)
 
 
 def write_runs(run_table: DataFrame, evaluations: DataFrame, path: str, **how) -> None:
     """Runs with their evaluations, of any number; repeat, fold and sample are attributes."""
     prefix = how.get("prefix", PREFIX)
     optional = [c for c in ("uploader", "uploader_name", "task_type", "flow_name", "setup_string", "error_message", "run_details") if c in run_table.columns]
+    # Read twice; evaluations of unknown runs are left out before they become text.
+    run_table = stage(run_table.select("run_id", *optional, "task_id", "flow_id", "setup_id"), "run-table")
+    evaluations = evaluations.join(run_table.select("run_id"), "run_id", "left_semi")
     head = _element(["run_id", *optional, "task_id", "flow_id", "setup_id"], run_table, "run", prefix)
     each = _element([F.col("repeat").alias("_repeat"), F.col("fold").alias("_fold"), F.col("sample").alias("_sample"),
                      F.col("function").alias("name"), "value", "array_data"], evaluations, "evaluation", prefix)
@@ -475,6 +479,7 @@ def write_traces(table: DataFrame, path: str, **how) -> None:
     each = _element(["repeat", "fold", "iteration", F.to_json("parameters").alias("setup_string"), "evaluation", F.col("selected").cast("string").alias("selected")],
                     table, "trace_iteration", prefix)
     owners = table.select("run_id").distinct()
+    table = table.filter("run_id IS NOT NULL")
     _write_documents(
         owners.select(F.col("run_id").alias("entity"), opened(_element(["run_id"], owners, "trace", prefix), "trace", prefix).alias("line")),
         table.select(F.col("run_id").alias("entity"), "repeat", "fold", "iteration", each.alias("line")), path, "traces", "trace", (), how)
@@ -497,6 +502,7 @@ def write_studies(table: DataFrame, members: DataFrame, path: str, **how) -> Non
     def by_kind(values: dict[str, str]) -> Column:
         return F.element_at(F.create_map(*[F.lit(x) for pair in values.items() for x in pair]), F.col("entity_type"))
 
+    members = members.join(table.select("study_id"), "study_id", "left_semi")
     known = members.filter(F.col("entity_type").isin(list(numbers))).select(
         F.col("study_id").alias("entity"), "entity_type", by_kind(numbers).alias("kind"), F.lit(1).alias("part"), F.col("entity_id").alias("id"))
     lists = known.select("entity", "entity_type", "kind").distinct()
