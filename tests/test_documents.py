@@ -234,3 +234,23 @@ def test_rows_are_numbered_while_they_are_read(spark, tmp_path, split, batch):
         for key in settings:
             spark.conf.unset(key)
     assert sorted(rows, key=lambda r: r[1]) == [(f"<a>{k}-{i}", 200 * k + i, i * (i - 1) // 2) for k in range(3) for i in range(200)]
+
+
+def test_listing_text_is_cleaned_once(spark, tmp_path):
+    """Each field of a row is trimmed once, not anew for every filter and column, and as the pattern of blanks does."""
+    from pyspark.sql import functions as F
+
+    path = put(tmp_path, "e.xml", f"""<oml:evaluations {NS}><oml:evaluation><oml:run_id> 1
+</oml:run_id><oml:function>\t f&lt;![CDATA[ </oml:function><oml:value> 2.5</oml:value></oml:evaluation>
+<oml:evaluation/><oml:evaluation><oml:run_id>x</oml:run_id></oml:evaluation></oml:evaluations>""")
+    good, bad = documents.listing(spark, path, "evaluation")
+    plan = good._jdf.queryExecution().optimizedPlan().toString()
+    # Neither filter nor columns trim: that is done where the rows are made.
+    above, rows = plan.split("Generate")
+    assert "trim" not in above and "regexp_replace" not in above and "trim" in rows
+    assert [(r["run_id"], r["function"], r["value"]) for r in good.collect()] == [(1, "f<![CDATA[", 2.5)]
+    assert bad.columns == good.columns + [documents.CORRUPT, "_metadata"] and sorted((r["run_id"] or "") for r in bad.collect()) == ["", "x"]
+
+    texts = ["", " ", "a", " a b\n", "\x0ba\f\r", "a  ", "a\u0085 ", "  ", " a\x1c ", None]
+    got = spark.createDataFrame([(x,) for x in texts], "v string").select("v", documents.text("v").alias("t"), F.regexp_replace("v", r"^\s+|\s+$", "").alias("o"))
+    assert all(r["t"] == (r["o"] or None) for r in got.collect())

@@ -43,9 +43,14 @@ def foreign_documents(spark: SparkSession, path: str, namespace: str, prefix: st
 
 
 def text(name: str | Column) -> Column:
-    """Trimmed text, NULL when empty."""
+    """Trimmed text, NULL when empty.
+
+    The blanks are those of ``\\s``, cut without a pattern. Only before a last line separator that is none of them, where ``$``
+    matches too, a pattern is needed.
+    """
     column = F.col(name) if isinstance(name, str) else name
-    return F.nullif(F.regexp_replace(column, r"^\s+|\s+$", ""), F.lit(""))
+    separated = column.endswith("\u0085") | column.endswith("\u2028") | column.endswith("\u2029")
+    return F.nullif(F.when(separated, F.regexp_replace(column, r"^\s+|\s+$", "")).otherwise(F.btrim(column, F.lit(" \t\n\x0b\f\r"))), F.lit(""))
 
 
 def _id(name: str) -> Column:
@@ -302,29 +307,34 @@ def listing(spark: SparkSession, path: str, entity: str) -> tuple[DataFrame, Dat
     key, ids, texts = LISTINGS[entity]
     extra = {"dataset": f", quality {NAMED_TEXT}", "task": f", input {NAMED_TEXT}, quality {NAMED_TEXT}, tag array<string>"}.get(entity, "")
     schema = ", ".join(f"`{c}` string" for c in (*ids, *texts)) + extra
-    raw = read(spark, path, entity, schema, strict=False)
-    numbers = {c: text(c).try_cast("long") for c in ids}
+
+    def cleaned(r: Column) -> Column:
+        return F.struct(*[text(r[c]).alias(c) for c in (*ids, *texts)])
+
+    raw = elements.records(spark, path, entity, schema, strict=False, also=cleaned)
+    clean = {c: F.col(f"_also.{c}") for c in (*ids, *texts)}
+    numbers = {c: clean[c].try_cast("long") for c in ids}
     bad = F.col(CORRUPT).isNotNull() | numbers[key].isNull()
     for c in ids:
-        bad = bad | (text(c).isNotNull() & numbers[c].isNull())
+        bad = bad | (clean[c].isNotNull() & numbers[c].isNull())
     for c in [c for c in ("quality", "input") if c in raw.columns]:
         names = F.transform(c, lambda e: e["_name"])
         bad = bad | F.coalesce(F.size(F.array_distinct(names)) < F.size(names), F.lit(False))
     columns = [numbers[c].alias(c) for c in ids]
     for c in texts:
         if c == "value":
-            columns.append(text(c).try_cast("double").alias(c))
+            columns.append(clean[c].try_cast("double").alias(c))
         elif c == "values":
-            columns.append(F.from_json(text(c), "array<double>").alias(c))
+            columns.append(F.from_json(clean[c], "array<double>").alias(c))
         elif c == "error_message":
-            columns.append(F.coalesce(text(c), F.lit("")).alias(c))
+            columns.append(F.coalesce(clean[c], F.lit("")).alias(c))
         else:
-            columns.append(text(c).alias(c))
+            columns.append(clean[c].alias(c))
     if entity in ("dataset", "task"):
         columns.append(_map("quality", "double").alias("qualities"))
     if entity == "task":
         columns += [_map("input", "string").alias("inputs"), F.col("tag").alias("tags")]
-    return raw.filter(~bad).select(*columns), raw.filter(bad)
+    return raw.filter(~bad).select(*columns), raw.filter(bad).drop("_also")
 
 
 def quality_names(spark: SparkSession, path: str) -> DataFrame:

@@ -22,7 +22,7 @@ that are not strict keep its text in a column instead); it is never left out sil
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -68,30 +68,41 @@ def _once(column: Column) -> Column:
     return F.explode(column)
 
 
-def records(spark: SparkSession, path: str, tag: str, schema: str, *, strict: bool = True, prefix: str | None = None) -> DataFrame:
-    """Rows of one tag with ``_metadata.file_path``. Not strict: a row that does not fit is kept whole in ``_corrupt``."""
+def records(
+    spark: SparkSession, path: str, tag: str, schema: str, *, strict: bool = True, prefix: str | None = None, also: Callable[[Column], Column] | None = None,
+) -> DataFrame:
+    """Rows of one tag with ``_metadata.file_path``. Not strict: a row that does not fit is kept whole in ``_corrupt``.
+
+    ``also`` makes one more column, ``_also``, of a row; it is computed once per row, whatever filters and columns use it.
+    """
     p = prefix_of(spark, path) if prefix is None else prefix
     name = re.escape(p + tag)
     cut = _text(spark, path, f"</{p}{tag}>").select("value", F.struct(F.col("_metadata.file_path").alias("file_path")).alias("_metadata"))
-    # What stands before the last beginning may hold elements without content, and nothing else of this tag.
-    parts = F.split("value", opening(p, tag))
-    empty = F.regexp_extract_all("value", F.lit(f"<{name}{ATTRIBUTES}/>"), F.lit(0))
-    last = F.element_at(parts, -1)
-    has_last = (F.size(parts) > 1) & ~last.rlike(f"^{ATTRIBUTES}/>")
-    whole = F.concat(empty, F.when(has_last, F.array(F.concat(F.lit(f"<{p}{tag}"), last, F.lit(f"</{p}{tag}>")))).otherwise(F.array().cast("array<string>")))
+    none = F.array().cast("array<string>")
+    # What stands before the last beginning may hold elements without content, and nothing else of this tag. Patterns are
+    # searched for only where the text they need occurs, and what is used twice is a column.
+    empty = F.when(F.col("value").contains("/>"), F.regexp_extract_all("value", F.lit(f"<{name}{ATTRIBUTES}/>"), F.lit(0))).otherwise(none)
+    cut = cut.select("*", F.split("value", opening(p, tag)).alias("parts"), empty.alias("empty"))
+    last = F.element_at("parts", -1)
+    has_last = (F.size("parts") > 1) & ~last.rlike(f"^{ATTRIBUTES}/>")
+    cut = cut.withColumn("whole", F.concat("empty", F.when(has_last, F.array(F.concat(F.lit(f"<{p}{tag}"), last, F.lit(f"</{p}{tag}>")))).otherwise(none)))
     others = F.regexp_count("value", F.lit(rf"<(?:[\w.-]+:)?{re.escape(tag)}(?=[\s/>])"))
-    odd = (others != F.size(whole)) | (F.regexp_count("value", F.lit(r"<!\[CDATA\[")) != F.regexp_count("value", F.lit(r"\]\]>")))
+    sections = F.col("value").contains("<![CDATA[") | F.col("value").contains("]]>")
+    odd = (others != F.size("whole")) | (sections & (F.regexp_count("value", F.lit(r"<!\[CDATA\[")) != F.regexp_count("value", F.lit(r"\]\]>"))))
     options = {**PARSE, "rowTag": f"{p}{tag}", "mode": "FAILFAST" if strict else "PERMISSIVE"}
     if strict:
         said = F.concat(F.lit(f"elements {tag} cannot be told apart in "), F.col("_metadata.file_path"), F.lit(": "), F.substring("value", 1, 200))
-        whole = F.when(odd, F.raise_error(said).cast("array<string>")).otherwise(whole)
+        whole = F.when(odd, F.raise_error(said).cast("array<string>")).otherwise(F.col("whole"))
         parsed = F.transform(whole, lambda x: F.from_xml(x, schema, options))
     else:
         schema = f"{schema}, {CORRUPT} string"
         options["columnNameOfCorruptRecord"] = CORRUPT
         unread = F.from_xml(F.lit(f"<{p}{tag}/>"), schema, options).withField(CORRUPT, F.col("value"))
-        parsed = F.when(odd, F.array(unread)).otherwise(F.transform(whole, lambda x: F.from_xml(x, schema, options)))
-    return cut.select("_metadata", _once(parsed).alias("_r")).select("_r.*", "_metadata")
+        parsed = F.when(odd, F.array(unread)).otherwise(F.transform("whole", lambda x: F.from_xml(x, schema, options)))
+    if also is None:
+        return cut.select("_metadata", _once(parsed).alias("_r")).select("_r.*", "_metadata")
+    both = F.transform(parsed, lambda r: F.struct(r.alias("r"), also(r).alias("also")))
+    return cut.select("_metadata", _once(both).alias("_r")).select("_r.r.*", "_metadata", F.col("_r.also").alias("_also"))
 
 
 def numbered(cut: DataFrame, sums: Mapping[str, Column], of_file: Sequence[str] = ()) -> DataFrame:
