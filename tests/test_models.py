@@ -126,3 +126,46 @@ def test_rows_of_one_large_task_are_not_shuffled(spark):
         assert out.count() == 2000 and all(abs(r["prediction"] - r["truth"]) < 1e-9 for r in out.collect())
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("batch", [7, 10_000])
+def test_cells_are_fitted_at_once(spark, table, monkeypatch, batch):
+    """Ridge lines cost no call per cell, and are those of states that are merged one by one, over batches of any size."""
+    rows, df = table
+    model = mergeable.RidgeLine("y", ["p", "q"], penalty=2.0)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        fitted = dict(mergeable.fit_arrays(model, df, ["task"], "fold", ["y", "p", "q"]).dtypes)
+        assert fitted["model"] == "array<double>"
+        got = {r["row_id"]: r["prediction"] for r in mergeable.cross_validated(model, df, ["task"], "fold", "y", ["p", "q"], "double").collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+    def columns(some):
+        return {"p": np.array([r[5] for r in some]), "q": np.array([np.nan if r[6] is None else r[6] for r in some]), "y": np.array([r[8] for r in some])}
+
+    cells = {(r[0], r[1]) for r in rows}
+    for cell in cells:
+        here = [r for r in rows if (r[0], r[1]) == cell]
+        train = others(rows, here[0])
+        want = model.predict(model.finish(model.partial(columns(train))), columns(here)) if train else [math.nan] * len(here)
+        for r, x in zip(here, want, strict=True):
+            assert got[r[2]] is None if math.isnan(x) else math.isclose(got[r[2]], x, rel_tol=1e-9, abs_tol=1e-9)
+
+
+@pytest.mark.parametrize("sizes", [[1], [2], [1, 3, 1], [5, 2, 8, 1, 7]])
+def test_all_but_one_of_many_groups(sizes):
+    """Groups merged in pairs, and all others of each row in order, as for one group after the other."""
+    states = np.array([[i, i] for i in range(sum(sizes))], dtype=float)
+    begins = np.concatenate([[True] + [False] * (n - 1) for n in sizes])
+
+    def merge_all(a, b):
+        assert (a[:, 1] < b[:, 0]).all()  # the least and largest numbers so far
+        return np.c_[a[:, 0], b[:, 1]]
+
+    ends = np.cumsum(sizes)
+    assert mergeable.merge_groups(states, begins, merge_all).tolist() == [[e - n, e - 1] for n, e in zip(sizes, ends, strict=True)]
+    got, known = mergeable.others_of_groups(states, begins, merge_all)
+    want = [[e - n + (k == 0), e - 1 - (k == n - 1)] for n, e in zip(sizes, ends, strict=True) for k in range(n)]
+    assert known.tolist() == [n > 1 for n in sizes for _ in range(n)] and all(g == w for g, w, k in zip(got.tolist(), want, known, strict=True) if k)

@@ -5,6 +5,9 @@ makes the fitted model, and ``predict(model, rows)`` applies it. Rows become sta
 and cell, and only states travel. The states of all folds but one are merged from both ends: what precedes a fold
 and what follows it. So states need no inverse, a cell may have any number of rows, and a job fits every cell of
 every task.
+
+Where states and models are rows of numbers (``ArrayMergeable``), all cells of a batch are worked on at once: a
+batch's rows become states that are merged in pairs within their cells, and no cell costs a call of its own.
 """
 
 from __future__ import annotations
@@ -41,6 +44,18 @@ class Mergeable(Protocol):
     def predict(self, model: Any, rows: Columns) -> Sequence[Any]: ...
 
 
+class ArrayMergeable(Protocol):
+    """A model whose states, and fitted models, are rows of a matrix: a function works on all rows at once."""
+
+    def singles(self, rows: Columns) -> np.ndarray: ...
+
+    def merge_all(self, a: np.ndarray, b: np.ndarray) -> np.ndarray: ...
+
+    def finish_all(self, states: np.ndarray) -> np.ndarray: ...
+
+    def predict_all(self, models: np.ndarray, rows: Columns) -> np.ndarray: ...
+
+
 def _keys_of(batch: pa.RecordBatch, keys: Sequence[str]) -> list[tuple]:
     return list(zip(*[batch.column(k).to_pylist() for k in keys], strict=True)) if keys else [()] * batch.num_rows
 
@@ -144,6 +159,107 @@ def fit(model: Mergeable, rows: DataFrame, keys: Sequence[str], fold: str, colum
     return states(rows, by, columns, model.partial, model.merge, keys).mapInArrow(fitted, ", ".join([*_types(rows, by), "model binary"]))
 
 
+def _codes(batch: pa.RecordBatch, keys: Sequence[str]) -> np.ndarray:
+    """A number per row, the same for rows with equal keys; NULL is a key like any other."""
+    out = np.zeros(batch.num_rows, dtype=np.int64)
+    for k in keys:
+        codes = batch.column(k).dictionary_encode(null_encoding="encode").indices.to_numpy()
+        out = np.unique(out * (codes.max(initial=0) + 1) + codes, return_inverse=True)[1].astype(np.int64)
+    return out
+
+
+def _begins(codes: np.ndarray) -> np.ndarray:
+    """Whether another group begins at a row."""
+    return np.r_[np.ones(min(1, len(codes)), dtype=bool), codes[1:] != codes[:-1]]
+
+
+def _places(begins: np.ndarray) -> np.ndarray:
+    """The place of each row in its group, from 0."""
+    at = np.arange(len(begins))
+    return at - np.maximum.accumulate(np.where(begins, at, 0))
+
+
+def merge_groups(states: np.ndarray, begins: np.ndarray, merge_all: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """One state per group of neighbouring rows, merged in pairs, so the rounds are as many as the largest group has binary digits."""
+    while not begins.all():
+        even = np.flatnonzero(_places(begins) % 2 == 0)
+        paired = np.flatnonzero(np.diff(np.r_[even, len(states)]) == 2)
+        out = states[even]
+        out[paired] = merge_all(states[even[paired]], states[even[paired] + 1])
+        states, begins = out, begins[even]
+    return states
+
+
+def others_of_groups(states: np.ndarray, begins: np.ndarray, merge_all: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """For each row the merge of all others of its group, and whether there are any; ``all_but_one`` for many groups."""
+    before, after = states.copy(), states.copy()
+    for sums, firsts, step in ((before, begins, -1), (after, np.r_[begins[1:], begins[:1]], 1)):
+        # Rows at the same distance from the end of their groups are merged at once.
+        distance = _places(firsts) if step < 0 else _places(firsts[::-1])[::-1]
+        order = np.argsort(distance, kind="stable")
+        cuts = np.r_[np.flatnonzero(np.diff(distance[order])) + 1, len(order)]
+        for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+            at = order[low:high]
+            sums[at] = states[at + step] if distance[at[0]] == 1 else merge_all(sums[at + step], states[at + step]) if step < 0 else merge_all(states[at + step], sums[at + step])
+    first, last = begins, np.r_[begins[1:], begins[:1]]
+    both = ~first & ~last
+    out = np.where(last[:, None], before, after)
+    out[both] = merge_all(before[both], after[both])
+    return out, ~(first & last)
+
+
+def _with_numbers(batch: pa.RecordBatch, keys: Sequence[str], at: np.ndarray, name: str, numbers: np.ndarray, known: np.ndarray | None = None) -> pa.RecordBatch:
+    """The keys of some rows, and a row of numbers for each, NULL where it is not known."""
+    width = numbers.shape[1]
+    offsets = pa.array(np.arange(len(at) + 1, dtype=np.int32) * width)
+    lists = pa.ListArray.from_arrays(offsets, pa.array(numbers.reshape(-1)), mask=None if known is None else pa.array(~known))
+    return pa.RecordBatch.from_arrays([*[batch.column(k).take(pa.array(at)) for k in keys], lists], names=[*keys, name])
+
+
+def _numbers(column: pa.Array) -> np.ndarray:
+    """The rows of numbers that are not NULL."""
+    n = len(column) - column.null_count
+    return column.drop_null().flatten().to_numpy(zero_copy_only=False).reshape(n, -1 if n else 0)
+
+
+def fit_arrays(model: ArrayMergeable, rows: DataFrame, keys: Sequence[str], fold: str, columns: Sequence[str]) -> DataFrame:
+    """``fit`` for models whose states are rows of numbers: only a state per batch and cell travels, whatever the size of a cell."""
+    by = [*keys, fold]
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                codes = _codes(batch, by)
+                order = np.argsort(codes, kind="stable")
+                begins = _begins(codes[order])
+                found = merge_groups(model.singles(_columns(batch, columns))[order], begins, model.merge_all)
+                yield _with_numbers(batch, by, order[begins], "state", found)
+
+    def models(batch: pa.RecordBatch, last: bool) -> tuple[pa.RecordBatch, pa.RecordBatch]:
+        """The models of whole cells, and the states of the last cell, which may go on."""
+        begins = _begins(_codes(batch, by))
+        found, at = merge_groups(_numbers(batch.column("state")), begins, model.merge_all), np.flatnonzero(begins)
+        cells = _begins(_codes(batch, keys)[at])
+        cut = len(at) if last else int(np.flatnonzero(cells)[-1])
+        others, known = others_of_groups(found[:cut], cells[:cut], model.merge_all)
+        return _with_numbers(batch, by, at[:cut], "model", model.finish_all(others), known), _with_numbers(batch, by, at[cut:], "state", found[cut:])
+
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if batch.num_rows:
+                if held is not None:
+                    batch = pa.Table.from_batches([held, batch.cast(held.schema)]).combine_chunks().to_batches()[0]
+                done, held = models(batch, False)
+                yield done
+        if held is not None:
+            yield models(held, True)[0]
+
+    found = rows.select(*by, *columns).mapInArrow(partial, ", ".join([*_types(rows, by), "state array<double>"]))
+    dealt = found.repartition(*keys) if keys else found.repartition(1)
+    return dealt.sortWithinPartitions(*by).mapInArrow(fitted, ", ".join([*_types(rows, by), "model array<double>"]))
+
+
 def cross_validated(
     model: Mergeable, rows: DataFrame, keys: Sequence[str], fold: str, truth: str, features: Sequence[str], kind: str = "string", rowid: str = "rowid",
 ) -> DataFrame:
@@ -154,7 +270,8 @@ def cross_validated(
     """
     by, columns = [*keys, fold], list(dict.fromkeys([truth, *features]))
     rows = stage(rows.select(*by, rowid, *columns), "cells")
-    models = stage(fit(model, rows, keys, fold, columns), "models")
+    arrays = hasattr(model, "merge_all")
+    models = stage((fit_arrays if arrays else fit)(model, rows, keys, fold, columns), "models")
     # AQE splits the rows of a cell that is very large.
     both = join_groups(rows, models, by).select(*rows.columns, "model")
 
@@ -172,8 +289,17 @@ def cross_validated(
             out = pa.array(guess, pa.string() if kind == "string" else pa.float64())
             yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in [*by, rowid]], out, batch.column(truth)], names=[*by, "row_id", "prediction", "truth"])
 
+    def predicted_at_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fitted = batch.column("model").is_valid().to_numpy(zero_copy_only=False)
+            guess = np.full(batch.num_rows, np.nan)
+            if fitted.any():
+                guess[fitted] = model.predict_all(_numbers(batch.column("model")), {n: c[fitted] for n, c in _columns(batch, columns).items()})
+            out = pa.array(guess, pa.float64(), mask=np.isnan(guess))
+            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in [*by, rowid]], out, batch.column(truth)], names=[*by, "row_id", "prediction", "truth"])
+
     kinds = dict(rows.dtypes)
-    return both.mapInArrow(predicted, ", ".join([*_types(rows, by), f"row_id {kinds[rowid]}", f"prediction {kind}", f"truth {kinds[truth]}"]))
+    return both.mapInArrow(predicted_at_once if arrays else predicted, ", ".join([*_types(rows, by), f"row_id {kinds[rowid]}", f"prediction {kind}", f"truth {kinds[truth]}"]))
 
 
 class CountedBayes:
@@ -257,3 +383,34 @@ class RidgeLine:
 
     def predict(self, model: tuple, rows: Columns) -> list[float]:
         return (np.stack([rows[c].astype(float) for c in self.columns], axis=1) @ model[0] + model[1]).tolist()
+
+    # The same for many cells at once: a state is n, the means, and the rows of the products, one after the other.
+
+    def singles(self, rows: Columns) -> np.ndarray:
+        x = np.stack([rows[c].astype(float) for c in [*self.columns, self.target]], axis=1)
+        whole = ~np.isnan(x).any(axis=1)
+        return np.c_[whole, np.where(whole[:, None], x, 0.0), np.zeros((len(x), x.shape[1] ** 2))]
+
+    def merge_all(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        w = len(self.columns) + 1
+        n = a[:, :1] + b[:, :1]
+        share, gap = b[:, :1] / np.maximum(n, 1), b[:, 1 : w + 1] - a[:, 1 : w + 1]
+        products = a[:, w + 1 :] + b[:, w + 1 :] + (gap[:, :, None] * gap[:, None, :]).reshape(len(a), w * w) * (a[:, :1] * share)
+        out = np.concatenate([n, a[:, 1 : w + 1] + gap * share, products], axis=1)
+        return np.where(b[:, :1] == 0, a, np.where(a[:, :1] == 0, b, out))
+
+    def finish_all(self, states: np.ndarray) -> np.ndarray:
+        k = len(self.columns)
+        mean, products = states[:, 1 : k + 2], states[:, k + 2 :].reshape(len(states), k + 1, k + 1)
+        # As least squares do it: directions in which the columns do not vary get no slope.
+        u, s, v = np.linalg.svd(products[:, :-1, :-1] + self.penalty * np.eye(k))
+        along = np.einsum("nij,ni->nj", u, products[:, :-1, -1])
+        kept = s > 1e-12 * s[:, :1]
+        slopes = np.einsum("nij,ni->nj", v, np.where(kept, along / np.where(kept, s, 1.0), 0.0))
+        start = mean[:, -1] - (mean[:, :-1] * slopes).sum(axis=1)
+        empty = states[:, 0] == 0
+        return np.c_[np.where(empty[:, None], 0.0, slopes), np.where(empty, np.nan, start)]
+
+    def predict_all(self, models: np.ndarray, rows: Columns) -> np.ndarray:
+        x = np.stack([rows[c].astype(float) for c in self.columns], axis=1)
+        return (x * models[:, :-1]).sum(axis=1) + models[:, -1]
