@@ -47,3 +47,16 @@ def test_no_python_and_no_products(spark, name):
     text = plan(queries()[name](spark, FOLDER))
     assert "CartesianProduct" not in text
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
+
+
+def test_partitions_are_joined_up_to_a_bound(spark):
+    """Small partitions are joined up to 16 MB, not to 64: a task then sorts and tells apart about a million narrow rows."""
+    from trialbook import session
+
+    before = spark.conf.get(session.ADVISORY_KEY)
+    try:
+        spark.conf.unset(session.ADVISORY_KEY)
+        session.tune(spark)
+        assert spark.conf.get(session.ADVISORY_KEY) == "16m"
+    finally:
+        spark.conf.set(session.ADVISORY_KEY, before)
