@@ -254,3 +254,82 @@ def test_listing_text_is_cleaned_once(spark, tmp_path):
     texts = ["", " ", "a", " a b\n", "\x0ba\f\r", "a  ", "a\u0085 ", "  ", " a\x1c ", None]
     got = spark.createDataFrame([(x,) for x in texts], "v string").select("v", documents.text("v").alias("t"), F.regexp_replace("v", r"^\s+|\s+$", "").alias("o"))
     assert all(r["t"] == (r["o"] or None) for r in got.collect())
+
+
+def lines_of(folder):
+    """The text of each folder's one file."""
+    files = sorted(folder.rglob("part-*"))
+    assert len({f.parent for f in files}) == len(files)
+    return {f.parent.name: f.read_bytes() for f in files}
+
+
+WRITE_ONE = """
+import sys
+from pyspark.sql import SparkSession
+from trialbook.sources import elements
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.driver.memory", "1g").config("spark.sql.shuffle.partitions", "8")
+  .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k").config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16k").config("spark.eventLog.enabled", "true").config("spark.eventLog.compress", "false")
+  .config("spark.eventLog.rolling.enabled", "false").config("spark.eventLog.dir", "file://" + sys.argv[1]).getOrCreate())
+lines = spark.range(40000).selectExpr("1 AS entity", "id % 5 AS a", "id % 3 AS b", "format_string('<e>%d %d %05d</e>', id % 5, id % 3, id) AS line")
+elements.write_lines(lines, sys.argv[2], "es", ["a", "b"])
+"""
+
+
+def test_a_document_is_written_by_many_tasks(tmp_path):
+    """One document of 40,000 lines is one file in order, and no task reads as much as a third of it, though few keys differ."""
+    import json
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    (tmp_path / "events").mkdir()
+    subprocess.run([sys.executable, "-c", WRITE_ONE, str(tmp_path / "events"), str(tmp_path / "out")], check=True, timeout=300, cwd=Path(__file__).parents[1])
+    events = [json.loads(line) for p in (tmp_path / "events").iterdir() for line in p.open()]
+    read = [e["Task Metrics"]["Shuffle Read Metrics"]["Total Records Read"] for e in events if e["Event"] == "SparkListenerTaskEnd"]
+    assert sum(read) >= 40_000 and max(read) < 40_000 / 3
+    texts = [t for t in lines_of(tmp_path / "out").values() if b"<e>" in t]
+    assert len(texts) == 1
+    body = texts[0].decode().splitlines()
+    assert body[:2] == ['<?xml version="1.0" encoding="UTF-8"?>', "<oml:es>"] and body[-1] == "</oml:es>"
+    assert body[2:-1] == sorted(f"<e>{i % 5} {i % 3} {i:05d}</e>" for i in range(40_000))
+
+
+@pytest.mark.parametrize("block, batch", [(1, 3), (300, 7), (4 << 20, 10_000)])
+def test_parts_of_a_file_are_in_their_places(spark, tmp_path, monkeypatch, block, batch):
+    """What many tasks write is what one task writes, where the store takes a file from one only, byte for byte."""
+    from trialbook.sources import elements
+
+    # Places of an entity differ, since lines of one place have no order among them; equal lines need none.
+    rows = {(None if i % 11 == 0 else i % 4, None if i % 7 == 0 else i): f"é{'x' * (i * 37 % 900)}\n{i}" if i % 5 else "" for i in range(400)}
+    rows = [(*key, line) for key, line in rows.items()] + [(2, 5000, "<a/>")] * 3 + [(3, 5000, None)] * 2
+    lines = spark.createDataFrame(rows, "entity int, at int, line string").repartition(5)
+    monkeypatch.setattr(elements, "BLOCK_BYTES", block)
+    settings = {"spark.sql.execution.arrow.maxRecordsPerBatch": batch, "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+                f"fs.viewfs.mounttable.m{block}.link./out": f"file://{tmp_path}"}
+    for key, value in settings.items():
+        spark.conf.set(key, str(value))
+    try:
+        elements.write_lines(lines, f"{tmp_path}/many", "es", ["at"], namespace="u")
+        elements.write_lines(lines, f"viewfs://m{block}/out/one", "es", ["at"], namespace="u")
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    many, one = lines_of(tmp_path / "many"), lines_of(tmp_path / "one")
+    assert many == one and len(one) == 8 and sum(t.count(b"<a/>\n") for t in one.values()) == 3
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["many", "one"] and (tmp_path / "many" / "_SUCCESS").exists()
+
+
+def test_documents_appear_whole_or_not_at_all(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from trialbook.sources import elements
+
+    lines = spark.range(50).selectExpr("id AS entity", "concat('<e>', id, '</e>') AS line")
+    elements.write_lines(lines, f"{tmp_path}/a b/c", "es", [])
+    before = lines_of(tmp_path / "a b")
+    with pytest.raises(Exception, match="ALREADY_EXISTS"):
+        elements.write_lines(lines.limit(3), f"{tmp_path}/a b/c", "es", [])
+    assert lines_of(tmp_path / "a b") == before and sum(t.count(b"<e>") for t in before.values()) == 50
+    with pytest.raises(Exception, match="no such line"):
+        elements.write_lines(lines.withColumn("line", F.when(F.col("entity") == 49, F.raise_error(F.lit("no such line")).cast("string")).otherwise(F.col("line"))), f"{tmp_path}/a b/d", "es", [])
+    assert [p.name for p in (tmp_path / "a b").iterdir()] == ["c"]

@@ -11,8 +11,9 @@ text file and no task needs a whole one. Three readers stand on that:
 The last two need to know what came before a cut. Splits of the files are ordered slices as they are: sums per split,
 one row each, give every split its start, and rows are numbered while their split is read, without a shuffle.
 
-The writer makes documents from rows of text in order, so an entity is never one cell. A file is written by one task,
-as a stream of sorted rows, and holds whole documents only.
+The writer makes documents from rows of text in order, so an entity is never one cell. A file holds whole documents only.
+It is written by many tasks, each of which puts its part of the sorted rows at the place that the bytes before it give. A
+store that takes a file from one writer only, and whole, gets it as a stream of sorted rows from one task.
 
 Elements are found by their text: the prefix is that of the first file's head. An element whose tag stands under
 another prefix, whose end tag has blanks in it, or whose tag stands in a comment or in CDATA, is an error (``records``
@@ -21,13 +22,16 @@ that are not strict keep its text in a column instead); it is never left out sil
 
 from __future__ import annotations
 
+import os
 import re
+import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trialbook.plans.scan import running
@@ -36,6 +40,8 @@ from trialbook.session import stage
 # Fixed value: the element prefix of registry documents, for writing.
 PREFIX = "oml"
 CORRUPT = "_corrupt"
+# Text of a file that is written at once, but for a longer line.
+BLOCK_BYTES = 4 << 20
 # A tag's attributes.
 ATTRIBUTES = r"""(?:\s+[^\s=<>]+\s*=\s*(?:"[^"<]*"|'[^'<]*'))*\s*"""
 PARSE = {"ignoreNamespace": "true", "ignoreSurroundingSpaces": "false"}
@@ -266,11 +272,71 @@ def opened(element_text: Column, tag: str, prefix: str = PREFIX) -> Column:
     return F.when(element_text.endswith(f"</{full}>"), F.substring_index(element_text, f"</{full}>", 1)).otherwise(F.regexp_replace(element_text, r"/>\s*$", ">"))
 
 
+def _blocks(lines: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(slice, place, content): the lines of each slice in the order of ``by``, as blocks of bytes and where these begin in
+    the text of their slice. ``by`` begins with the slice; ordered ranges of the lines ignore the borders of slices.
+    """
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, upto = None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            number, text = batch.column("slice").to_numpy(), batch.column("line")
+            full = np.cumsum(pc.binary_length(text).to_numpy(), dtype=np.int64) // BLOCK_BYTES
+            begins = np.flatnonzero(np.r_[True, (np.diff(number) != 0) | (np.diff(full) != 0)])
+            runs = pa.ListArray.from_arrays(pa.array(np.r_[begins, len(number)], pa.int32()), text)
+            content = pc.binary_join(runs, "").cast(pa.binary())
+            size, at = pc.binary_length(content).to_numpy().astype(np.int64), []
+            for n, n_bytes in zip(number[begins], size):
+                upto = upto if n == last else 0
+                at.append(upto)
+                last, upto = n, upto + int(n_bytes)
+            first = pa.array(begins)
+            yield pa.RecordBatch.from_arrays([batch.column("slice").take(first), batch.column("part").take(first), pa.array(at, pa.int64()), pa.array(size), content],
+                                             names=["slice", "part", "at", "size", "content"])
+
+    ended = F.concat(F.coalesce("line", F.lit("")), F.lit("\n")).alias("line")
+    ranges = lines.repartitionByRange(*by).sortWithinPartitions(*by).select("slice", F.spark_partition_id().alias("part"), ended)
+    written = stage(ranges.mapInArrow(joined, "slice int, part int, at long, size long, content binary"), "blocks")
+    # One row per range, and one per slice.
+    before = Window.partitionBy("slice").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = written.groupBy("slice", "part").agg(F.sum("size").alias("_n")).select(
+        "slice", "part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return written.join(F.broadcast(starts), ["slice", "part"]).select("slice", (F.col("_start") + F.col("at")).alias("place"), "content")
+
+
+def _put(blocks: DataFrame, folder: str) -> None:
+    """Write blocks into a file per slice, each at its place. A task that runs again writes the same bytes to the same places."""
+
+    def put(rows: Iterator[Row]) -> None:
+        opened, file = None, None
+        try:
+            for number, place, content in rows:
+                if number != opened:
+                    if file is not None:
+                        os.close(file)
+                        file = None
+                    os.makedirs(f"{folder}/slice={number}", exist_ok=True)
+                    file, opened = os.open(f"{folder}/slice={number}/part-00000.txt", os.O_WRONLY | os.O_CREAT, 0o666), number
+                rest = memoryview(content)
+                while rest:
+                    n = os.pwrite(file, rest, place)
+                    rest, place = rest[n:], place + n
+        finally:
+            if file is not None:
+                os.close(file)
+
+    blocks.foreachPartition(put)
+
+
 def write_lines(lines: DataFrame, path: str, root: str, order: Sequence[str], entity: str = "entity", *, prefix: str = PREFIX, namespace: str | None = None) -> None:
     """(entity, order.., line) as files of whole documents, each below a root element of its own.
 
-    Entities are dealt to folders by their hash. The rows of a folder go to one task, which sorts them (on disk, where
-    they are many) and writes them one after the other.
+    Entities are dealt to folders by their hash, and a folder has one file. Where the path lies on a file system that is
+    mounted, ordered ranges of all lines go to tasks, whatever folder they are for, and each task writes its part of a file
+    in its place, so that no task has a whole document. Other stores take a file from one task, which sorts the rows of a
+    folder (on disk, where they are many) and writes them one after the other.
     """
     spark = lines.sparkSession
     slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -281,4 +347,23 @@ def write_lines(lines: DataFrame, path: str, root: str, order: Sequence[str], en
     dealt = lines.select(F.pmod(F.xxhash64(entity), F.lit(slices)).cast("int").alias("slice"), F.lit(1).alias("_part"), entity, *order, "line")
     by = ["slice", "_part", entity, *order]
     every = dealt.unionByName(ends, allowMissingColumns=True)
-    every.repartition("slice").sortWithinPartitions(*by).select("slice", "line").write.partitionBy("slice").text(path)
+
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(conf)
+    if store.getUri().getScheme() != "file" or store.exists(target):
+        # An existing path is an error of the writer.
+        every.repartition("slice").sortWithinPartitions(*by).select("slice", "line").write.partitionBy("slice").text(path)
+        return
+    target = store.makeQualified(target)
+    # Hidden from readers until it is whole.
+    made = jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{uuid.uuid4().hex}")
+    try:
+        # Lines that agree in all else are told apart by their text, so that many of them are many ranges, too.
+        _put(_blocks(every, [*by, "line"]), made.toUri().getPath())
+        store.create(jvm.org.apache.hadoop.fs.Path(made, "_SUCCESS")).close()
+        if store.exists(target) or not store.rename(made, target):
+            raise OSError(f"{made} cannot be renamed to {target}")
+    except BaseException:
+        store.delete(made, True)
+        raise
