@@ -333,3 +333,21 @@ def test_documents_appear_whole_or_not_at_all(spark, tmp_path):
     with pytest.raises(Exception, match="no such line"):
         elements.write_lines(lines.withColumn("line", F.when(F.col("entity") == 49, F.raise_error(F.lit("no such line")).cast("string")).otherwise(F.col("line"))), f"{tmp_path}/a b/d", "es", [])
     assert [p.name for p in (tmp_path / "a b").iterdir()] == ["c"]
+
+
+def test_a_compressed_listing_is_small_whole_files(spark, tmp_path, monkeypatch):
+    """Every row comes back, in files of few rows that any XML reader reads, at a small part of the size of the plain text."""
+    import gzip
+    import xml.etree.ElementTree as ET
+
+    monkeypatch.setattr(documents, "PACKED_ROWS", 700)
+    rows = spark.range(4000).selectExpr("id AS run_id", "id % 50 AS task_id", "IF(id % 3 = 0, NULL, 'a <b> & \" c') AS function", "id / 8 AS value", "IF(id % 5 = 0, '[1.0,2.5]', NULL) AS `values`").repartition(2)
+    documents.write_listing(rows, str(tmp_path / "packed"), "evaluation", compression="gzip", namespace="u")
+    documents.write_listing(rows, str(tmp_path / "plain"), "evaluation", namespace="u")
+    files = list((tmp_path / "packed").glob("part-*"))
+    assert len(files) == 6 and max(len(ET.fromstring(gzip.decompress(f.read_bytes()))) for f in files) == 700
+    text = b"".join(f.read_bytes() for f in (tmp_path / "plain").glob("part-*"))
+    assert b"\n   " not in text and sum(f.stat().st_size for f in files) * 5 < len(text)
+    good, bad = documents.listing(spark, str(tmp_path / "packed"), "evaluation")
+    want = [(i, i % 50, None if i % 3 == 0 else 'a <b> & " c', i / 8, [1.0, 2.5] if i % 5 == 0 else None) for i in range(4000)]
+    assert bad.count() == 0 and sorted(tuple(r) for r in good.select("run_id", "task_id", "function", "value", "values").collect()) == want

@@ -350,7 +350,7 @@ def _(r):
 @query("src_17_evaluation_listing", needs=["evaluations"], sql="SELECT run_id, task_id, setup_id, flow_id, function, value FROM evaluations")
 def _(r):
     path = new_path(r.spark, "listing")
-    documents.write_listing(r.evaluations(), path, "evaluation")
+    documents.write_listing(r.evaluations(), path, "evaluation", compression="gzip")
     return documents.listing(r.spark, path, "evaluation")[0].select("run_id", "task_id", "setup_id", "flow_id", "function", "value")
 
 
