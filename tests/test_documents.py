@@ -351,3 +351,76 @@ def test_a_compressed_listing_is_small_whole_files(spark, tmp_path, monkeypatch)
     good, bad = documents.listing(spark, str(tmp_path / "packed"), "evaluation")
     want = [(i, i % 50, None if i % 3 == 0 else 'a <b> & " c', i / 8, [1.0, 2.5] if i % 5 == 0 else None) for i in range(4000)]
     assert bad.count() == 0 and sorted(tuple(r) for r in good.select("run_id", "task_id", "function", "value", "values").collect()) == want
+
+
+@pytest.mark.parametrize("block, batch, most", [(1, 3, 1 << 30), (300, 7, 1 << 30), (4 << 20, 10_000, 1 << 30), (300, 7, 2500)])
+def test_compressed_documents_are_the_same_text(spark, tmp_path, monkeypatch, block, batch, most):
+    """Each file's text is that of the plain one, byte for byte, whatever tasks wrote it; only files of much text stay plain."""
+    import gzip
+
+    from trialbook.sources import elements
+
+    e = spark.range(300).selectExpr("id * id % 23 AS run_id", "IF(id % 4 = 0, NULL, 'é<f>') AS function", "0 AS repeat", "int(id % 9) AS fold", "IF(id % 2 = 0, 1, NULL) AS sample", "id / 8 AS value", "IF(id % 5 = 0, ' [1,\n2] ', NULL) AS array_data")
+    e = e.unionByName(e.limit(5).withColumn("run_id", e["run_id"] * 0 + 999)).repartition(5)
+    runs = spark.range(23).selectExpr("IF(id = 22, NULL, id) AS run_id", "1L AS task_id", "2L AS flow_id", "IF(id % 2 = 0, NULL, 3L) AS setup_id")
+    monkeypatch.setattr(elements, "BLOCK_BYTES", block)
+    monkeypatch.setattr(elements, "PACKED_BYTES", most)
+    settings = {"spark.sql.execution.arrow.maxRecordsPerBatch": batch, "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    for key, value in settings.items():
+        spark.conf.set(key, str(value))
+    try:
+        documents.write_runs(runs, e, f"{tmp_path}/plain", namespace="u")
+        documents.write_runs(runs, e, f"{tmp_path}/packed", namespace="u", compression="gzip")
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    plain, packed = lines_of(tmp_path / "plain"), lines_of(tmp_path / "packed")
+    zipped = {f.parent.name for f in (tmp_path / "packed").rglob("part-*.gz")}
+    assert zipped == {k for k, t in plain.items() if len(t) <= most} and (most > 2500) == (len(zipped) == len(plain)) and zipped
+    assert {k: gzip.decompress(t) if k in zipped else t for k, t in packed.items()} == plain
+    # Readers take both, also side by side.
+    got = [sorted(map(str, documents.run_evaluations(documents.run_documents(spark, f"{tmp_path}/{k}")).collect())) for k in ("plain", "packed")]
+    assert got[0] == got[1] and len(got[0]) == 300 - sum(i * i % 23 == 22 for i in range(300))
+    with pytest.raises(ValueError, match="not lz4"):
+        documents.write_runs(runs, e, f"{tmp_path}/other", compression="lz4")
+    assert not (tmp_path / "other").exists()
+
+
+LEFT_BEHIND = """
+import sys, time
+from pathlib import Path
+from pyspark.sql import SparkSession
+from trialbook.session import CLEANUP_KEY, stage
+from trialbook.sources import documents
+out = Path(sys.argv[1])
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.driver.memory", "1g").config("spark.sql.shuffle.partitions", "4")
+  .config("spark.local.dir", str(out / "local")).config("spark.checkpoint.dir", str(out / "kept")).getOrCreate())
+def shuffled():
+    return [p for p in (out / "local").rglob("shuffle_*") if p.stat().st_size]
+def gone():
+    until = time.time() + 30
+    while shuffled() and time.time() < until:
+        time.sleep(0.2)
+    return not shuffled()
+counts = spark.range(5000).selectExpr("id % 700 AS k").groupBy("k").count()
+made = stage(counts, "counts")
+assert gone(), shuffled()
+# The frame itself may still be used, and the setting is as before.
+assert made.count() == counts.count() == counts.count() == 700 and shuffled() and spark.conf.get(CLEANUP_KEY) == "false"
+e = spark.range(3000).selectExpr("id % 40 AS run_id", "'f' AS function", "0 AS repeat", "int(id) AS fold", "0 AS sample", "1.5D AS value", "'x' AS array_data")
+documents.write_runs(counts.selectExpr("k AS run_id", "1L AS task_id", "2L AS flow_id", "3L AS setup_id"), e, str(out / "r"), compression="gzip")
+labels = {p.name.rsplit("-", 1)[0] for p in (out / "kept").iterdir()}
+assert "counts" in labels and not labels & {"run-table", "blocks"}, labels
+docs = documents.run_documents(spark, str(out / "r"))
+assert documents.runs(docs).count() == 700 and documents.run_evaluations(docs).count() == 3000
+"""
+
+
+def test_what_is_passing_leaves_the_disk(tmp_path):
+    """What was shuffled for a table goes when it is written, and tables of a writer go with it."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    done = subprocess.run([sys.executable, "-c", LEFT_BEHIND, str(tmp_path)], timeout=300, cwd=Path(__file__).parents[1], capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr[-2000:]

@@ -12,7 +12,7 @@ from trialbook.queries.analysis import map_text
 from trialbook.queries.columns import FEATURE_TABLE, feature_table, line_features
 from trialbook.queries.flows import CHAINS, TREE
 from trialbook.queries.scoring import CLASSES, P, POINT_FOLDS, predictions
-from trialbook.session import new_path, stage
+from trialbook.session import brief, new_path
 from trialbook.sources import arff, documents, tables
 
 STATES = ["F", "O", "P"]
@@ -166,10 +166,11 @@ def _(r):
 
 def run_documents(r):
     path = new_path(r.spark, "runs")
-    folds = stage(r.fold_evaluations().groupBy("run_id", "function", "repeat", "fold").agg(F.round(F.avg("value"), 6).alias("value")), "folds")
-    means = folds.groupBy("run_id", "function").agg(F.max("value").alias("value"))
-    both = members.concat([folds.withColumn("sample", F.when(F.col("fold") == 1, 0)), means]).withColumn("array_data", F.lit(None).cast("string"))
-    documents.write_runs(r.runs(), both, path)
+    with brief(r.spark) as put:
+        folds = put(r.fold_evaluations().groupBy("run_id", "function", "repeat", "fold").agg(F.round(F.avg("value"), 6).alias("value")), "folds")
+        means = folds.groupBy("run_id", "function").agg(F.max("value").alias("value"))
+        both = members.concat([folds.withColumn("sample", F.when(F.col("fold") == 1, 0)), means]).withColumn("array_data", F.lit(None).cast("string"))
+        documents.write_runs(r.runs(), both, path, compression="gzip")
     return documents.run_documents(r.spark, path)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trialbook.operators.flows import ways
-from trialbook.session import stage
+from trialbook.session import brief, stage
 from trialbook.sources import elements
 from trialbook.sources.elements import CORRUPT, PREFIX, element, escaped, opened, write_lines
 
@@ -452,10 +452,10 @@ def write_tasks(table: DataFrame, path: str, **how) -> None:
     write(out, path, "task", "tasks", **how)
 
 
-def _element(columns: list[Column | str], table: DataFrame, tag: str, prefix: str) -> Column:
+def _element(columns: list[Column | str], table: DataFrame, tag: str, prefix: str, one_line: bool = False) -> Column:
     """Columns of a table as one element; the names of fields get the prefix."""
     full = f"{prefix}:" if prefix else ""
-    return element(F.struct(*columns).cast(_prefixed(table.select(*columns).schema, full)), tag, prefix)
+    return element(F.struct(*columns).cast(_prefixed(table.select(*columns).schema, full)), tag, prefix, one_line=one_line)
 
 
 def _end(*tags: str, prefix: str) -> Column:
@@ -475,18 +475,19 @@ def _write_documents(heads: DataFrame, entries: DataFrame, path: str, root: str,
 
 
 def write_runs(run_table: DataFrame, evaluations: DataFrame, path: str, **how) -> None:
-    """Runs with their evaluations, of any number; repeat, fold and sample are attributes."""
+    """Runs with their evaluations, of any number; repeat, fold and sample are attributes. An evaluation is a line."""
     prefix = how.get("prefix", PREFIX)
     optional = [c for c in ("uploader", "uploader_name", "task_type", "flow_name", "setup_string", "error_message", "run_details") if c in run_table.columns]
-    # Read twice; evaluations of unknown runs are left out before they become text.
-    run_table = stage(run_table.select("run_id", *optional, "task_id", "flow_id", "setup_id"), "run-table")
-    evaluations = evaluations.join(run_table.select("run_id"), "run_id", "left_semi")
-    head = _element(["run_id", *optional, "task_id", "flow_id", "setup_id"], run_table, "run", prefix)
-    each = _element([F.col("repeat").alias("_repeat"), F.col("fold").alias("_fold"), F.col("sample").alias("_sample"),
-                     F.col("function").alias("name"), "value", "array_data"], evaluations, "evaluation", prefix)
-    _write_documents(
-        run_table.select(F.col("run_id").alias("entity"), opened(head, "run", prefix).alias("line")),
-        evaluations.select(F.col("run_id").alias("entity"), "repeat", "fold", "sample", "function", each.alias("line")), path, "runs", "run", ("output_data",), how)
+    with brief(run_table.sparkSession) as put:
+        # Read twice; evaluations of unknown runs are left out before they become text.
+        run_table = put(run_table.select("run_id", *optional, "task_id", "flow_id", "setup_id"), "run-table")
+        evaluations = evaluations.join(run_table.select("run_id"), "run_id", "left_semi")
+        head = _element(["run_id", *optional, "task_id", "flow_id", "setup_id"], run_table, "run", prefix)
+        each = _element([F.col("repeat").alias("_repeat"), F.col("fold").alias("_fold"), F.col("sample").alias("_sample"),
+                         F.col("function").alias("name"), "value", "array_data"], evaluations, "evaluation", prefix, one_line=True)
+        _write_documents(
+            run_table.select(F.col("run_id").alias("entity"), opened(head, "run", prefix).alias("line")),
+            evaluations.select(F.col("run_id").alias("entity"), "repeat", "fold", "sample", "function", each.alias("line")), path, "runs", "run", ("output_data",), how)
 
 
 def write_traces(table: DataFrame, path: str, **how) -> None:

@@ -25,6 +25,7 @@ from __future__ import annotations
 import os
 import re
 import uuid
+import zlib
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -35,13 +36,15 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trialbook.plans.scan import running
-from trialbook.session import stage
+from trialbook.session import brief, stage
 
 # Fixed value: the element prefix of registry documents, for writing.
 PREFIX = "oml"
 CORRUPT = "_corrupt"
 # Text of a file that is written at once, but for a longer line.
 BLOCK_BYTES = 4 << 20
+# Text of a file that may be compressed. Nothing splits such a file, so a longer one stays plain.
+PACKED_BYTES = 1 << 30
 # A tag's attributes.
 ATTRIBUTES = r"""(?:\s+[^\s=<>]+\s*=\s*(?:"[^"<]*"|'[^'<]*'))*\s*"""
 PARSE = {"ignoreNamespace": "true", "ignoreSurroundingSpaces": "false"}
@@ -179,7 +182,7 @@ def documents(spark: SparkSession, path: str, tag: str, end: str, entry: str, be
     cut = cut.select("path", "block", "line", F.when(found, F.substr("value", F.length(parts[0]) + 1)).alias("entry"), F.when(found, parts[0]).when(F.col("value").rlike(between), F.regexp_replace("value", between, "")).otherwise(F.concat("value", F.lit(end))).alias("rest"))
     fragments = F.split("rest", re.escape(close))
     cut = numbered(cut, {"document": F.size(fragments) - 1, "place": F.lit(1)})
-    cut = stage(cut.select("path", "document", "place", "entry", fragments.alias("fragments")), f"{tag}-pieces")
+    cut = stage(cut.select("path", "document", "place", "entry", fragments.alias("fragments")), f"{tag}-pieces", compression="zstd")
     entries = cut.filter("entry IS NOT NULL").select((F.col("document") + F.size("fragments") - 1).alias("document"), "place", F.concat("entry", F.lit(end)).alias("entry"))
     rests = cut.select("path", "document", "place", F.posexplode("fragments").alias("k", "text")).filter(F.col("text").rlike(r"\S"))
     heads = rests.groupBy((F.col("document") + F.col("k")).alias("document")).agg(
@@ -261,9 +264,10 @@ def escaped(text: Column) -> Column:
     return text
 
 
-def element(value: Column, tag: str, prefix: str = PREFIX) -> Column:
+def element(value: Column, tag: str, prefix: str = PREFIX, *, one_line: bool = False) -> Column:
     """A struct as an element: fields become elements, those that begin with ``_`` attributes, ``_VALUE`` its text; NULL fields are left out."""
-    return F.to_xml(value, {"rowTag": f"{prefix}:{tag}" if prefix else tag, "validateName": "false"})
+    options = {"rowTag": f"{prefix}:{tag}" if prefix else tag, "validateName": "false"}
+    return F.btrim(F.to_xml(value, {**options, "indent": ""}), F.lit("\n")) if one_line else F.to_xml(value, options)
 
 
 def opened(element_text: Column, tag: str, prefix: str = PREFIX) -> Column:
@@ -272,13 +276,19 @@ def opened(element_text: Column, tag: str, prefix: str = PREFIX) -> Column:
     return F.when(element_text.endswith(f"</{full}>"), F.substring_index(element_text, f"</{full}>", 1)).otherwise(F.regexp_replace(element_text, r"/>\s*$", ">"))
 
 
-def _blocks(lines: DataFrame, by: Sequence[str]) -> DataFrame:
-    """(slice, place, content): the lines of each slice in the order of ``by``, as blocks of bytes and where these begin in
-    the text of their slice. ``by`` begins with the slice; ordered ranges of the lines ignore the borders of slices.
+def _blocks(lines: DataFrame, by: Sequence[str], put: Callable[..., DataFrame], compression: str | None) -> DataFrame:
+    """(slice, packed, place, content): the lines of each slice in the order of ``by``, as blocks of bytes and where these
+    begin in the file of their slice. ``by`` begins with the slice; ordered ranges of the lines ignore the borders of slices.
+    With ``compression`` blocks are gzip members, and ``packed`` tells whether the file of a slice consists of these: members
+    that follow each other are one gzip file, so each may be written by another task.
     """
 
+    def member(content: bytes) -> bytes:
+        work = zlib.compressobj(wbits=31)
+        return work.compress(content) + work.flush()
+
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, upto = None, 0
+        last, upto, packed_upto = None, 0, 0
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -287,39 +297,47 @@ def _blocks(lines: DataFrame, by: Sequence[str]) -> DataFrame:
             begins = np.flatnonzero(np.r_[True, (np.diff(number) != 0) | (np.diff(full) != 0)])
             runs = pa.ListArray.from_arrays(pa.array(np.r_[begins, len(number)], pa.int32()), text)
             content = pc.binary_join(runs, "").cast(pa.binary())
-            size, at = pc.binary_length(content).to_numpy().astype(np.int64), []
-            for n, n_bytes in zip(number[begins], size):
-                upto = upto if n == last else 0
+            size, at, packed_at = pc.binary_length(content).to_numpy().astype(np.int64), [], []
+            if compression:
+                content = pa.array([member(c.as_py()) for c in content], pa.binary())
+            packed_size = pc.binary_length(content).to_numpy().astype(np.int64)
+            for n, n_bytes, n_packed in zip(number[begins], size, packed_size):
+                upto, packed_upto = (upto, packed_upto) if n == last else (0, 0)
                 at.append(upto)
-                last, upto = n, upto + int(n_bytes)
+                packed_at.append(packed_upto)
+                last, upto, packed_upto = n, upto + int(n_bytes), packed_upto + int(n_packed)
             first = pa.array(begins)
-            yield pa.RecordBatch.from_arrays([batch.column("slice").take(first), batch.column("part").take(first), pa.array(at, pa.int64()), pa.array(size), content],
-                                             names=["slice", "part", "at", "size", "content"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("slice").take(first), batch.column("part").take(first), pa.array(at, pa.int64()), pa.array(size), pa.array(packed_at, pa.int64()), pa.array(packed_size), content],
+                names=["slice", "part", "at", "size", "packed_at", "packed_size", "content"])
 
     ended = F.concat(F.coalesce("line", F.lit("")), F.lit("\n")).alias("line")
     ranges = lines.repartitionByRange(*by).sortWithinPartitions(*by).select("slice", F.spark_partition_id().alias("part"), ended)
-    written = stage(ranges.mapInArrow(joined, "slice int, part int, at long, size long, content binary"), "blocks")
+    written = put(ranges.mapInArrow(joined, "slice int, part int, at long, size long, packed_at long, packed_size long, content binary"), "blocks")
     # One row per range, and one per slice.
-    before = Window.partitionBy("slice").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = written.groupBy("slice", "part").agg(F.sum("size").alias("_n")).select(
-        "slice", "part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    return written.join(F.broadcast(starts), ["slice", "part"]).select("slice", (F.col("_start") + F.col("at")).alias("place"), "content")
+    whole = Window.partitionBy("slice")
+    before = whole.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = written.groupBy("slice", "part").agg(F.sum("size").alias("_n"), F.sum("packed_size").alias("_m")).select(
+        "slice", "part", (F.lit(bool(compression)) & (F.sum("_n").over(whole) <= PACKED_BYTES)).alias("packed"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"), F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_packed_start"))
+    place = F.when(F.col("packed"), F.col("_packed_start") + F.col("packed_at")).otherwise(F.col("_start") + F.col("at"))
+    return written.join(F.broadcast(starts), ["slice", "part"]).select("slice", "packed", place.alias("place"), "content")
 
 
-def _put(blocks: DataFrame, folder: str) -> None:
+def _put(blocks: DataFrame, folder: str, compression: str | None) -> None:
     """Write blocks into a file per slice, each at its place. A task that runs again writes the same bytes to the same places."""
 
     def put(rows: Iterator[Row]) -> None:
         opened, file = None, None
         try:
-            for number, place, content in rows:
+            for number, packed, place, content in rows:
                 if number != opened:
                     if file is not None:
                         os.close(file)
                         file = None
                     os.makedirs(f"{folder}/slice={number}", exist_ok=True)
-                    file, opened = os.open(f"{folder}/slice={number}/part-00000.txt", os.O_WRONLY | os.O_CREAT, 0o666), number
-                rest = memoryview(content)
+                    file, opened = os.open(f"{folder}/slice={number}/part-00000.txt{'.gz' if packed else ''}", os.O_WRONLY | os.O_CREAT, 0o666), number
+                rest = memoryview(zlib.decompress(content, wbits=31) if compression and not packed else content)
                 while rest:
                     n = os.pwrite(file, rest, place)
                     rest, place = rest[n:], place + n
@@ -330,14 +348,21 @@ def _put(blocks: DataFrame, folder: str) -> None:
     blocks.foreachPartition(put)
 
 
-def write_lines(lines: DataFrame, path: str, root: str, order: Sequence[str], entity: str = "entity", *, prefix: str = PREFIX, namespace: str | None = None) -> None:
+def write_lines(
+    lines: DataFrame, path: str, root: str, order: Sequence[str], entity: str = "entity", *, prefix: str = PREFIX, namespace: str | None = None, compression: str | None = None,
+) -> None:
     """(entity, order.., line) as files of whole documents, each below a root element of its own.
 
     Entities are dealt to folders by their hash, and a folder has one file. Where the path lies on a file system that is
     mounted, ordered ranges of all lines go to tasks, whatever folder they are for, and each task writes its part of a file
     in its place, so that no task has a whole document. Other stores take a file from one task, which sorts the rows of a
     folder (on disk, where they are many) and writes them one after the other.
+
+    With ``compression`` (gzip) files are compressed, in the first case those of up to ``PACKED_BYTES`` of text, as a reader
+    takes a compressed file whole.
     """
+    if compression not in (None, "gzip"):
+        raise ValueError(f"files are compressed by gzip, not {compression}")
     spark = lines.sparkSession
     slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
     full, declared = f"{prefix}:{root}" if prefix else root, f' xmlns:{prefix}="{namespace}"' if prefix and namespace else ""
@@ -353,14 +378,15 @@ def write_lines(lines: DataFrame, path: str, root: str, order: Sequence[str], en
     store = target.getFileSystem(conf)
     if store.getUri().getScheme() != "file" or store.exists(target):
         # An existing path is an error of the writer.
-        every.repartition("slice").sortWithinPartitions(*by).select("slice", "line").write.partitionBy("slice").text(path)
+        every.repartition("slice").sortWithinPartitions(*by).select("slice", "line").write.partitionBy("slice").text(path, compression=compression)
         return
     target = store.makeQualified(target)
     # Hidden from readers until it is whole.
     made = jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{uuid.uuid4().hex}")
     try:
         # Lines that agree in all else are told apart by their text, so that many of them are many ranges, too.
-        _put(_blocks(every, [*by, "line"]), made.toUri().getPath())
+        with brief(spark) as put:
+            _put(_blocks(every, [*by, "line"], put, compression), made.toUri().getPath(), compression)
         store.create(jvm.org.apache.hadoop.fs.Path(made, "_SUCCESS")).close()
         if store.exists(target) or not store.rename(made, target):
             raise OSError(f"{made} cannot be renamed to {target}")
